@@ -30,8 +30,15 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), _tokenizer())
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexmill.llm import jaccard
+
+    out = jaccard.near_duplicate_components(_table(spark, sf_dir, "documents"), size=3, threshold="9/10")
+    return out.select("doc_id", "n_shingles", "component_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op3_bpe_round_trip)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op3_bpe_round_trip, op5_ngram_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -2,27 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_own_dir: str | None = None
-
-
-def scratch_root(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; a temporary one only where that is unset."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    global _own_dir
-    if _own_dir is None:
-        _own_dir = "file://" + tempfile.mkdtemp(prefix="lexmill-")
-    return _own_dir
+from lexmill.operators.components import shared_folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/{spark.sparkContext.applicationId}-{name}-{uuid.uuid4().hex[:12]}"
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}-{name}-{uuid.uuid4().hex[:12]}"
 
 
 def materialise(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
@@ -42,3 +31,9 @@ def discard(df: DataFrame) -> None:
         spark = df.sparkSession
         hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
         hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished steps now, not when the driver next collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
