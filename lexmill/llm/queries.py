@@ -37,8 +37,14 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexmill.llm import substring
+
+    return substring.repeated_passages(_table(spark, sf_dir, "documents"), window=50)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op3_bpe_round_trip, op5_ngram_jaccard_join)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op3_bpe_round_trip, op5_ngram_jaccard_join, op6_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
