@@ -21,6 +21,8 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
+from lexmill.llm.scratch import widened
+
 # The pre-tokeniser's pattern of byte-level BPE vocabularies of this kind.
 PRETOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 NEVER = np.int64(1) << 60
@@ -393,4 +395,4 @@ def encode_column(documents: DataFrame, path: str, text_col: str = "text", out_c
                 lists = pa.ListArray.from_arrays(pa.array(ptr, pa.int32()), pa.array(ids.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, out_col])
 
-    return base.mapInArrow(run, base.schema.add(out_col, "array<int>"))
+    return base.mapInArrow(run, widened(base.schema, (out_col, "array<int>")))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexmill.llm.scratch import materialise
+from lexmill.llm.scratch import materialise, widened
 
 PLAN_COLUMNS = ("length", "lo", "hi", "base", "per_bin", "offset")
 
@@ -153,7 +153,7 @@ def pack(pieces: DataFrame, length_col: str = "length", capacity: int = 2048, ro
     before = per.select("__len", "__salt", (F.sum("count").over(Window.partitionBy("__len").orderBy("__salt")) - F.col("count")).alias("__before"))
     within = F.row_number().over(Window.partitionBy("__len", "__salt").orderBy(*[F.col(f"`{c}`") for c in names])) - 1
     ranked = salted.withColumn("__row", within).join(before, ["__len", "__salt"]).select(*[F.col(f"`{c}`") for c in names], "__len", (F.col("__before") + F.col("__row")).cast("long").alias("__rank"))
-    schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
+    schema = widened(pieces.schema, ("sequence_id", "long"), ("offset", "long"))
     return ranked.mapInArrow(_placer(plan, capacity), schema)
 
 

@@ -43,8 +43,21 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.repeated_passages(_table(spark, sf_dir, "documents"), window=50)
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexmill.llm import quality
+
+    documents = _table(spark, sf_dir, "documents")
+    return quality.judge(documents, quality.train(documents, _table(spark, sf_dir, "labels")))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexmill.llm import langid
+
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op3_bpe_round_trip, op5_ngram_jaccard_join, op6_substring_dedup)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op3_bpe_round_trip, op5_ngram_jaccard_join, op6_substring_dedup, op7_quality_rules, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:

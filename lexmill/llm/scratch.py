@@ -6,10 +6,19 @@ import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from lexmill.operators.components import shared_folder
 
 
+def widened(schema: T.StructType, *more: tuple[str, str]) -> T.StructType:
+    """A copy of ``schema`` with columns added."""
+    out = T.StructType(list(schema.fields))
+    for name, kind in more:
+        out = out.add(name, kind)
+    return out
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}-{name}-{uuid.uuid4().hex[:12]}"
 
