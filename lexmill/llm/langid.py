@@ -67,12 +67,13 @@ class LanguageModel:
 def fit(bits: np.ndarray, labels: list[str], landmarks: int = 256, ridge: float = 1e-3) -> LanguageModel:
     """One-versus-rest kernel ridge regression on Nystrom features."""
     languages = sorted(set(labels))
-    unit = bits / np.sqrt(np.maximum(bits.sum(axis=1, keepdims=True), 1))
-    mark_rows = unit[: min(landmarks, len(unit))].astype(np.float64)
+    unit = bits / np.sqrt(np.maximum(bits.sum(axis=1, keepdims=True), 1), dtype=np.float32)
+    near = unit[: min(landmarks, len(unit))]
+    mark_rows = near.astype(np.float64)
     value, vector = np.linalg.eigh(mark_rows @ mark_rows.T)
     keep = value > 1e-8 * max(value.max(), 1e-12)
     white = vector[:, keep] / np.sqrt(value[keep])
-    features = (unit.astype(np.float64) @ mark_rows.T) @ white
+    features = (unit @ near.T).astype(np.float64) @ white
     target = np.where(np.array(labels)[:, None] == np.array(languages)[None, :], 1.0, -1.0)
     mean_x, mean_y = features.mean(axis=0), target.mean(axis=0)
     centred = features - mean_x
