@@ -142,7 +142,8 @@ class _Prefix:
     def level(self, room: float) -> int:
         return max(0, math.ceil(math.log2(math.floor(room + 1e-9) + 1)))
 
-    def entries(self, tokens: np.ndarray) -> tuple[np.ndarray, float]:
+    def entries(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """Entries, their places among the single tokens (-1 for combinations), and g."""
         n = len(tokens)
         if len(self.frequent):
             own = tokens & self.mask
@@ -154,9 +155,10 @@ class _Prefix:
         miss = n - math.ceil(self.t * n)
         g = n * self.c - len(rare)
         singles = (tx.mix(rare[: miss + 1]) << _U(6)) | _U(63)
+        place = np.arange(len(singles), dtype=np.int32)
         most = g + self.c * n / float(self.t)
         if len(rare) > miss or most < 0 or not len(often):
-            return singles, g
+            return singles, place, g
         out = [singles]
         spread = tx.mix(often)
         with np.errstate(over="ignore"):
@@ -168,11 +170,12 @@ class _Prefix:
                 total = np.add.reduceat(tx.mix(value ^ _U(0x5851F42D4C957F2D)), first)
                 name = tx.mix(total ^ tx.mix(cells[first] + _U(j << 40)))
                 out.append((name << _U(6)) | _U(j))
-        return np.concatenate(out), g
+        whole = np.concatenate(out)
+        return whole, np.concatenate([place, np.full(len(whole) - len(place), -1, dtype=np.int32)]), g
 
 
 def index_entries(documents: DataFrame, size: int, threshold: Fraction, frequent: np.ndarray, bits: int) -> DataFrame:
-    """(entry, node, g) of each distinct set; the level of an entry is in its six low bits, 63 for single tokens.
+    """(entry, node, n, place, g) of each distinct set; the level of an entry is in its six low bits, 63 for single tokens.
 
     A task writes a set once, however many copies it meets; copies in other tasks repeat the same rows.
     """
@@ -182,28 +185,27 @@ def index_entries(documents: DataFrame, size: int, threshold: Fraction, frequent
         make = _Prefix(threshold, shared.value, bits)
         seen: set[int] = set()
         for batch in batches:
-            entries, owner, gs, n = [], [], [], 0
+            held: list[tuple] = []
+            n = 0
             for tokens in _rows(batch.column(0), size):
                 node = _node(tokens)
                 if node is None or node in seen:
                     continue
                 if len(seen) < 1_000_000:
                     seen.add(node)
-                own, g = make.entries(tokens)
-                entries.append(own)
-                owner.append(np.full(len(own), node))
-                gs.append(np.full(len(own), g, dtype=np.float32))
+                own, place, g = make.entries(tokens)
+                held.append((own.astype(np.int64), np.full(len(own), node), np.full(len(own), len(tokens), dtype=np.int32), place, np.full(len(own), g, dtype=np.float32)))
                 n += len(own)
                 if n >= 200_000:
-                    yield _batch(entries, owner, gs)
-                    entries, owner, gs, n = [], [], [], 0
-            if entries:
-                yield _batch(entries, owner, gs)
+                    yield _batch(held)
+                    held, n = [], 0
+            if held:
+                yield _batch(held)
 
-    def _batch(entries: list, owner: list, gs: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(entries).astype(np.int64)), pa.array(np.concatenate(owner).astype(np.int64)), pa.array(np.concatenate(gs).astype(np.float32))], names=["entry", "node", "g"])
+    def _batch(held: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names=["entry", "node", "n", "place", "g"])
 
-    return documents.select("text").mapInArrow(run, "entry long, node long, g float")
+    return documents.select("text").mapInArrow(run, "entry long, node long, n int, place int, g float")
 
 
 def _texts_of(documents: DataFrame, heads: DataFrame, size: int) -> DataFrame:
@@ -219,9 +221,27 @@ def _texts_of(documents: DataFrame, heads: DataFrame, size: int) -> DataFrame:
     return joined.mapInArrow(run, "node long, text string").dropDuplicates(["node"])
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, size: int, threshold: Fraction) -> DataFrame:
-    """Those pairs (a, b) whose sets meet the threshold."""
+def _candidates(shared: DataFrame, threshold: Fraction) -> DataFrame:
+    """Distinct pairs (a, b) of a table of shared entries, without those that can't meet the threshold.
+
+    Single tokens are the rare tokens of least hash, so up to the last one that a pair shares, at places pa and pb, all
+    rare tokens of both are known: of pa + 1 and pb + 1 tokens ``s`` are shared and the others are mismatches.
+    """
     p, q = threshold.numerator, threshold.denominator
+    sized = shared.filter((F.col("na") * q >= F.col("nb") * p) & (F.col("nb") * q >= F.col("na") * p))
+    pairs = sized.groupBy("a", "b", "na", "nb").agg(F.min("pa").alias("combined"), F.count_if(F.col("pa") >= 0).alias("s"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
+    missed = F.col("pa") + F.col("pb") + 2 - 2 * F.col("s")
+    may = (F.col("combined") < 0) | (missed * (p + q) <= (F.col("na") + F.col("nb")) * (q - p))
+    return pairs.filter(may).select("a", "b")
+
+
+def _verified(pairs: DataFrame, documents: DataFrame, heads: DataFrame, size: int, threshold: Fraction) -> DataFrame:
+    """Those pairs (a, b) whose sets meet the threshold.  Only texts of nodes in a pair are moved."""
+    p, q = threshold.numerator, threshold.denominator
+    pairs = materialise(pairs, "pairs")
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = materialise(_texts_of(documents, heads.join(nodes, "node", "left_semi"), size), "texts")
+    release(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple[int | None, np.ndarray] = (None, np.zeros(0, dtype=_U))
@@ -240,7 +260,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, threshold: Fraction
 
     right = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     left = right.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    return left.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    links = materialise(left.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long"), "links")
+    discard(texts)
+    release(documents.sparkSession)
+    return links
 
 
 def near_duplicate_components(documents: DataFrame, size: int = 5, threshold: Fraction | str = "4/5", rare_max: int = RARE_MAX, frequent_max: int = FREQUENT_MAX) -> DataFrame:
@@ -263,20 +286,18 @@ def near_duplicate_components(documents: DataFrame, size: int = 5, threshold: Fr
     index = materialise(entries.join(shared, "entry").distinct(), "index")
     discard(entries)
     release(documents.sparkSession)
-    texts = materialise(_texts_of(documents, heads.join(index.select("node").distinct(), "node", "left_semi"), size), "texts")
-    release(documents.sparkSession)
-    lead = index.groupBy("entry").agg(F.max(F.struct("g", "node")).alias("s")).select("entry", F.col("s.node").alias("lead"))
-    star = index.join(lead, "entry").filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-    links = materialise(_verified(star, texts, size, threshold), "links")
+    lead = index.groupBy("entry").agg(F.max(F.struct("g", "node", "n", "place")).alias("s")).select("entry", F.col("s.node").alias("a"), F.col("s.n").alias("na"), F.col("s.place").alias("pa"))
+    star = _candidates(index.join(lead, "entry").filter("node <> a").select("a", "na", "pa", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb")), threshold)
+    links = _verified(star, documents, heads, size, threshold)
     comp = materialise(connected_components(links), "components")
-    placed = index.join(comp, "node", "left").select("entry", "node", "g", F.coalesce("component", "node").alias("comp"))
+    placed = index.join(comp, "node", "left").select("entry", "node", "n", "place", "g", F.coalesce("component", "node").alias("comp"))
     split = placed.groupBy("entry").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("entry")
     placed = materialise(placed.join(split, "entry"), "placed")
     size_of = placed.groupBy("entry", "comp").count()
     main = size_of.groupBy("entry").agg(F.max(F.struct("count", "comp")).alias("s")).select("entry", F.col("s.comp").alias("main"))
     marked = placed.join(main, "entry")
-    left = marked.filter("comp <> main").select("entry", F.col("node").alias("x"), F.col("comp").alias("cx"), F.col("g").alias("gx"), "main")
-    right = placed.select("entry", F.col("node").alias("y"), F.col("comp").alias("cy"), F.col("g").alias("gy"))
+    left = marked.filter("comp <> main").select("entry", F.col("node").alias("x"), F.col("comp").alias("cx"), F.col("g").alias("gx"), F.col("n").alias("nx"), F.col("place").alias("px"), "main")
+    right = placed.select("entry", F.col("node").alias("y"), F.col("comp").alias("cy"), F.col("g").alias("gy"), F.col("n").alias("ny"), F.col("place").alias("py"))
     room = F.col("gx").cast("double") + F.col("gy").cast("double")
     level = F.col("entry").bitwiseAND(F.lit(63))
     cells = F.pow(F.lit(2.0), level)
@@ -284,8 +305,10 @@ def near_duplicate_components(documents: DataFrame, size: int = 5, threshold: Fr
     slack = F.lit(1e-3) + (F.abs("gx") + F.abs("gy")) * 1e-6
     fits = (level == 63) | ((room > -slack) & (room < cells + slack) & ((level == 0) | (room > cells / 2 - slack)))
     cross = left.join(right, "entry").filter((F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("main")) | (F.col("x") < F.col("y"))) & fits)
-    cross = cross.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    more = materialise(_verified(cross, texts, size, threshold), "links2")
+    turn = F.col("x") < F.col("y")
+    side = lambda first, second: F.when(turn, F.col(first)).otherwise(F.col(second))
+    cross = _candidates(cross.select(side("x", "y").alias("a"), side("nx", "ny").alias("na"), side("px", "py").alias("pa"), side("y", "x").alias("b"), side("ny", "nx").alias("nb"), side("py", "px").alias("pb")), threshold)
+    more = _verified(cross, documents, heads, size, threshold)
     final = comp if more.isEmpty() else materialise(connected_components(links.unionByName(more)), "components")
     named = heads.join(final, "node", "left").select("node", "head", F.coalesce("component", "node").alias("component"))
     low = named.groupBy("component").agg(F.min("head").alias("component_id"))

@@ -24,12 +24,24 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(spark, _table(spark, sf_dir, "documents"), lambda: bpe.encoder(path), capacity=2048)
 
 
+def op2_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexmill.llm import warc
+
+    return warc.read_archives(warc.write_archives(_table(spark, sf_dir, "pages")))
+
+
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexmill.llm import bpe
 
     return bpe.round_trip(_table(spark, sf_dir, "documents"), _tokenizer())
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexmill.llm import ann
+
+    return ann.search(_table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexmill.llm import jaccard
 
@@ -63,7 +75,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op3_bpe_round_trip, op5_ngram_jaccard_join, op6_substring_dedup, op7_quality_rules, op9_lm_scoring, op10_language_id)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_warc_archive, op3_bpe_round_trip, op4_nearest_neighbours, op5_ngram_jaccard_join, op6_substring_dedup, op7_quality_rules, op9_lm_scoring, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -7,8 +7,9 @@ until none are left or the whole window is compared:
 
 1. length 13: about one representative in twenty words is written, over all documents;
 2. length 25: windows that survive and share a representative travel as one *run*, with the hash of all its words;
-3. length 50: a run that also occurs whole in a smaller document is settled; the windows of other runs are compared one
-   by one.  A settled run need not be: the smallest document with that run has it unsettled and writes its windows.
+3. length 50: a run that also occurs whole in a smaller document is settled.  Where unsettled runs of several documents
+   share a representative, their windows are compared one by one.  A settled run need not be compared: the smallest
+   document with that run has it unsettled and writes its windows.
 
 Hot representatives are pre-aggregated to their least and greatest doc_id, never gathered.
 """
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm import text as tx
-from lexmill.llm.scratch import materialise, release
+from lexmill.llm.scratch import discard, materialise, release
 
 _U = np.uint64
 
@@ -78,7 +79,8 @@ def _runs(rows: DataFrame, window: int, first: int, second: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(3)
-            out: dict[str, list] = {k: [] for k in ("at", "rep", "lo", "hi", "whole", "windows")}
+            at: list[int] = []
+            out: dict[str, list] = {k: [] for k in ("rep", "lo", "hi", "whole")}
             for b_lo, b_hi, _, _, words in tx.word_blocks(batch.column(1)):
                 for i in range(b_hi - b_lo):
                     own = words.hashes[words.ptr[i] : words.ptr[i + 1]]
@@ -88,25 +90,50 @@ def _runs(rows: DataFrame, window: int, first: int, second: int) -> DataFrame:
                     if not live.any():
                         continue
                     rep = _representatives(own, second, window)
-                    change = np.flatnonzero(live & np.concatenate([[True], ~live[:-1] | (rep[1:] != rep[:-1])]))
-                    stop = np.flatnonzero(live & np.concatenate([~live[1:] | (rep[1:] != rep[:-1]), [True]])) + 1
-                    at = np.arange(len(rep))
-                    each = tx.run_hashes(own, at, at + window)
-                    out["at"] += [b_lo + i] * len(change)
-                    out["rep"].append(rep[change])
-                    out["lo"].append(change)
-                    out["hi"].append(stop)
-                    out["whole"].append(tx.run_hashes(own, change, stop + window - 1))
-                    out["windows"] += [each[a:b] for a, b in zip(change, stop)]
-            if not out["at"]:
-                continue
-            at = pa.array(out["at"])
-            ptr = np.concatenate([[0], np.cumsum([len(w) for w in out["windows"]])]).astype(np.int32)
-            column = lambda k: pa.array(np.concatenate(out[k]).astype(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(2).take(at), column("rep"), column("lo"), column("hi"), column("whole"), pa.ListArray.from_arrays(pa.array(ptr), column("windows"))], names=["doc_id", "tk", "rep", "lo", "hi", "whole", "windows"])
+                    differs = rep[1:] != rep[:-1]
+                    lo = np.flatnonzero(live & np.concatenate([[True], ~live[:-1] | differs]))
+                    hi = np.flatnonzero(live & np.concatenate([~live[1:] | differs, [True]])) + 1
+                    at += [b_lo + i] * len(lo)
+                    for k, v in (("rep", rep[lo]), ("lo", lo), ("hi", hi), ("whole", tx.run_hashes(own, lo, hi + window - 1))):
+                        out[k].append(v.astype(np.int64))
+            if at:
+                index = pa.array(at)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(index), batch.column(2).take(index), *(pa.array(np.concatenate(v)) for v in out.values())], names=["doc_id", "tk", *out])
 
     key = rows.schema["doc_id"].dataType.simpleString()
-    return rows.select("doc_id", "text", "tk", "hits").mapInArrow(run, f"doc_id {key}, tk long, rep long, lo long, hi long, whole long, windows array<long>")
+    return rows.select("doc_id", "text", "tk", "hits").mapInArrow(run, f"doc_id {key}, tk long, rep long, lo long, hi long, whole long")
+
+
+def _windows(rows: DataFrame, window: int) -> DataFrame:
+    """Start and hash of each window of the runs listed in ``open``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(3)
+            for b_lo, b_hi, _, _, words in tx.word_blocks(batch.column(1)):
+                at, start, hashes = [], [], []
+                for i in range(b_hi - b_lo):
+                    own = words.hashes[words.ptr[i] : words.ptr[i + 1]]
+                    spans = lists[b_lo + i].values
+                    p = np.concatenate([np.arange(a, b) for a, b in zip(spans.field("lo").to_numpy(), spans.field("hi").to_numpy())])
+                    at += [b_lo + i] * len(p)
+                    start.append(p)
+                    hashes.append(tx.run_hashes(own, p, p + window).astype(np.int64))
+                index = pa.array(at)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(index), batch.column(2).take(index), pa.array(np.concatenate(start)), pa.array(np.concatenate(hashes))], names=["doc_id", "tk", "p", "w"])
+
+    key = rows.schema["doc_id"].dataType.simpleString()
+    return rows.select("doc_id", "text", "tk", "open").mapInArrow(run, f"doc_id {key}, tk long, p long, w long")
+
+
+def _in_several(rows: DataFrame, key: str) -> DataFrame:
+    """Rows whose ``key`` occurs under more than one doc_id."""
+    several = rows.groupBy(key).agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select(key)
+    return rows.join(several, key)
+
+
+def _spans(rows: DataFrame, name: str) -> DataFrame:
+    return rows.groupBy("doc_id", "tk").agg(F.collect_list(F.struct("lo", "hi")).alias(name))
 
 
 def repeated_windows(documents: DataFrame, window: int = 50) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -115,21 +142,29 @@ def repeated_windows(documents: DataFrame, window: int = 50) -> tuple[DataFrame,
     spark = documents.sparkSession
     scan = materialise(_scan(documents, window, first), "scan")
     entry = scan.filter("doc_id is not null").select("doc_id", F.explode("reps").alias("rep"))
-    shared = entry.groupBy("rep").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("rep")
-    hits = entry.join(shared, "rep").groupBy("doc_id").agg(F.collect_set("rep").alias("hits"))
+    hits = _in_several(entry, "rep").groupBy("doc_id").agg(F.collect_set("rep").alias("hits"))
+    hits = materialise(hits, "hits")
+    release(spark)
     rows = materialise(documents.join(hits.hint("shuffle_hash"), "doc_id"), "candidates")
+    discard(hits)
     release(spark)
     runs = materialise(_runs(rows, window, first, second), "runs")
-    again = runs.groupBy("rep").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("rep")
-    runs = materialise(runs.join(again, "rep"), "runs")
-    earliest = runs.groupBy("whole").agg(F.min("doc_id").alias("first_doc"))
-    judged = runs.join(earliest, "whole")
-    settled = judged.filter("first_doc < doc_id").select("doc_id", "tk", "lo", "hi")
-    single = judged.filter("first_doc = doc_id").select("doc_id", "tk", F.posexplode("windows").alias("k", "w"), "lo").select("doc_id", "tk", (F.col("lo") + F.col("k")).alias("p"), "w")
-    single = materialise(single, "windows")
+    kept = materialise(_in_several(runs, "rep"), "runs")
+    discard(runs)
+    release(spark)
+    judged = materialise(kept.join(kept.groupBy("whole").agg(F.min("doc_id").alias("first_doc")), "whole"), "judged")
+    discard(kept)
+    # Equal windows have equal representatives: only where unsettled runs of several documents share one is there more to compare.
+    unsettled = _in_several(judged.filter("first_doc = doc_id").select("doc_id", "tk", "rep", "lo", "hi"), "rep")
+    release(spark)
+    single = materialise(_windows(rows.join(_spans(unsettled, "open").hint("shuffle_hash"), ["doc_id", "tk"]), window), "windows")
+    release(spark)
     owner = single.groupBy("w").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("w", "a")
     ones = single.join(owner, "w").filter("a < doc_id").select("doc_id", "tk", F.col("p").alias("lo"), (F.col("p") + 1).alias("hi"))
-    gone = materialise(settled.unionByName(ones).groupBy("doc_id", "tk").agg(F.collect_list(F.struct("lo", "hi")).alias("gone")), "intervals")
+    settled = judged.filter("first_doc < doc_id").select("doc_id", "tk", "lo", "hi")
+    gone = materialise(_spans(settled.unionByName(ones), "gone"), "intervals")
+    for table in (judged, single):
+        discard(table)
     release(spark)
     return scan, rows, gone
 
