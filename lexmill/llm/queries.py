@@ -62,6 +62,12 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents, quality.train(documents, _table(spark, sf_dir, "labels")))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexmill.llm import html
+
+    return html.main_text(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexmill.llm import lm
 
@@ -75,7 +81,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_warc_archive, op3_bpe_round_trip, op4_nearest_neighbours, op5_ngram_jaccard_join, op6_substring_dedup, op7_quality_rules, op9_lm_scoring, op10_language_id)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_warc_archive, op3_bpe_round_trip, op4_nearest_neighbours, op5_ngram_jaccard_join, op6_substring_dedup, op7_quality_rules, op8_html_extraction, op9_lm_scoring, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
