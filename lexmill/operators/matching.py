@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions import text as T
-from lexmill.functions.udfs import best_ratio, plain_normalize
+from lexmill.functions.plain import best_ratio, plain_normalize
 from lexmill.operators.components import connected_components
 from lexmill.operators.rules import alias_map
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,17 +70,62 @@ def cosine(a: Column, b: Column) -> Column:
     return F.when((F.size(a) != F.size(b)) | (F.size(a) == 0) | (norms == 0), 0.0).otherwise(dot(a, b) / norms)
 
 
+def _nearest_rows(q_id, q, q_grp, t_id, t, t_grp) -> list[tuple]:
+    """(id, grp, best_id, best_score, best_in_group, in_group_score) of each query against targets sorted by id."""
+    unit = lambda m: m / np.where((n := np.linalg.norm(m, axis=1, keepdims=True)) > 0, n, np.inf)
+    out = []
+    for lo in range(0, len(q), 512):
+        score = unit(q[lo : lo + 512]) @ unit(t).T
+        score[q_id[lo : lo + 512, None] == t_id[None, :]] = -np.inf
+        own = np.where(q_grp[lo : lo + 512, None] == t_grp[None, :], score, -np.inf)
+        best, near = score.argmax(axis=1), own.argmax(axis=1)
+        for i, (b, o) in enumerate(zip(best, near)):
+            has, in_group = np.isfinite(score[i, b]), np.isfinite(own[i, o])
+            out.append((q_id[lo + i], q_grp[lo + i], int(t_id[b]) if has else None, float(score[i, b]) if has else None, int(t_id[o]) if in_group else None, float(own[i, o]) if in_group else None))
+    return out
+
+
+def _columns(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    ids = table.column("id").to_numpy()
+    vec = np.array(table.column("vec").to_pylist(), dtype=np.float64).reshape(len(ids), -1)
+    return ids, vec, np.array(table.column("grp").to_pylist(), dtype=object)
+
+
 def dense_nearest(queries: DataFrame, targets: DataFrame, most_targets: int = 100_000) -> DataFrame:
     """[JN-11, SM-09, SM-10] Best target of each query, in all and within its group (ties: smaller id).
 
-    Tables (id, vec, grp).  The taxonomy side is broadcast after a check of its size; a larger one is dealt out in
-    blocks by group and id hash, and block winners are merged.
+    Tables (id, vec, grp) with vectors of one length.  Similarities are matrix products: the taxonomy side is broadcast
+    after a check of its size; a larger one is dealt out in blocks that each meet the queries, and block winners merge.
     """
+    kind = queries.schema["grp"].dataType.simpleString()
+    out = f"id long, grp {kind}, best_id long, best_score double, best_in_group long, in_group_score double"
+    names = [c.split()[0] for c in out.split(", ")]
     n = targets.limit(most_targets + 1).count()
-    t = targets.select(F.col("id").alias("t_id"), F.col("vec").alias("t_vec"), F.col("grp").alias("t_grp"))
-    side = F.broadcast(t) if n <= most_targets else t
-    pairs = queries.select("id", "vec", "grp").join(side, F.col("id") != F.col("t_id")).withColumn("score", cosine(F.col("vec"), F.col("t_vec")))
-    key = F.struct("score", (-F.col("t_id")).alias("neg"))
-    own = F.when(F.col("grp") == F.col("t_grp"), key)
-    best = pairs.groupBy("id", "grp").agg(F.max(key).alias("k"), F.max(own).alias("o"))
-    return best.select("id", "grp", (-F.col("k.neg")).alias("best_id"), F.col("k.score").alias("best_score"), (-F.col("o.neg")).alias("best_in_group"), F.col("o.score").alias("in_group_score"))
+    q, t = (d.select(F.col("id").cast("long").alias("id"), F.col("vec").cast("array<double>").alias("vec"), "grp") for d in (queries, targets))
+    types = [pa.int64(), None, pa.int64(), pa.float64(), pa.int64(), pa.float64()]
+
+    def table(rows: list[tuple], grp: pa.DataType) -> list[pa.Array]:
+        cols = list(zip(*rows)) if rows else [()] * 6
+        return [pa.array(c, k or grp) for c, k in zip(cols, types)]
+
+    if n <= most_targets:
+        known = queries.sparkSession.sparkContext.broadcast(_columns(t.orderBy("id").toArrow()))  # at most most_targets rows
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays(table(_nearest_rows(*_columns(batch), *known.value) if len(known.value[0]) else [], batch.schema.field("grp").type), names=names)
+
+        return q.mapInArrow(run, out)
+    blocks = -(-targets.count() // most_targets)
+    dealt = t.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
+    asked = q.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long"))
+
+    def meet(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        right = right.sort_by("id")
+        rows = _nearest_rows(*_columns(left), *_columns(right)) if len(left) and len(right) else []
+        return pa.Table.from_arrays(table(rows, left.schema.field("grp").type), names=names)
+
+    found = asked.groupBy("block").cogroup(dealt.groupBy("block")).applyInArrow(meet, out)
+    best = lambda score, i: F.struct(F.col(score), (-F.col(i)).alias("neg"))
+    top = found.groupBy("id", "grp").agg(F.max(F.when(F.col("best_id").isNotNull(), best("best_score", "best_id"))).alias("k"), F.max(F.when(F.col("best_in_group").isNotNull(), best("in_group_score", "best_in_group"))).alias("o"))
+    return top.select("id", "grp", (-F.col("k.neg")).alias("best_id"), F.col("k.best_score").alias("best_score"), (-F.col("o.neg")).alias("best_in_group"), F.col("o.in_group_score").alias("in_group_score"))
