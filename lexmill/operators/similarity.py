@@ -118,7 +118,7 @@ def dense_nearest(queries: DataFrame, targets: DataFrame, most_targets: int = 10
         return q.mapInArrow(run, out)
     blocks = -(-targets.count() // most_targets)
     dealt = t.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
-    asked = q.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long"))
+    asked = q.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
 
     def meet(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         right = right.sort_by("id")
