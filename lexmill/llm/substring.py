@@ -129,7 +129,7 @@ def _windows(rows: DataFrame, window: int) -> DataFrame:
 def _in_several(rows: DataFrame, key: str) -> DataFrame:
     """Rows whose ``key`` occurs under more than one doc_id."""
     several = rows.groupBy(key).agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select(key)
-    return rows.join(several, key)
+    return rows.join(materialise(several, "several"), key)  # written, so that a hot key of the join can be split
 
 
 def _spans(rows: DataFrame, name: str) -> DataFrame:
@@ -152,18 +152,20 @@ def repeated_windows(documents: DataFrame, window: int = 50) -> tuple[DataFrame,
     kept = materialise(_in_several(runs, "rep"), "runs")
     discard(runs)
     release(spark)
-    judged = materialise(kept.join(kept.groupBy("whole").agg(F.min("doc_id").alias("first_doc")), "whole"), "judged")
+    earliest = materialise(kept.groupBy("whole").agg(F.min("doc_id").alias("first_doc")), "earliest")
+    judged = materialise(kept.join(earliest, "whole"), "judged")
+    discard(earliest)
     discard(kept)
     # Equal windows have equal representatives: only where unsettled runs of several documents share one is there more to compare.
     unsettled = _in_several(judged.filter("first_doc = doc_id").select("doc_id", "tk", "rep", "lo", "hi"), "rep")
     release(spark)
     single = materialise(_windows(rows.join(_spans(unsettled, "open").hint("shuffle_hash"), ["doc_id", "tk"]), window), "windows")
     release(spark)
-    owner = single.groupBy("w").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("w", "a")
+    owner = materialise(single.groupBy("w").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("w", "a"), "owners")
     ones = single.join(owner, "w").filter("a < doc_id").select("doc_id", "tk", F.col("p").alias("lo"), (F.col("p") + 1).alias("hi"))
     settled = judged.filter("first_doc < doc_id").select("doc_id", "tk", "lo", "hi")
     gone = materialise(_spans(settled.unionByName(ones), "gone"), "intervals")
-    for table in (judged, single):
+    for table in (judged, single, owner):
         discard(table)
     release(spark)
     return scan, rows, gone
