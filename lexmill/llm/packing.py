@@ -49,22 +49,33 @@ class _Plan:
 
 
 def packing_plan(counts: dict[int, int], capacity: int) -> pd.DataFrame:
-    """Runs that place every piece.  Lengths must lie in 1..capacity."""
+    """Runs that place every piece.  Lengths must lie in 1..capacity.
+
+    Exact pairs and triples can use up short pieces that the residuals would have needed, mostly where pieces are few;
+    so the plan is also made with pairs alone and with single lengths alone, and the one of fewest sequences counts.
+    """
     if any(not 1 <= length <= capacity for length in counts):
         raise ValueError(f"lengths must lie in 1..{capacity}")
+    plans = [_planned(counts, capacity, parts) for parts in (3, 2, 1)]
+    best = min(plans, key=lambda p: p.next_bin)
+    return pd.DataFrame(best.rows, columns=list(PLAN_COLUMNS)).astype("int64")
+
+
+def _planned(counts: dict[int, int], capacity: int, parts: int) -> _Plan:
+    """Exact combinations of at most ``parts`` lengths, then best fit."""
     plan = _Plan({k: v for k, v in counts.items() if v})
     left = plan.left
     if len(left) > capacity and left[capacity]:
         plan.fill((capacity,), int(left[capacity]))
     top = len(left) - 1
-    for a in range(min(top, capacity - 1), (capacity + 1) // 2 - 1, -1):
+    for a in range(min(top, capacity - 1), (capacity + 1) // 2 - 1, -1) if parts >= 2 else ():
         b = capacity - a
         if b < 1 or b > top or not left[a] or not left[b]:
             continue
         n = int(left[a] // 2) if a == b else int(min(left[a], left[b]))
         if n:
             plan.fill((a, b), n)
-    for a in range(min(top, capacity - 2), 0, -1):
+    for a in range(min(top, capacity - 2), 0, -1) if parts >= 3 else ():
         while left[a]:
             rest = capacity - a
             b = np.arange(min(a, rest - 1, top), (rest + 1) // 2 - 1, -1)
@@ -76,10 +87,10 @@ def packing_plan(counts: dict[int, int], capacity: int) -> pd.DataFrame:
             good = np.flatnonzero((left[b] >= need_b) & (left[c] >= need_c) & (left[a] >= 1 + (b == a) + (c == a)))
             if not len(good):
                 break
-            parts = (a, int(b[good[0]]), int(c[good[0]]))
-            plan.fill(parts, int(min(left[x] // parts.count(x) for x in set(parts))))
+            three = (a, int(b[good[0]]), int(c[good[0]]))
+            plan.fill(three, int(min(left[x] // three.count(x) for x in set(three))))
     _best_fit(plan, capacity)
-    return pd.DataFrame(plan.rows, columns=list(PLAN_COLUMNS)).astype("int64")
+    return plan
 
 
 def _best_fit(plan: _Plan, capacity: int) -> None:
