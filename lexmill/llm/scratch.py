@@ -15,7 +15,7 @@ def widened(schema: T.StructType, *more: tuple[str, str]) -> T.StructType:
     """A copy of ``schema`` with columns added."""
     out = T.StructType(list(schema.fields))
     for name, kind in more:
-        out = out.add(name, kind)
+        out = out.add(T.StructField(name, T.DataType.fromDDL(kind)))
     return out
 
 

@@ -72,6 +72,16 @@ def check_packing(rows, capacity):
     return len(by)
 
 
+def best_fit(lengths, capacity):
+    room = []
+    for n in sorted(lengths, reverse=True):
+        fit = [r for r in room if r >= n]
+        if fit:
+            room.remove(min(fit))
+        room.append((min(fit) if fit else capacity) - n)
+    return len(room)
+
+
 def test_pack_documents(spark, documents, corpus, library, nothing):
     rows = packing.pack_documents(spark, documents, lambda: bpe.encoder(PATH), 512).collect()
     pieces = {}
@@ -84,7 +94,7 @@ def test_pack_documents(spark, documents, corpus, library, nothing):
         cuts = [0, *range(first, len(ids) + 1, 512)]
         want.setdefault(doc, []).extend((k, a, b - a, zlib.crc32(ids[a:b].tobytes())) for k, (a, b) in enumerate(zip(cuts, cuts[1:])))
     assert {k: sorted(v) for k, v in pieces.items()} == {k: sorted(v) for k, v in want.items()}
-    assert check_packing(rows, 512) <= -(-sum(r["length"] for r in rows) // 512) + 1
+    assert check_packing(rows, 512) <= best_fit([r["length"] for r in rows], 512)
     assert packing.pack_documents(spark, nothing, lambda: bpe.encoder(PATH)).count() == 0
 
 
@@ -102,7 +112,7 @@ def test_plan_places_every_piece_once(seed):
             assert (p.length, rank) not in seen
             seen[p.length, rank] = 1
     assert len(seen) == sum(counts.values()) and all((length, n - 1) in seen for length, n in counts.items())
-    assert check_packing(rows, capacity) <= 1.25 * sum(k * v for k, v in counts.items()) / capacity + 2
+    assert check_packing(rows, capacity) <= best_fit([n for n, k in counts.items() for _ in range(k)], capacity)
 
 
 def test_pack_keeps_columns_and_refuses_bad_lengths(spark):
