@@ -73,8 +73,8 @@ def boolean(value: Column, default: bool = False) -> Column:
 
 def folded_value(payload: Column, *keys: str) -> Column:
     """[FN-30] The value under the first of ``keys`` that a string map has, whatever the case of its keys."""
-    folded = F.map_from_entries(F.array_distinct(F.transform(F.map_entries(payload), lambda e: F.struct(F.lower(F.trim(e["key"])), e["value"]))))
-    return F.coalesce(*[F.try_element_at(folded, F.lit(k)) for k in keys])
+    entries = F.map_entries(payload)
+    return F.coalesce(*[F.get(F.filter(entries, lambda e: F.lower(F.trim(e["key"])) == k), 0)["value"] for k in keys])
 
 
 def severity(blocking: Column) -> Column:

@@ -220,3 +220,24 @@ def test_dense_nearest_blocks(spark):
     small = {r["id"]: tuple(r) for r in similarity.dense_nearest(v, v).collect()}
     dealt = {r["id"]: tuple(r) for r in similarity.dense_nearest(v, v, most_targets=17).collect()}
     assert {k: (x[2], x[4]) for k, x in small.items()} == {k: (x[2], x[4]) for k, x in dealt.items()}
+
+
+def test_replies(spark):
+    from lexmill.operators import replies
+
+    rows = [("1", '{"decisions": [{"term": "a", "action": "SPLIT", "split_candidates": ["x", "y"], "reasoning": {"ecosystem": "Same"}}, 3]}'), ("2", "no json"), ("3", '{"decisions": 4}'), ("4", None)]
+    made, found = replies.decisions(spark.createDataFrame(rows, "cluster_id string, reply string"))
+    assert [(r["term"], r["split_candidates"], r["ecosystem"]) for r in made.collect()] == [("a", ["x", "y"], "Same")]
+    assert sorted(r["location"] for r in found.collect()) == ["cluster:1|term:<invalid_row>", "cluster:2", "cluster:3", "cluster:4"]
+    rows = [("Kafka", '{"classification": {"ontological_nature": "Concept"}, "confidence": "low"}'), ("LAMP", '{"primary_type": "composite stack"}'), ("Tools", '{"ontological_nature": "CATEGORY"}'), ("x", "[1]")]
+    kept, found = replies.classes(spark.createDataFrame(rows, "term string, reply string"))
+    assert [r["ontological_nature"] for r in governance.normalised_classes(kept).collect()] == ["Concept"]
+    assert sorted((r["rule_id"], r["location"]) for r in found.collect()) == [("L4-001", "term:x"), ("L4-003", "term:Kafka"), ("L4-004", "term:LAMP"), ("L4-005", "term:Tools")]
+
+
+def test_folded_values(spark):
+    from lexmill.functions import scores
+
+    df = spark.createDataFrame([({"Confidence ": "HIGH", "confidence": "LOW", "X": "1"},)], "m map<string,string>")
+    got = df.select(scores.folded_value(F.col("m"), "none", "confidence").alias("a"), scores.folded_value(F.col("m"), "x").alias("b"), scores.folded_value(F.col("m"), "q").alias("c")).first()
+    assert got["a"] in ("HIGH", "LOW") and got["b"] == "1" and got["c"] is None
