@@ -65,9 +65,10 @@ class LanguageModel:
 
 
 def fit(bits: np.ndarray, labels: list[str], landmarks: int = 256, ridge: float = 1e-3) -> LanguageModel:
-    """One-versus-rest kernel ridge regression on Nystrom features."""
+    """One-versus-rest kernel ridge regression on Nystrom features.  ``bits`` (float32) is overwritten."""
     languages = sorted(set(labels))
-    unit = bits / np.sqrt(np.maximum(bits.sum(axis=1, keepdims=True), 1), dtype=np.float32)
+    unit = bits
+    unit /= np.sqrt(np.maximum(bits.sum(axis=1, keepdims=True), 1), dtype=np.float32)  # in place: this runs on the driver
     near = unit[: min(landmarks, len(unit))]
     mark_rows = near.astype(np.float64)
     value, vector = np.linalg.eigh(mark_rows @ mark_rows.T)
@@ -85,7 +86,7 @@ def _fold(key: Column, folds: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit(""))), F.lit(folds))
 
 
-def train(documents: DataFrame, folds: int = 4, held: int = 2, sample_rows: int = 4000, landmarks: int = 256) -> LanguageModel | None:
+def train(documents: DataFrame, folds: int = 4, held: int = 2, sample_rows: int = 2500, landmarks: int = 256) -> LanguageModel | None:
     """Fit on at most ``sample_rows`` labelled documents outside the held-out fold, those of least hashed doc_id.
 
     Only text and lang are used; doc_id picks the sample alone.  None if no document has a label and text.
@@ -101,7 +102,7 @@ def train(documents: DataFrame, folds: int = 4, held: int = 2, sample_rows: int
                 yield pa.RecordBatch.from_arrays([batch.column(1).slice(lo, len(bits)), pa.array(packed, pa.binary())], names=["lang", "bits"])
 
     got = sample.mapInArrow(run, "lang string, bits binary").toPandas().sort_values(["bits", "lang"])
-    got = got.iloc[np.random.default_rng(7).permutation(len(got))][: sample_rows + 1000]
+    got = got.iloc[np.random.default_rng(7).permutation(len(got))][: 2 * sample_rows]
     if not len(got):
         return None
     bits = np.unpackbits(np.frombuffer(b"".join(got["bits"]), dtype=np.uint8)).reshape(len(got), DIMS).astype(np.float32)
@@ -137,7 +138,7 @@ def predict(documents: DataFrame, model: LanguageModel | None, carry: bool = Fal
     return out if carry else out.select("doc_id", "lang_pred", "score")
 
 
-def identify(documents: DataFrame, folds: int = 4, held: int = 2, sample_rows: int = 4000, landmarks: int = 256) -> DataFrame:
+def identify(documents: DataFrame, folds: int = 4, held: int = 2, sample_rows: int = 2500, landmarks: int = 256) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row (columns doc_id, text, lang; others play no part)."""
     documents = documents.select("doc_id", "text", "lang")
     out = predict(documents.select("doc_id", "text"), train(documents, folds, held, sample_rows, landmarks))

@@ -153,7 +153,7 @@ def _minimise(fun, x: np.ndarray, rounds: int) -> np.ndarray:
 
 
 def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, penalty: float = 1e-4, rounds: int = 60) -> QualityModel:
-    """``rows``: feature indices (family * 2**BITS + hash) and relative frequencies of each text."""
+    """``rows``: feature indices (family * 2**BITS + hash, 32-bit) and relative frequencies (32-bit) of each text."""
     order = np.random.default_rng(11).permutation(len(rows))
     cut = max(1, len(rows) // 4)
     held, used = order[:cut], order[cut:]
@@ -166,12 +166,16 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, penalty:
         return index, value, np.concatenate([[0], np.cumsum([len(rows[i][0]) for i in which])])
 
     index, value, ptr = stack(used)
-    columns, index = np.unique(index, return_inverse=True)
+    columns = np.flatnonzero(np.bincount(index, minlength=FAMILIES << BITS))
+    place = np.zeros(FAMILIES << BITS, dtype=np.int32)
+    place[columns] = np.arange(len(columns), dtype=np.int32)
+    index = place[index]
     scale = 1 / np.sqrt(np.bincount(index, weights=value**2, minlength=len(columns)) / len(used) + 1e-8)
-    scaled = value * scale[index]
+    scaled = value * scale[index].astype(np.float32)
+    del value
     y = labels[used].astype(np.float64)
     balance = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
-    row = np.repeat(np.arange(len(used)), np.diff(ptr))
+    row = np.repeat(np.arange(len(used), dtype=np.int32), np.diff(ptr))
 
     def loss(x):
         margin = np.bincount(row, weights=scaled * x[index], minlength=len(used)) + x[-1]
@@ -198,7 +202,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, penalty:
     return QualityModel(weights.reshape(FAMILIES, -1).astype(np.float32), float(x[-1]), float(slope), float(shift))
 
 
-def train(documents: DataFrame, labels: DataFrame, sample_rows: int = 2000) -> QualityModel | None:
+def train(documents: DataFrame, labels: DataFrame, sample_rows: int = 1000) -> QualityModel | None:
     """Fit on at most ``sample_rows`` labelled documents, those of least hashed doc_id.
 
     A doc_id with several labels takes the least.  None where the labels of documents at hand are all equal or absent.
@@ -223,7 +227,7 @@ def train(documents: DataFrame, labels: DataFrame, sample_rows: int = 2000) -> Q
     got = sample.mapInArrow(run, "quality int, index binary, value binary").toPandas().sort_values(["index", "value", "quality"])[: 2 * sample_rows]
     if got["quality"].nunique() < 2:
         return None
-    rows = [(np.frombuffer(a, "<i4").astype(np.int64), np.frombuffer(b, "<f4").astype(np.float64)) for a, b in zip(got["index"], got["value"])]
+    rows = [(np.frombuffer(a, "<i4"), np.frombuffer(b, "<f4")) for a, b in zip(got["index"], got["value"])]
     return fit(rows, got["quality"].to_numpy())
 
 
