@@ -86,14 +86,19 @@ def _fold(key: Column, folds: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit(""))), F.lit(folds))
 
 
+def _sample(documents: DataFrame, part: Column, sample_rows: int) -> DataFrame:
+    """text and lang of the labelled rows of ``part`` with the ``sample_rows`` doc_ids of least hash."""
+    usable = documents.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & part)
+    picked = usable.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    return usable.join(F.broadcast(picked), usable["doc_id"].eqNullSafe(picked["doc_id"]), "left_semi").select("text", "lang")  # at most sample_rows ids
+
+
 def train(documents: DataFrame, folds: int = 4, held: int = 2, sample_rows: int = 2500, landmarks: int = 256) -> LanguageModel | None:
     """Fit on at most ``sample_rows`` labelled documents outside the held-out fold, those of least hashed doc_id.
 
     Only text and lang are used; doc_id picks the sample alone.  None if no document has a label and text.
     """
-    usable = documents.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (_fold(F.col("doc_id"), folds) != held))
-    picked = usable.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    sample = usable.join(F.broadcast(picked), usable["doc_id"].eqNullSafe(picked["doc_id"]), "left_semi").select("text", "lang")  # at most sample_rows ids
+    sample = _sample(documents, _fold(F.col("doc_id"), folds) != held, sample_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,6 +143,20 @@ def predict(documents: DataFrame, model: LanguageModel | None, carry: bool = Fal
     return out if carry else out.select("doc_id", "lang_pred", "score")
 
 
+def least_score(documents: DataFrame, model: LanguageModel | None, folds: int = 4, held: int = 2, sample_rows: int = 2500, share: float = 0.005) -> float:
+    """The score that all but ``share`` of the labelled rows of the held-out fold reach, of those whose language is found.
+
+    The one-versus-rest scores of a text sum to 2 - L over L languages, so its ``score`` is 1/L at least and a fixed
+    limit may reject nothing.  Texts in no learned language stay near 1/L.  0 where no labelled row is held out.
+    """
+    judged = predict(_sample(documents, _fold(F.col("doc_id"), folds) == held, sample_rows), model, carry=True).filter("lang_pred = lang")
+    seen = judged.groupBy("score").count().orderBy("score").toPandas()  # rows of one id may differ, so a few more than sample_rows
+    if not len(seen):
+        return 0.0
+    below = seen["count"].cumsum().to_numpy()
+    return float(seen["score"].iloc[np.searchsorted(below, share * below[-1], side="right")])
+
+
 def identify(documents: DataFrame, folds: int = 4, held: int = 2, sample_rows: int = 2500, landmarks: int = 256) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row (columns doc_id, text, lang; others play no part)."""
     documents = documents.select("doc_id", "text", "lang")

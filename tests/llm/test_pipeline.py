@@ -9,6 +9,7 @@ import pytest
 
 from lexmill.llm import queries
 from tests.llm.test_dedup import SPLIT, brute_components, brute_removed
+from tests.llm.test_models import TONGUES
 
 
 @pytest.fixture(scope="module")
@@ -46,6 +47,19 @@ def test_stages(spark, tables):
     assert sorted((r["doc_id"], r["piece"], r["length"]) for r in corpus_pipeline.run(spark, tables).collect()) == sorted((r["doc_id"], r["piece"], r["length"]) for r in packed)
 
 
+def test_language_stage_rejects(spark):
+    """Gibberish and texts of an unlearned language go; clean ones stay."""
+    rng = random.Random(21)
+    text = lambda parts: " ".join(rng.choice(parts) + rng.choice(parts) for _ in range(rng.randint(30, 80)))
+    rows = [(i, text(TONGUES[t]), t) for i in range(600) for t in [rng.choice("abc") * 2]]
+    rows += [(5000 + i, "".join(rng.choice("abcdefghijklmnopqrstuvwxyz   ") for _ in range(400)), None) for i in range(40)]
+    rows += [(6000 + i, text(["xar", "yolu", "zik", "qom", "bepi", "jva"]), None) for i in range(40)]
+    docs = spark.createDataFrame([(d, t, lang, "s", len(t)) for d, t, lang in rows], "doc_id long, text string, lang string, source string, n_chars long").cache()
+    kept = [r["doc_id"] for r in corpus_pipeline.language_id(spark, docs, "").select("doc_id").collect()]
+    assert sum(d < 5000 for d in kept) >= 580
+    assert sum(5000 <= d < 6000 for d in kept) <= 2 and sum(d >= 6000 for d in kept) <= 2
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_queries_equal_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
