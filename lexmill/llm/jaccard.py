@@ -9,7 +9,10 @@ frequent class.  In the order "rare before frequent" a pair over the threshold e
   ``(n_x + n_y) * (1 - t) / (1 + t)``, only ``g_x + g_y`` are left for the frequent tokens, with
   ``g = n * (1 - t) / (1 + t) - rare``.  The prefix is extended over the frequent tokens, dealt into ``m`` hash classes
   with ``m > g_x + g_y``; one class at least must agree wholly, so the *combination* of all its tokens is indexed.  m is
-  the power of two that fits a pair, and a document writes every power that may fit a partner.
+  the power of two that fits a pair, and a document writes every power that may fit a partner.  The class that agrees
+  may be empty in both, so a document whose tokens fill no more classes than a pair may have mismatches also writes
+  deals into twice as many classes, and so on until they fill more: the deal at which the first of a pair stops is
+  written by both, and there a class that is not empty agrees.
 
 Candidates are never all pairs of a group: each index entry first proposes its most central member (largest g) to the
 others, links join components, and only members that are still in different components are paired.  Every candidate is
@@ -163,13 +166,17 @@ class _Prefix:
         spread = tx.mix(often)
         with np.errstate(over="ignore"):
             for j in range(self.level(most) + 1):
-                cell = (spread >> _U(32)) & _U((1 << j) - 1)
-                order = np.argsort(cell, kind="stable")
-                cells, value = cell[order], spread[order]
-                first = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
-                total = np.add.reduceat(tx.mix(value ^ _U(0x5851F42D4C957F2D)), first)
-                name = tx.mix(total ^ tx.mix(cells[first] + _U(j << 40)))
-                out.append((name << _U(6)) | _U(j))
+                bound = min((1 << j) - 1, math.floor(most + 1e-6))  # mismatches that a pair of this level may have
+                for fine in range(j, 33):
+                    cell = (spread >> _U(32)) & _U((1 << fine) - 1)
+                    order = np.argsort(cell, kind="stable")
+                    cells, value = cell[order], spread[order]
+                    first = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
+                    total = np.add.reduceat(tx.mix(value ^ _U(0x5851F42D4C957F2D)), first)
+                    name = tx.mix(total ^ tx.mix(cells[first] + _U((fine - j << 48) + (j << 40))))
+                    out.append((name << _U(6)) | _U(j))
+                    if len(first) > bound:
+                        break
         whole = np.concatenate(out)
         return whole, np.concatenate([place, np.full(len(whole) - len(place), -1, dtype=np.int32)]), g
 

@@ -90,6 +90,24 @@ def test_index_entries_cover_pairs():
         assert fits, (trial, len(x), len(y), both)
 
 
+@pytest.mark.parametrize("t", [Fraction(9, 10), Fraction(4, 5), Fraction(1, 2)])
+def test_index_entries_cover_small_sets(t):
+    """n frequent tokens against the same and one more, also where all of them fall into one hash class."""
+    rng = np.random.default_rng(9)
+    pool = np.unique(rng.integers(0, 2**63, 6000, dtype=np.int64).astype(np.uint64))
+    often = pool & (~np.uint64(0) << np.uint64(24))
+    make = jaccard._Prefix(t, often, 8)
+    place = jaccard.tx.mix(pool) >> np.uint64(32)
+    for n in range(4, 21):
+        if Fraction(n, n + 1) < t:
+            continue
+        for part in (pool, *(pool[place & np.uint64(mask) == 0] for mask in (1, 3, 7, 15))):
+            for _ in range(40):
+                y = rng.choice(part, n + 1, replace=False)
+                (ex, _, gx), (ey, _, gy) = (make.entries(np.sort(s)) for s in (y[:n], y))
+                assert any((e & 63) == make.level(gx + gy) for e in set(ex.tolist()) & set(ey.tolist())), (n, len(part))
+
+
 def brute_removed(rows, n):
     first = {}
     words = [SPLIT.findall(t or "") for _, t in rows]
