@@ -79,10 +79,10 @@ def _closest(todo: DataFrame, keys: DataFrame, threshold: float) -> DataFrame:
         for pdf in batches:
             got = [best_ratio(low, [key], threshold) for low, key in zip(pdf["low"], pdf["key"])]
             keep = [g is not None for g in got]
-            yield pdf.loc[keep, ["name", "key"]].assign(ratio=[round(g[1], 3) for g in got if g])
+            yield pdf.loc[keep, ["name", "key"]].assign(exact=[g[1] for g in got if g], ratio=[round(g[1], 3) for g in got if g])
 
-    scored = pairs.select("name", "low", "key").mapInPandas(ratio, "name string, key string, ratio double").join(ordered, "key")
-    nth = F.row_number().over(Window.partitionBy("name").orderBy(F.desc("ratio"), "pos"))
+    scored = pairs.select("name", "low", "key").mapInPandas(ratio, "name string, key string, exact double, ratio double").join(ordered, "key")
+    nth = F.row_number().over(Window.partitionBy("name").orderBy(F.desc("exact"), "pos", "key"))
     return scored.withColumn("nth", nth).filter("nth = 1").select("name", "canonical", "ratio")
 
 

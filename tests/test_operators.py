@@ -39,6 +39,16 @@ def test_match_tiers(spark, terms):
     assert got["Advanced Python Programming"] == ("python", "containment", 0.80) and got["Languages"][1:] == ("group_exact", 1.0)
 
 
+def test_closest_is_the_same_beyond_the_broadcast(spark, monkeypatch):
+    """Two keys whose ratios differ by less than the rounding: the closer one wins on either path."""
+    name = "".join(chr(0x4E00 + i) for i in range(8000))
+    keys = spark.createDataFrame([("xy" + name[2:], "far", 0), ("x" + name[1:], "near", 1)], "key string, canonical string, pos int")
+    todo = spark.createDataFrame([(name, name)], "name string, low string")
+    for most in (matching.MOST_KEYS, 0):
+        monkeypatch.setattr(matching, "MOST_KEYS", most)
+        assert [(r["canonical"], r["ratio"]) for r in matching._closest(todo, keys, 0.85).collect()] == [("near", 1.0)]
+
+
 def test_rules(spark):
     pairs = spark.createDataFrame([("NumPy", "numba")], "canonical string, alias string")
     t = store(spark, ("Libraries", "NumPy", ["numba"]), ("Libraries", "Numba", None))
