@@ -1,9 +1,16 @@
 """Main text of web pages, with site templates removed.
 
-Every element subtree is hashed (tag, text and children), and Spark counts on how many pages of a host each hash occurs.
-Subtrees that recur on many pages of their host are its template and are deleted.  Prose of an article (paragraphs,
-headings and the like inside an article or main element) is never template: a passage may be quoted on many pages.
-Elements whose tag, role or class says menu, header, footer, sidebar, notice, advert, form or comments go as well.
+Every page is parsed once.  All block subtrees are hashed on the raw page, before any list is applied: host, tag, and the
+text and digests of the children.  Spark counts in how many different articles' pages of a host each subtree occurs, so
+that copies of one page count once, and subtrees that recur are the host's template and are deleted:
+
+* containers outside an article on ``least_pages`` pages, however many pages the host has;
+* prose outside an article, and containers inside one, if that is also ``least_share`` of the host's pages;
+* prose inside an article if it is ``prose_share`` of them: a passage may be quoted on many pages.
+
+Tags and roles of the contract (script, style, nav, form, ...) go as well, and so do class words for what differs from
+page to page and can't be counted (comments, adverts, related links).  Words for what recurs by nature (menus, cookie
+notices, newsletters) decide only on hosts with too few pages to count.
 """
 
 from __future__ import annotations
@@ -13,11 +20,13 @@ import html as entities
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lexmill.llm.scratch import materialise, widened
+from lexmill.llm.scratch import materialise
 
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')?|["'])*+)>""",
@@ -33,7 +42,7 @@ BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead title tr ul".split()
 )
 CLOSES_P = BLOCK - frozenset("body caption dd dt head html legend li optgroup option tbody td tfoot th thead title tr".split())
-PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th tr tbody table ul ol dl figcaption caption article main b i em strong a span code q cite small sub sup u s mark abbr time br".split())
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th tr tbody table ul ol dl figcaption caption".split())
 SIBLINGS = {
     "li": (frozenset(["li"]), frozenset(["ul", "ol", "menu", "dir"])),
     "dt": (frozenset(["dt", "dd"]), frozenset(["dl"])),
@@ -47,10 +56,18 @@ SIBLINGS = {
 # Our own lists of what isn't main text.
 DROP_TAGS = frozenset("script style textarea title xmp iframe noembed noframes noscript template head nav footer aside form button select datalist svg canvas math object audio video map dialog menu search".split())
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert status menu menubar toolbar".split())
-DROP_WORDS = frozenset(
-    "nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar footer header masthead topbar toolbar ad ads advert adverts advertisement advertising adsense adslot sponsor sponsored sponsors promo promotion banner banners cookie cookies consent gdpr notice notices notification popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations comment comments disqus respond reply replies pagination pager widget widgets skip copyright legal".split()
+VARYING_WORDS = frozenset(
+    "comment comments disqus respond reply replies ad ads advert adverts advertisement advertising adsense adslot"
+    " sponsor sponsored sponsors sidebar related recommended recommendations share sharing pagination pager".split()
+)
+RECURRING_WORDS = frozenset(
+    "nav navbar navigation menu menubar breadcrumb breadcrumbs footer header masthead topbar toolbar promo promotion"
+    " banner banners cookie cookies consent gdpr notice notices notification popup modal overlay newsletter subscribe"
+    " subscription signup login social widget widgets skip copyright legal".split()
 )
-OPEN_ARTICLE, CLOSE_ARTICLE, OPEN_MAIN, CLOSE_MAIN, BREAK = (object() for _ in range(5))
+OUTSIDE, MAIN, ARTICLE = 0, 1, 2
+ABSOLUTE, SHARE, PROSE_SHARE = 0, 1, 2
+LISTED = 0  # the key of spans that a class word names, deleted on hosts with too few pages to count
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -61,165 +78,182 @@ def _attributes(text: str) -> dict[str, str]:
     return out
 
 
-def _unwanted(tag: str, attributes: dict[str, str], in_main: bool) -> bool:
+def _unwanted(tag: str, attributes: dict[str, str], in_main: bool) -> tuple[bool, bool]:
+    """Whether an element goes on every host, and whether a class word names it as something that recurs."""
     if tag in DROP_TAGS or (tag == "header" and not in_main):
-        return True
-    if not attributes:
-        return False
-    if "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "").lower():
-        return tag not in ("html", "body")
+        return True, False
+    if not attributes or tag in ("html", "body"):
+        return False, False
+    hidden = "hidden" in attributes or attributes.get("aria-hidden") == "true"
+    if hidden or "display:none" in attributes.get("style", "").replace(" ", "").lower():
+        return True, False
     if attributes.get("role", "").lower() in DROP_ROLES:
-        return True
-    if tag in ("html", "body", "article", "main") and attributes.get("class") is None:
-        return False
+        return True, False
     named = WORD.findall((attributes.get("class", "") + " " + attributes.get("id", "")).lower())
-    if tag in ("html", "body"):
-        return False
     if tag in ("article", "main"):
-        return "comment" in named or "comments" in named
-    words = DROP_WORDS - {"header"} if in_main else DROP_WORDS
-    return any(w in words for w in named)
-
-
-def walk(page: str, template: frozenset[int] = frozenset(), seen: dict[int, None] | None = None) -> list:
-    """Tokens of the text that is kept.  ``seen`` gets the hashes of subtrees that may be template."""
-    out: list = []
-    stack: list[list] = []  # tag, first token, hashed parts, dropped, article opened, main opened
-    skip = articles = mains = 0
-    at, end = 0, len(page)
-
-    def text(raw: str) -> None:
-        if not raw:
-            return
-        value = entities.unescape(raw) if "&" in raw else raw
-        if stack:
-            stack[-1][2].append(value)
-        if not skip:
-            out.append(value)
-
-    def close() -> None:
-        nonlocal skip, articles, mains
-        tag, first, parts, dropped, is_article, is_main = stack.pop()
-        if tag in BLOCK and not skip:
-            out.append(BREAK)
-        if is_article:
-            articles -= 1
-            out.append(CLOSE_ARTICLE)
-        if is_main:
-            mains -= 1
-            out.append(CLOSE_MAIN)
-        body = " ".join("".join(parts).split())
-        digest = hashlib.blake2b(f"{tag}\x00{body}".encode(errors="surrogatepass"), digest_size=8).digest() if body else b""
-        if stack and body:
-            stack[-1][2].append(f"\x01{digest.hex()}\x02")
-        if dropped:
-            skip -= 1
-        elif body and not skip and tag not in ("html", "body") and not (is_article or is_main) and not ((articles or mains) and tag in PROSE):
-            name = int.from_bytes(digest, "little", signed=True)
-            if seen is not None:
-                seen[name] = None
-            elif name in template:
-                del out[first:]
-
-    while at < end:
-        lt = page.find("<", at)
-        if lt < 0:
-            text(page[at:])
-            break
-        m = TOKEN.match(page, lt)
-        if m is None:
-            text(page[at : lt + 1])
-            at = lt + 1
-            continue
-        if lt > at:
-            text(page[at:lt])
-        at = m.end()
-        if m.group(2) is None:
-            if m.group(0).startswith("<![CDATA["):
-                text(m.group(0)[9:].removesuffix("]]>").replace("&", "&amp;"))
-            continue
-        tag = m.group(2).lower()
-        if m.group(1):
-            if tag in VOID:
-                continue
-            if any(e[0] == tag for e in reversed(stack)):
-                while stack[-1][0] != tag:
-                    close()
-                close()
-            continue
-        if tag in CLOSES_P:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == "p":
-                    while len(stack) > depth:
-                        close()
-                    break
-                if stack[depth][0] in ("button", "td", "th", "caption", "object") or (stack[depth][0] in BLOCK):
-                    break
-        elif tag in SIBLINGS:
-            peers, fence = SIBLINGS[tag]
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] in fence:
-                    break
-                if stack[depth][0] in peers:
-                    while len(stack) > depth:
-                        close()
-                    break
-        if tag in VOID:
-            if not skip:
-                out.append(BREAK if tag == "hr" else " ")
-            if stack:
-                stack[-1][2].append(" ")
-            continue
-        attributes = _attributes(m.group(3)) if m.group(3) and not m.group(3).isspace() else {}
-        dropped = _unwanted(tag, attributes, bool(articles or mains))
-        if dropped:
-            skip += 1
-        is_article = not skip and tag == "article"
-        is_main = not skip and (tag == "main" or attributes.get("role", "").lower() == "main")
-        first = len(out)
-        if is_article:
-            articles += 1
-            out.append(OPEN_ARTICLE)
-        if is_main:
-            mains += 1
-            out.append(OPEN_MAIN)
-        if tag in BLOCK and not skip:
-            out.append(BREAK)
-        stack.append([tag, first, [], dropped, is_article, is_main])
-        if tag in RAW:
-            stop = re.compile(f"</{tag}(?=[\\s/>])", re.I).search(page, at)
-            at = stop.start() if stop else end
-    while stack:
-        close()
-    return out
+        return "comment" in named or "comments" in named, False
+    if any(w in VARYING_WORDS for w in named):
+        return True, False
+    return False, any(w in RECURRING_WORDS and not (w == "header" and in_main) for w in named)
+
+
+def _digest(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode(errors="surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
-def blocks(tokens: list) -> str:
-    """Blocks of the articles, else of the main element, else of all tokens, joined by newlines."""
-    for opening, closing in ((OPEN_ARTICLE, CLOSE_ARTICLE), (OPEN_MAIN, CLOSE_MAIN), (None, None)):
-        if opening is not None and not any(t is opening for t in tokens):
-            continue
-        lines: list[str] = []
+class Page:
+    """A parsed page: its lines with their regions, the spans of subtrees in them, and the subtrees to count.
+
+    ``spans`` holds (key, first line, line after the last) of subtrees that have text left; ``seen`` maps the key of
+    every block subtree of the raw page to the rule of its count; ``context`` is the digest of the text before templates
+    are deleted, by which copies of one page count once.
+    """
+
+    def __init__(self, page: str, host: str | None = None):
+        self.lines: list[str] = []
+        self.regions: list[int] = []
+        self.spans: list[tuple[int, int, int]] = []
+        self.seen: dict[int, int] = {}
+        self.best = OUTSIDE
+        self._walk(page, host)
+        self.context = _digest("\n".join(self.chosen()))
+        if self.best == OUTSIDE:  # without an article or main element, what holds most of the page's text isn't template
+            total = sum(map(len, self.lines))
+            for key, lo, hi in self.spans:
+                if key != LISTED and 2 * sum(map(len, self.lines[lo:hi])) > total:
+                    self.seen.pop(key, None)
+
+    def chosen(self, gone: list[tuple[int, int]] = ()) -> list[str]:
+        """Lines of the articles, else of the main element, else all, without the spans ``gone``."""
+        keep = [r >= self.best for r in self.regions]
+        for lo, hi in gone:
+            keep[lo:hi] = [False] * (hi - lo)
+        return [line for line, ok in zip(self.lines, keep) if ok]
+
+    def text(self, template: frozenset[int] = frozenset()) -> str:
+        return "\n".join(self.chosen([(lo, hi) for key, lo, hi in self.spans if key in template]))
+
+    def _walk(self, page: str, host: str | None) -> None:
+        stack: list[list] = []  # tag, first line, hashed parts, dropped, region opened, listed
         now: list[str] = []
-        depth = 0 if opening is not None else 1
-        for t in tokens:
-            if isinstance(t, str):
-                if depth:
-                    now.append(t)
-                continue
-            if t is opening:
-                depth += 1
-            elif t is closing:
-                depth -= 1
+        skip = 0
+        open_regions = [0, 0, 0]
+        at, end = 0, len(page)
+        site = f"{host}\x00" if host is not None else None
+
+        def flush() -> None:
             if now:
                 line = " ".join("".join(now).split())
                 if line:
-                    lines.append(line)
-                now = []
-        if now and (line := " ".join("".join(now).split())):
-            lines.append(line)
-        return "\n".join(lines)
-    return ""
+                    self.lines.append(line)
+                    self.regions.append(ARTICLE if open_regions[ARTICLE] else MAIN if open_regions[MAIN] else OUTSIDE)
+                now.clear()
+
+        def text(raw: str) -> None:
+            if not raw:
+                return
+            value = entities.unescape(raw) if "&" in raw else raw
+            if stack:
+                stack[-1][2].append(value)
+            if not skip:
+                now.append(value)
+
+        def close() -> None:
+            nonlocal skip
+            tag, first, parts, dropped, region, listed = stack.pop()
+            block = tag in BLOCK
+            if block and not skip:
+                flush()
+            if region:
+                open_regions[region] -= 1
+            body = " ".join("".join(parts).split())
+            if body:
+                key = _digest(f"{site}{tag}\x00{body}")
+                if stack:
+                    stack[-1][2].append(f"\x01{key:x}\x02")
+                if block and not region and tag not in ("html", "body", "head"):
+                    inside = open_regions[ARTICLE] or open_regions[MAIN]
+                    rule = (PROSE_SHARE if inside else SHARE) if tag in PROSE else SHARE if inside else ABSOLUTE
+                    if site is not None:
+                        self.seen[key] = max(rule, self.seen.get(key, 0))
+                    if not skip and len(self.lines) > first:
+                        self.spans.append((key, first, len(self.lines)))
+                        if listed:
+                            self.spans.append((LISTED, first, len(self.lines)))
+            if dropped:
+                skip -= 1
+
+        while at < end:
+            lt = page.find("<", at)
+            if lt < 0:
+                text(page[at:])
+                break
+            m = TOKEN.match(page, lt)
+            if m is None:
+                text(page[at : lt + 1])
+                at = lt + 1
+                continue
+            if lt > at:
+                text(page[at:lt])
+            at = m.end()
+            if m.group(2) is None:
+                if m.group(0).startswith("<![CDATA["):
+                    text(m.group(0)[9:].removesuffix("]]>").replace("&", "&amp;"))
+                continue
+            tag = m.group(2).lower()
+            if m.group(1):
+                if tag in VOID:
+                    continue
+                if any(e[0] == tag for e in reversed(stack)):
+                    while stack[-1][0] != tag:
+                        close()
+                    close()
+                continue
+            if tag in CLOSES_P:
+                for depth in range(len(stack) - 1, -1, -1):
+                    if stack[depth][0] == "p":
+                        while len(stack) > depth:
+                            close()
+                        break
+                    if stack[depth][0] in ("button", "td", "th", "caption", "object") or (stack[depth][0] in BLOCK):
+                        break
+            elif tag in SIBLINGS:
+                peers, fence = SIBLINGS[tag]
+                for depth in range(len(stack) - 1, -1, -1):
+                    if stack[depth][0] in fence:
+                        break
+                    if stack[depth][0] in peers:
+                        while len(stack) > depth:
+                            close()
+                        break
+            if tag in VOID:
+                if not skip:
+                    if tag == "hr":
+                        flush()
+                    else:
+                        now.append(" ")
+                if stack:
+                    stack[-1][2].append(" ")
+                continue
+            attributes = _attributes(m.group(3)) if m.group(3) and not m.group(3).isspace() else {}
+            dropped, listed = _unwanted(tag, attributes, bool(open_regions[ARTICLE] or open_regions[MAIN]))
+            region = OUTSIDE
+            if not skip and not dropped:
+                region = ARTICLE if tag == "article" else MAIN if tag == "main" or attributes.get("role", "").lower() == "main" else OUTSIDE
+            if not skip and (region or tag in BLOCK):
+                flush()
+            if dropped:
+                skip += 1
+            if region:
+                self.best = max(self.best, region)
+                open_regions[region] += 1
+            stack.append([tag, len(self.lines), [], dropped, region, listed])
+            if tag in RAW:
+                stop = re.compile(f"</{tag}(?=[\\s/>])", re.I).search(page, at)
+                at = stop.start() if stop else end
+        while stack:
+            close()
+        flush()
 
 
 def host(url: Column) -> Column:
@@ -227,59 +261,130 @@ def host(url: Column) -> Column:
     return F.nullif(F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
-def site_templates(pages: DataFrame, least_pages: int = 5, least_share: float = 0.2) -> DataFrame:
-    """(host, hash) of subtrees on at least ``least_pages`` pages and ``least_share`` of the pages of their host."""
+SPAN_TYPE = pa.list_(pa.struct([("key", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32())]))
+SEEN_TYPE = pa.list_(pa.struct([("key", pa.int64()), ("rule", pa.int8())]))
+ELEMENTS = "array<struct<key:long,rule:tinyint>>"
+SPANS = "array<struct<key:long,lo:int,hi:int>>"
+
+
+def parsed(pages: DataFrame) -> DataFrame:
+    """kept (the columns but html, as a struct), site, context, lines, regions, best, spans and seen of each page.
+
+    The only parse: counting reads ``site``, ``context`` and ``seen``, deleting the others.
+    """
+    keep = [F.col(f"`{c}`") for c in pages.columns if c != "html"]
+    base = pages.select(F.struct(*keep).alias("kept"), host(F.col("url")).alias("host"), F.col("html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [pa.int64(), pa.int64(), pa.list_(pa.string()), pa.binary(), pa.int8(), SPAN_TYPE, SEEN_TYPE]
+        names = ["kept", "site", "context", "lines", "regions", "best", "spans", "seen"]
         for batch in batches:
-            names, found = [], []
-            hosts = batch.column(0).to_pylist()
-            for i, page in enumerate(batch.column(1).to_pylist()):
-                seen: dict[int, None] = {}
-                walk(page or "", seen=seen)
-                names += [hosts[i]] * len(seen)
-                found += seen
-                if len(found) > 200_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(found, pa.int64())], names=["host", "hash"])
-                    names, found = [], []
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(found, pa.int64())], names=["host", "hash"])
-
-    hosted = pages.select(host(F.col("url")).alias("host"), "html").filter("host is not null")
-    number = hosted.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    counted = hosted.mapInArrow(run, "host string, hash long").groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_pages)
-    return counted.join(number, "host").filter(F.col("n") >= F.col("pages") * least_share).select("host", "hash")
+            lo, size, rows = 0, 0, []
+            hosts = batch.column(1).to_pylist()
+            for i, page in enumerate(batch.column(2)):
+                p = Page(page.as_py() or "", hosts[i])
+                site = _digest(hosts[i]) if hosts[i] is not None else None
+                rows.append((site, p.context, p.lines, bytes(p.regions), p.best, [{"key": k, "lo": a, "hi": b} for k, a, b in p.spans], [{"key": k, "rule": r} for k, r in p.seen.items()]))
+                size += sum(map(len, p.lines))
+                if size > 8 << 20 or i + 1 == len(batch):
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, i + 1 - lo), *(pa.array(c, t) for c, t in zip(zip(*rows), types))], names=names)
+                    lo, size, rows = i + 1, 0, []
+
+    out = T.StructType([base.schema["kept"]])
+    for name, kind in (("site", "long"), ("context", "long"), ("lines", "array<string>"), ("regions", "binary"), ("best", "tinyint"), ("spans", SPANS), ("seen", ELEMENTS)):
+        out = out.add(T.StructField(name, T.DataType.fromDDL(kind)))
+    return base.mapInArrow(run, out)
+
+
+def site_templates(parsed_pages: DataFrame, least_pages: int = 5, least_share: float = 0.2, prose_share: float = 0.6) -> DataFrame:
+    """key of the subtrees that recur on their host; the key of a subtree holds its host."""
+    found = parsed_pages.filter("site is not null").select("site", "context", F.explode("seen").alias("e")).select("site", "context", "e.key", "e.rule")
+    each = found.groupBy("key", "context").agg(F.max("rule").alias("rule"), F.min("site").alias("site"))
+    counted = each.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("rule").alias("rule"), F.min("site").alias("site")).filter(F.col("n") >= least_pages)
+    share = F.when(F.col("rule") == ABSOLUTE, F.lit(0.0)).when(F.col("rule") == SHARE, F.lit(least_share)).otherwise(F.lit(prose_share))
+    return counted.join(site_sizes(parsed_pages), "site").filter(F.col("n") >= F.col("contexts") * share).select("key")
+
+
+def site_sizes(parsed_pages: DataFrame) -> DataFrame:
+    """site and the number of its different contexts."""
+    return parsed_pages.filter("site is not null").select("site", "context").distinct().groupBy("site").agg(F.count(F.lit(1)).alias("contexts"))
 
 
 BROADCAST_ROWS = 1 << 18
 
 
-def main_text(pages: DataFrame, least_pages: int = 5, least_share: float = 0.2) -> DataFrame:
+def _flags(spans: pa.ListArray, wanted: np.ndarray) -> np.ndarray:
+    """Which of the flattened spans have a key of the sorted array ``wanted``."""
+    keys = spans.flatten().field("key").to_numpy(zero_copy_only=False)
+    if not len(wanted):
+        return np.zeros(len(keys), dtype=bool)
+    return wanted[np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)] == keys
+
+
+def main_text(pages: DataFrame, least_pages: int = 5, least_share: float = 0.2, prose_share: float = 0.6, countable: int = 20, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``pages`` with html replaced by text and n_chars (existing columns of these names are replaced).
 
     Null and empty html give an empty text; a page whose url has no host has no template.  Broken mark-up is read as
     browsers do where that is simple: open elements end with their parent, comments and raw elements at the end of the
-    page.  Repeated rows are pages of their own.
+    page.  Repeated rows are pages of their own but count once; long pages are read whole.  Hosts with fewer than
+    ``countable`` different pages use the class words for what recurs.  Template keys are broadcast up to
+    ``broadcast_rows`` of them and joined beyond.
     """
     base = pages.drop("text", "n_chars")
-    templates = materialise(site_templates(base, least_pages, least_share), "templates")
-    grouped = templates.groupBy(F.col("host").alias("__host")).agg(F.collect_list("hash").alias("__template"))  # some least_share**-1 times the elements of a page at most
-    small = templates.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    hosted = base.withColumn("__at", host(F.col("url")))
-    joined = hosted.join(F.broadcast(grouped) if small else grouped, F.col("__at") == F.col("__host"), "left").drop("__at", "__host")  # broadcast at most BROADCAST_ROWS hashes
-    keep = [c for c in base.columns if c != "html"]
+    table = materialise(parsed(base), "parsed")
+    templates = materialise(site_templates(table, least_pages, least_share, prose_share), "templates")
+    listed = materialise(site_sizes(table).filter(F.col("contexts") >= countable).select("site"), "sites")
+    keys = _bounded(templates, "key", broadcast_rows)
+    sites = _bounded(listed, "site", broadcast_rows)
+    if keys is None:
+        table = _marked(table, templates)
+    else:
+        table = table.withColumn("template", F.lit(None).cast("array<long>"))
+    if sites is None:
+        known = listed.select(F.col("site").alias("big"))
+        table = table.join(known, F.col("site") == F.col("big"), "left").withColumn("counted", F.col("big").isNotNull()).drop("big")
+    else:
+        table = table.withColumn("counted", F.lit(None).cast("boolean"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple = (None, frozenset())
         for batch in batches:
-            names = batch.schema.names
-            lists = batch.column(names.index("__template"))
+            col = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+            spans = col["spans"]
+            flat = spans.flatten()
+            key, lo, hi = (flat.field(f).to_numpy(zero_copy_only=False) for f in ("key", "lo", "hi"))
+            ptr = np.concatenate([[0], np.cumsum(spans.value_lengths().to_numpy(zero_copy_only=False))])
+            gone = _flags(spans, keys) if keys is not None else np.zeros(len(key), dtype=bool)
+            site = col["site"].to_pylist()
             texts = []
-            for i, page in enumerate(batch.column(names.index("html")).to_pylist()):
-                own = lists[i].values.to_numpy().tobytes() if lists[i].is_valid else b""
-                if own != last[0]:
-                    last = (own, frozenset(lists[i].as_py() or ()))
-                texts.append(blocks(walk(page or "", last[1])))
-            cols = [batch.column(names.index(c)) for c in keep]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[*keep, "text", "n_chars"])
-
-    return joined.mapInArrow(run, widened(base.select(*[f"`{c}`" for c in keep]).schema, ("text", "string"), ("n_chars", "long")))
+            for i, (lines, regions, best) in enumerate(zip(col["lines"].to_pylist(), col["regions"].to_pylist(), col["best"].to_pylist())):
+                own = slice(ptr[i], ptr[i + 1])
+                hit = gone[own] if keys is not None else np.isin(key[own], np.array(col["template"][i].as_py() or [], dtype=np.int64))
+                if sites is None:
+                    counts = col["counted"][i].as_py()
+                else:
+                    counts = site[i] is not None and len(sites) > 0 and sites[min(np.searchsorted(sites, site[i]), len(sites) - 1)] == site[i]
+                if not counts:
+                    hit = hit | (key[own] == LISTED)
+                keep = np.frombuffer(regions, dtype=np.uint8) >= best
+                for a, b in zip(lo[own][hit], hi[own][hit]):
+                    keep[a:b] = False
+                texts.append("\n".join([line for line, ok in zip(lines, keep) if ok]))
+            yield pa.RecordBatch.from_arrays([col["kept"], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["kept", "text", "n_chars"])
+
+    out = T.StructType([table.schema["kept"]]).add("text", "string").add("n_chars", "long")
+    table = table.select("kept", "site", "lines", "regions", "best", "spans", "template", "counted")
+    return table.mapInArrow(run, out).select("kept.*", "text", "n_chars")
+
+
+def _bounded(table: DataFrame, column: str, most: int) -> np.ndarray | None:
+    """The sorted values of a table of at most ``most`` rows, else None."""
+    got = table.limit(most + 1).toPandas()[column].to_numpy(dtype=np.int64)  # at most most + 1 rows
+    return np.sort(got) if len(got) <= most else None
+
+
+def _marked(table: DataFrame, templates: DataFrame) -> DataFrame:
+    """``table`` with the template keys of each page, by joins alone."""
+    rows = materialise(table.withColumn("row", F.monotonically_increasing_id()), "rows")
+    each = rows.select("row", F.explode("spans.key").alias("key")).distinct()
+    hits = each.join(templates, "key").groupBy("row").agg(F.collect_list("key").alias("template"))  # of one page
+    return rows.join(hits, "row", "left").drop("row")

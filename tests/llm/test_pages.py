@@ -38,8 +38,8 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>v
 <!-- ad --><div class="ad">buy</div><article><h1>Head &amp; line</h1><p><b>One  <i>two</i><br>three.<br><p>Four&nbsp;five</p><div class="share-box">share</div></article><footer>&copy; foot</footer>"""
 
 
-def text(page, template=frozenset()):
-    return html.blocks(html.walk(page, template))
+def text(page, small_host=True):
+    return html.Page(page).text(frozenset([html.LISTED]) if small_host else frozenset())
 
 
 def test_main_text_of_a_page():
@@ -52,13 +52,69 @@ def test_main_text_of_a_page():
     assert text('<p title=it\'s>a</p><p title="x > y">b</p>') == "a\nb"
 
 
-def test_site_template(spark):
-    rows = [(i, f"https://H.example/{i}", f"<div><p>Menu one two</p></div><div><p>Own text {i}</p></div>", "t") for i in range(8)]
+def site(host, n, rng, article=True):
+    """Pages of one host: menu, newsletter and notice recur, teasers rotate, prose and comments differ."""
+    for i in range(n):
+        own = [" ".join(rng.choice(["ka", "lo", "mi", "ter", "un", "vo"]) + str(rng.randint(0, 99)) for _ in range(rng.randint(20, 60))) for _ in range(3)]
+        prose = "".join(f"<p>{x}</p>" for x in own)
+        inner = f'<h1>Title {i}</h1>{prose}<div>Follow {host}</div><p>Join the {host} list today</p>'
+        body = f"<article>{inner}</article>" if article else f"<div>{inner}</div>"
+        page = f"<html><body><div>Menu of {host}</div><table><tr><td>Head {host}</table>{body}<div><p>Teaser {i % 3} of {host}</p></div><div class='comments'><p>Comment {i}</p></div></body></html>"
+        yield f"https://{host.upper()}:80/{i}", page, "\n".join([f"Title {i}", *own])
+
+
+@pytest.fixture(scope="module")
+def sites(spark):
+    rng = random.Random(8)
+    rows = [(h, *r) for h, n, article in (("a.org", 40, True), ("b.org", 30, False), ("c.org", 25, True)) for r in site(h, n, rng, article)]
+    rows = [(i, url, page, want) for i, (_, url, page, want) in enumerate(rows)]
+    return rows, spark.createDataFrame([(i, u, h, "x", 1) for i, u, h, _ in rows], "page_id long, url string, html string, kept string, site int").repartition(4)
+
+
+def test_templates_carry_the_result(sites):
+    rows, df = sites
+    got = {r["page_id"]: r["text"] for r in html.main_text(df).collect()}
+    assert got == {i: want for i, _, _, want in rows}
+    off = {r["page_id"]: r["text"] for r in html.main_text(df, least_pages=10**9).collect()}
+    assert sum(off[i] != got[i] for i in got) == len(got)
+    joined = html.main_text(df, broadcast_rows=0)
+    assert joined.columns == ["page_id", "url", "kept", "site", "text", "n_chars"]
+    assert {r["page_id"]: r["text"] for r in joined.collect()} == got
+
+
+def test_counts_equal_brute_force(sites, spark):
+    rows, df = sites
+    keys, sizes = {}, {}
+    for _, url, page, _ in rows + rows[:30]:
+        host = url[8:].split(":")[0].lower()
+        p = html.Page(page, host)
+        sizes.setdefault(host, set()).add(p.context)
+        for key, rule in p.seen.items():
+            keys.setdefault((host, key), [set(), rule])[0].add(p.context)
+    share = {html.ABSOLUTE: 0, html.SHARE: 0.2, html.PROSE_SHARE: 0.6}
+    want = {k for (h, k), (c, rule) in keys.items() if len(c) >= 5 and len(c) >= share[rule] * len(sizes[h])}
+    table = html.parsed(df.union(df.filter("page_id < 30")))
+    assert {r["key"] for r in html.site_templates(table).collect()} == want and len(want) >= 12
+
+
+def test_copies_of_a_page_count_once(spark):
+    article = "<article><h1>One</h1><p>Own words here</p><div>An aside of it</div></article>"
+    rows = [(i, f"http://h/{i}", f"<div>menu {i}</div>{article}") for i in range(50)] + [(90 + i, f"http://h/x{i}", f"<article><p>Other words {i}</p></article>") for i in range(6)]
+    got = {r["page_id"]: r["text"] for r in html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[7] == "One\nOwn words here\nAn aside of it" and got[92] == "Other words 2"
+
+
+def test_odd_pages(spark):
+    rows = [(i, f"https://H.example/{i}", f"<div><p>Menu one two</p></div><div><p>Own text {i} is longer</p></div>", "t") for i in range(8)]
     rows += [(50 + i, f"https://h.example/a{i}", f"<article><p>Quoted passage</p><p>Own {i}</p><div>Read more here</div></article>", "t") for i in range(8)]
-    rows += [(90, None, "<div>Menu one two</div>", "t"), (91, "http://other/", "<div><p>Menu one two</p></div>", "t"), (92, "x", None, "t")]
+    rows += [(90, None, "<div>Menu one two</div>", "t"), (91, "http://other/", "<div><p>Menu one two</p></div>", "t"), (92, "x", None, "t"), (93, None, "", None), (None, "y", "<p>null id</p>", "t")]
+    rows += [(3, "https://H.example/3", rows[3][2], "t"), (95, "http://long/", "<article>" + "<p>word &amp; word</p>" * 60_000 + "</article>", "t")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
-    got = {r["page_id"]: (r["text"], r["n_chars"]) for r in html.main_text(df).collect()}
-    assert got[3] == ("Own text 3", 10) and got[52][0] == "Quoted passage\nOwn 2" and got[90][0] == got[91][0] == "Menu one two" and got[92] == ("", 0)
+    out = html.main_text(df).collect()
+    got = {r["page_id"]: (r["text"], r["n_chars"]) for r in out}
+    assert len(out) == len(rows)
+    assert got[3][0] == "Own text 3 is longer" and got[52][0] == "Quoted passage\nOwn 2" and got[90][0] == got[91][0] == "Menu one two" and got[92] == got[93] == ("", 0)
+    assert got[None] == ("null id", 7) and got[95][0] == "\n".join(["word & word"] * 60_000)
     assert html.main_text(df.limit(0)).count() == 0
 
 
