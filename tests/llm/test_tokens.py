@@ -107,17 +107,58 @@ def test_plan_places_every_piece_once(seed):
     rows, seen = [], {}
     for p in plan.itertuples():
         for rank in range(p.lo, p.hi):
-            k = rank - p.lo
-            rows.append({"sequence_id": p.base + k // p.per_bin, "offset": p.offset + (k % p.per_bin) * p.length, "length": p.length})
+            rows.append({"sequence_id": p.base + rank - p.lo, "offset": p.offset, "length": p.length})
             assert (p.length, rank) not in seen
             seen[p.length, rank] = 1
     assert len(seen) == sum(counts.values()) and all((length, n - 1) in seen for length, n in counts.items())
     assert check_packing(rows, capacity) <= best_fit([n for n, k in counts.items() for _ in range(k)], capacity)
 
 
+@pytest.mark.parametrize("name", ["sf0.01", "sf0.1"])
+def test_plan_of_the_test_documents(name):
+    """The one plan, with what the exact complements close, against best fit and the least possible number."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    path = f"/root/testdata/{name}/documents.parquet"
+    if not glob.glob(path):
+        pytest.skip("no test data")
+    lengths = []
+    encode = bpe.Encoder(bpe.Vocabulary(PATH))
+    for batch in pq.ParquetFile(path).iter_batches(batch_size=500, columns=["text"]):
+        for _, _, _, ptr in encode.blocks(batch.column(0)):
+            for n in (np.diff(ptr) + 1).tolist():
+                lengths += [2048] * ((n - 1) // 2048) + [(n - 1) % 2048 + 1]
+    counts = {n: lengths.count(n) for n in set(lengths)}
+    plan = packing.Plan(counts, 2048)
+    assert plan.sequences <= best_fit(lengths, 2048) and plan.sequences - sum(lengths) / 2048 < 2
+    rows = {}
+    for length, lo, hi, base, offset in plan.rows:
+        for i in range(hi - lo):
+            rows.setdefault(base + i, []).append(length)
+    assert len(rows) == plan.sequences and sum(sum(r) == 2048 for r in rows.values()) == sum(plan.closed.values())
+    assert plan.closed[2] > 0.02 * plan.sequences and plan.closed[3] > 0.05 * plan.sequences
+
+
+def test_pair_sums_follow_the_counts():
+    rng = random.Random(5)
+    left = np.zeros(41, dtype=np.int64)
+    for _ in range(25):
+        left[rng.randint(1, 40)] = rng.randint(1, 3)
+    sums = packing.Sums(left, 40)
+    while left.any():
+        for total in range(41):
+            pairs = [(a, total - a) for a in range(1, 41) if a <= total and a >= total - a > 0 and left[a] >= 1 + (2 * a == total) and left[total - a]]
+            assert sums.number[total] == len(pairs) and sums.pair(total) == (min(pairs) if pairs else None)
+        length = int(rng.choice(np.flatnonzero(left)))
+        sums.take(length, rng.randint(1, int(left[length])))
+
+
 def test_pack_keeps_columns_and_refuses_bad_lengths(spark):
-    df = spark.createDataFrame([(1, 5, "a"), (1, 5, "a"), (2, 3, None)], "id int, length int, offset string")
+    df = spark.createDataFrame([(1, 5, "a", 7, "k"), (1, 5, "a", 7, "k"), (2, 3, None, 8, None)], "id int, length int, offset string, rank int, kept string")
     rows = packing.pack(df, "length", 8).collect()
-    assert len(rows) == 3 and check_packing(rows, 8) == 2 and set(rows[0].asDict()) == {"id", "length", "offset", "sequence_id"}
+    assert len(rows) == 3 and check_packing(rows, 8) == 2 and set(rows[0].asDict()) == {"id", "length", "rank", "kept", "offset", "sequence_id"}
+    assert sorted(r["rank"] for r in rows) == [7, 7, 8]
     with pytest.raises(ValueError):
         packing.pack(spark.createDataFrame([(9,)], "length int"), "length", 8)
