@@ -1,6 +1,7 @@
 """WARC archives, HTML extraction and nearest neighbours."""
 
 import hashlib
+import os
 import random
 
 import numpy as np
@@ -152,6 +153,64 @@ def test_nearest_neighbours(spark):
     assert all(abs(s - truth[q] @ truth[v]) < 1e-9 for q, found in got.items() for _, v, s in found)
 
 
+def recall(spark, rows, **limits):
+    """Share of the exact 20 nearest found, over all queries."""
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
+    got = {}
+    for r in ann.search(df, **limits).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    want = exact(rows, 20, 20)
+    assert got.keys() == want.keys()
+    return sum(len(got[q] & {v for v, _ in w}) for q, w in want.items()) / sum(len(w) for w in want.values())
+
+
+def test_recall_on_the_test_vectors(spark):
+    path = "/root/testdata/sf0.1/embeddings.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no test data")
+    got = [(r["vec_id"], [float(x) for x in r["embedding"]]) for r in spark.read.parquet(path).collect()]
+    assert recall(spark, got) >= 0.9
+
+
+def test_recall_on_clusters(spark):
+    rng = np.random.default_rng(2)
+    heart = rng.standard_normal((60, 48)) * 3
+    rows = [(i, (heart[i % 60] + rng.standard_normal(48)).astype(np.float32).tolist()) for i in range(3600)]
+    assert recall(spark, rows) >= 0.9
+    assert recall(spark, rows, part_rows=20, block_queries=50) >= 0.9
+    sample = np.array([v for _, v in rows])
+    centres = ann.kmeans(sample, 60)
+    assert ann.probes_needed(sample, centres, 20, 0.96) <= 20
+
+
+def test_candidates_are_abandoned():
+    """The tests decide the work: most candidates go before the last block, and how many depends on the confidence."""
+    rng = np.random.default_rng(3)
+    rows = rng.standard_normal((4000, 64))
+    queries = rng.standard_normal((200, 64))
+    ids, turn = np.arange(4000), ann.rotation(64)
+    score = queries @ rows.T
+    floor = -np.sort(-score, axis=1)[:, 40]  # what a first pass over a part of the vectors gives
+    work = {}
+    for confidence in (1.0, 2.0, 4.0, np.inf):
+        part = ann.Part(rows, ids, 20, turn, confidence)
+        qi, found, exact_score = part.scan(queries, np.full(200, -1), floor)
+        truth = [set(np.argsort(-score[i])[:20].tolist()) for i in range(200)]
+        hit = sum(f in truth[i] for i, f in zip(qi, found)) / 4000
+        assert np.allclose(exact_score, score[qi, found]) and part.pairs == 800_000
+        work[confidence] = (part.early / part.pairs, part.dims / part.pairs, hit)
+    assert work[2.0][0] > 0.75 and work[2.0][1] < 45 and work[2.0][2] > 0.95
+    assert work[1.0][1] < work[2.0][1] < work[4.0][1] < work[np.inf][1] == 64
+    assert work[np.inf][2] == 1 and work[np.inf][0] == 0
+
+
+def test_repeated_query_ids(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [2.0, 1.0]), (2, [1.0, 3.0]), (2, [1.0, 3.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in ann.search(df).orderBy("query_id", "rank").collect()]
+    assert got == [(0, 1, 2, 3.0), (0, 2, 2, 3.0), (0, 3, 1, 1.0)]
+
+
 def test_few_vectors(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 1.0]), (20, [0.0, 1.0]), (3, [1.0])], "vec_id long, embedding array<double>")
     got = [(r["query_id"], r["rank"], r["vec_id"]) for r in ann.search(df).orderBy("query_id", "rank").collect()]
