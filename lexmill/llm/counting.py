@@ -23,12 +23,17 @@ def bucket_bits(documents: DataFrame, bytes_per_key: float = 6, keys: int = 1 <<
     return max(least, math.ceil(math.log2(size / bytes_per_key / keys + 1)))
 
 
+def split_rows(sorted_keys: np.ndarray, bits: int, **arrays: np.ndarray) -> pa.RecordBatch:
+    """One row for each bucket of leading bits: the bucket, and the bytes of its stretch of each array."""
+    bucket = (sorted_keys >> _U(64 - bits)).astype(np.int64)
+    edges = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]])
+    blob = lambda a: pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer((edges * a.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(a))])
+    return pa.RecordBatch.from_arrays([pa.array(bucket[edges[:-1]]), *map(blob, arrays.values())], names=["bucket", *arrays])
+
+
 def packed(keys: np.ndarray, counts: np.ndarray, bits: int) -> pa.RecordBatch:
     """Rows of PACKED for sorted distinct ``keys``."""
-    bucket = (keys >> _U(64 - bits)).astype(np.int64)
-    edges = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(keys)]])
-    blob = lambda a: pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer((edges * a.itemsize).astype(np.int32)), pa.py_buffer(a)])
-    return pa.RecordBatch.from_arrays([pa.array(bucket[edges[:-1]]), blob(keys.astype("<u8")), blob(counts.astype("<u4"))], names=["bucket", "keys", "counts"])
+    return split_rows(keys, bits, keys=keys.astype("<u8"), counts=counts.astype("<u4"))
 
 
 def summed(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:

@@ -1,22 +1,29 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
-Unigram counts are exact.  Bigram counts of the ``vocabulary`` most frequent tokens are quantised to levels, level q
-standing for 2**(q-1) .. 2**q - 1, and an n-gram of level q is entered q times, under (n-gram, 1) .. (n-gram, q).  A
-probe asks for level 1, 2, ... until one is missing.  The filter has a bounded size, is built in blocks by the executors
-and broadcast; where a corpus has more bigrams than it can hold at ``bits_per_entry``, those of the lowest levels are
-left to the unigram part.  Probabilities are interpolated:
+Unigram counts are exact.  The counts of *all* bigrams are quantised to levels, level q standing for 2**(q-1) .. 2**q - 1,
+and a bigram of level q is entered q times, under (bigram, 1) .. (bigram, q).  A probe asks for level 1, 2, ... until one
+is missing.  The filter is a row of blocks by the leading bits of the key, each as large as its entries need, so it grows
+with the corpus and no count is left out.  With q(v, w) the middle of the level of a bigram, S(v) the sum of q(v, w) over
+the followers of v and T(v) their number, probabilities are interpolated, and sum to 1 over all followers:
 
-    P(w | v) = (1 - l_v) * c(v, w) / c(v) + l_v * (c(w) + 0.5) / (N + 0.5 * (V + 1)),   l_v = T(v) / (T(v) + c(v))
+    P(w | v) = q(v, w) / (T(v) + S(v)) + T(v) / (T(v) + S(v)) * (c(w) + 0.5) / (N + 0.5 * (V + 1))
 
-with T(v) the number of bigrams of v in the filter.  Where v is outside the vocabulary, l_v is 1.  Every text starts
-after, and ends with, the end token.  The ``hot`` most frequent tokens are broadcast with their counts; counts of other
-tokens come back by a join on the token, as sums for each text.
+Every text starts after, and ends with, the end token.  After a token that was never followed P is the unigram part.
+
+The ``hot`` most frequent tokens and their c, T and S are broadcast; the filter is, as long as it has at most
+``filter_bits`` bits.  Beyond that, and for tokens that aren't hot, each block of texts asks for its distinct keys: the
+requests of a bucket are streamed past its filter block and token table, and the answers go back to the block.  The
+scores are the same either way.
+
+The keys of a bigram (v, w) lie in the bucket of v, so that T(v) and S(v) come from one bucket; the bigrams of the
+``spread`` most frequent v are dealt over all buckets, and their sums are added up.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -24,13 +31,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm import text as tx
-from lexmill.llm.counting import PACKED, bucket_bits, packed, summed
-from lexmill.llm.scratch import materialise, release
+from lexmill.llm.counting import PACKED, bucket_bits, packed, split_rows, summed
+from lexmill.llm.scratch import discard, materialise, release
 
 _U = np.uint64
 END = _U(0x0123456789ABCDEF)
 HASHES = 3
-LEVELS = 32
+LEVELS = 40
+BLOCK_BYTES = 1 << 20
+HELD_TOKENS = 1 << 21
 
 
 def is_held_out(key: Column, folds: int = 5, held: int = 1) -> Column:
@@ -72,39 +81,35 @@ class HotTokens:
         return out
 
 
-class Filter:
-    """Blocked log-frequency Bloom filter; block = leading bits of the key."""
+def _places(keys: np.ndarray, level: int, k: int, size: np.ndarray | int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return tx.mix(keys + _U(level * HASHES + k) * _U(0x9E3779B97F4A7C15)) % np.asarray(size, dtype=_U)
 
-    def __init__(self, block_bits: int, size_bits: int, data: np.ndarray | None = None):
-        self.block_bits, self.size_bits = block_bits, size_bits  # size: of one block
-        self.data = data
 
-    def _at(self, keys: np.ndarray, level: int, k: int) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            return tx.mix(keys + _U(level * HASHES + k) * _U(0x9E3779B97F4A7C15)) >> _U(64 - self.size_bits)
-
-    def block(self, keys: np.ndarray, levels: np.ndarray) -> np.ndarray:
-        """Bytes of the block that holds ``keys`` (all of one block)."""
-        bits = np.zeros(1 << self.size_bits, dtype=bool)
-        for q in range(1, int(levels.max(initial=0)) + 1):
-            own = keys[levels >= q]
-            for k in range(HASHES):
-                bits[self._at(own, q, k).astype(np.int64)] = True
-        return np.packbits(bits, bitorder="little")
-
-    def level(self, keys: np.ndarray) -> np.ndarray:
-        """Level of each key by repeated probes; 0 if absent (an absent one may pass by chance)."""
-        out = np.zeros(len(keys), dtype=np.int64)
-        live = np.arange(len(keys))
-        base = (keys >> _U(64 - self.block_bits)) << _U(self.size_bits) if self.block_bits else np.zeros(len(keys), dtype=_U)
-        for q in range(1, LEVELS + 1):
-            for k in range(HASHES):
-                place = self._at(keys[live], q, k) | base[live]
-                live = live[(self.data[(place >> _U(3)).astype(np.int64)] >> (place & _U(7)).astype(np.uint8)) & 1 > 0]
-            out[live] = q
-            if not len(live):
-                break
-        return out
+def filter_block(keys: np.ndarray, levels: np.ndarray, bits_per_entry: int) -> tuple[np.ndarray, int]:
+    """Bytes of the block that holds ``keys`` at ``levels``, and its size in bits."""
+    size = max(64, int(levels.sum()) * bits_per_entry)
+    bits = np.zeros(size, dtype=bool)
+    for q in range(1, int(levels.max(initial=0)) + 1):
+        own = keys[levels >= q]
+        for k in range(HASHES):
+            bits[_places(own, q, k, size).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little"), size
+
+
+def probed(keys: np.ndarray, data: np.ndarray, size: np.ndarray | int, base: np.ndarray | int = 0) -> np.ndarray:
+    """Level of each key by repeated probes; 0 if absent (an absent one may pass by chance)."""
+    out = np.zeros(len(keys), dtype=np.uint8)
+    live = np.arange(len(keys))
+    size, base = np.broadcast_to(np.asarray(size, dtype=_U), len(keys)), np.broadcast_to(np.asarray(base, dtype=_U), len(keys))
+    for q in range(1, LEVELS + 1):
+        for k in range(HASHES):
+            at = _places(keys[live], q, k, size[live]) + base[live]
+            live = live[(data[(at >> _U(3)).astype(np.int64)] >> (at & _U(7)).astype(np.uint8)) & 1 > 0]
+        out[live] = q
+        if not len(live):
+            break
+    return out
 
 
 def level_of(counts: np.ndarray) -> np.ndarray:
@@ -127,205 +132,342 @@ def _tokens(words: tx.Words) -> tuple[np.ndarray, np.ndarray]:
     return out, ptr
 
 
-def _counted(batches: Iterator[pa.RecordBatch], keys_of, bits: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    held, n = [], 0
-    for batch in batches:
-        for _, _, _, _, words in tx.word_blocks(batch.column(0), lower=True):
-            keys = keys_of(*_tokens(words))
-            held.append(keys)
-            n += len(keys)
-            if n >= most:
-                yield packed(*np.unique(np.concatenate(held), return_counts=True), bits)
-                held, n = [], 0
-    if n:
-        yield packed(*np.unique(np.concatenate(held), return_counts=True), bits)
-
-
 def unigram_counts(texts: DataFrame, bits: int) -> DataFrame:
-    """(token, c): exact counts of all tokens, the end token included."""
+    """bucket, tokens, counts, n and v: exact counts of all tokens, the end token included, packed by bucket."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _counted(batches, lambda tokens, ptr: tokens, bits)
+        held, n = [], 0
+        for batch in batches:
+            for _, _, _, _, words in tx.word_blocks(batch.column(0), lower=True):
+                held.append(_tokens(words)[0])
+                n += len(held[-1])
+                if n >= HELD_TOKENS:
+                    yield packed(*np.unique(np.concatenate(held), return_counts=True), bits)
+                    held, n = [], 0
+        if n:
+            yield packed(*np.unique(np.concatenate(held), return_counts=True), bits)
 
     def reduce(key: tuple, table: pa.Table) -> pa.Table:
         keys, counts = summed(table)
-        return pa.table({"token": pa.array(keys.astype(np.int64)), "c": pa.array(counts)})
+        return pa.table({"bucket": pa.array([key[0].as_py()], pa.int64()), "tokens": [keys.tobytes()], "counts": [counts.astype("<i8").tobytes()], "n": [int(counts.sum())], "v": [len(keys)]})
 
-    return texts.select("text").mapInArrow(emit, PACKED).groupBy("bucket").applyInArrow(reduce, "token long, c long")
+    return texts.select("text").mapInArrow(emit, PACKED).groupBy("bucket").applyInArrow(reduce, "bucket long, tokens binary, counts binary, n long, v long")
 
 
+@dataclass
 class Model:
-    """What workers need to score: hot tokens and counts, totals, back-off weights and the filter."""
-
-    def __init__(self, hot: np.ndarray, counts: np.ndarray, total: int, distinct: int, vocabulary: int, bits: int):
-        self.hot, self.counts, self.total, self.distinct = hot, counts, total, distinct
-        self.vocabulary = min(vocabulary, len(hot))
-        self.code_bits = max(1, int(vocabulary - 1).bit_length())
-        self.bits = bits
-        self.denominator = total + 0.5 * (distinct + 1)
-        self.filter: Filter | None = None
-        self.backoff = np.ones(max(self.vocabulary, 1))
-        self._table: HotTokens | None = None
+    """What every worker holds: the hot tokens with their facts, totals and, up to a bound, the filter."""
+
+    hot: np.ndarray
+    c: np.ndarray
+    total: int
+    distinct: int
+    spread: int
+    bits: int
+    followers: np.ndarray = field(default_factory=lambda: np.zeros(0))  # T of the hot tokens
+    stored: np.ndarray = field(default_factory=lambda: np.zeros(0))  # S of the hot tokens
+    data: np.ndarray | None = None  # the whole filter, or None where its blocks are asked
+    sizes: np.ndarray | None = None
+    bases: np.ndarray | None = None
+    _table: HotTokens | None = None
 
     def __getstate__(self):
         return {**self.__dict__, "_table": None}
 
+    @property
+    def denominator(self) -> float:
+        return self.total + 0.5 * (self.distinct + 1)
+
     def places(self, tokens: np.ndarray) -> np.ndarray:
         if self._table is None:
             self._table = HotTokens(self.hot)
         return self._table.find(tokens)
 
-    def pairs(self, tokens: np.ndarray, ptr: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Place of each token and of the one before it (the end token at the start), and which pairs lie in the vocabulary."""
-        place = self.places(tokens)
-        before = np.empty_like(place)
-        before[1:] = place[:-1]
-        before[ptr[:-1]] = self.places(np.array([END], dtype=_U))[0]
-        return place, before, (place >= 0) & (place < self.vocabulary) & (before >= 0) & (before < self.vocabulary)
-
-    def keys(self, before: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """Keys of pairs: the pair's code below, leading bits of its hash above."""
-        code = (before.astype(_U) << _U(self.code_bits)) | place.astype(_U)
-        return ((tx.mix(code) >> _U(64 - self.bits)) << _U(64 - self.bits)) | code
-
-    def scored(self, tokens: np.ndarray, ptr: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Per row: sums of log10(c + 0.5) and log10 P over hot tokens, and the number of those; and which tokens aren't hot.
-
-        The second sum also holds, for other tokens, what doesn't depend on their counts.
-        """
-        place, before, inside = self.pairs(tokens, ptr)
-        hot = place >= 0
-        counts = self.counts if len(self.counts) else np.zeros(1, dtype=np.int64)
-        share = np.where(hot, counts[place] + 0.5, 1.0)
-        known = (before >= 0) & (before < self.vocabulary)
-        back = np.where(known, self.backoff[np.where(known, before, 0)], 1.0)
-        p = back * share / self.denominator
-        at = np.flatnonzero(inside)
-        if self.filter is not None and len(at):
-            v = before[at]
-            seen = count_of(self.filter.level(self.keys(v, place[at])))
-            p[at] += (1 - back[at]) * np.minimum(seen / counts[v], 1.0)
-        first = ptr[:-1]
-        return np.add.reduceat(np.log10(share), first), np.add.reduceat(np.log10(p), first), np.add.reduceat(hot.astype(np.int64), first), ~hot
-
-
-def fit(training: DataFrame, hot: int = 1 << 17, vocabulary: int = 1 << 15, filter_bits: int = 1 << 28, bits_per_entry: int = 10) -> tuple[Model, DataFrame]:
-    """(model, unigram table).  ``filter_bits`` bounds the filter and ``hot`` the token list; both are broadcast."""
-    spark = training.sparkSession
-    bits = bucket_bits(training)
-    unigrams = materialise(unigram_counts(training, bits), "unigrams")
-    sums = unigrams.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    end = F.col("token") == int(END.astype(np.int64))
-    rows = unigrams.orderBy(end.desc(), F.desc("c"), "token").limit(hot).toPandas()  # at most `hot` rows, the end token first
-    model = Model(rows["token"].to_numpy(dtype=np.int64).astype(_U), rows["c"].to_numpy(dtype=np.int64), int(sums["n"] or 0), int(sums["v"] or 0), vocabulary, bits)
-    release(spark)
-    shared = spark.sparkContext.broadcast(model)
+    def before(self, values: np.ndarray, ptr: np.ndarray, first) -> np.ndarray:
+        """The value before each, ``first`` at the start of each row."""
+        out = np.empty_like(values)
+        out[1:] = values[:-1]
+        out[ptr[:-1]] = first
+        return out
+
+    def keys(self, before: np.ndarray, tokens: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Keys of bigrams; ``place`` is that of the first token.  The leading bits are the bucket."""
+        with np.errstate(over="ignore"):
+            pair = tx.mix(tx.mix(before) + tokens * _U(0xD6E8FEB86659FD93))
+        lead = np.where((place >= 0) & (place < self.spread), pair, before)
+        high = _U(64 - self.bits)
+        return ((lead >> high) << high) | (pair >> _U(self.bits))
+
+    def probe(self, keys: np.ndarray) -> np.ndarray:
+        at = (keys >> _U(64 - self.bits)).astype(np.int64)
+        return probed(keys, self.data, self.sizes[at], self.bases[at])
+
+
+def bigram_blocks(training: DataFrame, shared, bits: int, bits_per_entry: int) -> DataFrame:
+    """Per bucket: the filter block, its size, T and S of the tokens at home there, and sums of those that are hot."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
+        held, n = [], 0
 
-        def keys_of(tokens: np.ndarray, ptr: np.ndarray) -> np.ndarray:
-            place, before, inside = m.pairs(tokens, ptr)
-            return m.keys(before[inside], place[inside])
+        def flush() -> pa.RecordBatch:
+            keys, before = (np.concatenate(h) for h in zip(*held))
+            keys, at, counts = np.unique(keys, return_index=True, return_counts=True)
+            return split_rows(keys, bits, keys=keys, before=before[at], counts=counts.astype("<u4"))
 
-        return _counted(batches, keys_of, bits)
+        for batch in batches:
+            for _, _, _, _, words in tx.word_blocks(batch.column(0), lower=True):
+                tokens, ptr = _tokens(words)
+                before = m.before(tokens, ptr, END)
+                held.append((m.keys(before, tokens, m.places(before)), before))
+                n += len(tokens)
+                if n >= HELD_TOKENS:
+                    yield flush()
+                    held, n = [], 0
+        if n:
+            yield flush()
 
     def reduce(key: tuple, table: pa.Table) -> pa.Table:
-        keys, counts = summed(table)
-        levels = level_of(counts)
-        number = np.bincount(levels, minlength=LEVELS + 1)
-        return pa.table({"bucket": pa.array([key[0].as_py()], pa.int64()), "keys": pa.array([keys.astype("<u8").tobytes()], pa.binary()), "levels": pa.array([levels.astype(np.uint8).tobytes()], pa.binary()), "number": pa.array([number.tolist()], pa.list_(pa.int64()))})
+        m = shared.value
+        keys, before, counts = (np.concatenate([np.frombuffer(b.as_buffer(), dtype=t) for b in table.column(n).combine_chunks()]) for n, t in (("keys", "<u8"), ("before", "<u8"), ("counts", "<u4")))
+        order = np.argsort(keys, kind="stable")
+        keys, before, counts = keys[order], before[order], counts[order].astype(np.int64)
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        keys, before, levels = keys[first], before[first], level_of(np.add.reduceat(counts, first))
+        data, size = filter_block(keys, levels, bits_per_entry)
+        v, at = np.unique(before, return_inverse=True)
+        t, s = np.bincount(at), np.bincount(at, weights=count_of(levels))
+        place = m.places(v)
+        hot, home = place >= 0, (place < 0) | (place >= m.spread)
+        sums = pa.array([[{"place": p, "t": a, "s": b} for p, a, b in zip(place[hot].tolist(), t[hot].tolist(), s[hot].tolist())]], pa.list_(pa.struct([("place", pa.int64()), ("t", pa.int64()), ("s", pa.float64())])))
+        return pa.table({"bucket": pa.array([key[0].as_py()], pa.int64()), "block": [data.tobytes()], "size": [size], "v": [v[home].tobytes()], "t": [t[home].astype("<i8").tobytes()], "s": [s[home].astype("<f8").tobytes()], "hot": sums})
+
+    rows = training.select("text").mapInArrow(emit, "bucket long, keys binary, before binary, counts binary")
+    return rows.groupBy("bucket").applyInArrow(reduce, "bucket long, block binary, size long, v binary, t binary, s binary, hot array<struct<place:long,t:long,s:double>>")
+
+
+def fit(training: DataFrame, hot: int = 1 << 17, filter_bits: int = 1 << 28, bits_per_entry: int = 10, spread: int = 1 << 12) -> tuple[Model, DataFrame]:
+    """(model, store).  What is broadcast is bounded by ``hot`` and ``filter_bits``; the store holds everything by bucket."""
+    spark = training.sparkSession
+    bits = bucket_bits(training)
+    unigrams = materialise(unigram_counts(training, bits), "unigrams")
+    sums = unigrams.agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
 
-    pairs = training.select("text").mapInArrow(emit, PACKED).groupBy("bucket").applyInArrow(reduce, "bucket long, keys binary, levels binary, number array<long>")
-    pairs = materialise(pairs, "bigrams")
-    release(spark)
-    number = np.zeros(LEVELS + 1, dtype=np.int64)
-    for r in pairs.select(F.posexplode("number").alias("q", "n")).groupBy("q").agg(F.sum("n").alias("n")).collect():  # one row a level
-        number[r["q"]] = r["n"]
-    entries = np.cumsum((number * np.arange(LEVELS + 1))[::-1])[::-1]  # from this level up
-    least = next((q for q in range(1, LEVELS + 1) if entries[q] * bits_per_entry <= filter_bits), LEVELS)
-    want = max(int(entries[least] * bits_per_entry), 1 << (bits + 3))
-    size_bits = min((want - 1).bit_length(), filter_bits.bit_length() - 1) - bits
-    if size_bits < 3:
-        raise ValueError("filter_bits is too small for this number of buckets")
-    model.filter = Filter(bits, size_bits)
-    _load_filter(model, pairs, least)
-    return model, unigrams
-
-
-def _load_filter(model: Model, pairs: DataFrame, least: int) -> None:
-    """Build the filter's blocks and the back-off weights from bigrams of at least level ``least``."""
-    shape, code_bits = model.filter, model.code_bits
-
-    def open_row(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
-        keys = np.frombuffer(batch.column(1)[i].as_buffer(), dtype="<u8")
-        levels = np.frombuffer(batch.column(2)[i].as_buffer(), dtype=np.uint8)
-        return keys[levels >= least], levels[levels >= least]
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            blocks = [shape.block(*open_row(batch, i)).tobytes() for i in range(len(batch))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(blocks, pa.binary())], names=["bucket", "block"])
+            for tokens, counts in zip(batch.column(0), batch.column(1)):
+                tokens, counts = np.frombuffer(tokens.as_buffer(), dtype="<i8"), np.frombuffer(counts.as_buffer(), dtype="<i8")
+                top = np.argsort(-counts, kind="stable")[:hot]  # no more of one bucket can be among the first of all
+                end = np.flatnonzero(tokens == END.astype(np.int64))
+                top = np.unique(np.concatenate([top, end]))
+                yield pa.RecordBatch.from_arrays([pa.array(tokens[top]), pa.array(counts[top])], names=["token", "c"])
 
-    def followers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << code_bits, dtype=np.int64)
-        for batch in batches:
-            for i in range(len(batch)):
-                code = open_row(batch, i)[0] & _U((1 << 2 * code_bits) - 1)
-                total += np.bincount((code >> _U(code_bits)).astype(np.int64), minlength=len(total))
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["v", "n"])
-
-    narrow = pairs.select("bucket", "keys", "levels")
-    size = 1 << (shape.size_bits - 3)
-    data = np.zeros(size << shape.block_bits, dtype=np.uint8)
-    for r in narrow.mapInArrow(build, "bucket long, block binary").toLocalIterator():  # filter_bits in all
-        data[r["bucket"] * size : (r["bucket"] + 1) * size] = np.frombuffer(r["block"], dtype=np.uint8)
-    shape.data = data
-    of = np.zeros(max(model.vocabulary, 1), dtype=np.int64)
-    for r in narrow.mapInArrow(followers, "v long, n long").groupBy("v").agg(F.sum("n").alias("n")).collect():  # at most `vocabulary` rows
-        of[r["v"]] = r["n"]
-    counts = model.counts[: len(of)] if len(model.counts) else np.zeros(1, dtype=np.int64)
-    model.backoff = np.where(of > 0, of / np.maximum(of + counts, 1), 1.0)
-
-
-def score(documents: DataFrame, model: Model, unigrams: DataFrame) -> DataFrame:
+    end = F.col("token") == int(END.astype(np.int64))
+    rows = unigrams.select("tokens", "counts").mapInArrow(opened, "token long, c long").orderBy(end.desc(), F.desc("c"), "token").limit(max(hot, 1)).toPandas()  # at most `hot` rows, the end token first
+    model = Model(rows["token"].to_numpy(dtype=np.int64).astype(_U), rows["c"].to_numpy(dtype=np.int64), int(sums["n"] or 0), int(sums["v"] or 0), spread, bits)
+    release(spark)
+    shared = spark.sparkContext.broadcast(model)  # at most `hot` tokens
+    blocks = materialise(bigram_blocks(training, shared, bits, bits_per_entry), "bigrams")
+    release(spark)
+    model.followers, model.stored = np.zeros(len(rows)), np.zeros(len(rows))
+    for r in blocks.select(F.explode("hot").alias("h")).groupBy("h.place").agg(F.sum("h.t").alias("t"), F.sum("h.s").alias("s")).collect():  # at most `hot` rows
+        model.followers[r["place"]], model.stored[r["place"]] = r["t"], r["s"]
+    size = blocks.agg(F.sum((F.col("size") + 7).bitwiseAND(F.lit(~7)))).first()[0] or 0
+    if size <= filter_bits:
+        model.sizes, model.bases = np.full(1 << bits, 64, dtype=_U), np.zeros(1 << bits, dtype=_U)
+        model.data, at = np.zeros(size // 8 + 8, dtype=np.uint8), 8  # the first eight bytes serve empty buckets
+        for r in blocks.select("bucket", "block", "size").toLocalIterator():  # filter_bits in all
+            model.sizes[r["bucket"]], model.bases[r["bucket"]] = r["size"], at * 8
+            model.data[at : at + len(r["block"])] = np.frombuffer(r["block"], dtype=np.uint8)
+            at += len(r["block"])
+    store = unigrams.select("bucket", "tokens", "counts").join(blocks.drop("hot"), "bucket", "left" if model.data is not None else "full")
+    if model.data is not None:
+        store = store.withColumn("block", F.lit(None).cast("binary"))
+    store = materialise(store, "store")
+    discard(unigrams)
+    discard(blocks)
+    return model, store
+
+
+class _Facts:
+    """c, T and S of the tokens of a block and the levels of its bigrams, in part from answers."""
+
+    def __init__(self, model: Model, parts: list[tuple[np.ndarray, np.ndarray]]):
+        self.model = model
+        self.parts = []
+        for tokens, ptr in parts:
+            place = model.places(tokens)
+            before = model.before(tokens, ptr, END)
+            at = model.before(place, ptr, model.places(np.array([END], dtype=_U))[0])
+            self.parts.append((tokens, ptr, place, before, at, model.keys(before, tokens, at)))
+        held = lambda arrays: np.unique(np.concatenate(arrays)) if arrays else np.zeros(0, dtype=_U)
+        self.rare = held([tokens[place < 0] for tokens, _, place, _, _, _ in self.parts])
+        self.asked = held([keys for *_, keys in self.parts]) if model.data is None else np.zeros(0, dtype=_U)
+
+    def scores(self, rare: np.ndarray, levels: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """Per part and row: number of tokens, of known ones, base score and score."""
+        m = self.model
+
+        def of(facts: np.ndarray, tokens: np.ndarray, place: np.ndarray, column: int) -> np.ndarray:
+            out = facts[np.maximum(place, 0)].astype(np.float64) if len(facts) else np.zeros(len(place))
+            other = place < 0
+            out[other] = rare[np.searchsorted(self.rare, tokens[other]), column]
+            return out
+
+        for tokens, ptr, place, before, at, keys in self.parts:
+            c = of(m.c, tokens, place, 0)
+            t, s = of(m.followers, before, at, 1), of(m.stored, before, at, 2)
+            level = m.probe(keys) if m.data is not None else levels[np.searchsorted(self.asked, keys)]
+            one = (c + 0.5) / m.denominator
+            rest = t + s
+            known = rest > 0
+            p = np.where(known, (count_of(level.astype(np.int64)) + t * one) / np.where(known, rest, 1), one)
+            p = np.where(p > 0, p, one)
+            first = ptr[:-1]
+            yield np.diff(ptr), np.add.reduceat((c > 0).astype(np.int64), first), np.add.reduceat(np.log10(one), first), np.add.reduceat(np.log10(p), first)
+
+
+def _scored(facts: _Facts, doc_ids: pa.Array, rare: np.ndarray, levels: np.ndarray) -> pa.RecordBatch:
+    columns = [np.concatenate(c) for c in zip(*facts.scores(rare, levels))]
+    return pa.RecordBatch.from_arrays([doc_ids, *(pa.array(c) for c in columns)], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+
+def _parts(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    return [_tokens(words) for _, _, _, _, words in tx.word_blocks(texts, lower=True)]
+
+
+NO_FACTS, NO_LEVELS = np.zeros((0, 3)), np.zeros(0, dtype=np.uint8)
+
+
+def score(documents: DataFrame, model: Model, store: DataFrame) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row (null text: empty)."""
     spark = documents.sparkSession
     shared = spark.sparkContext.broadcast(model)  # bounded by hot and filter_bits
+    key = documents.schema["doc_id"].dataType.simpleString()
+    out = f"doc_id {key}, n_tokens long, n_known long, base_score double, score double"
+    if model.data is not None and model.distinct <= len(model.hot):  # nothing to ask for but tokens that nobody knows
+        def direct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for lo, hi in tx.row_blocks(tx.string_buffer(batch.column(1))[1], BLOCK_BYTES):
+                    facts = _Facts(shared.value, _parts(batch.column(1).slice(lo, hi - lo)))
+                    yield _scored(facts, batch.column(0).slice(lo, hi - lo), np.zeros((len(facts.rare), 3)), NO_LEVELS)
+
+        rows = documents.select("doc_id", "text").mapInArrow(direct, out)
+    else:
+        rows = _asked(documents, shared, store, key, out)
+    return rows.withColumn("train_tokens", F.lit(model.total).cast("long")).select("doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _asked(documents: DataFrame, shared, store: DataFrame, key: str, out: str) -> DataFrame:
+    """Scores by requests of blocks of texts to the buckets of the store."""
+
+    def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi in tx.row_blocks(tx.string_buffer(batch.column(1))[1], BLOCK_BYTES):
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), c.slice(lo, hi - lo)) for c in (batch.column(0), batch.column(1).fill_null(""))], names=["ids", "texts"])
+
+    blocks = documents.select("doc_id", "text").mapInArrow(block, f"ids array<{key}>, texts array<string>")
+    blocks = materialise(blocks.withColumn("at", F.monotonically_increasing_id()), "blocks")
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            for lo, hi, _, _, words in tx.word_blocks(batch.column(1), lower=True):
-                tokens, ptr = _tokens(words)
-                base, full, known, other = m.scored(tokens, ptr)
-                rest = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.add.reduceat(other.astype(np.int64), ptr[:-1]))]).astype(np.int32)), pa.array(tokens[other].astype(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(np.diff(ptr)), pa.array(known), pa.array(base), pa.array(full), rest], names=["doc_id", "n_tokens", "known", "base", "full", "rest"])
+            for i in range(len(batch)):
+                facts = _Facts(m, _parts(batch.column(0)[i].values))
+                for kind, keys in ((0, facts.rare), (1, facts.asked)):
+                    if len(keys):
+                        rows = split_rows(keys, m.bits, keys=keys)
+                        yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(np.full(len(rows), kind, dtype=np.int8)), pa.array(np.full(len(rows), batch.column(1)[i].as_py()))], names=["bucket", "keys", "kind", "at"])
+
+    asks = blocks.select("texts", "at").mapInArrow(ask, "bucket long, keys binary, kind tinyint, at long")
+    held = store.select("bucket", "tokens", "counts", "v", "t", "s", "block", "size", F.lit(False).alias("asks"))
+    both = held.unionByName(asks.withColumn("asks", F.lit(True)), allowMissingColumns=True)
+    both = both.repartition("bucket").sortWithinPartitions("bucket", "asks")
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, bucket = None, None
+        for batch in batches:
+            col = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+            got: dict[str, list] = {n: [] for n in ("at", "kind", "bucket", "values")}
+            for i in range(len(batch)):
+                if bucket != col["bucket"][i].as_py():
+                    bucket, now = col["bucket"][i].as_py(), _Bucket()
+                if not col["asks"][i].as_py():
+                    now = _Bucket({n: col[n][i] for n in ("tokens", "counts", "v", "t", "s", "block", "size")})
+                    continue
+                keys = np.frombuffer(col["keys"][i].as_buffer(), dtype="<u8")
+                kind = col["kind"][i].as_py()
+                got["values"].append((now.facts(keys) if kind == 0 else now.levels(keys)).tobytes())
+                for n in ("at", "kind", "bucket"):
+                    got[n].append(col[n][i].as_py())
+            yield pa.RecordBatch.from_arrays([pa.array(got["at"], pa.int64()), pa.array(got["kind"], pa.int8()), pa.array(got["bucket"], pa.int64()), pa.array(got["values"], pa.binary())], names=list(got))
+
+    answers = both.mapInArrow(answer, "at long, kind tinyint, bucket long, values binary")
+    whole = blocks.withColumn("kind", F.lit(-1).cast("tinyint")).unionByName(answers, allowMissingColumns=True)
+    whole = whole.repartition("at").sortWithinPartitions("at", "kind", "bucket")  # values in the order of the keys
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = texts = None
+        held: tuple[list, list] = ([], [])
+
+        def done() -> pa.RecordBatch:
+            facts = _Facts(shared.value, _parts(texts))
+            rare = np.concatenate(held[0]).reshape(-1, 3) if held[0] else NO_FACTS
+            return _scored(facts, ids, rare, np.concatenate(held[1]) if held[1] else NO_LEVELS)
 
-    key = documents.schema["doc_id"].dataType.simpleString()
-    rows = documents.select("doc_id", "text").mapInArrow(run, f"doc_id {key}, n_tokens long, known long, base double, full double, rest array<long>")
-    rows = materialise(rows.withColumn("row", F.monotonically_increasing_id()), "scored")
-    rest = rows.select("row", F.explode("rest").alias("token")).join(unigrams, "token", "left")
-    rest = rest.groupBy("row").agg(F.sum(F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("more"), F.count("c").alias("seen"))
-    more = F.coalesce("more", F.lit(0.0))
-    return rows.join(rest, "row", "left").select(
-        "doc_id",
-        "n_tokens",
-        (F.col("known") + F.coalesce("seen", F.lit(0))).alias("n_known"),
-        F.lit(model.total).cast("long").alias("train_tokens"),
-        (F.col("base") + more - F.col("n_tokens") * math.log10(model.denominator)).alias("base_score"),
-        (F.col("full") + more).alias("score"),
-    )
+        for batch in batches:
+            col = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+            for i, kind in enumerate(col["kind"].to_pylist()):
+                if kind < 0:
+                    if ids is not None:
+                        yield done()
+                    ids, texts, held = col["ids"][i].values, col["texts"][i].values, ([], [])
+                elif kind == 0:
+                    held[0].append(bucket_facts(col["values"][i]))
+                else:
+                    held[1].append(np.frombuffer(col["values"][i].as_buffer(), dtype=np.uint8))
+        if ids is not None:
+            yield done()
+
+    return whole.select("at", "kind", "bucket", "ids", "texts", "values").mapInArrow(finish, out)
+
+
+def bucket_facts(value) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), dtype="<f8")
+
+
+class _Bucket:
+    """Token table and filter block of one bucket; without a row nothing is known."""
+
+    def __init__(self, row: dict | None = None):
+        row = row or {}
+        read = lambda n, t: np.frombuffer(row[n].as_buffer(), dtype=t) if n in row and row[n].is_valid else np.zeros(0, dtype=t)
+        self.tokens, self.counts = read("tokens", "<u8"), read("counts", "<i8")
+        self.v, self.t, self.s = read("v", "<u8"), read("t", "<i8"), read("s", "<f8")
+        self.block, self.size = read("block", np.uint8), row["size"].as_py() if "size" in row else None
+
+    def facts(self, keys: np.ndarray) -> np.ndarray:
+        """c, T and S of each token."""
+        out = np.zeros((len(keys), 3))
+        for column, (names, values) in enumerate(((self.tokens, self.counts), (self.v, self.t), (self.v, self.s))):
+            if len(names):
+                at = np.minimum(np.searchsorted(names, keys), len(names) - 1)
+                out[:, column] = np.where(names[at] == keys, values[at], 0)
+        return out
+
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        return probed(keys, self.block, self.size) if len(self.block) else np.zeros(len(keys), dtype=np.uint8)
 
 
 def score_documents(documents: DataFrame, folds: int = 5, held: int = 1, **limits: int) -> DataFrame:
     """Score all rows with a model learnt from the rows outside the held-out fold.
 
-    Fields of documents other than doc_id and text play no part.  A null doc_id counts as empty text for the fold.  With
-    nothing to learn from, every token has the probability of the unseen one.
+    Fields of documents other than doc_id and text play no part.  A null doc_id counts as empty text for the fold; null
+    and empty texts are the end token alone.  Repeated rows are rows of their own, in training too; texts are read whole,
+    however long.  With nothing to learn from, every token has the probability of the unseen one; an empty table gives
+    an empty table.
     """
     keyed = documents.select("doc_id", "text").withColumn("held_out", is_held_out(F.col("doc_id"), folds, held))
-    model, unigrams = fit(keyed.filter("not held_out"), **limits)
-    out = score(keyed, model, unigrams)
+    model, store = fit(keyed.filter("not held_out"), **limits)
+    out = score(keyed, model, store)
     return out.select("doc_id", is_held_out(F.col("doc_id"), folds, held).alias("held_out"), *out.columns[1:])

@@ -66,48 +66,67 @@ def test_language_id(spark):
 
 
 def test_filter_levels():
-    f = lm.Filter(4, 14)
     rng = np.random.default_rng(0)
-    keys = np.sort(rng.integers(0, 2**63, 6000, dtype=np.int64).astype(np.uint64) * np.uint64(2))
+    keys = np.unique(rng.integers(0, 2**63, 6000, dtype=np.int64).astype(np.uint64) * np.uint64(2))
     levels = rng.integers(1, 6, len(keys))
-    f.data = np.concatenate([f.block(keys[keys >> np.uint64(60) == b], levels[keys >> np.uint64(60) == b]) for b in range(16)])
-    got = f.level(keys)
+    data, size = lm.filter_block(keys, levels, 10)
+    assert size == levels.sum() * 10
+    got = lm.probed(keys, data, size)
     assert (got >= levels).all() and (got == levels).mean() > 0.9
-    other = f.level(rng.integers(0, 2**63, 5000, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1))
-    assert (other == 0).mean() > 0.9
+    other = lm.probed(rng.integers(0, 2**63, 5000, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1), data, size)
+    assert (other == 0).mean() > 0.95
     assert lm.level_of(np.array([1, 2, 3, 4, 7, 8])).tolist() == [1, 2, 2, 3, 3, 4] and lm.count_of(np.array([0, 1, 2])).tolist() == [0.0, 1.0, 2.5]
 
 
-@pytest.mark.parametrize("hot", [1 << 17, 40])
-def test_scores(documents, corpus, hot):
-    low = lambda t: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
-    words = [(d, SPLIT.findall(low(t)) + ["</s>"]) for d, t in corpus]
-    held = lambda d: zlib.crc32(str(d).encode()) % 5 == 1
+def low(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def brute_model(words):
+    """Unigram probability, bigram probability and counts of token lists by plain loops."""
     c, pairs, follow = Counter(), Counter(), {}
-    for d, w in words:
-        if not held(d):
-            c.update(w)
-            pairs.update(zip(["</s>", *w], w))
+    for w in words:
+        c.update(w)
+        pairs.update(zip(["</s>", *w], w))
     for v, w in pairs:
-        follow.setdefault(v, set()).add(w)
+        follow.setdefault(v, []).append(w)
     n, v = sum(c.values()), len(c)
-    p1 = lambda w: (c[w] + 0.5) / (n + 0.5 * (v + 1))
+    middle = lambda k: 1.5 * 2 ** (k.bit_length() - 1) - 0.5 if k else 0.0
+    one = lambda w: (c[w] + 0.5) / (n + 0.5 * (v + 1))
+    stored = {a: sum(middle(pairs[a, b]) for b in bs) for a, bs in follow.items()}
 
-    def p(a, b):
+    def two(a, b):
         if a not in follow:
-            return p1(b)
-        back = len(follow[a]) / (len(follow[a]) + c[a])
-        seen = pairs[a, b]
-        q = seen.bit_length()
-        return back * p1(b) + (1 - back) * min((1.5 * 2 ** (q - 1) - 0.5 if q else 0) / c[a], 1)
-
-    got = sorted((r["doc_id"], r["n_tokens"], r["base_score"], r["n_known"], r["train_tokens"], r["held_out"], r["score"]) for r in lm.score_documents(documents, hot=hot, vocabulary=min(hot, 1 << 15)).collect())
-    want = sorted((d, len(w), sum(math.log10(p1(x)) for x in w), sum(c[x] > 0 for x in w), n, held(d), sum(math.log10(p(a, b)) for a, b in zip(["</s>", *w], w))) for d, w in words)
+            return one(b)
+        t, s = len(follow[a]), stored[a]
+        return middle(pairs[a, b]) / (t + s) + t / (t + s) * one(b)
+
+    return one, two, c, n
+
+
+def test_model_is_a_distribution(corpus):
+    one, two, c, _ = brute_model([SPLIT.findall(low(t)) + ["</s>"] for _, t in corpus[:40]])
+    for v in ["</s>", *list(c)[:30], "never seen"]:
+        assert math.isclose(sum(two(v, w) for w in [*c, "the unseen"]), 1, rel_tol=1e-9)
+
+
+@pytest.mark.parametrize("limits", [{}, {"hot": 40}, {"hot": 40, "spread": 5, "filter_bits": 64}, {"filter_bits": 64}, {"hot": 300, "filter_bits": 64, "bits_per_entry": 40}], ids=str)
+def test_scores(documents, corpus, limits):
+    words = [(d, SPLIT.findall(low(t)) + ["</s>"]) for d, t in corpus]
+    held = lambda d: zlib.crc32(str(d).encode()) % 5 == 1
+    one, two, c, n = brute_model([w for d, w in words if not held(d)])
+    got = sorted((r["doc_id"], r["n_tokens"], r["base_score"], r["n_known"], r["train_tokens"], r["held_out"], r["score"]) for r in lm.score_documents(documents, **limits).collect())
+    want = sorted((d, len(w), sum(math.log10(one(x)) for x in w), sum(c[x] > 0 for x in w), n, held(d), sum(math.log10(two(a, b)) for a, b in zip(["</s>", *w], w))) for d, w in words)
     for g, w in zip(got, want, strict=True):
         assert g[:2] + g[3:6] == w[:2] + w[3:6] and math.isclose(g[2], w[2], rel_tol=1e-9)
-        if hot > 40:  # the whole vocabulary is hot: only chance hits of the filter differ
-            assert math.isclose(g[6], w[6], rel_tol=0.03)
-        assert g[6] < 0
+        # Only chance hits of the filter differ: they raise a probability, by less where entries have more bits.
+        assert w[6] - 1e-6 <= g[6] <= w[6] * (1 - (0.005 if "bits_per_entry" in limits else 0.04)) + (2 if g[1] < 20 else 0)
+
+
+def test_scores_do_not_depend_on_limits(documents):
+    scores = [sorted((r["doc_id"], r["score"]) for r in lm.score_documents(documents, **limits).collect()) for limits in ({}, {"hot": 40}, {"hot": 40, "filter_bits": 64})]
+    for other in scores[1:]:
+        assert all(a[0] == b[0] and math.isclose(a[1], b[1], rel_tol=1e-2) for a, b in zip(scores[0], other, strict=True))
 
 
 def test_scores_of_nothing(nothing, spark):
