@@ -13,7 +13,7 @@ Every text starts after, and ends with, the end token.  After a token that was n
 The ``hot`` most frequent tokens and their c, T and S are broadcast; the filter is, as long as it has at most
 ``filter_bits`` bits.  Beyond that, and for tokens that aren't hot, each block of texts asks for its distinct keys: the
 requests of a bucket are streamed past its filter block and token table, and the answers go back to the block.  The
-scores are the same either way.
+scores are the same whether the filter is broadcast or asked.
 
 The keys of a bigram (v, w) lie in the bucket of v, so that T(v) and S(v) come from one bucket; the bigrams of the
 ``spread`` most frequent v are dealt over all buckets, and their sums are added up.
