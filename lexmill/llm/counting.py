@@ -26,6 +26,8 @@ def bucket_bits(documents: DataFrame, bytes_per_key: float = 6, keys: int = 1 <<
 def split_rows(sorted_keys: np.ndarray, bits: int, **arrays: np.ndarray) -> pa.RecordBatch:
     """One row for each bucket of leading bits: the bucket, and the bytes of its stretch of each array."""
     bucket = (sorted_keys >> _U(64 - bits)).astype(np.int64)
+    if not len(bucket):
+        return pa.RecordBatch.from_arrays([pa.array([], pa.int64()), *(pa.array([], pa.binary()) for _ in arrays)], names=["bucket", *arrays])
     edges = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]])
     blob = lambda a: pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer((edges * a.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(a))])
     return pa.RecordBatch.from_arrays([pa.array(bucket[edges[:-1]]), *map(blob, arrays.values())], names=["bucket", *arrays])

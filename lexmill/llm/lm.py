@@ -16,7 +16,9 @@ requests of a bucket are streamed past its filter block and token table, and the
 scores are the same whether the filter is broadcast or asked.
 
 The keys of a bigram (v, w) lie in the bucket of v, so that T(v) and S(v) come from one bucket; the bigrams of the
-``spread`` most frequent v are dealt over all buckets, and their sums are added up.
+``spread`` most frequent v are dealt over all buckets, and their sums are added up.  A key is its bucket and 32 more bits
+of the bigram's hash: of the million keys of a bucket, a chance of 1 in 4,000 for an absent one to meet another, well below
+that of the filter.
 """
 
 from __future__ import annotations
@@ -191,12 +193,12 @@ class Model:
         return out
 
     def keys(self, before: np.ndarray, tokens: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """Keys of bigrams; ``place`` is that of the first token.  The leading bits are the bucket."""
+        """Keys of bigrams; ``place`` is that of the first token.  The leading bits are the bucket, the last 32 the rest."""
         with np.errstate(over="ignore"):
-            pair = tx.mix(tx.mix(before) + tokens * _U(0xD6E8FEB86659FD93))
+            pair = tx.mix(before + tokens * _U(0xD6E8FEB86659FD93))
         lead = np.where((place >= 0) & (place < self.spread), pair, before)
         high = _U(64 - self.bits)
-        return ((lead >> high) << high) | (pair >> _U(self.bits))
+        return ((lead >> high) << high) | (pair & _U(0xFFFFFFFF))
 
     def probe(self, keys: np.ndarray) -> np.ndarray:
         at = (keys >> _U(64 - self.bits)).astype(np.int64)
@@ -211,9 +213,27 @@ def bigram_blocks(training: DataFrame, shared, bits: int, bits_per_entry: int) -
         held, n = [], 0
 
         def flush() -> pa.RecordBatch:
+            """Per bucket: the tokens v, how many entries each has, and their keys and counts (up to 255, more in more entries)."""
             keys, before = (np.concatenate(h) for h in zip(*held))
-            keys, at, counts = np.unique(keys, return_index=True, return_counts=True)
-            return split_rows(keys, bits, keys=keys, before=before[at], counts=counts.astype("<u4"))
+            order = np.lexsort((keys, before))  # the bucket is in the key; that of most v is in v
+            keys, before = keys[order], before[order]
+            first = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (before[1:] != before[:-1])]))
+            counts = np.diff(np.append(first, len(keys)))
+            keys, before = keys[first], before[first]
+            order = np.argsort((keys >> _U(64 - bits)).astype(np.uint16 if bits <= 16 else np.uint32), kind="stable")
+            keys, before, counts = keys[order], before[order], counts[order]
+            more = (counts + 254) // 255
+            if len(counts) and more.max() > 1:
+                keys, before = np.repeat(keys, more), np.repeat(before, more)
+                last = np.cumsum(more) - 1
+                split = np.full(len(keys), 255)
+                split[last] = counts - (more - 1) * 255
+                counts = split
+            bucket = keys >> _U(64 - bits)
+            run = np.flatnonzero(np.concatenate([[True], (before[1:] != before[:-1]) | (bucket[1:] != bucket[:-1])]))
+            entries = split_rows(keys, bits, keys=keys.astype("<u4"), counts=counts.astype(np.uint8))
+            runs = split_rows(keys[run], bits, v=before[run], runs=np.diff(np.append(run, len(keys))).astype("<u4"))
+            return pa.RecordBatch.from_arrays([*entries.columns, *runs.columns[1:]], names=["bucket", "keys", "counts", "v", "runs"])
 
         for batch in batches:
             for _, _, _, _, words in tx.word_blocks(batch.column(0), lower=True):
@@ -229,11 +249,13 @@ def bigram_blocks(training: DataFrame, shared, bits: int, bits_per_entry: int) -
 
     def reduce(key: tuple, table: pa.Table) -> pa.Table:
         m = shared.value
-        keys, before, counts = (np.concatenate([np.frombuffer(b.as_buffer(), dtype=t) for b in table.column(n).combine_chunks()]) for n, t in (("keys", "<u8"), ("before", "<u8"), ("counts", "<u4")))
-        order = np.argsort(keys, kind="stable")
+        read = lambda n, t: np.concatenate([np.frombuffer(b.as_buffer(), dtype=t) for b in table.column(n).combine_chunks()])
+        keys, counts, before = read("keys", "<u4"), read("counts", np.uint8), np.repeat(read("v", "<u8"), read("runs", "<u4"))
+        order = np.lexsort((keys, before))
         keys, before, counts = keys[order], before[order], counts[order].astype(np.int64)
-        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        keys, before, levels = keys[first], before[first], level_of(np.add.reduceat(counts, first))
+        first = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (before[1:] != before[:-1])]))
+        before, levels = before[first], level_of(np.add.reduceat(counts, first))
+        keys = keys[first].astype(_U) | (_U(key[0].as_py()) << _U(64 - bits))
         data, size = filter_block(keys, levels, bits_per_entry)
         v, at = np.unique(before, return_inverse=True)
         t, s = np.bincount(at), np.bincount(at, weights=count_of(levels))
@@ -242,7 +264,7 @@ def bigram_blocks(training: DataFrame, shared, bits: int, bits_per_entry: int) -
         sums = pa.array([[{"place": p, "t": a, "s": b} for p, a, b in zip(place[hot].tolist(), t[hot].tolist(), s[hot].tolist())]], pa.list_(pa.struct([("place", pa.int64()), ("t", pa.int64()), ("s", pa.float64())])))
         return pa.table({"bucket": pa.array([key[0].as_py()], pa.int64()), "block": [data.tobytes()], "size": [size], "v": [v[home].tobytes()], "t": [t[home].astype("<i8").tobytes()], "s": [s[home].astype("<f8").tobytes()], "hot": sums})
 
-    rows = training.select("text").mapInArrow(emit, "bucket long, keys binary, before binary, counts binary")
+    rows = training.select("text").mapInArrow(emit, "bucket long, keys binary, counts binary, v binary, runs binary")
     return rows.groupBy("bucket").applyInArrow(reduce, "bucket long, block binary, size long, v binary, t binary, s binary, hot array<struct<place:long,t:long,s:double>>")
 
 
@@ -374,9 +396,9 @@ def _asked(documents: DataFrame, shared, store: DataFrame, key: str, out: str) -
         for batch in batches:
             for i in range(len(batch)):
                 facts = _Facts(m, _parts(batch.column(0)[i].values))
-                for kind, keys in ((0, facts.rare), (1, facts.asked)):
+                for kind, keys, sent in ((0, facts.rare, facts.rare), (1, facts.asked, facts.asked.astype("<u4"))):
                     if len(keys):
-                        rows = split_rows(keys, m.bits, keys=keys)
+                        rows = split_rows(keys, m.bits, keys=sent)
                         yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(np.full(len(rows), kind, dtype=np.int8)), pa.array(np.full(len(rows), batch.column(1)[i].as_py()))], names=["bucket", "keys", "kind", "at"])
 
     asks = blocks.select("texts", "at").mapInArrow(ask, "bucket long, keys binary, kind tinyint, at long")
@@ -395,9 +417,9 @@ def _asked(documents: DataFrame, shared, store: DataFrame, key: str, out: str) -
                 if not col["asks"][i].as_py():
                     now = _Bucket({n: col[n][i] for n in ("tokens", "counts", "v", "t", "s", "block", "size")})
                     continue
-                keys = np.frombuffer(col["keys"][i].as_buffer(), dtype="<u8")
                 kind = col["kind"][i].as_py()
-                got["values"].append((now.facts(keys) if kind == 0 else now.levels(keys)).tobytes())
+                keys = np.frombuffer(col["keys"][i].as_buffer(), dtype="<u4" if kind else "<u8")
+                got["values"].append((now.levels(keys.astype(_U) | (_U(bucket) << _U(64 - shared.value.bits))) if kind else now.facts(keys)).tobytes())
                 for n in ("at", "kind", "bucket"):
                     got[n].append(col[n][i].as_py())
             yield pa.RecordBatch.from_arrays([pa.array(got["at"], pa.int64()), pa.array(got["kind"], pa.int8()), pa.array(got["bucket"], pa.int64()), pa.array(got["values"], pa.binary())], names=list(got))
@@ -412,7 +434,7 @@ def _asked(documents: DataFrame, shared, store: DataFrame, key: str, out: str) -
 
         def done() -> pa.RecordBatch:
             facts = _Facts(shared.value, _parts(texts))
-            rare = np.concatenate(held[0]).reshape(-1, 3) if held[0] else NO_FACTS
+            rare = np.concatenate(held[0]).reshape(-1, 3) * (1, 1, 0.5) if held[0] else NO_FACTS
             return _scored(facts, ids, rare, np.concatenate(held[1]) if held[1] else NO_LEVELS)
 
         for batch in batches:
@@ -423,7 +445,7 @@ def _asked(documents: DataFrame, shared, store: DataFrame, key: str, out: str) -
                         yield done()
                     ids, texts, held = col["ids"][i].values, col["texts"][i].values, ([], [])
                 elif kind == 0:
-                    held[0].append(bucket_facts(col["values"][i]))
+                    held[0].append(np.frombuffer(col["values"][i].as_buffer(), dtype="<u4"))
                 else:
                     held[1].append(np.frombuffer(col["values"][i].as_buffer(), dtype=np.uint8))
         if ids is not None:
@@ -432,10 +454,6 @@ def _asked(documents: DataFrame, shared, store: DataFrame, key: str, out: str) -
     return whole.select("at", "kind", "bucket", "ids", "texts", "values").mapInArrow(finish, out)
 
 
-def bucket_facts(value) -> np.ndarray:
-    return np.frombuffer(value.as_buffer(), dtype="<f8")
-
-
 class _Bucket:
     """Token table and filter block of one bucket; without a row nothing is known."""
 
@@ -447,9 +465,9 @@ class _Bucket:
         self.block, self.size = read("block", np.uint8), row["size"].as_py() if "size" in row else None
 
     def facts(self, keys: np.ndarray) -> np.ndarray:
-        """c, T and S of each token."""
-        out = np.zeros((len(keys), 3))
-        for column, (names, values) in enumerate(((self.tokens, self.counts), (self.v, self.t), (self.v, self.s))):
+        """c, T and twice S of each token; those asked for aren't hot, so 32 bits hold them."""
+        out = np.zeros((len(keys), 3), dtype="<u4")
+        for column, (names, values) in enumerate(((self.tokens, self.counts), (self.v, self.t), (self.v, 2 * self.s))):
             if len(names):
                 at = np.minimum(np.searchsorted(names, keys), len(names) - 1)
                 out[:, column] = np.where(names[at] == keys, values[at], 0)
