@@ -1,8 +1,9 @@
 """Exact n-gram Jaccard join and its components, by token-combination prefixes.
 
 Tokens are distinct word shingles of a document; documents with equal sets are one *node*.  Document frequencies of all
-shingles are counted over all nodes, and the ``frequent_max`` most frequent of those above ``rare_max`` form the
-frequent class.  In the order "rare before frequent" a pair over the threshold either
+shingles are counted over all documents, and those above ``rare_max`` form the frequent class.  The class is held as a
+bitmap of hash cells of fixed size: a rare token in the cell of a frequent one counts as frequent everywhere, which
+changes no result, for the argument below holds for any two classes.  In the order "rare before frequent" a pair over the threshold either
 
 * shares a rare token within both prefixes -- rare tokens are indexed singly -- or
 * shares no rare token at all.  Then all rare tokens of both are mismatches, and of the mismatches a pair may have,
@@ -33,12 +34,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm import text as tx
+from lexmill.llm.counting import split_rows
 from lexmill.llm.scratch import discard, materialise, release
 from lexmill.operators.components import connected_components
 
 _U = np.uint64
 RARE_MAX = 8
-FREQUENT_MAX = 1 << 20
+CELL_BITS = 26  # of the bitmap of frequent tokens: 8 MB
+SLOT_BITS = 10
+HOT_NODES = 1024
 TOKENS_PER_BUCKET = 1 << 20
 
 
@@ -89,14 +93,15 @@ def _bucket_bits(documents: DataFrame) -> int:
     return max(8, math.ceil(math.log2(size / 6 / TOKENS_PER_BUCKET + 1)))
 
 
-def frequent_tokens(documents: DataFrame, size: int, rare_max: int = RARE_MAX, frequent_max: int = FREQUENT_MAX) -> np.ndarray:
-    """Sorted hashes (the leading bits of each) of the at most ``frequent_max`` tokens in more than ``rare_max`` documents.
+def frequent_cells(documents: DataFrame, size: int, rare_max: int = RARE_MAX, cell_bits: int = CELL_BITS) -> np.ndarray:
+    """Bitmap of the cells (leading bits of the hash) that hold a token of more than ``rare_max`` documents.
 
     Frequencies are over all documents.  Each batch sends its tokens as packed arrays, one for each bucket of leading
-    bits, and every bucket is counted with one sort.
+    bits, and every bucket is counted with one sort.  The bitmap has 2**cell_bits bits, whatever the corpus.
     """
     bits = _bucket_bits(documents)
     shift, low = _U(64 - bits), _U(32 - min(bits, 32))
+    slot_bits = min(SLOT_BITS, cell_bits - 3)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,34 +117,38 @@ def frequent_tokens(documents: DataFrame, size: int, rare_max: int = RARE_MAX, f
 
     def _packed(held: list[np.ndarray]) -> pa.RecordBatch:
         tokens = np.sort(np.concatenate(held))
-        bucket = (tokens >> shift).astype(np.int64)
-        cuts = np.flatnonzero(np.diff(bucket)) + 1
-        edges = np.concatenate([[0], cuts, [len(tokens)]])
-        rest = ((tokens << _U(bits)) >> _U(32)).astype("<u4")
-        blobs = pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer((edges * 4).astype(np.int32)), pa.py_buffer(rest)])
-        return pa.RecordBatch.from_arrays([pa.array(bucket[edges[:-1]]), blobs], names=["bucket", "blob"])
+        return split_rows(tokens, bits, blob=((tokens << _U(bits)) >> _U(32)).astype("<u4"))
 
     def count(key: tuple, table: pa.Table) -> pa.Table:
         rest = np.sort(np.concatenate([np.frombuffer(b.as_buffer(), dtype="<u4") for b in table.column("blob").combine_chunks()]))
         first = np.flatnonzero(np.concatenate([[True], rest[1:] != rest[:-1]]))
-        n = np.diff(np.append(first, len(rest)))
-        keep = n > rare_max
-        bucket = int(key[0].as_py())
-        token = (_U(bucket) << shift) | (rest[first[keep]].astype(_U) << low)
-        return pa.table({"token": pa.array(token.astype(np.int64)), "df": pa.array(n[keep].astype(np.int64))})
+        often = rest[first[np.diff(np.append(first, len(rest))) > rare_max]]
+        token = (_U(key[0].as_py()) << shift) | (often.astype(_U) << low)
+        cells = np.unique(token >> _U(64 - cell_bits))
+        rows = split_rows(cells << _U(64 - cell_bits), slot_bits, cells=cells.astype("<u4"))
+        return pa.Table.from_batches([rows]).rename_columns(["slot", "cells"])
+
+    def merge(key: tuple, table: pa.Table) -> pa.Table:
+        cells = np.concatenate([np.frombuffer(b.as_buffer(), dtype="<u4") for b in table.column("cells").combine_chunks()])
+        marks = np.zeros(1 << (cell_bits - slot_bits), dtype=bool)
+        marks[cells & np.uint32(len(marks) - 1)] = True
+        return pa.table({"slot": pa.array([key[0].as_py()], pa.int64()), "bits": [np.packbits(marks, bitorder="little").tobytes()]})
 
     blobs = documents.select("text").mapInArrow(emit, "bucket long, blob binary")
-    counted = blobs.groupBy("bucket").applyInArrow(count, "token long, df long")
-    top = counted.orderBy(F.desc("df"), "token").limit(frequent_max).toPandas()  # at most frequent_max rows
-    return np.sort(top["token"].to_numpy(dtype=np.int64).astype(_U)), bits
+    counted = blobs.groupBy("bucket").applyInArrow(count, "slot long, cells binary")
+    out = np.zeros(1 << (cell_bits - 3), dtype=np.uint8)
+    each = len(out) >> slot_bits
+    for r in counted.groupBy("slot").applyInArrow(merge, "slot long, bits binary").toLocalIterator():  # 2**cell_bits bits in all
+        out[r["slot"] * each : (r["slot"] + 1) * each] = np.frombuffer(r["bits"], dtype=np.uint8)
+    return out
 
 
 class _Prefix:
     """Index entries of a set: tokens and combinations, each with its level in the low bits."""
 
-    def __init__(self, threshold: Fraction, frequent: np.ndarray, bits: int):
+    def __init__(self, threshold: Fraction, frequent: np.ndarray):
         self.t, self.frequent = threshold, frequent
-        self.mask = ~_U(0) << _U(32 - min(bits, 32))
+        self.shift = _U(65 - len(frequent).bit_length() - 3)
         self.c = float((1 - threshold) / (1 + threshold))
 
     def level(self, room: float) -> int:
@@ -148,12 +157,8 @@ class _Prefix:
     def entries(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
         """Entries, their places among the single tokens (-1 for combinations), and g."""
         n = len(tokens)
-        if len(self.frequent):
-            own = tokens & self.mask
-            at = np.minimum(np.searchsorted(self.frequent, own), len(self.frequent) - 1)
-            common = self.frequent[at] == own
-        else:
-            common = np.zeros(n, dtype=bool)
+        cell = (tokens >> self.shift).astype(np.int64)
+        common = (self.frequent[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 > 0
         rare, often = tokens[~common], tokens[common]
         miss = n - math.ceil(self.t * n)
         g = n * self.c - len(rare)
@@ -181,15 +186,15 @@ class _Prefix:
         return whole, np.concatenate([place, np.full(len(whole) - len(place), -1, dtype=np.int32)]), g
 
 
-def index_entries(documents: DataFrame, size: int, threshold: Fraction, frequent: np.ndarray, bits: int) -> DataFrame:
+def index_entries(documents: DataFrame, size: int, threshold: Fraction, frequent: np.ndarray) -> DataFrame:
     """(entry, node, n, place, g) of each distinct set; the level of an entry is in its six low bits, 63 for single tokens.
 
     A task writes a set once, however many copies it meets; copies in other tasks repeat the same rows.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(frequent)  # at most frequent_max entries
+    shared = documents.sparkSession.sparkContext.broadcast(frequent)  # 2**CELL_BITS bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make = _Prefix(threshold, shared.value, bits)
+        make = _Prefix(threshold, shared.value)
         seen: set[int] = set()
         for batch in batches:
             held: list[tuple] = []
@@ -273,7 +278,7 @@ def _verified(pairs: DataFrame, documents: DataFrame, heads: DataFrame, size: in
     return links
 
 
-def near_duplicate_components(documents: DataFrame, size: int = 5, threshold: Fraction | str = "4/5", rare_max: int = RARE_MAX, frequent_max: int = FREQUENT_MAX) -> DataFrame:
+def near_duplicate_components(documents: DataFrame, size: int = 5, threshold: Fraction | str = "4/5", rare_max: int = RARE_MAX, cell_bits: int = CELL_BITS) -> DataFrame:
     """doc_id, n_shingles, node, component_id of every row of ``documents`` (columns doc_id and text; others play no part).
 
     Words are split at ASCII white space with A-Z lower-cased.  Two rows link if the Jaccard similarity of their shingle
@@ -285,10 +290,10 @@ def near_duplicate_components(documents: DataFrame, size: int = 5, threshold: Fr
     threshold = Fraction(threshold)
     documents = documents.select("doc_id", "text")
     rows = materialise(document_nodes(documents, size), "nodes")
-    heads = rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("head"), F.min("n_shingles").alias("n"))
-    frequent, bits = frequent_tokens(documents, size, rare_max, frequent_max)
+    heads = rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("copies"))
+    frequent = frequent_cells(documents, size, rare_max, cell_bits)
     release(documents.sparkSession)
-    entries = materialise(index_entries(documents, size, threshold, frequent, bits), "entries")
+    entries = materialise(index_entries(documents, size, threshold, frequent), "entries")
     shared = entries.groupBy("entry").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("entry")
     index = materialise(entries.join(shared, "entry").distinct(), "index")
     discard(entries)
@@ -317,8 +322,17 @@ def near_duplicate_components(documents: DataFrame, size: int = 5, threshold: Fr
     cross = _candidates(cross.select(side("x", "y").alias("a"), side("nx", "ny").alias("na"), side("px", "py").alias("pa"), side("y", "x").alias("b"), side("ny", "nx").alias("nb"), side("py", "px").alias("pb")), threshold)
     more = _verified(cross, documents, heads, size, threshold)
     final = comp if more.isEmpty() else materialise(connected_components(links.unionByName(more)), "components")
-    named = heads.join(final, "node", "left").select("node", "head", F.coalesce("component", "node").alias("component"))
+    named = heads.join(final, "node", "left").select("node", "head", "copies", F.coalesce("component", "node").alias("component"))
     low = named.groupBy("component").agg(F.min("head").alias("component_id"))
-    ids = named.join(low, "component").select("node", "component_id")
-    return rows.join(ids, "node", "left").select("doc_id", "n_shingles", "node", F.coalesce("component_id", "doc_id").alias("component_id"))
-
+    ids = materialise(named.join(low, "component").select("node", "copies", "component_id"), "ids")
+    return _with_ids(rows, ids).select("doc_id", "n_shingles", "node", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def _with_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` with the component_id of their node.  Nodes of very many rows are looked up by broadcast, not dealt by key."""
+    total = rows.count()
+    hot = ids.filter(F.col("copies") * HOT_NODES > total).select(F.col("node").alias("hot"), F.col("component_id").alias("hot_id"))  # under HOT_NODES rows
+    looked = rows.join(F.broadcast(hot), F.col("node") == F.col("hot"), "left")
+    many = looked.filter("hot is not null").select("doc_id", "n_shingles", "node", F.col("hot_id").alias("component_id"))
+    rest = looked.filter("hot is null").select("doc_id", "n_shingles", "node").join(ids.select("node", "component_id"), "node", "left")
+    return many.unionByName(rest)

@@ -68,14 +68,35 @@ def test_null_ids_and_empty_table(spark, nothing):
     assert jaccard.near_duplicate_components(nothing).count() == 0
 
 
+def bitmap(tokens, bits=20):
+    marks = np.zeros(1 << bits, dtype=bool)
+    marks[(tokens >> np.uint64(64 - bits)).astype(np.int64)] = True
+    return np.packbits(marks, bitorder="little")
+
+
+def test_frequent_cells(spark, documents, corpus):
+    df = defaultdict(int)
+    for _, text in corpus:
+        for token in set(np.concatenate([t for t in jaccard._rows(jaccard.pa.array([text or ""]), 3)]).tolist()):
+            df[token] += 1
+    for bits, rare in ((26, 2), (12, 1), (26, 10**6)):
+        want = bitmap(np.array([t for t, n in df.items() if n > rare], dtype=np.uint64), bits)
+        assert (jaccard.frequent_cells(documents, 3, rare, bits) == want).all()
+
+
+def test_hot_nodes_are_looked_up(spark):
+    rows = [(i, "one text that has very many copies") for i in range(3000)] + [(5000 + i, f"other text number {i} of all the rest") for i in range(30)]
+    got = {(r["doc_id"], r["component_id"]) for r in jaccard.near_duplicate_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, "9/10").collect()}
+    assert got == {(d, 0 if d < 3000 else d) for d, _ in rows}
+
+
 def test_index_entries_cover_pairs():
     """Every pair over the threshold shares an entry that the join looks at, for any frequent class."""
     rng = np.random.default_rng(3)
     universe = rng.integers(0, 2**63, 400, dtype=np.int64).astype(np.uint64)
     t = Fraction(4, 5)
     for trial in range(300):
-        often = np.sort(rng.choice(universe, rng.integers(0, 300), replace=False) & (~np.uint64(0) << np.uint64(24)))
-        make = jaccard._Prefix(t, often, 8)
+        make = jaccard._Prefix(t, bitmap(rng.choice(universe, rng.integers(0, 300), replace=False)))
         x = set(rng.choice(universe, rng.integers(4, 80), replace=False).tolist())
         y = set(x)
         for _ in range(rng.integers(0, 1 + len(x) // 6)):
@@ -95,8 +116,7 @@ def test_index_entries_cover_small_sets(t):
     """n frequent tokens against the same and one more, also where all of them fall into one hash class."""
     rng = np.random.default_rng(9)
     pool = np.unique(rng.integers(0, 2**63, 6000, dtype=np.int64).astype(np.uint64))
-    often = pool & (~np.uint64(0) << np.uint64(24))
-    make = jaccard._Prefix(t, often, 8)
+    make = jaccard._Prefix(t, bitmap(pool))
     place = jaccard.tx.mix(pool) >> np.uint64(32)
     for n in range(4, 21):
         if Fraction(n, n + 1) < t:
