@@ -40,7 +40,7 @@ _U = np.uint64
 END = _U(0x0123456789ABCDEF)
 HASHES = 3
 LEVELS = 40
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 21
 HELD_TOKENS = 1 << 21
 
 
@@ -84,13 +84,16 @@ class HotTokens:
 
 
 def _places(keys: np.ndarray, level: int, k: int, size: np.ndarray | int) -> np.ndarray:
+    """Places in a block of ``size`` < 2**32 bits."""
     with np.errstate(over="ignore"):
-        return tx.mix(keys + _U(level * HASHES + k) * _U(0x9E3779B97F4A7C15)) % np.asarray(size, dtype=_U)
+        return ((tx.mix(keys + _U(level * HASHES + k) * _U(0x9E3779B97F4A7C15)) >> _U(32)) * np.asarray(size, dtype=_U)) >> _U(32)
 
 
 def filter_block(keys: np.ndarray, levels: np.ndarray, bits_per_entry: int) -> tuple[np.ndarray, int]:
     """Bytes of the block that holds ``keys`` at ``levels``, and its size in bits."""
     size = max(64, int(levels.sum()) * bits_per_entry)
+    if size >= 1 << 32:
+        raise ValueError("a bucket has too many bigrams")
     bits = np.zeros(size, dtype=bool)
     for q in range(1, int(levels.max(initial=0)) + 1):
         own = keys[levels >= q]
@@ -123,6 +126,17 @@ def count_of(levels: np.ndarray) -> np.ndarray:
     return np.where(levels > 0, 1.5 * 2.0 ** (levels - 1) - 0.5, 0.0)
 
 
+def _grade(counts: np.ndarray) -> np.ndarray:
+    """Counts on a scale of 16 steps for each power of two."""
+    power = np.floor(np.log2(np.maximum(counts, 1) + 0.25)).astype(np.int64)
+    return power * 16 + (np.maximum(counts, 1) * 16 >> power) - 16
+
+
+def _least(grade: int) -> int:
+    """The least count of a grade."""
+    return -(-((16 + grade % 16) << (grade // 16)) // 16)
+
+
 def _tokens(words: tx.Words) -> tuple[np.ndarray, np.ndarray]:
     """Token hashes of a block with the end token after each row, and the rows' spans."""
     n = len(words.ptr) - 1
@@ -215,12 +229,12 @@ def bigram_blocks(training: DataFrame, shared, bits: int, bits_per_entry: int) -
         def flush() -> pa.RecordBatch:
             """Per bucket: the tokens v, how many entries each has, and their keys and counts (up to 255, more in more entries)."""
             keys, before = (np.concatenate(h) for h in zip(*held))
-            order = np.lexsort((keys, before))  # the bucket is in the key; that of most v is in v
+            order = np.argsort(keys)
             keys, before = keys[order], before[order]
             first = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (before[1:] != before[:-1])]))
             counts = np.diff(np.append(first, len(keys)))
             keys, before = keys[first], before[first]
-            order = np.argsort((keys >> _U(64 - bits)).astype(np.uint16 if bits <= 16 else np.uint32), kind="stable")
+            order = np.argsort(((keys >> _U(64 - bits)) << _U(64 - bits)) | (before >> _U(bits)))  # by bucket and v
             keys, before, counts = keys[order], before[order], counts[order]
             more = (counts + 254) // 255
             if len(counts) and more.max() > 1:
@@ -251,7 +265,8 @@ def bigram_blocks(training: DataFrame, shared, bits: int, bits_per_entry: int) -
         m = shared.value
         read = lambda n, t: np.concatenate([np.frombuffer(b.as_buffer(), dtype=t) for b in table.column(n).combine_chunks()])
         keys, counts, before = read("keys", "<u4"), read("counts", np.uint8), np.repeat(read("v", "<u8"), read("runs", "<u4"))
-        order = np.lexsort((keys, before))
+        with np.errstate(over="ignore"):
+            order = np.argsort(tx.mix(before + keys.astype(_U) * _U(0x9E3779B97F4A7C15)))
         keys, before, counts = keys[order], before[order], counts[order].astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (before[1:] != before[:-1])]))
         before, levels = before[first], level_of(np.add.reduceat(counts, first))
@@ -275,25 +290,33 @@ def fit(training: DataFrame, hot: int = 1 << 17, filter_bits: int = 1 << 28, bit
     unigrams = materialise(unigram_counts(training, bits), "unigrams")
     sums = unigrams.agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
 
+    def graded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for counts in batch.column(0):
+                c, n = np.unique(_grade(np.frombuffer(counts.as_buffer(), dtype="<i8")), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c), pa.array(n)], names=["grade", "n"])
+
+    grades = unigrams.select("counts").mapInArrow(graded, "grade long, n long").groupBy("grade").agg(F.sum("n").alias("n")).orderBy(F.desc("grade")).toPandas()  # 16 grades for each power of two
+    within = grades["n"].cumsum() < hot
+    cutoff = _least(int(grades["grade"][within].min())) if within.any() else 1 << 62
+
     def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for tokens, counts in zip(batch.column(0), batch.column(1)):
                 tokens, counts = np.frombuffer(tokens.as_buffer(), dtype="<i8"), np.frombuffer(counts.as_buffer(), dtype="<i8")
-                top = np.argsort(-counts, kind="stable")[:hot]  # no more of one bucket can be among the first of all
-                end = np.flatnonzero(tokens == END.astype(np.int64))
-                top = np.unique(np.concatenate([top, end]))
+                top = np.flatnonzero((counts >= cutoff) | (tokens == END.astype(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array(tokens[top]), pa.array(counts[top])], names=["token", "c"])
 
     end = F.col("token") == int(END.astype(np.int64))
-    rows = unigrams.select("tokens", "counts").mapInArrow(opened, "token long, c long").orderBy(end.desc(), F.desc("c"), "token").limit(max(hot, 1)).toPandas()  # at most `hot` rows, the end token first
+    rows = unigrams.select("tokens", "counts").mapInArrow(opened, "token long, c long").orderBy(end.desc(), F.desc("c"), "token").toPandas()  # at most `hot` rows, the end token first
     model = Model(rows["token"].to_numpy(dtype=np.int64).astype(_U), rows["c"].to_numpy(dtype=np.int64), int(sums["n"] or 0), int(sums["v"] or 0), spread, bits)
     release(spark)
     shared = spark.sparkContext.broadcast(model)  # at most `hot` tokens
     blocks = materialise(bigram_blocks(training, shared, bits, bits_per_entry), "bigrams")
     release(spark)
     model.followers, model.stored = np.zeros(len(rows)), np.zeros(len(rows))
-    for r in blocks.select(F.explode("hot").alias("h")).groupBy("h.place").agg(F.sum("h.t").alias("t"), F.sum("h.s").alias("s")).collect():  # at most `hot` rows
-        model.followers[r["place"]], model.stored[r["place"]] = r["t"], r["s"]
+    sums = blocks.select(F.explode("hot").alias("h")).groupBy("h.place").agg(F.sum("h.t").alias("t"), F.sum("h.s").alias("s")).toPandas()  # at most `hot` rows
+    model.followers[sums["place"]], model.stored[sums["place"]] = sums["t"], sums["s"]
     size = blocks.agg(F.sum((F.col("size") + 7).bitwiseAND(F.lit(~7)))).first()[0] or 0
     if size <= filter_bits:
         model.sizes, model.bases = np.full(1 << bits, 64, dtype=_U), np.zeros(1 << bits, dtype=_U)
@@ -314,7 +337,7 @@ def fit(training: DataFrame, hot: int = 1 << 17, filter_bits: int = 1 << 28, bit
 class _Facts:
     """c, T and S of the tokens of a block and the levels of its bigrams, in part from answers."""
 
-    def __init__(self, model: Model, parts: list[tuple[np.ndarray, np.ndarray]]):
+    def __init__(self, model: Model, parts: list[tuple[np.ndarray, np.ndarray]], place_answers: bool = True):
         self.model = model
         self.parts = []
         for tokens, ptr in parts:
@@ -322,9 +345,14 @@ class _Facts:
             before = model.before(tokens, ptr, END)
             at = model.before(place, ptr, model.places(np.array([END], dtype=_U))[0])
             self.parts.append((tokens, ptr, place, before, at, model.keys(before, tokens, at)))
-        held = lambda arrays: np.unique(np.concatenate(arrays)) if arrays else np.zeros(0, dtype=_U)
-        self.rare = held([tokens[place < 0] for tokens, _, place, _, _, _ in self.parts])
-        self.asked = held([keys for *_, keys in self.parts]) if model.data is None else np.zeros(0, dtype=_U)
+        held = lambda arrays: np.concatenate(arrays) if arrays else np.zeros(0, dtype=_U)
+        rare = held([tokens[place < 0] for tokens, _, place, _, _, _ in self.parts])
+        asked = held([keys for *_, keys in self.parts]) if model.data is None else np.zeros(0, dtype=_U)
+        if place_answers:
+            self.rare = tx.distinct(rare)
+            self.asked, self.at = np.unique(asked, return_inverse=True)
+        else:
+            self.rare, self.asked = tx.distinct(rare), tx.distinct(asked)
 
     def scores(self, rare: np.ndarray, levels: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         """Per part and row: number of tokens, of known ones, base score and score."""
@@ -336,10 +364,12 @@ class _Facts:
             out[other] = rare[np.searchsorted(self.rare, tokens[other]), column]
             return out
 
+        done = 0
         for tokens, ptr, place, before, at, keys in self.parts:
             c = of(m.c, tokens, place, 0)
             t, s = of(m.followers, before, at, 1), of(m.stored, before, at, 2)
-            level = m.probe(keys) if m.data is not None else levels[np.searchsorted(self.asked, keys)]
+            level = m.probe(keys) if m.data is not None else levels[self.at[done : done + len(keys)]]
+            done += len(keys)
             one = (c + 0.5) / m.denominator
             rest = t + s
             known = rest > 0
@@ -395,7 +425,7 @@ def _asked(documents: DataFrame, shared, store: DataFrame, key: str, out: str) -
         m = shared.value
         for batch in batches:
             for i in range(len(batch)):
-                facts = _Facts(m, _parts(batch.column(0)[i].values))
+                facts = _Facts(m, _parts(batch.column(0)[i].values), place_answers=False)
                 for kind, keys, sent in ((0, facts.rare, facts.rare), (1, facts.asked, facts.asked.astype("<u4"))):
                     if len(keys):
                         rows = split_rows(keys, m.bits, keys=sent)
@@ -404,25 +434,28 @@ def _asked(documents: DataFrame, shared, store: DataFrame, key: str, out: str) -
     asks = blocks.select("texts", "at").mapInArrow(ask, "bucket long, keys binary, kind tinyint, at long")
     held = store.select("bucket", "tokens", "counts", "v", "t", "s", "block", "size", F.lit(False).alias("asks"))
     both = held.unionByName(asks.withColumn("asks", F.lit(True)), allowMissingColumns=True)
-    both = both.repartition("bucket").sortWithinPartitions("bucket", "asks")
+    both = both.repartition("bucket").sortWithinPartitions("bucket", "asks", "kind")
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, bucket = None, None
+        now, bucket = _Bucket(), None
         for batch in batches:
             col = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-            got: dict[str, list] = {n: [] for n in ("at", "kind", "bucket", "values")}
-            for i in range(len(batch)):
-                if bucket != col["bucket"][i].as_py():
-                    bucket, now = col["bucket"][i].as_py(), _Bucket()
-                if not col["asks"][i].as_py():
-                    now = _Bucket({n: col[n][i] for n in ("tokens", "counts", "v", "t", "s", "block", "size")})
+            at = {n: col[n].to_numpy(zero_copy_only=False) for n in ("bucket", "asks", "kind", "at")}
+            kind = np.where(at["asks"], np.nan_to_num(at["kind"].astype(np.float64), nan=-1), -1).astype(np.int8)
+            change = (at["bucket"][1:] != at["bucket"][:-1]) | (kind[1:] != kind[:-1])
+            edges = np.concatenate([[0], np.flatnonzero(change) + 1, [len(batch)]]) if len(batch) else np.zeros(1, dtype=np.int64)
+            for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                if bucket != at["bucket"][lo]:
+                    bucket, now = int(at["bucket"][lo]), _Bucket()
+                if kind[lo] < 0:
+                    now = _Bucket({n: col[n][lo] for n in ("tokens", "counts", "v", "t", "s", "block", "size")})
                     continue
-                kind = col["kind"][i].as_py()
-                keys = np.frombuffer(col["keys"][i].as_buffer(), dtype="<u4" if kind else "<u8")
-                got["values"].append((now.levels(keys.astype(_U) | (_U(bucket) << _U(64 - shared.value.bits))) if kind else now.facts(keys)).tobytes())
-                for n in ("at", "kind", "bucket"):
-                    got[n].append(col[n][i].as_py())
-            yield pa.RecordBatch.from_arrays([pa.array(got["at"], pa.int64()), pa.array(got["kind"], pa.int8()), pa.array(got["bucket"], pa.int64()), pa.array(got["values"], pa.binary())], names=list(got))
+                # All requests of a kind that follow each other are answered at once.
+                keys = [np.frombuffer(k.as_buffer(), dtype="<u4" if kind[lo] else "<u8") for k in col["keys"].slice(lo, hi - lo)]
+                whole = np.concatenate(keys)
+                values = now.levels(whole.astype(_U) | (_U(bucket) << _U(64 - shared.value.bits))) if kind[lo] else now.facts(whole)
+                cuts = np.cumsum([len(k) for k in keys])[:-1]
+                yield pa.RecordBatch.from_arrays([pa.array(at["at"][lo:hi].astype(np.int64)), pa.array(kind[lo:hi]), pa.array(at["bucket"][lo:hi]), pa.array([v.tobytes() for v in np.split(values, cuts)], pa.binary())], names=["at", "kind", "bucket", "values"])
 
     answers = both.mapInArrow(answer, "at long, kind tinyint, bucket long, values binary")
     whole = blocks.withColumn("kind", F.lit(-1).cast("tinyint")).unionByName(answers, allowMissingColumns=True)

@@ -28,6 +28,14 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> _U(31))
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The sorted distinct values; many times faster than numpy's hash-based unique on 64-bit hashes."""
+    out = np.sort(values)
+    keep = np.ones(len(out), dtype=bool)
+    np.not_equal(out[1:], out[:-1], out=keep[1:])
+    return out[keep]
+
+
 def _table() -> np.ndarray:
     with np.errstate(over="ignore"):
         return mix((np.arange(1, 257, dtype=_U)) * _U(0xD6E8FEB86659FD93))
