@@ -4,17 +4,18 @@ A text is the set of byte n-grams (n = 2, 3, 4, A-Z lower-cased) that occur in i
 The kernel of two texts is the number of shared bits over the root of the product of their bit counts.  Nystrom features
 come from ``landmarks`` texts of a bounded labelled sample, and one-versus-rest kernel ridge regression is fitted on
 them.  The kernel is linear in the bits, so landmarks, whitening and ridge weights collapse into one DIMS x languages
-matrix, and a batch is scored with one matrix product.
+matrix, and a batch is scored with one matrix product.  Longer texts fill the bits and sink under the root of their count,
+so a text is cut into even segments of at most ``SEGMENT`` bytes, and its scores are the means over all of them.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,35 +23,45 @@ from lexmill.llm import text as tx
 from lexmill.llm.scratch import widened
 
 DIMS = 1 << 13
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
+SEGMENT = 1 << 13
+ROWS = 256
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-STEP = 1 << 20
 
 
 def mark(raw: np.ndarray, bits: np.ndarray) -> None:
-    """Set the bits of the n-grams of ``raw`` (bytes of one text), in steps of bounded size."""
-    for at in range(0, max(len(raw) - 1, 0), STEP):
-        part = LOWER[raw[at : at + STEP + 3]].astype(np.uint32)
-        gram = part[:-1] | (part[1:] << np.uint32(8))
-        for n in (2, 3, 4):
-            if n > 2:
-                if len(part) < n:
-                    break
-                gram = gram[: len(part) - n + 1] | (part[n - 1 :] << np.uint32(8 * (n - 1)))
-            with np.errstate(over="ignore"):
-                bits[(gram * np.uint32(2654435761) + np.uint32(n * 0x51ED27)) * np.uint32(2246822519) >> np.uint32(32 - 13)] = 1
-
-
-def presence(column: pa.Array, rows: int = 256) -> Iterator[tuple[int, np.ndarray]]:
-    """(first row, 0/1 matrix) for blocks of at most ``rows`` rows."""
+    """Set the bits of the n-grams of ``raw``, the bytes of one segment."""
+    part = LOWER[raw].astype(np.uint32)
+    for n in (2, 3, 4):
+        if len(part) < n:
+            break
+        gram = part[:-1] | (part[1:] << np.uint32(8)) if n == 2 else gram[: len(part) - n + 1] | (part[n - 1 :] << np.uint32(8 * (n - 1)))
+        with np.errstate(over="ignore"):
+            bits[(gram * np.uint32(2654435761) + np.uint32(n * 0x51ED27)) * np.uint32(2246822519) >> np.uint32(32 - 13)] = 1
+
+
+def segments(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, edges) of the segments of all rows, in order; an empty row is one empty segment."""
+    size = np.diff(offsets)
+    number = np.maximum(1, -(-size // SEGMENT))
+    row = np.repeat(np.arange(len(size)), number)
+    k = np.arange(len(row)) - np.repeat(np.cumsum(number) - number, number)
+    at = offsets[:-1][row] + size[row] * k // number[row]
+    return row, np.append(at, offsets[-1])
+
+
+def presence(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, 0/1 matrix) of blocks of segments; long rows go on in the next block."""
     raw, offsets = tx.string_buffer(column)
-    for lo in range(0, len(offsets) - 1, rows):
-        hi = min(lo + rows, len(offsets) - 1)
-        bits = np.zeros((hi - lo, DIMS), dtype=np.float32)
+    row, edges = segments(offsets)
+    bits = np.zeros((min(ROWS, len(row)), DIMS), dtype=np.float32)
+    for lo in range(0, len(row), ROWS):
+        hi = min(lo + ROWS, len(row))
+        bits[:] = 0
         for i in range(lo, hi):
-            mark(raw[offsets[i] : offsets[i + 1]], bits[i - lo])
-        yield lo, bits
+            mark(raw[edges[i] : edges[i + 1]], bits[i - lo])
+        yield row[lo:hi], bits[: hi - lo]
 
 
 @dataclass
@@ -64,22 +75,24 @@ class LanguageModel:
         return (bits @ self.weights) / root + self.bias
 
 
-def fit(bits: np.ndarray, labels: list[str], landmarks: int = 256, ridge: float = 1e-3) -> LanguageModel:
-    """One-versus-rest kernel ridge regression on Nystrom features.  ``bits`` (float32) is overwritten."""
+def fit(packed: np.ndarray, labels: list[str], landmarks: int = 256, ridge: float = 1e-3) -> LanguageModel:
+    """One-versus-rest kernel ridge regression on Nystrom features.  ``packed``: the bits of each text, eight a byte."""
     languages = sorted(set(labels))
-    unit = bits
-    unit /= np.sqrt(np.maximum(bits.sum(axis=1, keepdims=True), 1), dtype=np.float32)  # in place: this runs on the driver
-    near = unit[: min(landmarks, len(unit))]
-    mark_rows = near.astype(np.float64)
-    value, vector = np.linalg.eigh(mark_rows @ mark_rows.T)
-    keep = value > 1e-8 * max(value.max(), 1e-12)
+
+    def unit(lo: int, hi: int) -> np.ndarray:
+        bits = np.unpackbits(packed[lo:hi], axis=1).astype(np.float32)
+        return bits / np.sqrt(np.maximum(bits.sum(axis=1, keepdims=True), 1), dtype=np.float32)
+
+    near = unit(0, min(landmarks, len(packed)))
+    value, vector = np.linalg.eigh((near @ near.T).astype(np.float64))
+    keep = value > 1e-6 * max(value.max(), 1e-12)
     white = vector[:, keep] / np.sqrt(value[keep])
-    features = (unit @ near.T).astype(np.float64) @ white
+    features = np.concatenate([(unit(lo, lo + ROWS) @ near.T).astype(np.float64) @ white for lo in range(0, len(packed), ROWS)])
     target = np.where(np.array(labels)[:, None] == np.array(languages)[None, :], 1.0, -1.0)
     mean_x, mean_y = features.mean(axis=0), target.mean(axis=0)
     centred = features - mean_x
     beta = np.linalg.solve(centred.T @ centred + ridge * len(features) * np.eye(features.shape[1]), centred.T @ (target - mean_y))
-    return LanguageModel(languages, (mark_rows.T @ (white @ beta)).astype(np.float32), (mean_y - mean_x @ beta).astype(np.float32))
+    return LanguageModel(languages, (near.T @ (white @ beta).astype(np.float32)), (mean_y - mean_x @ beta).astype(np.float32))
 
 
 def _fold(key: Column, folds: int) -> Column:
@@ -94,24 +107,23 @@ def _sample(documents: DataFrame, part: Column, sample_rows: int) -> DataFrame:
 
 
 def train(documents: DataFrame, folds: int = 4, held: int = 2, sample_rows: int = 2500, landmarks: int = 256) -> LanguageModel | None:
-    """Fit on at most ``sample_rows`` labelled documents outside the held-out fold, those of least hashed doc_id.
+    """Fit on labelled documents outside the held-out fold, those of the ``sample_rows`` least hashed doc_ids.
 
-    Only text and lang are used; doc_id picks the sample alone.  None if no document has a label and text.
+    Their segments train; of more than twice ``sample_rows`` segments, those of least hash.  Only text and lang are used;
+    doc_id picks the sample alone.  None if no document has a label and text.
     """
     sample = _sample(documents, _fold(F.col("doc_id"), folds) != held, sample_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, bits in presence(batch.column(0)):
-                packed = [np.packbits(b.astype(bool)).tobytes() for b in bits]
-                yield pa.RecordBatch.from_arrays([batch.column(1).slice(lo, len(bits)), pa.array(packed, pa.binary())], names=["lang", "bits"])
+            for row, bits in presence(batch.column(0)):
+                packed = [p.tobytes() for p in np.packbits(bits.astype(bool), axis=1)]
+                yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(row)), pa.array(packed, pa.binary())], names=["lang", "bits"])
 
-    got = sample.mapInArrow(run, "lang string, bits binary").toPandas().sort_values(["bits", "lang"])
-    got = got.iloc[np.random.default_rng(7).permutation(len(got))][: 2 * sample_rows]
+    got = sample.mapInArrow(run, "lang string, bits binary").orderBy(F.xxhash64("bits", "lang"), "bits", "lang").limit(2 * sample_rows).toPandas()
     if not len(got):
         return None
-    bits = np.unpackbits(np.frombuffer(b"".join(got["bits"]), dtype=np.uint8)).reshape(len(got), DIMS).astype(np.float32)
-    return fit(bits, list(got["lang"]), landmarks)
+    return fit(np.frombuffer(b"".join(got["bits"]), dtype=np.uint8).reshape(len(got), -1), list(got["lang"]), landmarks)
 
 
 def predict(documents: DataFrame, model: LanguageModel | None, carry: bool = False) -> DataFrame:
@@ -126,18 +138,21 @@ def predict(documents: DataFrame, model: LanguageModel | None, carry: bool = Fal
         for batch in batches:
             column = batch.column(batch.schema.names.index("text"))
             filled = column.fill_null("")
-            for lo, bits in presence(filled):
-                texts = filled.slice(lo, len(bits)).to_pylist()
-                letters = [model is not None and LETTER.search(t) is not None for t in texts]
-                if model is not None:
-                    s = model.scores(bits)
-                    best = s.argmax(axis=1)
-                    names = [model.languages[b] if ok else "und" for b, ok in zip(best, letters)]
-                    score = np.where(letters, np.clip((s.max(axis=1) + 1) / 2, 0, 1), 0.0)
-                else:
-                    names, score = ["und"] * len(bits), np.zeros(len(bits))
-                part = batch.slice(lo, len(bits))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names, pa.string()), pa.array(score.astype(np.float64))], names=[*part.schema.names, "lang_pred", "score"])
+            if not len(batch):
+                continue
+            letters = np.array([model is not None and LETTER.search(t.as_py()) is not None for t in filled])
+            if model is not None:
+                total = np.zeros((len(batch), len(model.languages)))
+                number = np.zeros(len(batch))
+                for row, bits in presence(filled):
+                    np.add.at(total, row, model.scores(bits))
+                    np.add.at(number, row, 1)
+                s = total / number[:, None]
+                names = [model.languages[b] if ok else "und" for b, ok in zip(s.argmax(axis=1), letters)]
+                score = np.where(letters, np.clip((s.max(axis=1) + 1) / 2, 0, 1), 0.0)
+            else:
+                names, score = ["und"] * len(batch), np.zeros(len(batch))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(score.astype(np.float64))], names=[*batch.schema.names, "lang_pred", "score"])
 
     out = base.mapInArrow(run, widened(base.schema, ("lang_pred", "string"), ("score", "double")))
     return out if carry else out.select("doc_id", "lang_pred", "score")
@@ -150,11 +165,8 @@ def least_score(documents: DataFrame, model: LanguageModel | None, folds: int =
     limit may reject nothing.  Texts in no learned language stay near 1/L.  0 where no labelled row is held out.
     """
     judged = predict(_sample(documents, _fold(F.col("doc_id"), folds) == held, sample_rows), model, carry=True).filter("lang_pred = lang")
-    seen = judged.groupBy("score").count().orderBy("score").toPandas()  # rows of one id may differ, so a few more than sample_rows
-    if not len(seen):
-        return 0.0
-    below = seen["count"].cumsum().to_numpy()
-    return float(seen["score"].iloc[np.searchsorted(below, share * below[-1], side="right")])
+    found = judged.agg(F.percentile_approx("score", share, 100_000).alias("least")).first()["least"]
+    return 0.0 if found is None else float(found)
 
 
 def identify(documents: DataFrame, folds: int = 4, held: int = 2, sample_rows: int = 2500, landmarks: int = 256) -> DataFrame:
