@@ -20,6 +20,7 @@ from lexmill.llm.scratch import widened
 
 _U = np.uint64
 BITS = 16
+TRAIN_BYTES = 1 << 16
 FAMILIES = 4  # words, word pairs, byte 3-grams, byte 4-grams
 SYMBOL = np.zeros(256, dtype=bool)
 SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -43,7 +44,7 @@ def base_counts(raw: np.ndarray, offsets: np.ndarray, words: tx.Words) -> dict[s
         row = np.searchsorted(words.ptr, starts, side="right") - 1
         own = tx.mix(hashes + tx.mix(row.astype(_U) + _U(1)))
         ordered = np.sort(own)
-        twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+        twice = tx.distinct(ordered[1:][ordered[1:] == ordered[:-1]])
         if len(twice):
             at = np.minimum(np.searchsorted(twice, own), len(twice) - 1)
             again = starts[twice[at] == own]
@@ -202,10 +203,18 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, penalty:
     return QualityModel(weights.reshape(FAMILIES, -1).astype(np.float32), float(x[-1]), float(slope), float(shift))
 
 
+def _stretches(column: pa.Array) -> pa.Array:
+    """Texts as bytes, cut to ``TRAIN_BYTES`` around the middle."""
+    raw = [t.as_py().encode() if t.is_valid else b"" for t in column]
+    return pa.array([t[(len(t) - TRAIN_BYTES) // 2 :][:TRAIN_BYTES] if len(t) > TRAIN_BYTES else t for t in raw], pa.binary())
+
+
 def train(documents: DataFrame, labels: DataFrame, sample_rows: int = 1000) -> QualityModel | None:
-    """Fit on at most ``sample_rows`` labelled documents, those of least hashed doc_id.
+    """Fit on labelled documents, those of the ``sample_rows`` least hashed doc_ids; of more than twice as many rows,
+    those of least hash.
 
-    A doc_id with several labels takes the least.  None where the labels of documents at hand are all equal or absent.
+    A doc_id with several labels takes the least.  Of a text of more than ``TRAIN_BYTES`` a stretch of that size from its
+    middle trains, which bounds what the driver holds.  None where the labels of documents at hand are all equal or absent.
     """
     rated = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     rated = rated.join(documents.select("doc_id").distinct(), "doc_id", "left_semi")
@@ -213,7 +222,7 @@ def train(documents: DataFrame, labels: DataFrame, sample_rows: int = 1000) -> Q
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, raw, offsets, words in tx.word_blocks(batch.column(0)):
+            for lo, hi, raw, offsets, words in tx.word_blocks(_stretches(batch.column(0))):
                 parts: list[list] = [[] for _ in range(hi - lo)]
                 for f, (index, a, b) in enumerate(grams(raw, offsets, words)):
                     for i in range(hi - lo):
@@ -224,7 +233,7 @@ def train(documents: DataFrame, labels: DataFrame, sample_rows: int = 1000) -> Q
                 yield pa.RecordBatch.from_arrays([batch.column(1).slice(lo, hi - lo), pa.array(index, pa.binary()), pa.array(value, pa.binary())], names=["quality", "index", "value"])
 
     sample = documents.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", F.col("quality").cast("int").alias("quality"))  # at most sample_rows ids
-    got = sample.mapInArrow(run, "quality int, index binary, value binary").toPandas().sort_values(["index", "value", "quality"])[: 2 * sample_rows]
+    got = sample.mapInArrow(run, "quality int, index binary, value binary").orderBy(F.xxhash64("index", "value", "quality"), "index", "value", "quality").limit(2 * sample_rows).toPandas()
     if got["quality"].nunique() < 2:
         return None
     rows = [(np.frombuffer(a, "<i4"), np.frombuffer(b, "<f4")) for a, b in zip(got["index"], got["value"])]
