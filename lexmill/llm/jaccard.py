@@ -54,7 +54,7 @@ def shingle_hashes(words: tx.Words, row: int, size: int) -> np.ndarray:
         return np.zeros(0, dtype=_U)
     k = min(size, n)
     at = np.arange(n - k + 1)
-    return np.unique(tx.run_hashes(own, at, at + k))
+    return tx.distinct(tx.run_hashes(own, at, at + k))
 
 
 def _rows(column: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -64,7 +64,7 @@ def _rows(column: pa.Array, size: int) -> Iterator[np.ndarray]:
             starts, hashes = tx.window_hashes(words.hashes, words.ptr, size)
             ptr = np.searchsorted(starts, words.ptr)
             for i in range(hi - lo):
-                yield np.unique(hashes[ptr[i] : ptr[i + 1]])
+                yield tx.distinct(hashes[ptr[i] : ptr[i + 1]])
         else:
             for i in range(hi - lo):
                 yield shingle_hashes(words, i, size)
@@ -124,7 +124,7 @@ def frequent_cells(documents: DataFrame, size: int, rare_max: int = RARE_MAX, ce
         first = np.flatnonzero(np.concatenate([[True], rest[1:] != rest[:-1]]))
         often = rest[first[np.diff(np.append(first, len(rest))) > rare_max]]
         token = (_U(key[0].as_py()) << shift) | (often.astype(_U) << low)
-        cells = np.unique(token >> _U(64 - cell_bits))
+        cells = tx.distinct(token >> _U(64 - cell_bits))
         rows = split_rows(cells << _U(64 - cell_bits), slot_bits, cells=cells.astype("<u4"))
         return pa.Table.from_batches([rows]).rename_columns(["slot", "cells"])
 
