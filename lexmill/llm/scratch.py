@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import gc
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexmill.operators.components import shared_folder
@@ -19,6 +21,13 @@ def widened(schema: T.StructType, *more: tuple[str, str]) -> T.StructType:
     return out
 
 
+def shielded(df: DataFrame, *used: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with all columns but ``used`` renamed so that they clash with nothing, and how to get back the names and order."""
+    names = [n if n in used else f"__{i}" for i, n in enumerate(df.columns)]
+    renamed = df.select(*[F.col(f"`{old}`").alias(new) for old, new in zip(df.columns, names)])
+    return renamed, lambda out: out.select(*[F.col(new).alias(old) for old, new in zip(df.columns, names)])
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}-{name}-{uuid.uuid4().hex[:12]}"
 

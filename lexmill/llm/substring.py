@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm import text as tx
-from lexmill.llm.scratch import discard, materialise, release
+from lexmill.llm.scratch import discard, materialise, release, shielded
 
 _U = np.uint64
 
@@ -64,7 +64,7 @@ def _scan(documents: DataFrame, window: int, length: int) -> DataFrame:
                     a, b = int(words.ptr[i]), int(words.ptr[i + 1])
                     n_words.append(b - a)
                     digests.append(hashlib.sha256(b" ".join(data[offsets[i] : offsets[i + 1]].split())).hexdigest())
-                    reps.append(np.unique(found[a : b - window + 1]) if b - a >= window else found[:0])
+                    reps.append(tx.distinct(found[a : b - window + 1]) if b - a >= window else found[:0])
             ptr = np.concatenate([[0], np.cumsum([len(r) for r in reps])]).astype(np.int32)
             flat = np.concatenate(reps).astype(np.int64) if reps else np.zeros(0, dtype=np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n_words, pa.int64()), pa.array(digests, pa.string()), pa.ListArray.from_arrays(pa.array(ptr), pa.array(flat))], names=["doc_id", "tk", "n_words", "digest", "reps"])
@@ -217,15 +217,13 @@ def repeated_passages(documents: DataFrame, window: int = 50) -> DataFrame:
 def without_repeated_passages(documents: DataFrame, window: int = 50) -> DataFrame:
     """``documents`` with repeated passages cut out of the text; texts that lose words have the others joined by one space.
 
-    All columns and rows are kept, also rows left without words; columns ``tk`` and ``gone`` of the input are not
-    allowed.
+    All columns and rows are kept, whatever their names, also rows left without words.
     """
+    documents, restore = shielded(documents, "doc_id", "text")
     names = documents.columns
-    if {"tk", "gone", "hits"} & set(names):
-        raise ValueError("columns named tk, gone or hits are not allowed")
     keyed = documents.withColumn("tk", F.xxhash64("text"))
     _, rows, gone = repeated_windows(keyed, window)
     schema = documents.schema
     cut = rows.select(*names, "tk").join(gone, ["doc_id", "tk"]).select(*names, "gone").mapInArrow(_cut_batches(window, True), schema)
     rest = keyed.join(gone.select("doc_id", "tk").hint("shuffle_hash"), ["doc_id", "tk"], "left_anti").select(*names)
-    return rest.unionByName(cut)
+    return restore(rest.unionByName(cut))
