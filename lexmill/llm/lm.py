@@ -331,6 +331,7 @@ def fit(training: DataFrame, hot: int = 1 << 17, filter_bits: int = 1 << 28, bit
     store = materialise(store, "store")
     discard(unigrams)
     discard(blocks)
+    release(spark)
     return model, store
 
 
@@ -415,23 +416,34 @@ def _asked(documents: DataFrame, shared, store: DataFrame, key: str, out: str) -
 
     def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in tx.row_blocks(tx.string_buffer(batch.column(1))[1], BLOCK_BYTES):
-                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), c.slice(lo, hi - lo)) for c in (batch.column(0), batch.column(1).fill_null(""))], names=["ids", "texts"])
-
-    blocks = documents.select("doc_id", "text").mapInArrow(block, f"ids array<{key}>, texts array<string>")
+            raw, offsets = tx.string_buffer(batch.column(1))
+            for lo, hi in tx.row_blocks(offsets, BLOCK_BYTES):
+                ids = pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), batch.column(0).slice(lo, hi - lo))
+                sizes = pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), pa.array(np.diff(offsets[lo : hi + 1])))
+                data = raw[offsets[lo] : offsets[hi]]
+                yield pa.RecordBatch.from_arrays([ids, sizes, pa.array([len(data)]), pa.array([pa.compress(pa.py_buffer(data), codec="zstd", asbytes=True)], pa.binary())], names=["ids", "sizes", "raw", "texts"])
+
+    def opened(row: dict, i: int) -> pa.Array:
+        """The texts of a block, as bytes."""
+        data = pa.decompress(row["texts"][i].as_buffer(), row["raw"][i].as_py(), codec="zstd")
+        offsets = np.concatenate([[0], np.cumsum(row["sizes"][i].values.to_numpy())])
+        return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), data])
+
+    blocks = documents.select("doc_id", "text").mapInArrow(block, f"ids array<{key}>, sizes array<long>, raw long, texts binary")
     blocks = materialise(blocks.withColumn("at", F.monotonically_increasing_id()), "blocks")
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
+            row = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
             for i in range(len(batch)):
-                facts = _Facts(m, _parts(batch.column(0)[i].values), place_answers=False)
+                facts = _Facts(m, _parts(opened(row, i)), place_answers=False)
                 for kind, keys, sent in ((0, facts.rare, facts.rare), (1, facts.asked, facts.asked.astype("<u4"))):
                     if len(keys):
                         rows = split_rows(keys, m.bits, keys=sent)
-                        yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(np.full(len(rows), kind, dtype=np.int8)), pa.array(np.full(len(rows), batch.column(1)[i].as_py()))], names=["bucket", "keys", "kind", "at"])
+                        yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(np.full(len(rows), kind, dtype=np.int8)), pa.array(np.full(len(rows), row["at"][i].as_py()))], names=["bucket", "keys", "kind", "at"])
 
-    asks = blocks.select("texts", "at").mapInArrow(ask, "bucket long, keys binary, kind tinyint, at long")
+    asks = blocks.select("sizes", "raw", "texts", "at").mapInArrow(ask, "bucket long, keys binary, kind tinyint, at long")
     held = store.select("bucket", "tokens", "counts", "v", "t", "s", "block", "size", F.lit(False).alias("asks"))
     both = held.unionByName(asks.withColumn("asks", F.lit(True)), allowMissingColumns=True)
     both = both.repartition("bucket").sortWithinPartitions("bucket", "asks", "kind")
@@ -457,7 +469,8 @@ def _asked(documents: DataFrame, shared, store: DataFrame, key: str, out: str) -
                 cuts = np.cumsum([len(k) for k in keys])[:-1]
                 yield pa.RecordBatch.from_arrays([pa.array(at["at"][lo:hi].astype(np.int64)), pa.array(kind[lo:hi]), pa.array(at["bucket"][lo:hi]), pa.array([v.tobytes() for v in np.split(values, cuts)], pa.binary())], names=["at", "kind", "bucket", "values"])
 
-    answers = both.mapInArrow(answer, "at long, kind tinyint, bucket long, values binary")
+    answers = materialise(both.mapInArrow(answer, "at long, kind tinyint, bucket long, values binary"), "answers")
+    release(documents.sparkSession)
     whole = blocks.withColumn("kind", F.lit(-1).cast("tinyint")).unionByName(answers, allowMissingColumns=True)
     whole = whole.repartition("at").sortWithinPartitions("at", "kind", "bucket")  # values in the order of the keys
 
@@ -476,7 +489,7 @@ def _asked(documents: DataFrame, shared, store: DataFrame, key: str, out: str) -
                 if kind < 0:
                     if ids is not None:
                         yield done()
-                    ids, texts, held = col["ids"][i].values, col["texts"][i].values, ([], [])
+                    ids, texts, held = col["ids"][i].values, opened(col, i), ([], [])
                 elif kind == 0:
                     held[0].append(np.frombuffer(col["values"][i].as_buffer(), dtype="<u4"))
                 else:
@@ -484,7 +497,7 @@ def _asked(documents: DataFrame, shared, store: DataFrame, key: str, out: str) -
         if ids is not None:
             yield done()
 
-    return whole.select("at", "kind", "bucket", "ids", "texts", "values").mapInArrow(finish, out)
+    return whole.select("at", "kind", "bucket", "ids", "sizes", "raw", "texts", "values").mapInArrow(finish, out)
 
 
 class _Bucket:

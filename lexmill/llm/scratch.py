@@ -52,6 +52,11 @@ def discard(df: DataFrame) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of finished steps now, not when the driver next collects its garbage."""
+    """Let Spark drop the shuffle files of finished steps now, not when the driver next collects its garbage.
+
+    Events that end a query hold its plan, so those still on their way are waited for.
+    """
     gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    context = spark.sparkContext
+    context._jsc.sc().listenerBus().waitUntilEmpty()
+    context._jvm.System.gc()
