@@ -20,6 +20,15 @@ def alias_text_udf(alias: Column, canonical: Column) -> Column:
     return F.pandas_udf(run, "string")(alias, canonical)
 
 
+def atomic_aliases_udf(alias: Column, canonical: Column) -> Column:
+    """[CJ-08]"""
+
+    def run(a: pd.Series, c: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None or y is None else plain.atomic_aliases(x, y) for x, y in zip(a, c)], dtype="object")
+
+    return F.pandas_udf(run, "array<string>")(alias, canonical)
+
+
 def clean_aliases_udf(aliases: Column, canonical: Column) -> Column:
     """[CJ-09]"""
 

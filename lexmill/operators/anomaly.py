@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions import scores as S
@@ -93,3 +93,21 @@ def health_summary(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 def subgroups(nodes: DataFrame) -> DataFrame:
     """[AG-21]"""
     return nodes.groupBy("super_grp").agg(F.count_distinct("grp").alias("sub_groups"))
+
+
+def top_outliers(scored: DataFrame, column: str, k: int = 50) -> DataFrame:
+    """[ST-06, ST-08] The ``k`` rows of largest absolute ``column``, with their rank; ties by count, then by name."""
+    out = scored.filter(F.col(column).isNotNull()).orderBy(F.desc(F.abs(column)), F.desc("total_count"), "skill").limit(k)
+    return out.withColumn("rank", F.row_number().over(Window.orderBy(F.desc(F.abs(column)), F.desc("total_count"), "skill")))  # k rows
+
+
+def by_verdict(scored: DataFrame, k: int = 12) -> DataFrame:
+    """[ST-06, ST-08] The ``k`` most suspicious rows of each verdict."""
+    rank = F.row_number().over(Window.partitionBy("verdict").orderBy(F.desc("suspicion_score"), F.desc("total_count"), "skill"))
+    return scored.withColumn("rank", rank).filter(F.col("rank") <= k)
+
+
+def with_labels(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """[AN-05] Nodes with the label of a fixed list (name, label), compared without regard to case; null where there is none."""
+    known = labels.groupBy(F.lower(F.trim("name")).alias("k")).agg(F.min("label").alias("label"))
+    return nodes.join(known, F.lower(F.trim("skill")) == F.col("k"), "left").drop("k")

@@ -1,8 +1,9 @@
 """Connected components by alternating large-star and small-star contraction.
 
-Each round is two joins of the edge table with per-node minima, so no component is ever gathered in one task; hot nodes
-are pre-aggregated before the shuffle and their joins may be split by adaptive execution.  Lineage is cut by writing
-each round into the shared folder that ``spark.checkpoint.dir`` names.
+Each round is two joins of the edge table with per-node minima, so no component is ever gathered in one task.  The
+minima are written before they are joined: a join with an aggregate of the same exchange is one that adaptive execution
+doesn't split, a join of two scans is.  Lineage is cut by writing each round into the shared folder that
+``spark.checkpoint.dir`` names.
 """
 
 from __future__ import annotations
@@ -17,10 +18,15 @@ _own_dir: str | None = None
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary folder only where it is unset."""
+    """``spark.checkpoint.dir`` of the session; where it is unset a temporary folder, in local mode alone.
+
+    On a cluster a folder of one machine would lose rows, so there it must be set.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     global _own_dir
     if _own_dir is None:
         _own_dir = "file://" + tempfile.mkdtemp(prefix="lexmill-")
@@ -40,17 +46,21 @@ def _drop(spark: SparkSession, path: str) -> None:
     hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame) -> tuple[DataFrame, str]:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+    low, path = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "low")
+    return both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct(), path
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame) -> tuple[DataFrame, str]:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    low = down.groupBy("u").agg(F.min("v").alias("m"))
+    low, path = cut(down.groupBy("u").agg(F.min("v").alias("m")), "low")
     kept = down.join(low, "u")
-    return kept.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").unionByName(low.select("u", F.col("m").alias("v"))).distinct()
+    return kept.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").unionByName(low.select("u", F.col("m").alias("v"))).distinct(), path
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    _drop(spark, path)
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 50) -> DataFrame:
@@ -64,7 +74,12 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     now, path = cut(now.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     mark = None
     for _ in range(max_rounds):
-        new, new_path = cut(_small_star(_large_star(now)), "edges")
+        wide, wide_low = _large_star(now)
+        wide, wide_path = cut(wide, "edges")
+        new, new_low = _small_star(wide)
+        new, new_path = cut(new, "edges")
+        for done in (wide_low, wide_path, new_low):
+            _drop(spark, done)
         row = new.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         _drop(spark, path)
         now, path = new, new_path

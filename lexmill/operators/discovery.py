@@ -28,15 +28,18 @@ def candidates(records: DataFrame) -> DataFrame:
     return out.select("file", "line_number", "pos", "name", F.col("tag_of").alias("tag"), "source", "day")
 
 
-def queue_delta(mentions: DataFrame, fallback_day: str = "1970-01-01") -> DataFrame:
+def queue_delta(mentions: DataFrame, fallback_day: str = "1970-01-01", most_sources: int = 10) -> DataFrame:
     """[AG-03, FN-15] One row for each key of mentions (name, tag, source, day, ord): counts, days, tag counts, sources in order.
 
-    Tags are counted in a first group-by, so a hot key is pre-aggregated before its rows meet.
+    Tags are counted in a first group-by, so a hot key is pre-aggregated before its rows meet.  Of the sources the first
+    ``2 * most_sources`` are kept, of which a merge with a queue that has ``most_sources`` still finds as many new ones.
     """
     keyed = mentions.select(T.queue_key(F.col("name")).alias("key"), "name", "tag", "source", F.coalesce("day", F.lit(fallback_day)).alias("day"), "ord")
     base = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("seen_count"), F.min("day").alias("first_seen"), F.max("day").alias("last_seen"), F.min_by("name", "ord").alias("display_name"))
     tags = keyed.filter("tag is not null and tag <> ''").groupBy("key", "tag").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("tag", "n"))).alias("tags"))
-    srcs = keyed.filter("source is not null and source <> ''").groupBy("key", "source").agg(F.min("ord").alias("o")).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("o", "source"))).alias("s"))
+    srcs = keyed.filter("source is not null and source <> ''").groupBy("key", "source").agg(F.min("ord").alias("o"))
+    nth = F.row_number().over(Window.partitionBy("key").orderBy("o", "source"))
+    srcs = srcs.withColumn("nth", nth).filter(F.col("nth") <= 2 * most_sources).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("o", "source"))).alias("s"))
     none_t = F.array().cast("array<struct<tag:string,n:bigint>>")
     out = base.join(tags, "key", "left").join(srcs, "key", "left")
     return out.select("key", "display_name", "seen_count", "first_seen", "last_seen", F.coalesce("tags", none_t).alias("tags"), F.coalesce(F.transform("s", lambda x: x["source"]), F.array().cast("array<string>")).alias("sources"))
@@ -95,10 +98,28 @@ def top_tags(tags: Column, k: int = 3) -> Column:
 
 
 def audit(occurrences: DataFrame, k: int = 20) -> DataFrame:
-    """[AG-05, ST-07, IO-05] (skill, occurrence_count, display_name, files, titles) of (name, file, line_number, pos, title)."""
+    """[AG-05, ST-07, IO-05] (skill, occurrence_count, display_name, n_files, files, titles) of (name, file, line_number, pos, title).
+
+    The first ``k`` files and titles in order; ``occurrence_rows`` has all of them.
+    """
     at = F.struct("file", "line_number", "pos")
-    rows = occurrences.groupBy(F.lower("name").alias("skill")).agg(F.count(F.lit(1)).alias("occurrence_count"), F.min_by("name", at).alias("display_name"), F.array_sort(F.collect_set("file")).alias("files"), F.array_sort(F.collect_set("title")).alias("titles"))
-    return rows.withColumn("titles", F.slice("titles", 1, k)).orderBy(F.desc("occurrence_count"), "skill")
+    keyed = occurrences.withColumn("skill", F.lower("name"))
+    rows = keyed.groupBy("skill").agg(F.count(F.lit(1)).alias("occurrence_count"), F.min_by("name", at).alias("display_name"), F.count_distinct("file").alias("n_files"))
+
+    def first(column: str, name: str) -> DataFrame:
+        nth = F.row_number().over(Window.partitionBy("skill").orderBy(column))
+        seen = keyed.filter(F.col(column).isNotNull()).select("skill", column).distinct().withColumn("nth", nth).filter(F.col("nth") <= k)
+        return seen.groupBy("skill").agg(F.array_sort(F.collect_list(column)).alias(name))
+
+    none = F.array().cast("array<string>")
+    out = rows.join(first("file", "files"), "skill", "left").join(first("title", "titles"), "skill", "left")
+    return out.withColumn("files", F.coalesce("files", none)).withColumn("titles", F.coalesce("titles", none)).orderBy(F.desc("occurrence_count"), "skill")
+
+
+def occurrence_rows(occurrences: DataFrame) -> DataFrame:
+    """[AG-05] Every occurrence with its skill and its number within it, in order of file, line and place."""
+    at = Window.partitionBy(F.lower("name")).orderBy("file", "line_number", "pos")
+    return occurrences.select(F.lower("name").alias("skill"), F.row_number().over(at).alias("nth"), *[c for c in occurrences.columns if c not in ("skill", "nth")])
 
 
 def review(queue: DataFrame, aliases: DataFrame, groups: DataFrame, assignments: DataFrame | None = None, semantic: DataFrame | None = None) -> DataFrame:
@@ -144,6 +165,41 @@ def assignment_section(assigned: Column, known: Column) -> Column:
     return F.when(assigned.isNull() | (F.trim(assigned) == ""), "failed").when(F.upper(assigned).startswith("REJECT"), "rejected").when(F.upper(assigned).startswith("NEW:"), "new").when(known, "existing").otherwise("new")
 
 
+def group_context(terms: DataFrame, shown: int = 6) -> DataFrame:
+    """[CJ-07] (grp, context): the first ``shown`` canonicals of a group and how many it has."""
+    names = terms.groupBy("grp", "canonical").agg(F.min("canonical_pos").alias("pos"))
+    total = names.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
+    nth = F.row_number().over(Window.partitionBy("grp").orderBy("pos", "canonical"))
+    first = names.withColumn("nth", nth).filter(F.col("nth") <= shown).groupBy("grp").agg(F.array_sort(F.collect_list(F.struct("nth", "canonical"))).alias("f"))
+    text = F.concat(F.array_join(F.transform("f", lambda x: x["canonical"]), ", "), F.when(F.col("n") > shown, F.concat(F.lit(", ..."))).otherwise(""), F.lit(" ("), F.col("n").cast("string"), F.lit(" total)"))
+    return total.join(first, "grp").select("grp", text.alias("context"))
+
+
+def batches(skills: DataFrame, size: int = 20) -> DataFrame:
+    """[UD-06] (batch, place, skill): distinct skills dealt in order into batches of ``size`` for one prompt each."""
+    names = skills.select("skill").filter("skill is not null").distinct()
+    parts = names.withColumn("bucket", F.substring(F.lower("skill"), 1, 1))
+    nth = F.row_number().over(Window.partitionBy("bucket").orderBy(F.lower("skill"), "skill")) - 1
+    place = parts.withColumn("k", nth)
+    return place.select(F.concat("bucket", F.lit("-"), F.floor(F.col("k") / size).cast("string")).alias("batch"), (F.col("k") % size).alias("place"), "skill")
+
+
+def matched_replies(batch: DataFrame, replies: DataFrame) -> DataFrame:
+    """[JN-18] Reply rows joined back to the skills that were asked, without regard to case; skills without one have nulls.
+
+    Of several replies for a skill the first (``pos``) counts.
+    """
+    keyed = replies.withColumn("k", F.lower(F.trim("skill")))
+    nth = F.row_number().over(Window.partitionBy("k").orderBy("pos"))
+    first = keyed.withColumn("nth", nth).filter("nth = 1").drop("nth", "skill", "pos")
+    return batch.withColumn("k", F.lower(F.trim("skill"))).join(first, "k", "left").drop("k")
+
+
+def live_state(state: DataFrame, input_hash: str) -> DataFrame:
+    """[SS-07] Rows of an audit's checkpoint that belong to this input; a stale state counts for nothing."""
+    return state.filter(F.col("input_hash") == input_hash)
+
+
 def remaining(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """[JN-16, JN-17, SS-03..SS-05] What a resumed run has still to do."""
     return todo.join(done.select(key).distinct(), key, "left_anti")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions import scores as S
 from lexmill.functions import text as T
+from lexmill.operators.rules import finding
 
 # Word lists that decide the results, in order of precedence.
 HEURISTIC_PREFIXES = ("core ", "advanced ", "backend ", "frontend ")
@@ -179,6 +180,13 @@ def governed(decisions: DataFrame, members: DataFrame, canonicals: DataFrame) ->
     )
 
 
+def violation_findings(decisions: DataFrame) -> DataFrame:
+    """[L3-002] A blocking finding for each governed decision with violations."""
+    at = F.concat(F.lit("cluster:"), "cluster_id", F.lit("|term:"), "term")
+    rows = decisions.filter("blocked")
+    return finding(rows, "L3-002", True, at, F.coalesce("requested_action", F.lit("")), F.array_join("violations", ","), "manual_review", "decision breaks the rules of governance")
+
+
 def review_queue(decisions: DataFrame, classes: DataFrame, suffixes: DataFrame | None = None, advisories: DataFrame | None = None) -> DataFrame:
     """[SO-01, SO-06, ST-04, PD-11] (term, stage, issue, proposed_action, confidence) for people to look at, without repeats."""
     row = lambda df, term, stage, issue, action: df.select(F.col(term).alias("term"), F.lit(stage).alias("stage"), F.lit(issue).alias("issue"), action.alias("proposed_action"), F.lit("LOW").alias("confidence"))

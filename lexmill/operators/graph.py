@@ -58,11 +58,43 @@ def disagreements(members: DataFrame, levels: DataFrame) -> DataFrame:
 
 
 def numbered(components: DataFrame, prefix: str) -> DataFrame:
-    """[WN-04, GR-02] Nodes with a component id numbered in order of the smallest node; the ranking sees one row a component."""
-    ids = components.select("component").distinct().withColumn("id", F.format_string(f"{prefix}-%04d", F.row_number().over(Window.orderBy("component"))))
+    """[WN-04, GR-02] Nodes with a component id numbered in order of the smallest node.
+
+    Components are ranked within the first letters of their smallest node, and the counts of those are added up, so no
+    task ranks all of them.
+    """
+    names = components.select("component").distinct().withColumn("head", F.substring(F.col("component").cast("string"), 1, 3))
+    if components.schema["component"].dataType.simpleString() != "string":
+        names = names.withColumn("head", F.lit(""))
+    heads = names.groupBy("head").agg(F.count(F.lit(1)).alias("n"))
+    before = heads.select("head", (F.sum("n").over(Window.orderBy("head")) - F.col("n")).alias("before"))  # one row for each head
+    ranked = names.withColumn("k", F.row_number().over(Window.partitionBy("head").orderBy("component"))).join(before, "head")
+    ids = ranked.select("component", F.format_string(f"{prefix}-%04d", (F.col("k") + F.col("before")).cast("long")).alias("id"))
     return components.join(ids, "component").select("node", "id")
 
 
+def neighbours(edges: DataFrame, k: int = 10) -> DataFrame:
+    """[ST-09] (node, rank, other, weight): the ``k`` neighbours of a node, heaviest first, ties by name."""
+    rank = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("weight"), "other"))
+    return both_ways(edges).withColumn("rank", rank).filter(F.col("rank") <= k).select("node", "rank", "other", "weight")
+
+
+def graph_findings(edges: DataFrame, members: DataFrame, levels: DataFrame, generic: float = 0.70, phantom: float = 0.90) -> DataFrame:
+    """[GR-07, L5-001..L5-003] (rule_id, blocking, term) of the three graph checks."""
+    row = lambda df, rule, blocking, node: df.select(F.lit(rule).alias("rule_id"), F.lit(blocking).alias("blocking"), F.col(node).alias("term"))
+    out = row(over_generic(edges, generic), "L5-001", True, "node").unionByName(row(phantoms(edges, phantom), "L5-002", False, "node"))
+    return out.unionByName(row(disagreements(members, levels), "L5-003", False, "term"))
+
+
+def hub_flags(edges: DataFrame, suspects: DataFrame) -> DataFrame:
+    """[JN-21] Edges with whether either end is on the list of suspects (name), compared without regard to case."""
+    known = suspects.select(F.lower(F.trim("name")).alias("k")).distinct()
+    at = lambda c, flag: known.select(F.col("k").alias(c), F.lit(True).alias(flag))
+    rows = edges.withColumn("ka", F.lower(F.trim("a"))).withColumn("kb", F.lower(F.trim("b")))
+    rows = rows.join(at("ka", "hub_a"), "ka", "left").join(at("kb", "hub_b"), "kb", "left")
+    return rows.select("a", "b", "weight", (F.coalesce("hub_a", F.lit(False)) | F.coalesce("hub_b", F.lit(False))).alias("suspect"))
+
+
 def clusters(edges: DataFrame, most: int = 10) -> DataFrame:
     """[GR-03..GR-05, AG-14] (component, split, term): components of 2 to ``most`` nodes whole, larger ones split greedily.
 

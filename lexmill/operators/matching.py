@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions import text as T
 from lexmill.functions.plain import best_ratio, plain_normalize
-from lexmill.operators.components import connected_components
+from lexmill.operators.components import connected_components, cut
 from lexmill.operators.rules import alias_map
 
 MOST_KEYS = 200_000
@@ -43,16 +43,30 @@ def match(names: DataFrame, terms: DataFrame, threshold: float = 0.85, fuzzy: bo
     bare = keys.select(T.strip_punctuation(F.col("key")).alias("bare"), "canonical", "pos")
     tier(_best(todo.withColumn("bare", T.strip_punctuation(F.col("low"))).join(bare, "bare").select("name", "canonical", "pos")), "normalized", 0.95)
     if fuzzy:
-        tier(_closest(todo, keys, threshold), "fuzzy", F.col("ratio"))
+        closest, _ = cut(_closest(todo, keys, threshold), "closest")  # written: it is read twice and dear
+        tier(closest, "fuzzy", F.col("ratio"))
     names_of = terms.select(F.lower("canonical").alias("canonical"), F.struct("grp_pos", "canonical_pos").alias("pos")).groupBy("canonical").agg(F.min("pos").alias("pos")).filter(F.length("canonical") >= 3)
-    inside = todo.join(names_of, F.col("low").contains(F.col("canonical")) & (F.col("low") != F.col("canonical")))
-    tier(_best(inside.select("name", "canonical", "pos")), "containment", 0.80)
+    tier(_best(_contained(todo, names_of)), "containment", 0.80)
     result = out[0]
     for o in out[1:]:
         result = result.unionByName(o)
     return result
 
 
+def _trigrams(text) -> Column:
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - 2), lambda i: F.substring(text, i, F.lit(3))))
+
+
+def _contained(todo: DataFrame, names: DataFrame) -> DataFrame:
+    """(name, canonical, pos) of canonicals inside a name: an equi-join on the rarest trigram of each canonical, then the test."""
+    grams = names.select("canonical", "pos", F.explode(_trigrams(F.col("canonical"))).alias("gram"))
+    often = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    anchor = grams.join(often, "gram").groupBy("canonical", "pos").agg(F.min(F.struct("n", "gram"))["gram"].alias("gram"))
+    asked = todo.filter(F.length("low") > 3).select("name", "low", F.explode(_trigrams(F.col("low"))).alias("gram"))
+    hits = asked.join(anchor, "gram").filter(F.col("low").contains(F.col("canonical")) & (F.col("low") != F.col("canonical")))
+    return hits.select("name", "canonical", "pos")
+
+
 def _closest(todo: DataFrame, keys: DataFrame, threshold: float) -> DataFrame:
     """Best SequenceMatcher ratio over all keys; the keys are broadcast, up to MOST_KEYS of them, else dealt in blocks by length.
 

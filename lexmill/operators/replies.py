@@ -42,7 +42,9 @@ def decisions(replies: DataFrame) -> tuple[DataFrame, DataFrame]:
 def classes(replies: DataFrame) -> tuple[DataFrame, DataFrame]:
     """[L4-001..L4-005] (raw classes for ``governance.normalised_classes``, findings) of replies (term, reply).
 
-    Values may stand at the top or under ``classification``.  COMPOSITE_STACK and CATEGORY are no classes but findings.
+    Values may stand at the top or under ``classification``.  COMPOSITE_STACK and CATEGORY are no classes but findings;
+    neither is a reply that breaks the schema: functional roles that are no list, flags that are no booleans, or a
+    nature, level or confidence given as anything but text or a number.
     """
     rows = replies.select("term", "reply", F.try_parse_json("reply").alias("v"))
     good = F.coalesce(_kind(F.col("v")).startswith("OBJECT"), F.lit(False))
@@ -54,6 +56,14 @@ def classes(replies: DataFrame) -> tuple[DataFrame, DataFrame]:
     special = kind.isin("COMPOSITE_STACK", "CATEGORY")
     composite = finding(raw.filter(kind == "COMPOSITE_STACK"), "L4-004", False, at, F.col("term"), norm, "split", "term names several technologies")
     category = finding(raw.filter(kind == "CATEGORY"), "L4-005", False, at, F.col("term"), norm, "move_to_groups", "term names a category")
-    kept = raw.filter(~special)
+    kind_of = lambda name: F.coalesce(_kind(F.try_variant_get("v", f"$.classification.{name}", "variant")), _kind(F.try_variant_get("v", f"$.{name}", "variant")))
+    plain = lambda name: F.coalesce(~kind_of(name).rlike("^(OBJECT|ARRAY)"), F.lit(True))
+    sound = plain("ontological_nature") & plain("abstraction_level") & plain("confidence")
+    sound = sound & F.coalesce(kind_of("functional_roles").rlike("^(ARRAY|VOID|STRING)"), F.lit(True))
+    for flag in ("is_contextual", "is_versioned", "is_marketing_language"):
+        sound = sound & F.coalesce(kind_of(flag).rlike("^(BOOLEAN|VOID|STRING|BIGINT|DECIMAL|DOUBLE)"), F.lit(True))
+    shaped = rows.filter(good).select("term", "reply", sound.alias("sound"))
+    odd = finding(shaped.filter(~F.col("sound")), "L4-002", True, at, F.substring("reply", 1, 240), norm, "manual_review", "classification breaks the schema")
+    kept = raw.filter(~special).join(shaped.filter("sound").select("term").distinct(), "term", "left_semi")
     low = finding(kept.filter(S.confidence(F.col("confidence")) == "LOW"), "L4-003", False, at, F.col("term"), norm, "manual_review", "classification of low confidence")
-    return kept, broken.unionByName(composite).unionByName(category).unionByName(low)
+    return kept, broken.unionByName(odd).unionByName(composite).unionByName(category).unionByName(low)

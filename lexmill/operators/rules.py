@@ -25,10 +25,17 @@ def finding(rows: DataFrame, rule: str, blocking: bool, location: Column, observ
 
 
 def _places(rows: DataFrame, key: Column, limit: int | None = LISTED) -> DataFrame:
-    """(norm, n, location): occurrences of a normalised term, their places sorted and joined."""
-    at = S.location(F.col("grp"), F.col("canonical"))
-    listed = F.array_sort(F.collect_set(at))
-    return rows.groupBy(key.alias("norm")).agg(F.count(F.lit(1)).alias("n"), F.array_join(F.slice(listed, 1, limit) if limit else listed, ", ").alias("location"))
+    """(norm, n, location): occurrences of a normalised term, their first ``limit`` places sorted and joined.
+
+    Places are counted and ranked before any is collected, so a term of very many places gathers no more than it shows.
+    """
+    each = rows.groupBy(key.alias("norm"), S.location(F.col("grp"), F.col("canonical")).alias("at")).agg(F.count(F.lit(1)).alias("n"))
+    total = each.groupBy("norm").agg(F.sum("n").alias("n"))
+    if limit:
+        nth = F.row_number().over(Window.partitionBy("norm").orderBy("at"))
+        each = each.withColumn("nth", nth).filter(F.col("nth") <= limit)
+    shown = each.groupBy("norm").agg(F.array_join(F.array_sort(F.collect_list("at")), ", ").alias("location"))
+    return total.join(shown, "norm")
 
 
 def canonicals(terms: DataFrame) -> DataFrame:
@@ -85,7 +92,7 @@ def versioned_aliases(terms: DataFrame) -> DataFrame:
 
 
 def hard_blocked(terms: DataFrame, pairs: DataFrame) -> DataFrame:
-    """[L1-008, PD-05, IO-15] Aliases on the block list (canonical, alias); of several for one canonical the last counts."""
+    """[L1-008, PD-05, IO-15] Aliases on the block list (canonical, alias); see ``merged_pairs`` for lists with repeated canonicals."""
     keyed = pairs.select(T.normalize(F.col("canonical")).alias("c"), T.normalize(F.col("alias")).alias("a"))
     rows = aliases(terms).join(keyed, (T.normalize(F.col("canonical")) == F.col("c")) & (T.normalize(F.col("alias")) == F.col("a")), "left_semi")
     return finding(rows, "L1-008", True, S.location(F.col("grp"), F.col("canonical")), F.col("alias"), T.normalize(F.col("alias")), "remove_alias", "pair is blocked")
@@ -156,9 +163,9 @@ def redundant_tokens(terms: DataFrame) -> DataFrame:
     return long.join(keyed.select("grp", "norm", F.col("canonical").alias("ends_in")), ["grp", "norm"]).select("grp", "canonical", "ends_in")
 
 
-def all_findings(terms: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+def all_findings(terms: DataFrame, pairs: DataFrame | None = None, exceptions: DataFrame | None = None) -> DataFrame:
     """[SO-02, ST-03] Union of the rules, each a lazy branch."""
-    made = [duplicate_canonicals(terms), alias_collisions(terms), alias_multiplicity(terms), group_collisions(terms), non_atomic(terms), versioned_aliases(terms), repeated_aliases(terms), without_rewrite(terms), auto_dropped(terms), self_groups(terms)]
+    made = [duplicate_canonicals(terms), alias_collisions(terms), alias_multiplicity(terms), group_collisions(terms), non_atomic(terms, exceptions), versioned_aliases(terms), repeated_aliases(terms), without_rewrite(terms), auto_dropped(terms), self_groups(terms)]
     if pairs is not None:
         made.append(hard_blocked(terms, pairs))
     return reduce(DataFrame.unionByName, made)
@@ -172,32 +179,75 @@ def rewritten_findings(terms: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, made).withColumn("rule_id", F.regexp_replace("rule_id", "^L1-", "L1R-"))
 
 
+def merged_pairs(old: DataFrame, new: DataFrame) -> DataFrame:
+    """[SO-08, IO-15] Block lists (canonical, alias) merged: one alias for a canonical, the new list's before the old one's."""
+    both = old.select("canonical", "alias", F.lit(0).alias("age")).unionByName(new.select("canonical", "alias", F.lit(1).alias("age")))
+    both = both.filter("canonical <> '' and alias <> ''")
+    return both.groupBy("canonical").agg(F.max_by("alias", F.struct("age", "alias")).alias("alias"))
+
+
 def findings_summary(findings: DataFrame) -> DataFrame:
     """[AG-01, AG-02, FN-40] Counts by rule and in all (rule_id null), one pass with grouping sets."""
     return findings.rollup("rule_id").agg(F.count(F.lit(1)).alias("n"), F.count_if("blocking").alias("errors"), F.count_if(~F.col("blocking")).alias("warnings"))
 
 
+def findings_by(findings: DataFrame, examples: int = 3) -> DataFrame:
+    """[AG-02, FN-40] (kind, value, n, examples): counts by rule, severity, action and reason, with the first few observed values."""
+    kinds = {"rule": F.col("rule_id"), "severity": S.severity(F.col("blocking")), "action": F.col("proposed_action"), "reason": F.col("reason")}
+    pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), v.alias("value")) for k, v in kinds.items()]))
+    each = findings.select(pairs.alias("p"), "observed_value").groupBy("p.kind", "p.value", "observed_value").agg(F.count(F.lit(1)).alias("n"))
+    total = each.groupBy("kind", "value").agg(F.sum("n").alias("n"))
+    nth = F.row_number().over(Window.partitionBy("kind", "value").orderBy("observed_value"))
+    shown = each.withColumn("nth", nth).filter(F.col("nth") <= examples).groupBy("kind", "value").agg(F.array_join(F.array_sort(F.collect_list("observed_value")), " | ").alias("examples"))
+    return total.join(shown, ["kind", "value"])
+
+
 def top_locations(findings: DataFrame, k: int = 10) -> DataFrame:
     """[AG-02, ST-08]"""
     return findings.groupBy("location").count().orderBy(F.desc("count"), "location").limit(k)
 
 
-def rewritten_terms(terms: DataFrame) -> DataFrame:
-    """[GV-05, GV-06, GV-07, SO-03] (grp, canonical, alias, alias_pos, source_canonical, action) after rewriting.
+def removed_aliases(terms: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+    """[L1-007, L1-008, GV-07] Distinct (grp, canonical, alias) that the rewritten store leaves out: versions and blocked pairs."""
+    rows = aliases(terms).select("grp", "canonical", "alias").distinct()
+    out = rows.filter(T.has_version(F.col("alias")))
+    if pairs is not None:
+        keyed = pairs.select(T.normalize(F.col("canonical")).alias("c"), T.normalize(F.col("alias")).alias("a"))
+        out = out.unionByName(rows.join(keyed, (T.normalize(F.col("canonical")) == F.col("c")) & (T.normalize(F.col("alias")) == F.col("a")), "left_semi"))
+    return out.distinct()
+
+
+def rewritten_terms(terms: DataFrame, pairs: DataFrame | None = None, exceptions: DataFrame | None = None) -> DataFrame:
+    """[GV-05, GV-06, GV-07, SO-03, CJ-08, CJ-09, L1-007, L1-008] (grp, canonical, alias, alias_pos, source_canonical, action) after rewriting.
 
-    A canonical becomes the parts of its decision; its aliases, and the content of parentheses, go to the first part;
-    entries of a group that come out alike are merged.
+    Aliases that hold versions or are blocked go.  A canonical that is no exception becomes the parts of its decision;
+    its aliases, and the content of parentheses, go to the first part, taken apart as far as is safe and without the
+    canonical's own acronym; entries of a group that come out alike are merged, the first spelling of an alias stays.
     """
-    base = terms.filter(T.normalize(F.col("grp")) != T.normalize(F.col("canonical"))).withColumn("d", T.rewrite_decision(F.col("canonical")))
+    from lexmill.functions.udfs import atomic_aliases_udf
+
+    terms = terms.join(removed_aliases(terms, pairs).withColumn("removed", F.lit(True)), ["grp", "canonical", "alias"], "left")
+    terms = terms.withColumn("alias", F.when(F.col("removed").isNull(), F.col("alias"))).drop("removed")
+    decision = T.rewrite_decision(F.col("canonical"))
+    excepted = T.normalize(F.col("canonical")).isin(*ATOMIC_EXCEPTIONS)
+    base = terms.filter(T.normalize(F.col("grp")) != T.normalize(F.col("canonical")))
+    if exceptions is not None:
+        more = exceptions.select(T.normalize(F.col("term_normalized")).alias("more")).distinct()
+        base = base.join(more, T.normalize(F.col("canonical")) == F.col("more"), "left")
+        excepted = excepted | F.col("more").isNotNull()
+    keep = F.struct(F.lit("keep").alias("action"), F.array("canonical").alias("parts"), F.lit(None).cast("string").alias("alias"))
+    base = base.withColumn("d", F.when(excepted, keep).otherwise(decision)).drop("more")
     parts = F.when(F.col("d.action") == "needs_exception", F.array("canonical")).otherwise(F.col("d.parts"))
     names = base.select("grp", "canonical", "d").distinct().select("grp", F.col("canonical").alias("source_canonical"), F.col("d.action").alias("action"), F.posexplode(parts).alias("part", "canonical"), F.col("d.alias").alias("extra"))
     old = base.filter("alias is not null").select("grp", F.col("canonical").alias("source_canonical"), "alias", "alias_pos")
     first = names.filter("part = 0")
     kept = first.join(old, ["grp", "source_canonical"]).select("grp", "canonical", "alias", "alias_pos", "source_canonical", "action")
     added = first.filter("extra is not null").select("grp", "canonical", F.col("extra").alias("alias"), F.lit(1 << 30).alias("alias_pos"), "source_canonical", "action")
-    every = kept.unionByName(added).filter(T.equivalence_key(F.col("alias")) != T.equivalence_key(F.col("canonical")))
-    nth = F.row_number().over(Window.partitionBy("grp", T.normalize(F.col("canonical")), T.equivalence_key(F.col("alias"))).orderBy("source_canonical", "alias_pos", "alias"))
-    every = every.withColumn("nth", nth).filter("nth = 1").drop("nth")
+    every = kept.unionByName(added).withColumn("atoms", atomic_aliases_udf(F.col("alias"), F.col("canonical")))
+    every = every.select("grp", "canonical", F.posexplode("atoms").alias("atom", "alias"), "alias_pos", "source_canonical", "action")
+    every = every.filter(~T.equivalence_key(F.col("alias")).isin("") & (T.equivalence_key(F.col("alias")) != T.equivalence_key(F.col("canonical"))))
+    nth = F.row_number().over(Window.partitionBy("grp", T.normalize(F.col("canonical")), T.equivalence_key(F.col("alias"))).orderBy("source_canonical", "alias_pos", "atom", "alias"))
+    every = every.withColumn("nth", nth).filter("nth = 1").drop("nth", "atom")
     return names.select("grp", "canonical", "source_canonical", "action").join(every.select("grp", "canonical", "source_canonical", "alias", "alias_pos"), ["grp", "canonical", "source_canonical"], "left")
 
 

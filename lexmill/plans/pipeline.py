@@ -2,12 +2,15 @@
 
 Stages: 0 pre-clean, 1 similarity, 2 clusters, 3 arbitration, 4 classification, 5 graph checks, 6 report.  Each stage's
 tables are written as Parquet under the run folder with a manifest of the input's digest and the settings, and a stage
-whose manifest is the same is read back, not run again.  Providers give decisions; the default ones are heuristics, and
-file-backed ones join a table of decisions and fall back on the heuristics.
+whose manifest is the same is read back, not run again.  The digest covers the term table, the block list, the
+exceptions, the settings and what the providers read.  Providers give decisions, or decisions and findings; the default
+ones are heuristics, file-backed ones join a table of decisions and fall back on the heuristics, and reply-backed ones
+read model replies as text.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -15,21 +18,35 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.operators import governance, graph, rules, similarity
+from lexmill.operators import governance, graph, replies, rules, similarity
 
 #: [OR-01] stage -> (tables it makes, stages it needs)
 STAGES: dict[int, tuple[tuple[str, ...], tuple[int, ...]]] = {
     0: (("findings", "terms", "suffixes", "rewritten_findings"), ()),
     1: (("edges", "advisories"), (0,)),
     2: (("clusters",), (1,)),
-    3: (("decisions",), (0, 2)),
-    4: (("classes",), (0,)),
+    3: (("decisions", "decision_findings"), (0, 2)),
+    4: (("classes", "class_findings"), (0,)),
     5: (("graph_findings",), (1, 2, 4)),
-    6: (("review", "summary"), (0, 1, 3, 4, 5)),
+    6: (("review", "summary", "report"), (0, 1, 3, 4, 5)),
 }
 
-Arbiter = Callable[[DataFrame], DataFrame]
-Classifier = Callable[[DataFrame], DataFrame]
+Given = DataFrame | tuple[DataFrame, DataFrame]
+Arbiter = Callable[[DataFrame], Given]
+Classifier = Callable[[DataFrame], Given]
+
+
+def digest(rows: DataFrame) -> str:
+    """[SS-06, SS-07] SHA-256 over the sums of 60-bit parts of each row's SHA-256: the same for the same rows in any order."""
+    row = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(rows.columns)]), {"ignoreNullFields": "false"}), 256)
+    part = lambda i: F.sum(F.conv(F.substring(F.col("h"), 1 + 15 * i, 15), 16, 10).cast("decimal(38,0)")).cast("string").alias(f"p{i}")
+    got = rows.select(row.alias("h")).agg(F.count(F.lit(1)).cast("string").alias("n"), *[part(i) for i in range(4)]).first()
+    return hashlib.sha256("|".join(str(v) for v in got).encode()).hexdigest()
+
+
+def identity(provider: Callable) -> str:
+    """What a provider is, for the manifest: the digest of what it reads, else its name."""
+    return getattr(provider, "mark", None) or f"{provider.__module__}.{provider.__qualname__}"
 
 
 @dataclass
@@ -53,6 +70,28 @@ def file_backed(decisions: DataFrame, key: str, fallback: Callable[[DataFrame],
         joined = made.join(known, norm(F.col(key)) == F.col("__key"), "left")
         return joined.select(*[F.coalesce(f"__{c}", c).alias(c) if f"__{c}" in known.columns else F.col(c) for c in made.columns])
 
+    give.mark = f"file|{key}|{digest(decisions)}|{identity(fallback)}"
+    return give
+
+
+def reply_arbiter(given: DataFrame) -> Arbiter:
+    """[IO-13, L3-001] Decisions from replies (cluster_id, reply); those of clusters at hand, and findings on broken replies."""
+
+    def give(members: DataFrame) -> Given:
+        asked = given.join(members.select("cluster_id").distinct(), "cluster_id", "left_semi")
+        return replies.decisions(asked)
+
+    give.mark = f"replies|{digest(given)}"
+    return give
+
+
+def reply_classifier(given: DataFrame) -> Classifier:
+    """[IO-13, L4-001..L4-005] Classes from replies (term, reply) to the terms at hand, and findings."""
+
+    def give(terms: DataFrame) -> Given:
+        return replies.classes(given.join(terms.select("term").distinct(), "term", "left_semi"))
+
+    give.mark = f"replies|{digest(given)}"
     return give
 
 
@@ -73,11 +112,11 @@ def needed(last: int, done: set[int]) -> list[int]:
 class Run:
     """[OR-02..OR-04, SS-06] One run over a term table (grp, canonical, alias, with places)."""
 
-    def __init__(self, spark: SparkSession, terms: DataFrame, folder: str, settings: Settings | None = None, pairs: DataFrame | None = None):
-        self.spark, self.input, self.folder, self.settings, self.pairs = spark, terms, folder.rstrip("/"), settings or Settings(), pairs
-        row = F.xxhash64(*[F.col(c).cast("string") for c in ("grp", "canonical", "alias")])
-        mark = terms.agg(F.count(F.lit(1)).alias("n"), F.sum(row.cast("decimal(38,0)")).alias("h")).first()
-        self.mark = f"{mark['n']}|{mark['h']}|{self.settings}"
+    def __init__(self, spark: SparkSession, terms: DataFrame, folder: str, settings: Settings | None = None, pairs: DataFrame | None = None, exceptions: DataFrame | None = None):
+        self.spark, self.input, self.folder, self.settings = spark, terms, folder.rstrip("/"), settings or Settings()
+        self.pairs, self.exceptions = pairs, exceptions
+        read = [digest(t) if t is not None else "-" for t in (terms, pairs, exceptions)]
+        self.mark = "|".join([*read, str(self.settings), identity(self.settings.arbiter), identity(self.settings.classifier)])
 
     def _path(self, name: str) -> str:
         return f"{self.folder}/{name}"
@@ -120,8 +159,8 @@ class Run:
         return {name: self.table(name) for stage in range(last + 1) if stage in self.done() for name in STAGES[stage][0]}
 
     def stage0(self) -> None:
-        findings = rules.all_findings(self.input, self.pairs)
-        rewritten = rules.without_auto_dropped(rules.rewritten_terms(self.input))
+        findings = rules.all_findings(self.input, self.pairs, self.exceptions)
+        rewritten = rules.without_auto_dropped(rules.rewritten_terms(self.input, self.pairs, self.exceptions))
         self._keep(0, findings=findings, terms=rewritten, suffixes=rules.suffix_overlaps(rewritten), rewritten_findings=rules.rewritten_findings(rewritten))
 
     def stage1(self) -> None:
@@ -137,33 +176,43 @@ class Run:
 
     def stage3(self) -> None:
         members = self.table("clusters")
-        self._keep(3, decisions=governance.governed(self.settings.arbiter(members), members, self.table("terms").select("canonical").distinct()))
+        given, broken = _parted(self.settings.arbiter(members))
+        made = governance.governed(given, members, self.table("terms").select("canonical").distinct())
+        made.write.mode("overwrite").parquet(self._path("decisions"))
+        refused = governance.violation_findings(self.table("decisions"))
+        self._keep(3, decision_findings=refused if broken is None else refused.unionByName(broken))
 
     def stage4(self) -> None:
         names = self.table("terms").select(F.col("canonical").alias("term")).distinct()
-        self._keep(4, classes=governance.normalised_classes(self.settings.classifier(names)))
+        given, broken = _parted(self.settings.classifier(names))
+        none = self.table("findings").limit(0)
+        self._keep(4, classes=governance.normalised_classes(given), class_findings=none if broken is None else broken)
 
     def stage5(self) -> None:
-        edges, s = self._edges(), self.settings
-        row = lambda df, rule, blocking, node: df.select(F.lit(rule).alias("rule_id"), F.lit(blocking).alias("blocking"), F.col(node).alias("term"))
         levels = self.table("classes").select("term", F.col("abstraction_level").alias("level"))
-        odd = graph.disagreements(self.table("clusters").select(F.col("cluster_id").alias("cluster"), "term"), levels)
-        self._keep(5, graph_findings=row(graph.over_generic(edges, s.over_generic), "L5-001", True, "node").unionByName(row(graph.phantoms(edges, s.phantom), "L5-002", False, "node")).unionByName(row(odd, "L5-003", False, "term")))
+        members = self.table("clusters").select(F.col("cluster_id").alias("cluster"), "term")
+        self._keep(5, graph_findings=graph.graph_findings(self._edges(), members, levels, self.settings.over_generic, self.settings.phantom))
 
     def stage6(self) -> None:
         review = governance.review_queue(self.table("decisions"), self.table("classes"), self.table("suffixes"), self.table("advisories"))
-        self._keep(6, review=review, summary=rules.findings_summary(self.table("findings")))
+        every = self.findings()
+        self._keep(6, review=review, summary=rules.findings_summary(every), report=rules.findings_by(every))
+
+    def findings(self) -> DataFrame:
+        """[SO-02] Findings of the stages 0, 3 and 4; those of the graph stay apart."""
+        return self.table("findings").unionByName(self.table("decision_findings")).unionByName(self.table("class_findings"))
 
     def exit_code(self) -> int:
-        """[GV-13] 4 for a blocking graph finding, 2 for any other blocking one, else 0."""
-        blocking = not self.table("findings").filter("blocking").isEmpty() or not self.table("decisions").filter("blocked").isEmpty()
-        return governance.exit_code(False, blocking, not self.table("graph_findings").filter("blocking").isEmpty())
+        """[GV-13] 3 for a reply that couldn't be read, 4 for a blocking graph finding, 2 for any other blocking one, else 0."""
+        every = self.findings()
+        unread = not every.filter(F.col("rule_id").isin("L3-001", "L4-001", "L4-002")).isEmpty()
+        return governance.exit_code(unread, not every.filter("blocking").isEmpty(), not self.table("graph_findings").filter("blocking").isEmpty())
 
     def proposed_changes(self) -> dict[str, DataFrame]:
         """[GV-14, AG-25, ST-05]"""
         changed = F.col("blocked") | ~F.col("requested_action").eqNullSafe(F.col("effective_action"))
         return {
-            "blocking": self.table("findings").filter("blocking").orderBy("rule_id", "location"),
+            "blocking": self.findings().filter("blocking").orderBy("rule_id", "location"),
             "arbitration": self.table("decisions").filter(changed).orderBy("cluster_id", "term"),
             "classification": self.table("classes").filter("status = 'under_review'").orderBy("term"),
             "graph": self.table("graph_findings").orderBy("rule_id", "term"),
@@ -179,6 +228,10 @@ class Run:
         return "\n".join(out)
 
 
+def _parted(given: Given) -> tuple[DataFrame, DataFrame | None]:
+    return given if isinstance(given, tuple) else (given, None)
+
+
 def settled(step: Callable[[DataFrame], DataFrame], rows: DataFrame, most: int = 5) -> tuple[DataFrame, int]:
     """[SS-08] Apply ``step`` until its rows stay the same, ``most`` times at most."""
     for n in range(1, most + 1):

@@ -48,23 +48,43 @@ def schema_breaches(documents: DataFrame, column: str = "value") -> DataFrame:
     kind = lambda c: F.schema_of_variant(c)
     roots = documents.select(F.lit("root").alias("location"), kind(root).alias("kind"))
     bad_root = roots.filter(F.col("kind").isNull() | ~F.col("kind").startswith("OBJECT")).select("location", F.lit("root must be an object").alias("reason"))
-    ok = documents.select(root.alias("v")).filter(kind(F.col("v")).startswith("OBJECT"))
-    ok.createOrReplaceTempView("_store_documents")
     spark = documents.sparkSession
-    groups = spark.sql("select g.key as grp, g.value as v from _store_documents, lateral variant_explode(v) g")
+    explode = lambda df: df.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
+    ok = documents.select(root.alias("v")).filter(kind(F.col("v")).startswith("OBJECT"))
+    groups = explode(ok).select(F.col("key").alias("grp"), F.col("value").alias("v"))
     bad_group = groups.filter(~kind(F.col("v")).startswith("OBJECT")).select(F.concat(F.lit("group:"), "grp").alias("location"), F.lit("group must be an object").alias("reason"))
-    groups.filter(kind(F.col("v")).startswith("OBJECT")).createOrReplaceTempView("_store_groups")
-    names = spark.sql("select grp, c.key as canonical, c.value as v from _store_groups, lateral variant_explode(v) c")
+    names = explode(groups.filter(kind(F.col("v")).startswith("OBJECT"))).select("grp", F.col("key").alias("canonical"), F.col("value").alias("v"))
     at = F.concat(F.lit("group:"), "grp", F.lit(".canonical:"), "canonical")
     bad_list = names.filter(~kind(F.col("v")).startswith("ARRAY")).select(at.alias("location"), F.lit("aliases must be an array").alias("reason"))
     blank = names.filter(F.trim("canonical") == "").select(at.alias("location"), F.lit("canonical must not be blank").alias("reason"))
-    names.filter(kind(F.col("v")).startswith("ARRAY")).createOrReplaceTempView("_store_names")
-    aliases = spark.sql("select grp, canonical, a.pos as pos, a.value as v from _store_names, lateral variant_explode(v) a")
+    aliases = explode(names.filter(kind(F.col("v")).startswith("ARRAY"))).select("grp", "canonical", "pos", F.col("value").alias("v"))
     no_text = (kind(F.col("v")) != "STRING") | (F.trim(F.try_variant_get("v", "$", "string")) == "")
     bad_alias = aliases.filter(no_text).select(F.concat(at, F.lit(".alias:"), F.col("pos").cast("string")).alias("location"), F.lit("alias must be non-blank text").alias("reason"))
     return bad_root.unionByName(bad_group).unionByName(bad_list).unionByName(blank).unionByName(bad_alias)
 
 
+def read_pairs(spark: SparkSession, path: str) -> DataFrame:
+    """[IO-15] (canonical, alias) of a JSON object; of a canonical that is written twice the last counts."""
+    text = spark.read.text(path, wholetext=True)
+    entries = F.regexp_extract_all("value", F.lit(r'"((?:[^"\\]|\\.)*)"\s*:\s*"((?:[^"\\]|\\.)*)"'), F.lit(0))
+    each = text.select(F.posexplode(entries).alias("pos", "e")).select("pos", F.from_json(F.concat(F.lit("{"), "e", F.lit("}")), F.lit("map<string,string>")).alias("m"))
+    rows = each.select("pos", F.explode("m").alias("canonical", "alias"))
+    return rows.groupBy("canonical").agg(F.max_by("alias", "pos").alias("alias"))
+
+
+def read_exceptions(spark: SparkSession, path: str) -> DataFrame:
+    """[IO-14] (term_normalized, reason_code, notes) of an exceptions file; rows without a term are left out."""
+    kind = "atomicity_exceptions array<struct<term_normalized: string, reason_code: string, notes: string>>"
+    rows = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", F.lit(kind))["atomicity_exceptions"]).alias("e")).select("e.*")
+    return rows.withColumn("term_normalized", T.normalize(F.col("term_normalized"))).filter("term_normalized <> ''")
+
+
+def latest_report(rows: DataFrame) -> DataFrame:
+    """[IO-16] Of an append-only log (run_id, at, ...) the rows of the latest run."""
+    last = rows.agg(F.max(F.struct("at", "run_id")).alias("l")).select("l.run_id")
+    return rows.join(F.broadcast(last), "run_id", "left_semi")  # one row
+
+
 RECORD = "title string, source_url string, scraped_at string, is_error boolean, technical_skills array<string>, extraction_quality struct<unmapped_skills: array<string>>, _corrupt string"
 
 

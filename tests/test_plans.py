@@ -5,9 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexmill.config import Config
-from lexmill.plans.pipeline import STAGES, Run, Settings, file_backed, needed, settled
-from lexmill.operators import governance
-from lexmill.sources import providers, pycode
+from lexmill.plans.pipeline import STAGES, Run, Settings, digest, file_backed, needed, reply_arbiter, reply_classifier, settled
+from lexmill.operators import anomaly, discovery, governance, graph, rules
+from lexmill.sources import providers, pycode, stores
 
 KIND = "grp string, grp_pos int, canonical string, canonical_pos int, alias string, alias_pos int"
 
@@ -101,3 +101,72 @@ def test_queries_equal_sql(spark, name):
     at = [want.columns.index(c) for c in cols]
     clean = lambda v: round(v, 9) if isinstance(v, float) else v
     assert sorted((tuple(clean(r[c]) for c in cols) for r in df.collect()), key=repr) == sorted((tuple(clean(r[i]) for i in at) for r in want.fetchall()), key=repr)
+
+
+def test_resume_looks_at_pairs_and_providers(spark, tmp_path):
+    t = terms(spark, ("Libraries", "NumPy", ["numba", "Python 3", "ndarray"]), ("Libraries", "Numba tools", None))
+    folder = str(tmp_path / "run")
+    pairs = spark.createDataFrame([("NumPy", "numba")], "canonical string, alias string")
+    run = Run(spark, t, folder, pairs=pairs)
+    run.run(0)
+    assert {r["alias"] for r in run.table("terms").filter("canonical = 'NumPy'").collect()} == {"ndarray"}
+    assert Run(spark, t, folder, pairs=pairs).done() == {0} and Run(spark, t, folder).done() == set()
+    assert Run(spark, t, folder, pairs=spark.createDataFrame([("NumPy", "other")], "canonical string, alias string")).done() == set()
+    replies = spark.createDataFrame([("cluster-0001", "{}")], "cluster_id string, reply string")
+    a, b = (Settings(arbiter=reply_arbiter(r)) for r in (replies, replies.limit(0)))
+    assert Run(spark, t, folder, a, pairs).mark != Run(spark, t, folder, b, pairs).mark != Run(spark, t, folder, pairs=pairs).mark
+    assert digest(t) == digest(t.repartition(3)) != digest(t.limit(1))
+
+
+def test_replies_govern_the_run(spark, tmp_path):
+    t = terms(spark, ("Web", "Vector Index", None), ("Web", "Vector Indexing", None), ("Web", "Vector Indexes", None))
+    good = '{"decisions": [{"term": "Vector Indexes", "action": "MERGE_AS_ALIAS", "target_canonical": "Vector Index", "confidence": "HIGH"}, {"term": "Vector Index", "action": "SPLIT_INTO_MULTIPLE_CANONICALS", "confidence": "HIGH"}]}'
+    classes = [("Vector Index", '{"classification": {"ontological_nature": "Concept", "functional_roles": []}, "confidence": "HIGH"}'), ("Vector Indexing", '{"classification": {"functional_roles": {"a": 1}}}')]
+
+    def run(name, cluster_reply, class_replies):
+        s = Settings(threshold=0.6, arbiter=reply_arbiter(spark.createDataFrame([("cluster-0001", cluster_reply)], "cluster_id string, reply string")), classifier=reply_classifier(spark.createDataFrame(class_replies, "term string, reply string")))
+        r = Run(spark, t, str(tmp_path / name), s)
+        r.run()
+        return r
+
+    first = run("good", good, classes[:1])
+    assert {(d["term"], d["effective_action"]) for d in first.table("decisions").collect()} == {("Vector Indexes", "MERGE_AS_ALIAS"), ("Vector Index", "KEEP_DISTINCT")}
+    assert [f["rule_id"] for f in first.table("decision_findings").collect()] == ["L3-002"] and first.exit_code() in (2, 4)
+    assert "L3-002" in {r["value"] for r in first.table("report").filter("kind = 'rule'").collect()}
+    second = run("broken", "no json", classes)
+    assert {f["rule_id"] for f in second.findings().collect()} >= {"L3-001", "L4-002"} and second.exit_code() == 3
+
+
+def test_files_of_pairs_and_exceptions(spark, tmp_path):
+    (tmp_path / "pairs.json").write_text('{"NumPy": "numba", "a \\"q\\"": "b", "NumPy": "numeric"}')
+    assert {tuple(r) for r in stores.read_pairs(spark, str(tmp_path / "pairs.json")).collect()} == {("NumPy", "numeric"), ('a "q"', "b")}
+    (tmp_path / "e.json").write_text('{"atomicity_exceptions": [{"term_normalized": "TCP/IP ", "reason_code": "x"}, {"notes": "none"}]}')
+    assert [tuple(r) for r in stores.read_exceptions(spark, str(tmp_path / "e.json")).collect()] == [("tcp/ip", "x", None)]
+    old = spark.createDataFrame([("a", "x"), ("b", "y")], "canonical string, alias string")
+    new = spark.createDataFrame([("b", "z"), ("c", "w"), ("", "q")], "canonical string, alias string")
+    assert {tuple(r) for r in rules.merged_pairs(old, new).collect()} == {("a", "x"), ("b", "z"), ("c", "w")}
+    log = spark.createDataFrame([("r1", 1, "a"), ("r2", 2, "b"), ("r2", 2, "c")], "run_id string, at int, what string")
+    assert {r["what"] for r in stores.latest_report(log).collect()} == {"b", "c"}
+
+
+def test_small_operators(spark):
+    e = spark.createDataFrame([("A", "b", 3.0), ("A", "c", 3.0), ("b", "c", 1.0)], "a string, b string, weight double")
+    assert [tuple(r) for r in graph.neighbours(e, 1).orderBy("node").collect()] == [("A", 1, "b", 3.0), ("b", 1, "A", 3.0), ("c", 1, "A", 3.0)]
+    flags = graph.hub_flags(e, spark.createDataFrame([(" a",)], "name string"))
+    assert {(r["a"], r["b"], r["suspect"]) for r in flags.collect()} == {("A", "b", True), ("A", "c", True), ("b", "c", False)}
+    comp = spark.createDataFrame([(f"n{i}", f"{c}{i // 2}") for i, c in enumerate("xxyyaazz")], "node string, component string")
+    order = sorted({r["component"] for r in comp.collect()})
+    want = {(r["node"], f"cluster-{order.index(r['component']) + 1:04d}") for r in comp.collect()}
+    assert {tuple(r) for r in graph.numbered(comp, "cluster").collect()} == want
+    t = terms(spark, *[("G", f"c{i}", None) for i in range(8)], ("H", "only", None))
+    assert {tuple(r) for r in discovery.group_context(t).collect()} == {("G", "c0, c1, c2, c3, c4, c5, ... (8 total)"), ("H", "only (1 total)")}
+    batch = spark.createDataFrame([("Kafka",), ("Rust",)], "skill string")
+    replies = spark.createDataFrame([(" kafka", 0, "Tools"), ("KAFKA", 1, "Other")], "skill string, pos int, grp string")
+    assert {tuple(r) for r in discovery.matched_replies(batch, replies).collect()} == {("Kafka", "Tools"), ("Rust", None)}
+    assert discovery.batches(batch.union(batch), 1).count() == 2
+    state = spark.createDataFrame([("a", "h1"), ("b", "h2")], "key string, input_hash string")
+    assert [r["key"] for r in discovery.live_state(state, "h2").collect()] == ["b"]
+    nodes = spark.createDataFrame([("A", 5, 2.0), ("b", 9, -3.0), ("c", 1, None)], "skill string, total_count int, z double")
+    assert [(r["skill"], r["rank"]) for r in anomaly.top_outliers(nodes, "z").orderBy("rank").collect()] == [("b", 1), ("A", 2)]
+    labels = spark.createDataFrame([("a ", "hub")], "name string, label string")
+    assert {(r["skill"], r["label"]) for r in anomaly.with_labels(nodes, labels).collect()} == {("A", "hub"), ("b", None), ("c", None)}
