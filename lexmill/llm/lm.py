@@ -41,7 +41,7 @@ END = _U(0x0123456789ABCDEF)
 HASHES = 3
 LEVELS = 40
 BLOCK_BYTES = 1 << 21
-HELD_TOKENS = 1 << 21
+HELD_TOKENS = 1 << 20
 
 
 def is_held_out(key: Column, folds: int = 5, held: int = 1) -> Column:
@@ -229,6 +229,7 @@ def bigram_blocks(training: DataFrame, shared, bits: int, bits_per_entry: int) -
         def flush() -> pa.RecordBatch:
             """Per bucket: the tokens v, how many entries each has, and their keys and counts (up to 255, more in more entries)."""
             keys, before = (np.concatenate(h) for h in zip(*held))
+            held.clear()
             order = np.argsort(keys)
             keys, before = keys[order], before[order]
             first = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (before[1:] != before[:-1])]))
@@ -257,7 +258,7 @@ def bigram_blocks(training: DataFrame, shared, bits: int, bits_per_entry: int) -
                 n += len(tokens)
                 if n >= HELD_TOKENS:
                     yield flush()
-                    held, n = [], 0
+                    n = 0
         if n:
             yield flush()
 
@@ -283,7 +284,7 @@ def bigram_blocks(training: DataFrame, shared, bits: int, bits_per_entry: int) -
     return rows.groupBy("bucket").applyInArrow(reduce, "bucket long, block binary, size long, v binary, t binary, s binary, hot array<struct<place:long,t:long,s:double>>")
 
 
-def fit(training: DataFrame, hot: int = 1 << 17, filter_bits: int = 1 << 28, bits_per_entry: int = 10, spread: int = 1 << 12) -> tuple[Model, DataFrame]:
+def fit(training: DataFrame, hot: int = 1 << 18, filter_bits: int = 1 << 26, bits_per_entry: int = 10, spread: int = 1 << 12) -> tuple[Model, DataFrame]:
     """(model, store).  What is broadcast is bounded by ``hot`` and ``filter_bits``; the store holds everything by bucket."""
     spark = training.sparkSession
     bits = bucket_bits(training)
