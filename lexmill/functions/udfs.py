@@ -54,3 +54,30 @@ def primary_type_udf(payload: Column) -> Column:
         return pd.Series([plain.primary_type(plain.lenient_json(x)) for x in p], dtype="object")
 
     return F.pandas_udf(run, "string")(payload)
+
+
+def functional_roles_udf(payload: Column) -> Column:
+    """[FN-36]"""
+
+    def run(p: pd.Series) -> pd.Series:
+        return pd.Series([plain.functional_roles(plain.lenient_json(x)) for x in p], dtype="object")
+
+    return F.pandas_udf(run, "array<string>")(payload)
+
+
+def lenient_rows_udf(text: Column) -> Column:
+    """[FN-38] Each row as JSON text."""
+
+    def run(t: pd.Series) -> pd.Series:
+        return pd.Series([[json.dumps(r, sort_keys=True) for r in plain.lenient_rows(x)] for x in t], dtype="object")
+
+    return F.pandas_udf(run, "array<string>")(text)
+
+
+def alias_answer_udf(text: Column) -> Column:
+    """[FN-39] The alias that the first answer names, null where it names none."""
+
+    def run(t: pd.Series) -> pd.Series:
+        return pd.Series([(plain.alias_answer(x) or {}).get("alias_of") for x in t], dtype="object")
+
+    return F.pandas_udf(run, "string")(text)

@@ -95,17 +95,19 @@ def heuristic_classes(terms: DataFrame) -> DataFrame:
 def normalised_classes(rows: DataFrame) -> DataFrame:
     """[GV-08, GV-09, FN-27..FN-29] Valid enumerations from (term, ontological_nature, primary_type, abstraction_level, confidence, status) as given."""
     kind = F.coalesce(F.nullif(T.trimmed(F.col("primary_type")), F.lit("")), F.col("term"))
-    nature = F.coalesce(named_nature(F.col("ontological_nature")), inferred_nature(kind, F.col("term")))
-    level = F.coalesce(F.when(F.initcap(T.trimmed(F.col("abstraction_level"))).isin(*S.LEVELS), F.initcap(T.trimmed(F.col("abstraction_level")))), inferred_level(nature, kind, F.col("term")))
-    domain = is_domain(F.col("term"), kind)
-    conf = S.confidence(F.col("confidence"))
-    return rows.select(
+    level = F.initcap(T.trimmed(F.col("abstraction_level")))
+    given = rows.select("term", kind.alias("kind"), named_nature(F.col("ontological_nature")).alias("named"), F.when(level.isin(*S.LEVELS), level).alias("level"), S.confidence(F.col("confidence")).alias("confidence"), F.col("status").alias("said"))
+    # One step after the other: as one expression the generated code outgrows what the JVM compiles.
+    told = given.withColumn("nature", F.coalesce("named", inferred_nature(F.col("kind"), F.col("term")))).withColumn("domain", is_domain(F.col("term"), F.col("kind")))
+    told = told.withColumn("level", F.coalesce("level", inferred_level(F.col("nature"), F.col("kind"), F.col("term"))))
+    domain = F.col("domain")
+    return told.select(
         "term",
-        F.when(domain, "Concept").otherwise(nature).alias("ontological_nature"),
-        F.when(domain, F.col("term")).otherwise(kind).alias("primary_type"),
-        F.when(domain, "Domain").otherwise(level).alias("abstraction_level"),
-        conf.alias("confidence"),
-        S.status(F.col("status"), conf).alias("status"),
+        F.when(domain, "Concept").otherwise(F.col("nature")).alias("ontological_nature"),
+        F.when(domain, F.col("term")).otherwise(F.col("kind")).alias("primary_type"),
+        F.when(domain, "Domain").otherwise(F.col("level")).alias("abstraction_level"),
+        "confidence",
+        S.status(F.col("said"), F.col("confidence")).alias("status"),
     )
 
 

@@ -23,7 +23,7 @@ VERSION = "regexp_matches({0}, '(?i)\\b(v\\d+|\\d+\\.\\d+|\\d{{4}}|\\d+\\s*bit|e
 TAX = "select p_type grp, p_name canonical, p_brand alias, p_partkey pos, trim(regexp_replace(lower(p_type), '\\s+', ' ', 'g')) gn, trim(regexp_replace(lower(p_name), '\\s+', ' ', 'g')) cn, trim(regexp_replace(lower(p_brand), '\\s+', ' ', 'g')) an from part"
 CANON = f"tax as ({TAX}), canon as (select distinct grp, canonical, gn, cn from tax where gn <> cn), ali as (select * from tax where alias is not null and gn <> cn)"
 ODD = "odd as (select p_partkey, case p_partkey % 7 when 0 then p_brand || '/' || p_name when 1 then p_name || ' (' || p_brand || ')' when 2 then p_name || ' and ' || p_type when 3 then 'Advanced  ' || p_name when 4 then p_name || ', ' || p_type when 5 then p_name || ' v' || p_size else '  ' || upper(p_name) || '-' || p_brand end as name from part)"
-NODES = "nodes as (select c_name skill, coalesce(n, 0)::bigint total_count, n_name grp, r_name super_grp from customer left join (select o_custkey, count(*) n from orders where o_orderpriority = '1-URGENT' group by 1) on o_custkey = c_custkey join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey)"
+NODES = "nodes as (select c_name skill, coalesce(n, 0)::bigint total_count, n_name grp, r_name super_grp from customer left join (select o_custkey, count(*) filter (o_orderpriority = '1-URGENT') n from orders group by 1) on o_custkey = c_custkey join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey)"
 JD = "jd as (select distinct l_orderkey doc, p_name item from lineitem join part on l_partkey = p_partkey), edges as (select x.item a, y.item b, count(*)::bigint weight from jd x join jd y on x.doc = y.doc and x.item < y.item group by 1, 2)"
 HEAVY = "heavy as (select * from edges where weight >= (select quantile_disc(weight, 0.9) from edges))"
 MENTION = "m as (select 'Skill ' || json_extract_string(props, '$.k') as name, lower('skill_' || json_extract_string(props, '$.k')) as key, event_type tag, 'u' || user_id source, strftime(ts, '%Y-%m-%d') as day, event_id ord from events)"
@@ -106,39 +106,51 @@ def enumerations(spark, sf_dir):
 
 
 # --- rules -----------------------------------------------------------------------------------------------------------
+#: blocking, proposed action and reason of a rule's findings
+_FIXED = {
+    "l1_002_duplicates": ("true", "merge_duplicates", "canonical occurs more than once"),
+    "l1_003_collisions": ("true", "remove_alias", "alias equals a canonical"),
+    "l1_004_multiplicity": ("true", "choose_canonical", "alias maps to several canonicals"),
+    "l1_005_group": ("true", "rename_canonical", "group name equals a canonical"),
+    "l1_009_dup_alias": ("false", "remove_alias", "alias is repeated"),
+    "l1_011_auto_drop": ("false", "remove_alias", "alias equals another canonical"),
+}
+
+
 def _rule(name: str, doc: str, build: Callable[[DataFrame], DataFrame], sql: str) -> None:
     def run(spark, sf_dir):
-        return build(V.tax(spark, sf_dir)).select("rule_id", "location", "observed_value", "normalized_value")
+        return build(V.tax(spark, sf_dir)).select(*rules.FINDING)
 
     run.__name__, run.__doc__ = name, doc
-    query(sql)(run)
+    blocking, action, reason = _FIXED[name]
+    query(f"select *, {blocking} as blocking, '{action}' as proposed_action, '{reason}' as reason from ({sql})")(run)
 
 
 _AT = "'group:' || grp || '.canonical:' || canonical"
 _LIST = "array_to_string(list_sort(list(distinct " + _AT + ")){0}, ', ')"
 _rule("l1_002_duplicates", "[L1-002, JN-01]", rules.duplicate_canonicals, f"with {CANON} select 'L1-002' as rule_id, {_LIST.format('')} as location, cn as observed_value, cn as normalized_value from canon group by cn having count(*) > 1")
-_rule("l1_003_collisions", "[L1-003, JN-03]", lambda t: rules.alias_collisions(_mirrored(t)), f"with tax0 as ({TAX}), tax as (select grp, canonical, alias, pos, gn, cn, an from tax0 union all select grp, alias, canonical, pos, gn, an, cn from tax0 where pos % 50 = 0), canon as (select distinct grp, canonical, gn, cn from tax where gn <> cn), ali as (select * from tax where alias is not null and gn <> cn), a as (select an norm, {_LIST.format('[1:10]')} as here from ali group by 1), c as (select cn norm, {_LIST.format('[1:10]')} as loc from canon group by 1) select 'L1-003' as rule_id, here || ' | ' || loc as location, norm as observed_value, norm as normalized_value from a join c using (norm)")
+_rule("l1_003_collisions", "[L1-003, JN-03]", lambda t: rules.alias_collisions(_mirrored(t)), f"with tax0 as ({TAX}), tax as (select grp, canonical, alias, pos, gn, cn, an from tax0 union all select grp, alias, canonical, pos, gn, an, cn from tax0), canon as (select distinct grp, canonical, gn, cn from tax where gn <> cn), ali as (select * from tax where alias is not null and gn <> cn), a as (select an norm, {_LIST.format('[1:10]')} as here from ali group by 1), c as (select cn norm, {_LIST.format('[1:10]')} as loc from canon group by 1) select 'L1-003' as rule_id, here || ' | ' || loc as location, norm as observed_value, norm as normalized_value from a join c using (norm)")
 _rule("l1_004_multiplicity", "[L1-004, JN-02]", rules.alias_multiplicity, f"with {CANON} select 'L1-004' as rule_id, {_LIST.format('[1:10]')} as location, an as observed_value, an as normalized_value from ali group by an having count(distinct cn) > 1")
-_rule("l1_005_group", "[L1-005, JN-04]", lambda t: rules.group_collisions(_grouped(t)), f"with tax0 as ({TAX}), tax as (select grp, canonical, gn, cn from tax0 union all select canonical, alias, cn, an from tax0 where pos % 40 = 0), canon as (select distinct grp, canonical, gn, cn from tax where gn <> cn), c as (select cn norm, {_LIST.format('')} as loc from canon group by 1), gs as (select distinct grp as name, gn norm from tax) select 'L1-005' as rule_id, loc as location, name as observed_value, norm as normalized_value from gs join c using (norm)")
+_rule("l1_005_group", "[L1-005, JN-04]", lambda t: rules.group_collisions(_grouped(t)), f"with tax0 as ({TAX}), tax as (select grp, canonical, gn, cn from tax0 union all select canonical, alias, cn, an from tax0), canon as (select distinct grp, canonical, gn, cn from tax where gn <> cn), c as (select cn norm, {_LIST.format('')} as loc from canon group by 1), gs as (select distinct grp as name, gn norm from tax) select 'L1-005' as rule_id, loc as location, name as observed_value, norm as normalized_value from gs join c using (norm)")
 _rule("l1_009_dup_alias", "[L1-009, WN-01]", rules.repeated_aliases, f"with {CANON}, r as (select *, row_number() over (partition by grp, canonical, an order by pos) nth from ali) select 'L1-009' as rule_id, {_AT} as location, alias as observed_value, an as normalized_value from r where nth > 1")
-_rule("l1_011_auto_drop", "[L1-011, JN-06]", lambda t: rules.auto_dropped(_mirrored(t)), f"with tax0 as ({TAX}), tax as (select grp, canonical, alias, gn, cn, an from tax0 union all select grp, alias, canonical, gn, an, cn from tax0 where pos % 50 = 0), canon as (select distinct cn from tax where gn <> cn), a as (select distinct grp, canonical, alias, an, cn from tax where alias is not null and gn <> cn) select 'L1-011' as rule_id, {_AT} as location, alias as observed_value, an as normalized_value from a where an in (select cn from canon) and an <> cn")
+_rule("l1_011_auto_drop", "[L1-011, JN-06]", lambda t: rules.auto_dropped(_mirrored(t)), f"with tax0 as ({TAX}), tax as (select grp, canonical, alias, gn, cn, an from tax0 union all select grp, alias, canonical, gn, an, cn from tax0), canon as (select distinct cn from tax where gn <> cn), a as (select distinct grp, canonical, alias, an, cn from tax where alias is not null and gn <> cn) select 'L1-011' as rule_id, {_AT} as location, alias as observed_value, an as normalized_value from a where an in (select cn from canon) and an <> cn")
 
 
 def _mirrored(t: DataFrame) -> DataFrame:
-    """Some aliases as canonicals too, so that both sides collide."""
-    return t.unionByName(t.filter(F.col("alias_pos") % 50 == 0).select("grp", "grp_pos", F.col("alias").alias("canonical"), "canonical_pos", F.col("canonical").alias("alias"), "alias_pos"))
+    """All aliases as canonicals too, so that both sides collide."""
+    return t.unionByName(t.select("grp", "grp_pos", F.col("alias").alias("canonical"), "canonical_pos", F.col("canonical").alias("alias"), "alias_pos"))
 
 
 def _grouped(t: DataFrame) -> DataFrame:
-    """Some canonicals as groups too."""
-    return t.unionByName(t.filter(F.col("alias_pos") % 40 == 0).select(F.col("canonical").alias("grp"), "grp_pos", F.col("alias").alias("canonical"), "canonical_pos", F.lit(None).cast("string").alias("alias"), "alias_pos"))
+    """All canonicals as groups too."""
+    return t.unionByName(t.select(F.col("canonical").alias("grp"), "grp_pos", F.col("alias").alias("canonical"), "canonical_pos", F.lit(None).cast("string").alias("alias"), "alias_pos"))
 
 
-@query(f"with {CANON} select grp, canonical, alias from ali where (cn, an) in (select distinct cn, an from tax where pos % 97 = 0)")
+@query(f"with {CANON} select grp, canonical, alias from ali where (cn, an) in (select cn, min(an) from tax group by 1)")
 def hard_block_pairs(spark, sf_dir):
     """[PD-05, L1-008, IO-15]"""
     t = V.tax(spark, sf_dir)
-    pairs = t.filter(F.col("alias_pos") % 97 == 0).select("canonical", "alias").distinct()
+    pairs = t.groupBy("canonical").agg(F.min("alias").alias("alias"))  # the least alias of each canonical is blocked
     keyed = pairs.select(T.normalize(F.col("canonical")).alias("c"), T.normalize(F.col("alias")).alias("a"))
     return rules.aliases(t).join(keyed, (T.normalize(F.col("canonical")) == F.col("c")) & (T.normalize(F.col("alias")) == F.col("a")), "left_semi").select("grp", "canonical", "alias")
 
@@ -317,11 +329,11 @@ def health_summary(spark, sf_dir):
     return anomaly.health_summary(V.skill_nodes(spark, sf_dir), graph.cooccurrence(V.jd_skill(spark, sf_dir)))
 
 
-@query(f"with {NODES}, g as (select count(*) n from nodes where total_count > 0 group by grp) select (select count(*) from nodes)::bigint as total, (select count(*) from nodes where total_count > 0)::bigint as connected, (select count(*) from nodes where total_count <= 0)::bigint as disconnected, count(*) filter (n >= 5)::bigint as groups_sufficient, count(*) filter (n < 5)::bigint as groups_fallback from g")
+@query(f"with {NODES}, g as (select count(*) n from nodes where total_count > 0 group by grp) select (select count(*) from nodes)::bigint as total, (select count(*) from nodes where total_count > 0)::bigint as connected, (select count(*) from nodes where total_count <= 0)::bigint as disconnected, count(*) filter (n >= 5)::bigint as groups_sufficient, count(*) filter (n < 5)::bigint as groups_fallback, (select count(*) filter (suspicion_score >= 2) from (" + _group_sql("median(x)", "mad(x) * 1.4826") + "))::bigint as flagged from g")
 def outlier_summary(spark, sf_dir):
     """[AG-11, AG-23]"""
     n = V.skill_nodes(spark, sf_dir)
-    return anomaly.outlier_summary(anomaly.group_outliers(n), n).drop("flagged")
+    return anomaly.outlier_summary(anomaly.group_outliers(n), n)
 
 
 # --- graph -----------------------------------------------------------------------------------------------------------
@@ -428,27 +440,45 @@ def queue_status_counts(spark, sf_dir):
     return discovery.status_counts(discovery.new_queue(discovery.queue_delta(V.mentions(spark, sf_dir)), threshold=100))
 
 
-@query(f"with {MENTION} select lower(name) as skill, count(*)::bigint as occurrence_count, arg_min(name, ord) as display_name, count(distinct source)::bigint as files from m group by 1")
+@query(
+    f"""
+    with {MENTION},
+    f as (select skill, list_sort(list(file)) files from (select lower(name) skill, source file, row_number() over (partition by lower(name) order by source) nth
+          from (select distinct name, source from m)) where nth <= 20 group by 1),
+    g as (select lower(name) skill, list_sort(list(distinct tag)) titles from m group by 1)
+    select lower(name) as skill, count(*)::bigint as occurrence_count, arg_min(name, (source, ord)) as display_name,
+           count(distinct source)::bigint as n_files, array_to_string(any_value(files), ',') as files, array_to_string(any_value(titles), ',') as titles
+    from m join f on f.skill = lower(name) join g on g.skill = lower(name) group by 1
+    """
+)
 def audit_occurrences(spark, sf_dir):
     """[AG-05, ST-07]"""
-    m = V.mentions(spark, sf_dir).select("name", F.col("source").alias("file"), F.lit(0).alias("line_number"), F.col("ord").alias("pos"), F.col("tag").alias("title"))
-    m = m.withColumn("line_number", F.col("pos")).withColumn("at", F.col("pos"))
-    out = discovery.audit(m.withColumn("file", F.col("file")))
-    first = m.groupBy(F.lower("name").alias("skill")).agg(F.min_by("name", "at").alias("display_name"))
-    return out.drop("display_name").join(first, "skill").select("skill", "occurrence_count", "display_name", F.size("files").cast("bigint").alias("files"))
+    out = discovery.audit(_occurrences(spark, sf_dir))
+    return out.withColumn("files", F.array_join("files", ",")).withColumn("titles", F.array_join("titles", ","))
+
+
+def _occurrences(spark, sf_dir) -> DataFrame:
+    return V.mentions(spark, sf_dir).select("name", F.col("source").alias("file"), F.col("ord").alias("line_number"), F.lit(0).alias("pos"), F.col("tag").alias("title"))
+
+
+@query(f"with {MENTION} select lower(name) as skill, row_number() over (partition by lower(name) order by source, ord)::int as nth, name, source as file, ord as line_number, 0 as pos, tag as title from m")
+def audit_rows(spark, sf_dir):
+    """[AG-05]"""
+    return discovery.occurrence_rows(_occurrences(spark, sf_dir))
 
 
-@query(f"with {MENTION}, q as ({_QUEUE}), tg as (select key, tag, count(*) n from m group by 1, 2), b as (select key, tag from (select *, row_number() over (partition by key order by n desc, tag) nth from tg) where nth = 1) select key, display_name, seen_count, b.tag as suggested_group, case when key in (select key from m where ord % 1000 = 0) then 'alias_of:' || display_name else 'approve' end as action from q join b using (key) where status = 'ready_for_promotion'")
+@query(f"with {MENTION}, q as ({_QUEUE}), tg as (select key, tag, count(*) n from m group by 1, 2), b as (select key, tag from (select *, row_number() over (partition by key order by n desc, tag) nth from tg) where nth = 1) select key, display_name, seen_count, b.tag as suggested_group, case when key in (select 'skill_' || p_size from part) then 'alias_of:SKILL ' || substr(key, 7) else 'approve' end as action from q join b using (key) where status = 'ready_for_promotion'")
 def review_actions(spark, sf_dir):
     """[GV-10, JN-14, AG-15]"""
     m = V.mentions(spark, sf_dir)
     q = discovery.new_queue(discovery.queue_delta(m), threshold=100)
-    known = m.filter(F.col("ord") % 1000 == 0).select(F.lower("name").alias("key"), F.col("name").alias("canonical")).distinct()
+    size = F.col("p_size").cast("string")
+    known = V.table(spark, sf_dir, "part").select(F.concat(F.lit("skill "), size).alias("key"), F.concat(F.lit("SKILL "), size).alias("canonical")).distinct()
     groups = V.table(spark, sf_dir, "part").select(F.col("p_type").alias("name")).distinct()
     return discovery.review(q, known, groups).select("key", "display_name", "seen_count", "suggested_group", "action")
 
 
-@query(f"with {MENTION}, q as ({_QUEUE}), r as (select case when key in (select key from m where ord % 1000 = 0) then 'aliased' else 'approved' end as a from q where status = 'ready_for_promotion') select count(*) filter (a = 'approved')::bigint as approved, count(*) filter (a = 'aliased')::bigint as aliased, 0::bigint as rejected, 0::bigint as skipped from r")
+@query(f"with {MENTION}, q as ({_QUEUE}), r as (select case when key in (select 'skill_' || p_size from part) then 'aliased' else 'approved' end as a from q where status = 'ready_for_promotion') select count(*) filter (a = 'approved')::bigint as approved, count(*) filter (a = 'aliased')::bigint as aliased, 0::bigint as rejected, 0::bigint as skipped from r")
 def apply_review_counts(spark, sf_dir):
     """[GV-11, AG-17]"""
     return discovery.applied(review_actions(spark, sf_dir).withColumn("sources", F.array()))[2]
@@ -459,13 +489,13 @@ _HAS = lambda words: "(" + " or ".join(f"contains(n, '{w}')" for w in words) + "
 _CLASS = lambda k: " ".join(f"when {_HAS(c[0])} then '{c[k]}'" for c in governance.HEURISTIC_CLASSES)
 
 
-@query(f"with t as (select distinct p_name || case p_partkey % 4 when 0 then ' network' when 1 then ' http' when 2 then ' design' else '' end as term from part), x as (select term, trim(lower(term)) n from t) select term, case {_CLASS(1)} else 'Software Artifact' end as ontological_nature, case {_CLASS(3)} end as primary_type, case {_CLASS(2)} else 'Concrete' end as abstraction_level, false as is_contextual, {VERSION.format('n')} as is_versioned, 'HIGH' as confidence, 'active' as status from x")
+@query(f"with t as (select distinct p_name || case p_partkey % 4 when 0 then ' network' when 1 then ' http' when 2 then ' design' else '' end as term from part), x as (select term, trim(lower(term)) n from t) select term, case {_CLASS(1)} else 'Software Artifact' end as ontological_nature, case {_CLASS(3)} end as primary_type, case {_CLASS(2)} else 'Concrete' end as abstraction_level, false as is_contextual, {VERSION.format('n')} as is_versioned, false as is_marketing_language, 'HIGH' as confidence, 'active' as status from x")
 def heuristic_classify(spark, sf_dir):
     """[UD-04, IO-13]"""
     k = F.col("p_partkey") % 4
     end = F.when(k == 0, " network").when(k == 1, " http").when(k == 2, " design").otherwise("")
     t = V.table(spark, sf_dir, "part").select(F.concat("p_name", end).alias("term")).distinct()
-    return governance.heuristic_classes(t).drop("is_marketing_language")
+    return governance.heuristic_classes(t)
 
 
 @query(f"with {ODD} select cast(p_partkey % 9 as varchar) as cluster_id, name as term, case p_partkey % 7 when 0 then 'SPLIT_INTO_MULTIPLE_CANONICALS' when 3 then 'MARK_AS_CONTEXTUAL' else 'KEEP_DISTINCT' end as action, case when p_partkey % 7 = 3 then ' ' || substr(name, 11) end as target_canonical, case when p_partkey % 7 = 3 then 'MEDIUM' else 'HIGH' end as confidence from odd")
@@ -487,13 +517,41 @@ def governed_decisions(spark, sf_dir):
     return d.select("cluster_id", "term", "effective_action", F.array_join("violations", ",").alias("violations"))
 
 
-@query("with c as (select distinct p_name as canonical from part where p_partkey % 2 = 0), o as (select p_partkey pos, p_brand || ' ' || p_name as canonical, p_type grp, trim(lower(p_brand || ' ' || p_name)) k from part), r as (select *, row_number() over (partition by k order by grp, canonical, pos) nth from o) select grp, canonical, nth = 1 as kept from r")
+@query(
+    """
+    with k as (select distinct lower(p_name) as k from part),
+    o as (select p_partkey pos, p_type grp, p_brand || ' ' || p_name as canonical, lower(p_brand || ' ' || p_name) as c, p_name as a1, 'only ' || p_partkey as a2 from part),
+    r as (select *, row_number() over (partition by c order by grp, canonical, pos) nth from o)
+    select grp, canonical, null as alias, nth = 1 as kept, case when nth > 1 then 'canonical collides with existing term' end as reason from r
+    union all select grp, canonical, a1, false, 'alias collides with existing term' from r where nth = 1
+    union all select grp, canonical, a2, true, null from r where nth = 1
+    """
+)
 def candidate_merge(spark, sf_dir):
-    """[JN-12, JN-13]"""
+    """[JN-12] candidates by group and name; one alias each that the store has and one that is new."""
+    return _merged(spark, sf_dir, False)
+
+
+@query(
+    """
+    with o as (select p_partkey pos, p_type grp, p_brand || ' ' || p_name as canonical, lower(p_brand || ' ' || p_name) as c, p_name as a1, 'only ' || p_partkey as a2 from part),
+    r as (select *, row_number() over (partition by c order by pos) nth from o)
+    select grp, canonical, null as alias, nth = 1 as kept, case when nth > 1 then 'canonical collides with existing term' end as reason from r
+    union all select grp, canonical, a1, false, 'alias collides with existing term' from r where nth = 1
+    union all select grp, canonical, a2, true, null from r where nth = 1
+    """
+)
+def candidate_merge_by_input(spark, sf_dir):
+    """[JN-13]"""
+    return _merged(spark, sf_dir, True)
+
+
+def _merged(spark, sf_dir, by_input: bool) -> DataFrame:
     p = V.table(spark, sf_dir, "part")
-    existing = p.filter("p_partkey % 2 = 0").select(F.col("p_name").alias("canonical"), F.lit(None).cast("string").alias("alias"))
-    offered = p.select(F.col("p_type").alias("grp"), F.concat("p_brand", F.lit(" "), "p_name").alias("canonical"), F.array().cast("array<string>").alias("aliases"), F.col("p_partkey").alias("pos"))
-    return matching.merged_candidates(existing, offered).select("grp", "canonical", "kept")
+    existing = p.select(F.col("p_name").alias("canonical"), F.lit(None).cast("string").alias("alias"))
+    aliases = F.array("p_name", F.concat(F.lit("only "), F.col("p_partkey").cast("string")))
+    offered = p.select(F.col("p_type").alias("grp"), F.concat("p_brand", F.lit(" "), "p_name").alias("canonical"), aliases.alias("aliases"), F.col("p_partkey").alias("pos"))
+    return matching.merged_candidates(existing, offered, by_input)
 
 
 @query(f"with {ODD}, t as (select distinct 'g' || (p_partkey % 5) grp, name from odd) select grp, count(*)::bigint as n from t group by 1")
@@ -516,8 +574,12 @@ def rewritten_aliases(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
+    from lexmill import registry_more  # registers its own
+
+    assert registry_more
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(ORACLE)

@@ -93,8 +93,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
     ``parse_error`` marks lines that are no object.  Files stay whole, so that line numbers are stable.
     """
-    reader = spark.read.option("wholetext", True)
-    files = (reader if path.endswith(".jsonl") else reader.option("pathGlobFilter", "*.jsonl")).text(path)
+    reader = spark.read if path.endswith(".jsonl") else spark.read.option("pathGlobFilter", "*.jsonl")
+    files = reader.text(path, wholetext=True)  # as an option it is overridden by the argument's default
     lines = files.select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split("value", r"\r?\n")).alias("at", "line")).filter(F.trim("line") != "")
     record = F.from_json("line", F.lit(RECORD), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
     return lines.select("file", (F.col("at") + 1).alias("line_number"), record.alias("r")).select("file", "line_number", F.col("r._corrupt").isNotNull().alias("parse_error"), "r.title", "r.source_url", "r.scraped_at", F.coalesce("r.is_error", F.lit(False)).alias("is_error"), "r.technical_skills", F.col("r.extraction_quality.unmapped_skills").alias("unmapped_skills"))
