@@ -28,6 +28,8 @@ PRETOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(
 NEVER = np.int64(1) << 60
 BLOCK_BYTES = 8 << 20
 CACHE_PIECES = 900_000
+CACHE_BYTES = 48 << 20  # of the pieces' texts; ids weigh no more than them
+LONG_PIECE = 1 << 10  # longer pieces are encoded each time
 
 
 def byte_letters() -> dict[str, int]:
@@ -248,19 +250,26 @@ class Vocabulary:
 
 
 class Encoder:
-    """Encodes string columns through a bounded cache of pieces."""
+    """Encodes string columns through a cache of pieces, bounded in number and bytes.
 
-    def __init__(self, vocabulary: Vocabulary, cache_pieces: int = CACHE_PIECES):
-        self.vocabulary, self.cache_pieces = vocabulary, cache_pieces
+    A piece without blanks may be a whole text; those of more than ``LONG_PIECE`` characters never enter the cache.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, cache_pieces: int = CACHE_PIECES, cache_bytes: int = CACHE_BYTES):
+        self.vocabulary, self.cache_pieces, self.cache_bytes = vocabulary, cache_pieces, cache_bytes
         self._special = re.compile("(" + "|".join(map(re.escape, vocabulary.special)) + ")") if vocabulary.special else None
         self._cut = re.compile(r"(?<=\S) ")
         self._clear()
 
     def _clear(self) -> None:
         self._slot: dict[str, int] = {}
+        self._held = 0
         self._flat, self._n_flat = np.zeros(1 << 16, dtype=np.uint32), 0
         self._off = np.zeros(1 << 14, dtype=np.int64)
 
+    def _full(self) -> bool:
+        return len(self._slot) > self.cache_pieces or self._held > self.cache_bytes
+
     def _slots(self, pieces: list[str]) -> np.ndarray:
         got = list(map(self._slot.get, pieces))
         if None in got:
@@ -277,6 +286,7 @@ class Encoder:
                 self._flat[self._n_flat : need] = flat
                 self._off[n + 1 : n + len(part) + 1] = self._n_flat + np.cumsum(np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)))
                 self._n_flat = need
+                self._held += sum(map(len, part))
                 self._slot.update(zip(part, range(n, n + len(part))))
             got = list(map(self._slot.get, pieces))
         return np.array(got, dtype=np.int64)
@@ -299,22 +309,38 @@ class Encoder:
             cuts = [0, *(m.start() for m in self._cut.finditer(part)), len(part)]
             for at in range(0, len(cuts) - 1, 1_000_000):
                 own = cuts[at : at + 1_000_001]
-                if len(self._slot) > self.cache_pieces:
-                    self._clear()
-                out.append(self._gather(self._slots([part[a:b] for a, b in zip(own, own[1:]) if b > a]))[0])
+                out += self._segment([part[a:b] for a, b in zip(own, own[1:]) if b > a])
         return np.concatenate(out) if out else np.zeros(0, dtype=np.uint32)
 
+    def _segment(self, pieces: list[str]) -> Iterator[np.ndarray]:
+        """Ids of consecutive pieces: short ones through the cache, long ones directly."""
+        short: list[str] = []
+        for piece in [*pieces, None]:
+            if piece is not None and len(piece) <= LONG_PIECE:
+                short.append(piece)
+                continue
+            if short:
+                if self._full():
+                    self._clear()
+                yield self._gather(self._slots(short))[0]
+                short = []
+            if piece is not None:
+                yield np.array(self.vocabulary.encode_pieces([piece])[0], dtype=np.uint32)
+
     def _fast(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         lists = pc.split_pattern(texts, " ")
         ptr = lists.offsets.to_numpy().astype(np.int64)
         coded = lists.flatten().dictionary_encode()
         ptr -= ptr[0]
         pieces, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        odd = np.array([not p or p[-1].isspace() for p in pieces], dtype=bool)
+        odd = np.array([not p or p[-1].isspace() or len(p) > LONG_PIECE for p in pieces], dtype=bool)
         special = np.array([any(s in p for s in self.vocabulary.special) for p in pieces], dtype=bool) if any("<" in p for p in pieces) else np.zeros(len(pieces), dtype=bool)
         first, last = ptr[:-1], ptr[1:] - 1
+        long = np.array([len(p) > LONG_PIECE for p in pieces], dtype=bool)
+        if long.any():  # their texts are slow, so what stands in for them doesn't count
+            pieces = ["" if far else p for p, far in zip(pieces, long)]
         flag = odd[index]
-        flag[last] = False
+        flag[last] = long[index[last]]
         flag |= special[index]
         slow = np.add.reduceat(flag, first) > 0
         if self._special is not None and any(" " in s for s in self.vocabulary.special):
@@ -340,7 +366,7 @@ class Encoder:
         lo = 0
         while lo < len(column):
             hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + limit, side="right")) - 1)
-            if len(self._slot) > self.cache_pieces:
+            if self._full():
                 self._clear()
             if hi == lo + 1 and sizes[lo] > limit:
                 ids = self.encode(column[lo].as_py())

@@ -162,3 +162,16 @@ def test_pack_keeps_columns_and_refuses_bad_lengths(spark):
     assert sorted(r["rank"] for r in rows) == [7, 7, 8]
     with pytest.raises(ValueError):
         packing.pack(spark.createDataFrame([(9,)], "length int"), "length", 8)
+
+
+def test_long_pieces_stay_out_of_the_cache(library):
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    long = ["".join(rng.choice("abcdeé日") for _ in range(n)) for n in (1025, 5000, 3000)]
+    texts = [long[0], "a " + long[1] + " b", long[1] + " " + long[2] + "  x", "plain words here", long[2], "<|endoftext|>" + long[0]]
+    encode = bpe.Encoder(bpe.Vocabulary(PATH), cache_bytes=200)
+    for _, _, ids, ptr in encode.blocks(pa.array(texts)):
+        for i, text in enumerate(texts):
+            assert ids[ptr[i] : ptr[i + 1]].tolist() == library.encode(text, add_special_tokens=False).ids
+    assert all(len(p) <= bpe.LONG_PIECE for p in encode._slot)
