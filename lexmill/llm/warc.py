@@ -200,14 +200,55 @@ def archive_stream(table: DataFrame, archive: int) -> Iterator[bytes]:
 
 
 def parse_stream(pieces: Iterable[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(fields, payload) of each record of the bytes of a WARC file."""
-    data = b"".join(pieces)
-    at = 0
-    while at < len(data):
-        block = data.index(END, at) + 4
-        fields, start = parse_header(data[at:])
-        stop = block + int(fields["content-length"])
-        yield fields, data[at + start : stop]
-        if data[stop : stop + 4] != END:
+    """(fields, payload) of each record of the bytes of a WARC file; one record is held at a time.
+
+    ``parse_chunks`` gives payloads that needn't fit into memory in pieces.
+    """
+    held: list[bytes] = []
+    for fields, piece, last in parse_chunks(pieces):
+        held.append(piece)
+        if last:
+            yield fields, b"".join(held)
+            held = []
+
+
+def parse_chunks(pieces: Iterable[bytes]) -> Iterator[tuple[dict[str, str], bytes, bool]]:
+    """(fields, piece of the payload, whether it is the last) of the records of a WARC file, holding one input piece."""
+    source = iter(pieces)
+    data = bytearray()
+
+    def more() -> bool:
+        piece = next(source, None)
+        if piece is not None:
+            data.extend(piece)
+        return piece is not None
+
+    while data or more():
+        while (end := data.find(END)) < 0:
+            if not more():
+                raise ValueError("the record has no header")
+        left = end + 4  # to the payload's end, from the record's start
+        length = None
+        while length is None:
+            try:
+                fields, start = parse_header(bytes(data[: max(left, 1 << 16)]))
+                length = end + 4 + int(fields["content-length"]) - start
+            except (ValueError, IndexError):
+                if not more():
+                    raise
+        del data[:start]
+        while length > len(data):
+            if data:
+                length -= len(data)
+                yield fields, bytes(data), False
+                data.clear()
+            if not more():
+                raise ValueError("the record is cut")
+        yield fields, bytes(data[:length]), True
+        del data[:length]
+        while len(data) < 4:
+            if not more():
+                raise ValueError("the record has no end")
+        if data[:4] != END:
             raise ValueError("the record has no end")
-        at = stop + 4
+        del data[:4]

@@ -216,3 +216,18 @@ def test_few_vectors(spark):
     got = [(r["query_id"], r["rank"], r["vec_id"]) for r in ann.search(df).orderBy("query_id", "rank").collect()]
     assert got == [(0, 1, 1), (0, 2, 20), (20, 1, 1), (20, 2, 0)]
     assert ann.search(df.limit(0)).count() == 0
+
+
+def test_archive_parsed_in_small_pieces(spark):
+    rows = [(1, "http://a", "x" * 5000 + "\r\n\r\n" + "y" * 3000), (2, "u", ""), (3, "v", "small é"), (4, "w", "x" * 5000 + "\r\n\r\n" + "y" * 3000)]
+    table = warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), chunk_bytes=700)
+    stream = b"".join(b for a in sorted(r["archive"] for r in table.select("archive").distinct().collect()) for b in warc.archive_stream(table, a))
+    want = [(f["warc-type"], hashlib.sha1(p).hexdigest()) for f, p in warc.parse_stream([stream])]
+    assert len(want) == 4
+    for size in (1, 7, 64, 1000):
+        pieces = [stream[i : i + size] for i in range(0, len(stream), size)]
+        assert [(f["warc-type"], hashlib.sha1(p).hexdigest()) for f, p in warc.parse_stream(pieces)] == want
+    most = max(len(p) for _, p, _ in warc.parse_chunks(stream[i : i + 64] for i in range(0, len(stream), 64)))
+    assert most <= 1024
+    with pytest.raises(ValueError):
+        list(warc.parse_stream([stream[:-10]]))
