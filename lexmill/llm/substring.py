@@ -141,11 +141,11 @@ def repeated_windows(documents: DataFrame, window: int = 50) -> tuple[DataFrame,
     first, second = math.ceil(window / 4), math.ceil(window / 2)
     spark = documents.sparkSession
     scan = materialise(_scan(documents, window, first), "scan")
-    entry = scan.filter("doc_id is not null").select("doc_id", F.explode("reps").alias("rep"))
-    hits = _in_several(entry, "rep").groupBy("doc_id").agg(F.collect_set("rep").alias("hits"))
+    entry = scan.filter("doc_id is not null").select("doc_id", "tk", F.explode("reps").alias("rep"))
+    hits = _in_several(entry, "rep").groupBy("doc_id", "tk").agg(F.collect_set("rep").alias("hits"))  # of one text
     hits = materialise(hits, "hits")
     release(spark)
-    rows = materialise(documents.join(hits.hint("shuffle_hash"), "doc_id"), "candidates")
+    rows = materialise(documents.join(hits.hint("shuffle_hash"), ["doc_id", "tk"]), "candidates")
     discard(hits)
     release(spark)
     runs = materialise(_runs(rows, window, first, second), "runs")
