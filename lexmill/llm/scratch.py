@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import gc
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,23 +33,52 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialise(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+def materialise(df: DataFrame, name: str, codec: str = "zstd", scoped: bool = True) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: a cut that survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if _scopes and scoped:
+        _scopes[-1].append(path)
     df.write.option("compression", codec).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._lexmill_path = path  # for discard()
     return out
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Tables materialised within are deleted at the end: for steps whose result is written elsewhere by then."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
+def sweep(spark: SparkSession) -> int:
+    """Delete every scratch table of this application, once no result of it is read any more; gives their number."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [f.getPath() for f in (system.globStatus(spark._jvm.org.apache.hadoop.fs.Path(folder, f"{spark.sparkContext.applicationId}-*")) or [])]
+    for path in found:
+        system.delete(path, True)
+    return len(found)
+
+
 def discard(df: DataFrame) -> None:
     """Delete a materialised table that no later step reads."""
     path = getattr(df, "_lexmill_path", None)
     if path:
-        spark = df.sparkSession
-        hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-        hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
+        _delete(df.sparkSession, path)
 
 
 def release(spark: SparkSession) -> None:

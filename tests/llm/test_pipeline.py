@@ -60,6 +60,27 @@ def test_language_stage_rejects(spark):
     assert sum(5000 <= d < 6000 for d in kept) <= 2 and sum(d >= 6000 for d in kept) <= 2
 
 
+def test_odd_tables(spark, tmp_path, nothing):
+    """Empty tables and columns of clashing names go through all stages."""
+    names = ["tk", "gone", "hits", "kept", "probability", "n_words", "score", "lang_pred", "base_failed", "node", "row", "length"]
+    kind = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in names)
+    rng = random.Random(3)
+    text = lambda t: " ".join(rng.choice(TONGUES[t]) + rng.choice(TONGUES[t]) for _ in range(60))
+    rows = [(i, text(t), t, "s", 1, *(f"{n}{i}" for n in names)) for i in range(60) for t in [rng.choice("ab") * 2]]
+    rows += [(70 + i, rows[0][1], "aa", "s", 1, *(f"{n}{70 + i}" for n in names)) for i in range(3)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(20)], "doc_id long, quality int, toxic int")
+    for where, docs in (("some", spark.createDataFrame(rows, kind)), ("none", spark.createDataFrame([], kind))):
+        folder = str(tmp_path / where)
+        docs.write.parquet(f"{folder}/documents.parquet")
+        (labels if where == "some" else labels.limit(0)).write.parquet(f"{folder}/labels.parquet")
+        for name, stage in corpus_pipeline.STAGES[:4]:
+            docs = stage(spark, docs, folder)
+            assert docs.schema.simpleString() == spark.createDataFrame([], kind).schema.simpleString(), name
+        got = docs.collect()
+        assert all(r[n] == f"{n}{r['doc_id']}" for r in got for n in names) and (len(got) > 40) == (where == "some")
+        assert len({r["doc_id"] for r in corpus_pipeline.run(spark, folder).collect()}) == len({r["doc_id"] for r in got})
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_queries_equal_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
