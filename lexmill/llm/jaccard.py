@@ -274,6 +274,7 @@ def _verified(pairs: DataFrame, documents: DataFrame, heads: DataFrame, size: in
     left = right.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     links = materialise(left.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long"), "links")
     discard(texts)
+    discard(pairs)
     release(documents.sparkSession)
     return links
 
@@ -291,6 +292,7 @@ def near_duplicate_components(documents: DataFrame, size: int = 5, threshold: Fr
     documents = documents.select("doc_id", "text")
     rows = materialise(document_nodes(documents, size), "nodes")
     heads = rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("copies"))
+    heads = materialise(heads, "heads")  # written: a semi-join would be pushed below the aggregate, and deal all copies by node
     frequent = frequent_cells(documents, size, rare_max, cell_bits)
     release(documents.sparkSession)
     entries = materialise(index_entries(documents, size, threshold, frequent), "entries")
@@ -301,6 +303,7 @@ def near_duplicate_components(documents: DataFrame, size: int = 5, threshold: Fr
     lead = index.groupBy("entry").agg(F.max(F.struct("g", "node", "n", "place")).alias("s")).select("entry", F.col("s.node").alias("a"), F.col("s.n").alias("na"), F.col("s.place").alias("pa"))
     star = _candidates(index.join(lead, "entry").filter("node <> a").select("a", "na", "pa", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb")), threshold)
     links = _verified(star, documents, heads, size, threshold)
+    release(documents.sparkSession)
     comp = materialise(connected_components(links), "components")
     placed = index.join(comp, "node", "left").select("entry", "node", "n", "place", "g", F.coalesce("component", "node").alias("comp"))
     split = placed.groupBy("entry").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("entry")
@@ -321,10 +324,14 @@ def near_duplicate_components(documents: DataFrame, size: int = 5, threshold: Fr
     side = lambda first, second: F.when(turn, F.col(first)).otherwise(F.col(second))
     cross = _candidates(cross.select(side("x", "y").alias("a"), side("nx", "ny").alias("na"), side("px", "py").alias("pa"), side("y", "x").alias("b"), side("ny", "nx").alias("nb"), side("py", "px").alias("pb")), threshold)
     more = _verified(cross, documents, heads, size, threshold)
+    discard(index)
+    discard(placed)
     final = comp if more.isEmpty() else materialise(connected_components(links.unionByName(more)), "components")
     named = heads.join(final, "node", "left").select("node", "head", "copies", F.coalesce("component", "node").alias("component"))
     low = named.groupBy("component").agg(F.min("head").alias("component_id"))
     ids = materialise(named.join(low, "component").select("node", "copies", "component_id"), "ids")
+    for table in (heads, comp, links, more, final):
+        discard(table)
     return _with_ids(rows, ids).select("doc_id", "n_shingles", "node", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
