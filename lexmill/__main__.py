@@ -1,4 +1,12 @@
-"""[OR-06] python -m lexmill QUERY SF_DIR [--out PATH]: run a registered query; python -m lexmill clean STORE FOLDER: the stages."""
+"""[OR-06] Command line.
+
+python -m lexmill QUERY SF_DIR [--out PATH]             run a registered query
+python -m lexmill clean STORE FOLDER                    the governed stages over a store
+python -m lexmill discover RECORDS FOLDER --store STORE new names of records into the folder's queue
+python -m lexmill audit RECORDS FOLDER                  every occurrence of every name
+python -m lexmill review STORE FOLDER                   ready entries with their default action
+python -m lexmill apply STORE FOLDER                    the decisions of the folder's review
+"""
 
 from __future__ import annotations
 
@@ -6,10 +14,14 @@ import argparse
 
 
 def main(argv: list[str] | None = None) -> int:
-    parser = argparse.ArgumentParser(prog="lexmill", description=__doc__)
-    parser.add_argument("what", help="a query name, or clean")
-    parser.add_argument("source", help="folder of tables, or a store file for clean")
-    parser.add_argument("folder", nargs="?", help="run folder of clean")
+    parser = argparse.ArgumentParser(prog="lexmill", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
+    parser.add_argument("what", help="a query name, or clean, discover, audit, review, apply")
+    parser.add_argument("source", help="folder of tables, store file, or record lines")
+    parser.add_argument("folder", nargs="?", help="folder that is worked in")
+    parser.add_argument("--store", help="store file of discover")
+    parser.add_argument("--pairs", help="block list of clean, a JSON object")
+    parser.add_argument("--exceptions", help="exceptions file of clean")
+    parser.add_argument("--threshold", type=int, default=5, help="sightings that make a queue entry ready")
     parser.add_argument("--out", help="write the rows as Parquet instead of showing some")
     parser.add_argument("--last", type=int, default=6, help="last stage of clean")
     args = parser.parse_args(argv)
@@ -17,13 +29,29 @@ def main(argv: list[str] | None = None) -> int:
 
     from lexmill import registry
     from lexmill.plans.pipeline import Run
-    from lexmill.sources.stores import read_store
+    from lexmill.plans.queue import Discovery
+    from lexmill.sources.stores import read_exceptions, read_pairs, read_store
 
     spark = SparkSession.builder.appName("lexmill").getOrCreate()
+    if args.what in ("clean", "discover", "audit", "review", "apply") and not args.folder:
+        parser.error(f"{args.what} needs a folder")
+    if args.what in ("discover", "audit", "review", "apply"):
+        steps = Discovery(spark, args.folder, args.threshold)
+        if args.what == "discover":
+            if not args.store:
+                parser.error("discover needs --store")
+            print(steps.discover(args.source, read_store(spark, args.store)))
+        elif args.what == "audit":
+            steps.audit(args.source)
+        elif args.what == "review":
+            steps.review(read_store(spark, args.source)).show(50, truncate=80)
+        else:
+            print(steps.apply())
+        return 0
     if args.what == "clean":
-        if not args.folder:
-            parser.error("clean needs a run folder")
-        run = Run(spark, read_store(spark, args.source), args.folder)
+        pairs = read_pairs(spark, args.pairs) if args.pairs else None
+        exceptions = read_exceptions(spark, args.exceptions) if args.exceptions else None
+        run = Run(spark, read_store(spark, args.source), args.folder, pairs=pairs, exceptions=exceptions)
         run.run(args.last)
         if args.last < 6:
             return 0

@@ -51,8 +51,8 @@ def classes(replies: DataFrame) -> tuple[DataFrame, DataFrame]:
     at, norm = F.concat(F.lit("term:"), "term"), T.normalize(F.col("term"))
     broken = finding(rows.filter(~good), "L4-001", True, at, F.substring(F.coalesce("reply", F.lit("")), 1, 240), norm, "manual_review", "reply isn't an object")
     pick = lambda name: F.coalesce(_text("v", f"$.classification.{name}"), _text("v", f"$.{name}")).alias(name)
-    raw = rows.filter(good).select("term", pick("ontological_nature"), pick("primary_type"), pick("abstraction_level"), pick("confidence"), pick("status"))
-    kind = F.upper(F.replace(F.trim(F.coalesce("ontological_nature", "primary_type", F.lit(""))), F.lit(" "), F.lit("_")))
+    raw = rows.filter(good).select("term", _text("v", "$.type").alias("type"), pick("ontological_nature"), pick("primary_type"), pick("abstraction_level"), pick("confidence"), pick("status"))
+    kind = F.upper(F.replace(F.trim(F.coalesce("type", "ontological_nature", "primary_type", F.lit(""))), F.lit(" "), F.lit("_")))
     special = kind.isin("COMPOSITE_STACK", "CATEGORY")
     composite = finding(raw.filter(kind == "COMPOSITE_STACK"), "L4-004", False, at, F.col("term"), norm, "split", "term names several technologies")
     category = finding(raw.filter(kind == "CATEGORY"), "L4-005", False, at, F.col("term"), norm, "move_to_groups", "term names a category")
@@ -64,6 +64,6 @@ def classes(replies: DataFrame) -> tuple[DataFrame, DataFrame]:
         sound = sound & F.coalesce(kind_of(flag).rlike("^(BOOLEAN|VOID|STRING|BIGINT|DECIMAL|DOUBLE)"), F.lit(True))
     shaped = rows.filter(good).select("term", "reply", sound.alias("sound"))
     odd = finding(shaped.filter(~F.col("sound")), "L4-002", True, at, F.substring("reply", 1, 240), norm, "manual_review", "classification breaks the schema")
-    kept = raw.filter(~special).join(shaped.filter("sound").select("term").distinct(), "term", "left_semi")
+    kept = raw.filter(~special).drop("type").join(shaped.filter("sound").select("term").distinct(), "term", "left_semi")
     low = finding(kept.filter(S.confidence(F.col("confidence")) == "LOW"), "L4-003", False, at, F.col("term"), norm, "manual_review", "classification of low confidence")
     return kept, broken.unionByName(odd).unionByName(composite).unionByName(category).unionByName(low)

@@ -129,3 +129,61 @@ def dense_nearest(queries: DataFrame, targets: DataFrame, most_targets: int = 10
     best = lambda score, i: F.struct(F.col(score), (-F.col(i)).alias("neg"))
     top = found.groupBy("id", "grp").agg(F.max(F.when(F.col("best_id").isNotNull(), best("best_score", "best_id"))).alias("k"), F.max(F.when(F.col("best_in_group").isNotNull(), best("in_group_score", "best_in_group"))).alias("o"))
     return top.select("id", "grp", (-F.col("k.neg")).alias("best_id"), F.col("k.best_score").alias("best_score"), (-F.col("o.neg")).alias("best_in_group"), F.col("o.in_group_score").alias("in_group_score"))
+
+
+def dense_edges(terms: DataFrame, vectors: DataFrame, threshold: float = 0.85, high: float = 0.93, most_terms: int = 100_000) -> DataFrame:
+    """[SM-04, JN-08] (left, right, score, band): pairs of terms that share a trigram, by the cosine of their vectors (term, vec).
+
+    Pairs over the threshold come from matrix products, and only those are looked at for a common trigram, so that no
+    frequent trigram pairs its terms.  Up to ``most_terms`` vectors are broadcast; beyond that both sides are dealt into
+    blocks, and each pair of blocks is one task.
+    """
+    names = terms.select("term").filter("term is not null").distinct().join(vectors.select("term", F.col("vec").cast("array<double>").alias("vec")), "term").dropDuplicates(["term"])
+    n = names.count()
+    blocks = max(1, -(-n // most_terms))
+    block = F.pmod(F.xxhash64("term"), F.lit(blocks)).cast("int")
+    out = "left string, right string, score double"
+
+    def pairs(left: pa.Table | pa.RecordBatch, right: tuple[np.ndarray, np.ndarray]) -> pa.Table:
+        a, x = _named(left)
+        b, y = right
+        got: list[tuple] = []
+        for lo in range(0, len(a), 256):
+            score = _unit(x[lo : lo + 256]) @ _unit(y).T if len(b) else np.zeros((len(a[lo : lo + 256]), 0))
+            i, j = np.nonzero(score >= threshold - 1e-9)
+            keep = a[lo + i] < b[j]
+            got += zip(a[lo + i][keep], b[j][keep], score[i, j][keep].tolist())
+        cols = list(zip(*got)) if got else [(), (), ()]
+        return pa.table({"left": pa.array(cols[0], pa.string()), "right": pa.array(cols[1], pa.string()), "score": pa.array(cols[2], pa.float64())})
+
+    if blocks == 1:
+        known = terms.sparkSession.sparkContext.broadcast(_named(names.orderBy("term").toArrow()))  # at most most_terms rows
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield from pairs(batch, known.value).to_batches()
+
+        found = names.select("term", "vec").mapInArrow(run, out)
+    else:
+        every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+        rows = names.select("term", "vec", block.alias("p")).withColumn("q", every)
+        other = names.select(F.col("term").alias("name"), F.col("vec").alias("v"), block.alias("q")).withColumn("p", every).toDF("term", "vec", "q", "p")
+        found = rows.groupBy("p", "q").cogroup(other.groupBy("p", "q")).applyInArrow(lambda key, a, b: pairs(a, _named(b)), out)
+    grams = lambda c: T.char_ngrams(T.normalize(F.col(c)))
+    found = found.filter(F.arrays_overlap(grams("left"), grams("right")))
+    return found.select("left", "right", F.round("score", 6).alias("score"), S.band(F.col("score"), high).alias("band"))
+
+
+def _unit(m: np.ndarray) -> np.ndarray:
+    return m / np.where((n := np.linalg.norm(m, axis=1, keepdims=True)) > 0, n, np.inf)
+
+
+def _named(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    names = np.array(table.column("term").to_pylist(), dtype=object)
+    return names, np.array(table.column("vec").to_pylist(), dtype=np.float64).reshape(len(names), -1)
+
+
+def alias_verdicts(nearest: DataFrame, threshold: float = 0.85) -> DataFrame:
+    """[SM-10] (id, is_alias, alias_of) of ``dense_nearest``: the best target of all at the threshold, else the best of the group."""
+    best = F.when(F.col("best_score") >= threshold, F.col("best_id")).when(F.col("in_group_score") >= threshold, F.col("best_in_group"))
+    return nearest.select("id", best.isNotNull().alias("is_alias"), best.alias("alias_of"))

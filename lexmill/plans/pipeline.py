@@ -58,6 +58,7 @@ class Settings:
     phantom: float = 0.90
     arbiter: Arbiter = field(default=governance.heuristic_arbitration, repr=False)
     classifier: Classifier = field(default=governance.heuristic_classes, repr=False)
+    embedder: Callable[[DataFrame], DataFrame] | None = field(default=None, repr=False)  # (term) -> (term, vec)
 
 
 def file_backed(decisions: DataFrame, key: str, fallback: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
@@ -116,7 +117,7 @@ class Run:
         self.spark, self.input, self.folder, self.settings = spark, terms, folder.rstrip("/"), settings or Settings()
         self.pairs, self.exceptions = pairs, exceptions
         read = [digest(t) if t is not None else "-" for t in (terms, pairs, exceptions)]
-        self.mark = "|".join([*read, str(self.settings), identity(self.settings.arbiter), identity(self.settings.classifier)])
+        self.mark = "|".join([*read, str(self.settings), *(identity(p) if p else "-" for p in (self.settings.arbiter, self.settings.classifier, self.settings.embedder))])
 
     def _path(self, name: str) -> str:
         return f"{self.folder}/{name}"
@@ -165,7 +166,12 @@ class Run:
 
     def stage1(self) -> None:
         terms, s = self.table("terms"), self.settings
-        self._keep(1, edges=similarity.trigram_edges(terms.select(F.col("canonical").alias("term")), s.threshold, s.high), advisories=similarity.alias_advisories(terms, s.threshold, s.high))
+        names = terms.select(F.col("canonical").alias("term")).distinct()
+        if s.embedder is None:
+            edges = similarity.trigram_edges(names, s.threshold, s.high)
+        else:
+            edges = similarity.dense_edges(names, s.embedder(names), s.threshold, s.high)
+        self._keep(1, edges=edges, advisories=similarity.alias_advisories(terms, s.threshold, s.high))
 
     def _edges(self) -> DataFrame:
         return self.table("edges").select(F.col("left").alias("a"), F.col("right").alias("b"), F.col("score").alias("weight"))

@@ -12,9 +12,11 @@ from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexmill.functions import scores as S
+
 
 class Embedder(Protocol):
     """[UD-02]"""
@@ -34,21 +36,42 @@ def post_json(url: str, payload: dict, timeout: float = 120.0) -> dict:
         return json.loads(answer.read())
 
 
-def http_embedder(base_url: str, model: str | None = None, post: Callable[..., dict] = post_json, timeout: float = 120.0) -> Embedder:
-    """[IO-11] Whole batch first, then text by text; rows come back in order of their index and must be as many as asked."""
+def http_embedder(base_url: str, model: str | None = None, post: Callable[..., dict] = post_json, timeout: float = 120.0, paths: tuple[str, ...] = ("/v1/embeddings", "/embeddings"), last: str = "/embedding") -> Embedder:
+    """[IO-11] The whole batch at the first of ``paths`` that answers, then text by text there, then text by text at ``last``.
+
+    Rows come back in order of their index and must be as many as asked.
+    """
+    named = {"model": model} if model else {}
+    ask_at = lambda path, payload: post(f"{base_url.rstrip('/')}{path}", payload | named, timeout=timeout)
+
+    def listed(path: str, given: list[str] | str, n: int) -> list[list[float]]:
+        rows = ask_at(path, {"input": given})["data"]
+        vectors = [r["embedding"] for r in sorted(rows, key=lambda r: r.get("index", 0))]
+        if len(vectors) != n:
+            raise ValueError(f"{len(vectors)} vectors for {n} texts")
+        return vectors
+
+    def plain(text: str) -> list[float]:
+        for payload in ({"content": text}, {"input": text}):
+            try:
+                answer = ask_at(last, payload)
+                row = answer[0] if isinstance(answer, list) else answer
+                vector = row["embedding"] if "embedding" in row else row["data"][0]["embedding"]
+                return vector[0] if vector and isinstance(vector[0], list) else vector
+            except (OSError, ValueError, KeyError, IndexError, TypeError):
+                continue
+        raise ConnectionError(f"no embedding endpoint of {base_url} answered")
 
     def call(texts: list[str]) -> list[list[float]]:
-        def ask(part: list[str]) -> list[list[float]]:
-            rows = post(f"{base_url.rstrip('/')}/v1/embeddings", {"input": part} | ({"model": model} if model else {}), timeout=timeout)["data"]
-            vectors = [r["embedding"] for r in sorted(rows, key=lambda r: r.get("index", 0))]
-            if len(vectors) != len(part):
-                raise ValueError(f"{len(vectors)} vectors for {len(part)} texts")
-            return vectors
-
-        try:
-            return ask(texts)
-        except (urllib.error.HTTPError, ValueError, KeyError):
-            return [ask([t])[0] for t in texts]
+        if not texts:
+            return []
+        ways = [lambda p=p: listed(p, texts, len(texts)) for p in paths] + [lambda p=p: [listed(p, t, 1)[0] for t in texts] for p in paths]
+        for way in ways:
+            try:
+                return way()
+            except (OSError, ValueError, KeyError, TypeError):  # URL errors are OSErrors
+                continue
+        return [plain(t) for t in texts]
 
     return call
 
@@ -88,16 +111,115 @@ def embedded(rows: DataFrame, column: str, make: Callable[[], Embedder], batch:
     return rows.select(column).filter(F.col(column).isNotNull()).distinct().mapInPandas(run, f"`{column}` string, vec array<double>")
 
 
-def answered(rows: DataFrame, key: str, prompt: str, make: Callable[[], Chat], cache: DataFrame | None = None) -> DataFrame:
-    """[UD-05..UD-08, SS-09] (key, prompt_md5, answer); prompts whose hash is in ``cache`` (prompt_md5, answer) aren't asked again."""
+def answered(rows: DataFrame, key: str, prompt: str, make: Callable[[], Chat], cache: DataFrame | None = None, sound: Callable[[str], bool] | None = None, repair: Callable[[str, str], str] | None = None) -> DataFrame:
+    """[UD-05..UD-08, SS-09] (key, prompt_md5, answer); prompts whose hash is in ``cache`` (prompt_md5, answer) aren't asked again.
+
+    An answer that isn't ``sound`` is asked for once more with the prompt that ``repair`` makes of it; the first answer
+    stays if the second isn't sound either.
+    """
     asked = rows.select(key, F.col(prompt).alias("prompt"), F.md5(prompt).alias("prompt_md5"))
     todo = asked.join(cache.select("prompt_md5"), "prompt_md5", "left_anti") if cache is not None else asked
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = make()
+
+        def ask(text: str) -> str:
+            first = client(text)
+            if sound is None or repair is None or sound(first):
+                return first
+            second = client(repair(text, first))
+            return second if sound(second) else first
+
         for pdf in frames:
-            yield pd.DataFrame({"prompt_md5": pdf["prompt_md5"], "answer": [client(p) for p in pdf["prompt"]]})
+            yield pd.DataFrame({"prompt_md5": pdf["prompt_md5"], "answer": [ask(p) for p in pdf["prompt"]]})
 
     new = todo.select("prompt", "prompt_md5").distinct().mapInPandas(run, "prompt_md5 string, answer string")
     every = new.unionByName(cache.select("prompt_md5", "answer")) if cache is not None else new
     return asked.join(every, "prompt_md5").select(key, "prompt_md5", "answer")
+
+
+def is_class_reply(text: str) -> bool:
+    """[UD-05] Whether a model's text is a classification, or names a kind of term that has none."""
+    from lexmill.functions.plain import lenient_json
+
+    got = lenient_json(text)
+    if not isinstance(got, dict):
+        return False
+    if isinstance(got.get("type"), str) and got["type"].strip().upper() in ("COMPOSITE_STACK", "CATEGORY"):
+        return True
+    inner = got.get("classification")
+    return isinstance(inner, dict) and all(k in inner for k in ("ontological_nature", "primary_type", "functional_roles", "abstraction_level"))
+
+
+def class_prompt(term: str, previous: str | None = None) -> str:
+    """[UD-05] What a model is asked for the classification of a term, and for the repair of an answer."""
+    shape = {"term": term, "classification": {"ontological_nature": "|".join(S.NATURES), "primary_type": "text or null", "functional_roles": ["text"], "abstraction_level": "|".join(S.LEVELS)}, "status": "active|under_review", "confidence": "|".join(S.CONFIDENCES), "is_contextual": False, "is_versioned": False, "is_marketing_language": False}
+    ask = f"Classify the term {json.dumps(term)}. Answer with one JSON object of this shape and nothing else:\n{json.dumps(shape)}"
+    return ask if previous is None else f"{ask}\nYour last answer didn't have this shape; correct it:\n{previous}"
+
+
+def group_prompt(skills: list[str], contexts: list[str]) -> str:
+    """[UD-06] The prompt for one batch of skills and the groups there are."""
+    groups = "\n".join(f"- {c}" for c in contexts)
+    return f"Groups:\n{groups}\n\nGive each skill its group, NEW: and a name, or REJECT: and a reason. Answer with a JSON array of objects with skill, assigned_group, reasoning.\n{json.dumps(skills)}"
+
+
+def assigned_groups(skills: DataFrame, contexts: DataFrame, make: Callable[[], Chat], size: int = 20, done: DataFrame | None = None, most_groups: int = 2000) -> DataFrame:
+    """[UD-06, JN-18, JN-17, FN-38] (skill, assigned_group, reasoning) of skills without a row in ``done``, asked in batches.
+
+    ``contexts`` (grp, context) are the groups, at most ``most_groups`` of them in the prompt.  Replies join back by the
+    skill's name without regard to case; a skill that no reply names has a null group.
+    """
+    from lexmill.functions import udfs
+    from lexmill.operators import discovery
+
+    todo = discovery.remaining(skills.select("skill"), done, "skill") if done is not None else skills.select("skill")
+    batch = discovery.batches(todo, size)
+    listed = [f"{r['grp']}: {r['context']}" for r in contexts.orderBy("grp").limit(most_groups).collect()]  # at most most_groups rows
+    asked = batch.groupBy("batch").agg(F.array_sort(F.collect_list("skill")).alias("skills"))  # of one batch
+    prompts = F.pandas_udf(lambda s: pd.Series([group_prompt(list(x), listed) for x in s]), "string")
+    answers = answered(asked.withColumn("prompt", prompts("skills")), "batch", "prompt", make)
+    rows = answers.select(F.posexplode(udfs.lenient_rows_udf(F.col("answer"))).alias("pos", "row"))
+    value = lambda name: F.get_json_object("row", f"$.{name}").alias(name)
+    return discovery.matched_replies(todo.distinct(), rows.select("pos", value("skill"), value("assigned_group"), value("reasoning")))
+
+
+def dedup_prompt(skill: str, group: str, canonicals: list[str]) -> str:
+    """[UD-07] The prompt that asks whether a skill is another name of a canonical of its group."""
+    return f"Is {json.dumps(skill)} another name of one of these terms of {json.dumps(group)}? {json.dumps(canonicals)}\nAnswer with one JSON object with is_alias, alias_of, confidence, reasoning."
+
+
+def semantic_aliases(assigned: DataFrame, terms: DataFrame, make: Callable[[], Chat], known: DataFrame | None = None, shown: int = 200, cache: DataFrame | None = None) -> DataFrame:
+    """[UD-07, JN-16, FN-39] (skill, grp, alias_of) of skills (skill, grp) that a model takes for another name of a canonical.
+
+    Skills that ``known`` (skill) already has as aliases aren't asked.  A prompt shows the first ``shown`` canonicals of
+    the group; an answer that names none of the group's canonicals counts for nothing.
+    """
+    from lexmill.functions import udfs
+    from lexmill.operators import discovery
+
+    todo = discovery.remaining(assigned.select("skill", "grp"), known, "skill") if known is not None else assigned.select("skill", "grp")
+    names = terms.select("grp", "canonical").distinct()
+    nth = F.row_number().over(Window.partitionBy("grp").orderBy("canonical"))
+    first = names.withColumn("nth", nth).filter(F.col("nth") <= shown).groupBy("grp").agg(F.array_sort(F.collect_list("canonical")).alias("names"))
+    prompts = F.pandas_udf(lambda s, g, n: pd.Series([dedup_prompt(a, b, list(c)) for a, b, c in zip(s, g, n)]), "string")
+    asked = todo.distinct().join(first, "grp").withColumn("prompt", prompts("skill", "grp", "names")).withColumn("k", F.struct("skill", "grp"))
+    got = answered(asked, "k", "prompt", make, cache).select("k.skill", "k.grp", udfs.alias_answer_udf(F.col("answer")).alias("alias_of"))
+    own = names.select("grp", F.lower("canonical").alias("low"), F.col("canonical").alias("alias_of")).distinct()
+    return got.withColumn("low", F.lower("alias_of")).drop("alias_of").join(own, ["grp", "low"]).select("skill", "grp", "alias_of")
+
+
+def audited_pairs(terms: DataFrame, make: Callable[[], Chat], state: DataFrame | None = None, input_hash: str = "") -> DataFrame:
+    """[UD-08, SS-07, SO-08] (canonical, alias, answer, input_hash): each alias judged once; rows of ``state`` for this input stand.
+
+    ``state`` has the columns of the result; its rows of another input are dropped.
+    """
+    from lexmill.operators import discovery
+
+    pairs = terms.filter("alias is not null").select("canonical", "alias").distinct()
+    live = discovery.live_state(state, input_hash).select("canonical", "alias", "answer") if state is not None else None
+    todo = pairs.join(live.select("canonical", "alias"), ["canonical", "alias"], "left_anti") if live is not None else pairs
+    ask = F.concat(F.lit('May "'), "alias", F.lit('" stand for "'), "canonical", F.lit('" everywhere? Answer yes or no.'))
+    asked = todo.withColumn("prompt", ask).withColumn("k", F.struct("canonical", "alias"))
+    got = answered(asked, "k", "prompt", make).select("k.canonical", "k.alias", F.lower(F.trim("answer")).alias("answer"))
+    return (got.unionByName(live) if live is not None else got).withColumn("input_hash", F.lit(input_hash))

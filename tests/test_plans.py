@@ -1,10 +1,15 @@
 """Stages, providers, source facts, settings and the driver contract."""
 
+import json
+
 from pyspark.sql import functions as F
 
+from lexmill.__main__ import main
+
 from lexmill.config import Config
 from lexmill.plans.pipeline import STAGES, Run, Settings, digest, file_backed, needed, reply_arbiter, reply_classifier, settled
-from lexmill.operators import anomaly, discovery, governance, graph, rules
+from lexmill.operators import anomaly, discovery, governance, graph, rules, similarity
+from lexmill.plans.queue import Discovery
 from lexmill.sources import providers, pycode, stores
 
 KIND = "grp string, grp_pos int, canonical string, canonical_pos int, alias string, alias_pos int"
@@ -143,3 +148,67 @@ def test_small_operators(spark):
     assert [(r["skill"], r["rank"]) for r in anomaly.top_outliers(nodes, "z").orderBy("rank").collect()] == [("b", 1), ("A", 2)]
     labels = spark.createDataFrame([("a ", "hub")], "name string, label string")
     assert {(r["skill"], r["label"]) for r in anomaly.with_labels(nodes, labels).collect()} == {("A", "hub"), ("b", None), ("c", None)}
+
+
+def test_discovery_folder(spark, tmp_path):
+    store = tmp_path / "store.json"
+    store.write_text('{"Languages": {"Python": ["python3"], "JavaScript": []}, "Cloud": {"AWS": ["amazon web services"]}}')
+    lines = [{"title": f"Job {i}", "source_url": f"u{i}", "scraped_at": "2024-01-0%dT00:00:00" % (i + 1), "is_error": False, "technical_skills": ["ArgoCD [Dev_Ops]", "python3"], "extraction_quality": {"unmapped_skills": ["ArgoCD", "Cloud"]}} for i in range(4)]
+    records = tmp_path / "in.jsonl"
+    records.write_text("\n".join(map(json.dumps, lines)) + "\n\n{broken\n")
+    folder = str(tmp_path / "work")
+    assert main(["discover", str(records), folder, "--store", str(store), "--threshold", "6"]) == 0
+    steps = Discovery(spark, folder, 6)
+    entry = steps.table("queue").filter("key = 'argocd'").first()
+    assert (entry["seen_count"], entry["status"], entry["first_seen"], entry["last_seen"]) == (4, "pending", "2024-01-01", "2024-01-04")
+    assert steps.table("queue").count() == 1
+    got = steps.discover(str(records), stores.read_store(spark, str(store)))
+    assert got == {"records": 4, "parse_errors": 1, "skipped": 0, "matched": 2, "novel": 1}
+    assert steps.table("queue").first()["status"] == "ready_for_promotion" and steps.table("queue").first()["seen_count"] == 8
+    assert main(["audit", str(records), folder]) == 0
+    assert steps.table("occurrences").filter("skill = 'argocd'").orderBy("nth").first()["line_number"] == 1
+    assert {r["skill"]: r["n_files"] for r in steps.table("audit").collect()}["argocd"] == 1
+    review = steps.review(stores.read_store(spark, str(store)))
+    assert [(r["display_name"], r["action"], r["suggested_group"]) for r in review.collect()] == [("ArgoCD", "approve", "Dev Ops")]
+    assert steps.apply() == {"approved": 1, "aliased": 0, "rejected": 0, "skipped": 0}
+    assert steps.table("queue").first()["status"] == "approved" and steps.table("approved").first()["canonical"] == "ArgoCD"
+
+
+def test_dense_edges(spark):
+    rows = [("alpha one", [1.0, 0.0]), ("alpha two", [1.0, 0.1]), ("alpha far", [0.0, 1.0]), ("zzz", [1.0, 0.0]), ("no vector", None)]
+    v = spark.createDataFrame([r for r in rows if r[1]], "term string, vec array<double>")
+    t = spark.createDataFrame([(r[0],) for r in rows], "term string")
+    want = [("alpha one", "alpha two", round(1 / 1.01**0.5, 6), "high_collision")]
+    for most in (100, 2):
+        assert [tuple(r) for r in similarity.dense_edges(t, v, most_terms=most).collect()] == want
+    near = spark.createDataFrame([(1, 5, 0.9, 6, 0.95), (2, 5, 0.5, 6, 0.9), (3, 5, 0.5, 6, 0.5)], "id int, best_id int, best_score double, best_in_group int, in_group_score double")
+    assert [tuple(r) for r in similarity.alias_verdicts(near).orderBy("id").collect()] == [(1, True, 5), (2, True, 6), (3, False, None)]
+
+
+def test_model_agents(spark):
+    def post(url, payload, timeout):
+        if url.endswith("/embedding") and "content" in payload:
+            return {"embedding": [float(len(payload["content"]))]}
+        raise OSError("no such endpoint")
+
+    assert providers.http_embedder("http://x", post=post)(["p", "qq"]) == [[1.0], [2.0]]
+    good = json.dumps({"classification": {"ontological_nature": "Concept", "primary_type": None, "functional_roles": [], "abstraction_level": "Domain"}})
+    chat = lambda: lambda p: good if "last answer" in p or "fine" in p else "nonsense"
+    rows = spark.createDataFrame([("fine",), ("odd",)], "t string")
+    asked = rows.withColumn("p", F.col("t"))
+    got = {r["t"]: r["answer"] for r in providers.answered(asked, "t", "p", chat, sound=providers.is_class_reply, repair=providers.class_prompt).collect()}
+    assert got == {"fine": good, "odd": good} and not providers.is_class_reply("[]") and providers.is_class_reply('{"type": "category"}')
+    skills = spark.createDataFrame([("Kafka",), ("Rust",), ("Old",)], "skill string")
+    contexts = spark.createDataFrame([("Tools", "Git (1 total)")], "grp string, context string")
+    answer = lambda: lambda p: json.dumps([{"skill": s.upper(), "assigned_group": "Tools", "reasoning": "r"} for s in json.loads(p.splitlines()[-1]) if s != "Rust"])
+    done = spark.createDataFrame([("Old",)], "skill string")
+    assert {(r["skill"], r["assigned_group"]) for r in providers.assigned_groups(skills, contexts, answer, 1, done).collect()} == {("Kafka", "Tools"), ("Rust", None)}
+    t = terms(spark, ("Tools", "Apache Kafka", ["kafka mq"]), ("Tools", "Git", None))
+    asked = spark.createDataFrame([("Kafka", "Tools"), ("Rust", "Tools")], "skill string, grp string")
+    alias = lambda: lambda p: '{"is_alias": true, "alias_of": "apache kafka"}' if '"Kafka"' in p else '{"is_alias": true, "alias_of": "Unheard of"}'
+    assert [tuple(r) for r in providers.semantic_aliases(asked, t, alias).collect()] == [("Kafka", "Tools", "Apache Kafka")]
+    first = providers.audited_pairs(t, lambda: lambda p: " No ", None, "h1")
+    assert [tuple(r) for r in first.collect()] == [("Apache Kafka", "kafka mq", "no", "h1")]
+    again = providers.audited_pairs(t, lambda: lambda p: "yes", first, "h1")
+    assert [r["answer"] for r in again.collect()] == ["no"]
+    assert [r["answer"] for r in providers.audited_pairs(t, lambda: lambda p: "yes", first, "h2").collect()] == ["yes"]
