@@ -256,9 +256,15 @@ def match_exact_stripped(spark, sf_dir):
     return matching.match(names, V.tax(spark, sf_dir), fuzzy=False).select("name", "canonical", "match_type", "confidence")
 
 
-@query()
+@query(
+    """
+    with n as (select distinct p_name as n from part)
+    select n || right(n, 1) as name, n as canonical, 'fuzzy' as match_type, round(2.0 * length(n) / (2 * length(n) + 1), 3)::double as confidence from n
+    union all select 'the best ' || n || ' that money can buy in any shop', n, 'containment', 0.8 from n
+    """
+)
 def match_fuzzy(spark, sf_dir):
-    """[SM-06, SM-08, JN-10 tiers 3 and 4]"""
+    """[SM-06, SM-08, JN-10 tiers 3 and 4] names with a doubled last letter, and names inside longer ones."""
     p = V.table(spark, sf_dir, "part")
     names = p.select(F.concat("p_name", F.substring("p_name", -1, 1)).alias("name")).unionByName(p.select(F.concat(F.lit("the best "), "p_name", F.lit(" that money can buy in any shop")).alias("name"))).distinct()
     return matching.match(names, V.tax(spark, sf_dir))
@@ -380,10 +386,25 @@ def components(spark, sf_dir):
 
 @query()
 def cluster_split(spark, sf_dir):
-    """[GR-03..05, AG-14, ST-09]"""
+    """[GR-03..05, AG-14, ST-09] the greedy split of real similarity edges; ``cluster_stars`` has SQL."""
     return graph.clusters(_sim_edges(spark, sf_dir), most=10)
 
 
+@query(
+    """
+    with c as (select n_name, c_name, c_acctbal, c_custkey, count(*) over (partition by n_name) n, min(c_name) over (partition by n_name) low, row_number() over (partition by n_name order by c_acctbal desc, c_name) nth from customer join nation on c_nationkey = n_nationkey),
+    k as (select *, case when n <= 9 or nth <= 9 then 1 else 0 end as inside from c)
+    select least(low, n_name) as component, 0 as split, c_name as term from k where inside = 1
+    union all select distinct least(low, n_name), 0, n_name from k
+    """
+)
+def cluster_stars(spark, sf_dir):
+    """[GR-03..05, AG-14] customers linked to their nation by their balance: the nation seeds the split and takes its heaviest."""
+    c, n = V.table(spark, sf_dir, "customer"), V.table(spark, sf_dir, "nation")
+    edges = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("a"), F.col("c_name").alias("b"), F.col("c_acctbal").alias("weight"))
+    return graph.clusters(edges, most=10)
+
+
 @query(f"with {GRAMS}, e as (select a, b from sim where score >= 0.5), d as (select node, count(*)::bigint as degree from (select a node, b o from e union select b, a from e) group by 1), n as (select count(*) n from d) select node, degree, degree / (n - 1) as ratio from d, n where degree / (n - 1) > 0.05")
 def over_generic(spark, sf_dir):
     """[L5-001, PD-13, GR-07]"""
@@ -564,7 +585,13 @@ def store_round_trip(spark, sf_dir):
     return flatten_store(doc).groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query(
+    f"""
+    with {ODD}, x as (select p_partkey, p_partkey % 7 k, name, p_brand b, p_name n, p_type t, p_size s from odd join part using (p_partkey)),
+    y as (select p_partkey, n, case k when 0 then [b, n] when 1 then [n || ' (' || b || ')'] when 2 then [n, t] when 3 then ['Advanced ' || n] when 4 then [n, t] when 5 then [n || ' v' || s] else [upper(n) || ' ' || b] end as a from x)
+    select p_partkey, array_to_string(list_transform(list_sort(list_transform(list_filter(a, lambda v: lower(v) <> string_split(lower(n), ' ')[1]), lambda v: {{'k': lower(v), 'v': v}})), lambda e: e.v), '|') as aliases from y
+    """
+)
 def rewritten_aliases(spark, sf_dir):
     """[FN-12, FN-13, CJ-08, CJ-09, GV-05..07]"""
     from lexmill.functions.udfs import clean_aliases_udf

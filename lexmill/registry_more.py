@@ -13,7 +13,7 @@ from lexmill.functions import udfs
 from lexmill.operators import anomaly, discovery, governance, graph, replies, rules
 from lexmill.operators.components import shared_folder
 from lexmill.plans import views as V
-from lexmill.registry import _QUEUE, CANON, JD, MENTION, NODES, NORM, ODD, TAX, VERSION, _group_sql, _members, _mirrored, _odd_terms, _sim_edges, query
+from lexmill.registry import _QUEUE, CANON, GRAMS, JD, MENTION, NODES, NORM, ODD, TAX, VERSION, _group_sql, _members, _mirrored, _odd_terms, _sim_edges, query
 from lexmill.sources import providers, pycode, stores
 
 
@@ -280,9 +280,18 @@ def hub_flags(spark, sf_dir):
     return graph.hub_flags(e, graph.degrees(e).orderBy(F.desc("degree"), "node").limit(5).select(F.upper("node").alias("name")))
 
 
-@query()
+@query(
+    f"""
+    with {GRAMS}, e as (select a, b, round(score, 6) w from sim where score >= 0.5), d as (select node, count(*) degree, sum(w) total, max(w) m from (select a node, w from e union all select b, w from e) group by 1),
+    mem as (select distinct p_brand as cl, p_name as term from part), lv as (select p_name as term, min(p_type) as level from part group by 1), r as (select cl, term, level from mem join lv using (term)),
+    c as (select cl, level, count(*) n, min(term) f from r group by 1, 2), mj as (select cl, level as majority from (select *, row_number() over (partition by cl order by n desc, f, level) nth from c) where nth = 1)
+    select 'L5-001' as rule_id, true as blocking, node as term from d where degree / ((select count(*) from d) - 1) > 0.05
+    union all select 'L5-002', false, node from d where degree = 1 and m / total >= 0.9
+    union all select 'L5-003', false, term from r join mj using (cl) where level <> majority
+    """
+)
 def graph_findings(spark, sf_dir):
-    """[GR-07, L5-001..L5-003] the three checks together; each has its own query with SQL."""
+    """[GR-07, L5-001..L5-003] the three checks together."""
     e = _sim_edges(spark, sf_dir)
     p = V.table(spark, sf_dir, "part")
     members = p.select(F.col("p_brand").alias("cluster"), F.col("p_name").alias("term")).distinct()
