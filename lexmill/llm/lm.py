@@ -38,7 +38,7 @@ from lexmill.llm.scratch import discard, materialise, release
 
 _U = np.uint64
 END = _U(0x0123456789ABCDEF)
-HASHES = 3
+HASHES = 4
 LEVELS = 40
 BLOCK_BYTES = 1 << 21
 HELD_TOKENS = 1 << 20
@@ -284,7 +284,7 @@ def bigram_blocks(training: DataFrame, shared, bits: int, bits_per_entry: int) -
     return rows.groupBy("bucket").applyInArrow(reduce, "bucket long, block binary, size long, v binary, t binary, s binary, hot array<struct<place:long,t:long,s:double>>")
 
 
-def fit(training: DataFrame, hot: int = 1 << 18, filter_bits: int = 1 << 26, bits_per_entry: int = 10, spread: int = 1 << 12) -> tuple[Model, DataFrame]:
+def fit(training: DataFrame, hot: int = 1 << 18, filter_bits: int = 1 << 26, bits_per_entry: int = 12, spread: int = 1 << 12) -> tuple[Model, DataFrame]:
     """(model, store).  What is broadcast is bounded by ``hot`` and ``filter_bits``; the store holds everything by bucket."""
     spark = training.sparkSession
     bits = bucket_bits(training)
