@@ -95,7 +95,8 @@ def dense_nearest(queries: DataFrame, targets: DataFrame, most_targets: int = 10
     """[JN-11, SM-09, SM-10] Best target of each query, in all and within its group (ties: smaller id).
 
     Tables (id, vec, grp) with vectors of one length.  Similarities are matrix products: the taxonomy side is broadcast
-    after a check of its size; a larger one is dealt out in blocks that each meet the queries, and block winners merge.
+    after a check of its size; a larger one is dealt out in blocks, the queries too, and each pair of blocks is one task
+    whose winners merge.
     """
     kind = queries.schema["grp"].dataType.simpleString()
     out = f"id long, grp {kind}, best_id long, best_score double, best_in_group long, in_group_score double"
@@ -117,15 +118,17 @@ def dense_nearest(queries: DataFrame, targets: DataFrame, most_targets: int = 10
 
         return q.mapInArrow(run, out)
     blocks = -(-targets.count() // most_targets)
-    dealt = t.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
-    asked = q.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    several = -(-queries.count() // most_targets)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(n, 1) - 1).cast("long")))
+    dealt = t.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks))).withColumn("part", every(several))
+    asked = q.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(max(several, 1)))).withColumn("block", every(blocks))
 
     def meet(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         right = right.sort_by("id")
         rows = _nearest_rows(*_columns(left), *_columns(right)) if len(left) and len(right) else []
         return pa.Table.from_arrays(table(rows, left.schema.field("grp").type), names=names)
 
-    found = asked.groupBy("block").cogroup(dealt.groupBy("block")).applyInArrow(meet, out)
+    found = asked.groupBy("block", "part").cogroup(dealt.groupBy("block", "part")).applyInArrow(meet, out)
     best = lambda score, i: F.struct(F.col(score), (-F.col(i)).alias("neg"))
     top = found.groupBy("id", "grp").agg(F.max(F.when(F.col("best_id").isNotNull(), best("best_score", "best_id"))).alias("k"), F.max(F.when(F.col("best_in_group").isNotNull(), best("in_group_score", "best_in_group"))).alias("o"))
     return top.select("id", "grp", (-F.col("k.neg")).alias("best_id"), F.col("k.best_score").alias("best_score"), (-F.col("o.neg")).alias("best_in_group"), F.col("o.in_group_score").alias("in_group_score"))
