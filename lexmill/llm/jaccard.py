@@ -16,8 +16,9 @@ changes no result, for the argument below holds for any two classes.  In the ord
   written by both, and there a class that is not empty agrees.
 
 Candidates are never all pairs of a group: each index entry first proposes its most central member (largest g) to the
-others, links join components, and only members that are still in different components are paired.  Every candidate is
-verified on the texts.
+others, links join components, and only members that are still in different components, and that reach a partner at the
+entry's level, are paired.  An entry of a rare token has at most ``rare_max`` members; one of a combination needs unlike
+members whose whole class agrees to have many such pairs.  Every candidate is verified on the texts.
 """
 
 from __future__ import annotations
@@ -306,16 +307,19 @@ def near_duplicate_components(documents: DataFrame, size: int = 5, threshold: Fr
     release(documents.sparkSession)
     comp = materialise(connected_components(links), "components")
     placed = index.join(comp, "node", "left").select("entry", "node", "n", "place", "g", F.coalesce("component", "node").alias("comp"))
-    split = placed.groupBy("entry").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("entry")
-    placed = materialise(placed.join(split, "entry"), "placed")
+    level = F.col("entry").bitwiseAND(F.lit(63))
+    cells = F.pow(F.lit(2.0), level)
+    # Members that reach no partner of the entry at its level go before any are paired.  At level 0 none stay: there all
+    # frequent tokens are equal, so a pair links if and only if gx + gy >= 0, and then both link with the entry's lead.
+    split = placed.groupBy("entry").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("g").alias("most")).filter("lo < hi").select("entry", "most")
+    reach = F.col("g").cast("double") + F.col("most").cast("double") > cells / 2 - F.lit(1e-3) - (F.abs("g") + F.abs("most")) * 1e-6
+    placed = materialise(placed.join(split, "entry").filter((level == 63) | ((level > 0) & reach)).drop("most"), "placed")
     size_of = placed.groupBy("entry", "comp").count()
     main = size_of.groupBy("entry").agg(F.max(F.struct("count", "comp")).alias("s")).select("entry", F.col("s.comp").alias("main"))
     marked = placed.join(main, "entry")
     left = marked.filter("comp <> main").select("entry", F.col("node").alias("x"), F.col("comp").alias("cx"), F.col("g").alias("gx"), F.col("n").alias("nx"), F.col("place").alias("px"), "main")
     right = placed.select("entry", F.col("node").alias("y"), F.col("comp").alias("cy"), F.col("g").alias("gy"), F.col("n").alias("ny"), F.col("place").alias("py"))
     room = F.col("gx").cast("double") + F.col("gy").cast("double")
-    level = F.col("entry").bitwiseAND(F.lit(63))
-    cells = F.pow(F.lit(2.0), level)
     # Level j serves pairs with 2**(j-1) <= room < 2**j (level 0: 0 <= room < 1); the margin covers float rounding.
     slack = F.lit(1e-3) + (F.abs("gx") + F.abs("gy")) * 1e-6
     fits = (level == 63) | ((room > -slack) & (room < cells + slack) & ((level == 0) | (room > cells / 2 - slack)))

@@ -165,3 +165,13 @@ def test_without_repeated_passages(spark):
     df = spark.createDataFrame([(1, p, "a"), (2, f"pre\n{p} post", "b"), (3, "  short  text ", "c")], "doc_id long, text string, lang string")
     got = {r["doc_id"]: (r["text"], r["lang"]) for r in substring.without_repeated_passages(df).collect()}
     assert got == {1: (p, "a"), 2: ("pre post", "b"), 3: ("  short  text ", "c")}
+
+
+def test_unlike_members_of_one_combination(spark):
+    """Texts that share all frequent shingles and differ in rare ones by a little more than may be: none is a link."""
+    rng = random.Random(31)
+    shared = " ".join(f"b{i}" for i in range(102))
+    rows = [(i, f"{shared} " + " ".join(f"own{i}x{k}" for k in range(6 + i % 2))) for i in range(60)]
+    rows += [(1000 + i, f"{shared} " + " ".join(f"own{i}y{k}" for k in range(rng.choice([1, 4, 5])))) for i in range(40)]
+    got = jaccard.near_duplicate_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, "9/10", rare_max=2).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute_components(rows, 3, Fraction(9, 10))
