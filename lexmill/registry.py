@@ -20,14 +20,39 @@ ORACLE: dict[str, str] = {}
 # --- SQL fragments shared by the oracles -----------------------------------------------------------------------------
 NORM = "trim(regexp_replace(lower({0}), '\\s+', ' ', 'g'))"
 VERSION = "regexp_matches({0}, '(?i)\\b(v\\d+|\\d+\\.\\d+|\\d{{4}}|\\d+\\s*bit|es\\d+|python\\s*\\d+)\\b')"
-TAX = "select p_type grp, p_name canonical, p_brand alias, p_partkey pos, trim(regexp_replace(lower(p_type), '\\s+', ' ', 'g')) gn, trim(regexp_replace(lower(p_name), '\\s+', ' ', 'g')) cn, trim(regexp_replace(lower(p_brand), '\\s+', ' ', 'g')) an from part"
-CANON = f"tax as ({TAX}), canon as (select distinct grp, canonical, gn, cn from tax where gn <> cn), ali as (select * from tax where alias is not null and gn <> cn)"
-ODD = "odd as (select p_partkey, case p_partkey % 7 when 0 then p_brand || '/' || p_name when 1 then p_name || ' (' || p_brand || ')' when 2 then p_name || ' and ' || p_type when 3 then 'Advanced  ' || p_name when 4 then p_name || ', ' || p_type when 5 then p_name || ' v' || p_size else '  ' || upper(p_name) || '-' || p_brand end as name from part)"
-NODES = "nodes as (select c_name skill, coalesce(n, 0)::bigint total_count, n_name grp, r_name super_grp from customer left join (select o_custkey, count(*) filter (o_orderpriority = '1-URGENT') n from orders group by 1) on o_custkey = c_custkey join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey)"
-JD = "jd as (select distinct l_orderkey doc, p_name item from lineitem join part on l_partkey = p_partkey), edges as (select x.item a, y.item b, count(*)::bigint weight from jd x join jd y on x.doc = y.doc and x.item < y.item group by 1, 2)"
+TAX = """
+    select p_type grp, p_name canonical, p_brand alias, p_partkey pos, trim(regexp_replace(lower(p_type), '\\s+', ' ', 'g')) gn,
+    trim(regexp_replace(lower(p_name), '\\s+', ' ', 'g')) cn, trim(regexp_replace(lower(p_brand), '\\s+', ' ', 'g')) an from part
+"""
+CANON = f"""
+    tax as ({TAX}), canon as (select distinct grp, canonical, gn, cn from tax where gn <> cn), ali as (select * from tax where alias
+    is not null and gn <> cn)
+"""
+ODD = """
+    odd as (select p_partkey, case p_partkey % 7 when 0 then p_brand || '/' || p_name when 1 then p_name || ' (' || p_brand || ')'
+    when 2 then p_name || ' and ' || p_type when 3 then 'Advanced  ' || p_name when 4 then p_name || ', ' || p_type when 5 then p_name
+    || ' v' || p_size else '  ' || upper(p_name) || '-' || p_brand end as name from part)
+"""
+NODES = """
+    nodes as (select c_name skill, coalesce(n, 0)::bigint total_count, n_name grp, r_name super_grp from customer left join (select
+    o_custkey, count(*) filter (o_orderpriority = '1-URGENT') n from orders group by 1) on o_custkey = c_custkey join nation on
+    c_nationkey = n_nationkey join region on n_regionkey = r_regionkey)
+"""
+JD = """
+    jd as (select distinct l_orderkey doc, p_name item from lineitem join part on l_partkey = p_partkey), edges as (select x.item a,
+    y.item b, count(*)::bigint weight from jd x join jd y on x.doc = y.doc and x.item < y.item group by 1, 2)
+"""
 HEAVY = "heavy as (select * from edges where weight >= (select quantile_disc(weight, 0.9) from edges))"
-MENTION = "m as (select 'Skill ' || json_extract_string(props, '$.k') as name, lower('skill_' || json_extract_string(props, '$.k')) as key, event_type tag, 'u' || user_id source, strftime(ts, '%Y-%m-%d') as day, event_id ord from events)"
-GRAMS = "terms as (select distinct p_name term from part), g as (select distinct term, substr(k, i, 3) gram from (select term, replace(trim(lower(term)), ' ', '_') k, unnest(generate_series(1, greatest(length(term) - 2, 1))) i from terms)), sz as (select term, count(*) n from g group by 1), sim as (select x.term a, y.term b, count(*) / (sqrt(max(sx.n)) * sqrt(max(sy.n))) score from g x join g y on x.gram = y.gram and x.term < y.term join sz sx on sx.term = x.term join sz sy on sy.term = y.term group by 1, 2)"
+MENTION = """
+    m as (select 'Skill ' || json_extract_string(props, '$.k') as name, lower('skill_' || json_extract_string(props, '$.k')) as key,
+    event_type tag, 'u' || user_id source, strftime(ts, '%Y-%m-%d') as day, event_id ord from events)
+"""
+GRAMS = """
+    terms as (select distinct p_name term from part), g as (select distinct term, substr(k, i, 3) gram from (select term,
+    replace(trim(lower(term)), ' ', '_') k, unnest(generate_series(1, greatest(length(term) - 2, 1))) i from terms)), sz as (select
+    term, count(*) n from g group by 1), sim as (select x.term a, y.term b, count(*) / (sqrt(max(sx.n)) * sqrt(max(sy.n))) score from
+    g x join g y on x.gram = y.gram and x.term < y.term join sz sx on sx.term = x.term join sz sy on sy.term = y.term group by 1, 2)
+"""
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -41,53 +66,103 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 # --- scalar functions and predicates ---------------------------------------------------------------------------------
-@query(f"with {ODD} select p_partkey, {NORM.format('name')} as norm, {NORM.format(chr(39).join(['translate(name, ', '-_', ', ', '  ', ')']))} as alias_key, trim(regexp_replace(regexp_replace(lower(name), '[^a-z0-9\\s#+.]', '', 'g'), '\\s+', ' ', 'g')) as stripped, trim(lower(name)) as weak, replace(lower(name), ' ', '_') as queue_key, md5(name) as hash, case when length(name) <= 20 then name else substr(name, 1, 17) || '...' end as short from odd")
+@query(
+    f"""
+    with {ODD} select p_partkey, {NORM.format('name')} as norm,
+    {NORM.format(chr(39).join(['translate(name, ', '-_', ', ', '  ', ')']))} as alias_key,
+    trim(regexp_replace(regexp_replace(lower(name), '[^a-z0-9\\s#+.]', '', 'g'), '\\s+', ' ', 'g')) as stripped, trim(lower(name)) as
+    weak, replace(lower(name), ' ', '_') as queue_key, md5(name) as hash, case when length(name) <= 20 then name else substr(name, 1,
+    17) || '...' end as short from odd
+    """
+)
 def normalize_terms(spark, sf_dir):
     """[FN-01..05, FN-15, FN-17, FN-19]"""
     n = F.col("name")
     return V.odd_names(spark, sf_dir).select("p_partkey", T.normalize(n).alias("norm"), T.equivalence_key(n).alias("alias_key"), T.strip_punctuation(n).alias("stripped"), T.weak_normalize(n).alias("weak"), T.queue_key(n).alias("queue_key"), T.text_hash(n).alias("hash"), T.truncated(n, 20).alias("short"))
 
 
-@query(f"with {ODD}, n as (select p_partkey, name, {NORM.format('name')} as norm from odd) select p_partkey, concat_ws(',', case when contains(name, '/') then 'slash' end, case when contains(name, ',') then 'comma' end, case when contains(name, '(') or contains(name, ')') then 'parentheses' end, case when regexp_matches(norm, '\\band\\b') then 'and' end, case when regexp_matches(norm, '^(core|advanced|basic|modern|enterprise|backend|frontend) ') then 'contextual_prefix' end, case when {VERSION.format('norm')} then 'version_like' end) as reasons from n")
+@query(
+    f"""
+    with {ODD}, n as (select p_partkey, name, {NORM.format('name')} as norm from odd) select p_partkey, concat_ws(',', case when
+    contains(name, '/') then 'slash' end, case when contains(name, ',') then 'comma' end, case when contains(name, '(') or
+    contains(name, ')') then 'parentheses' end, case when regexp_matches(norm, '\\band\\b') then 'and' end, case when
+    regexp_matches(norm, '^(core|advanced|basic|modern|enterprise|backend|frontend) ') then 'contextual_prefix' end, case when
+    {VERSION.format('norm')} then 'version_like' end) as reasons from n
+    """
+)
 def atomicity_flags(spark, sf_dir):
     """[PD-01..03]"""
     return V.odd_names(spark, sf_dir).select("p_partkey", F.array_join(T.atomicity_reasons(F.col("name")), ",").alias("reasons"))
 
 
-@query("with t as (select distinct p_name term, replace(trim(lower(p_name)), ' ', '_') k from part), x as (select term, k, unnest(generate_series(1, greatest(length(k) - 2, 1))) i from t) select distinct term, substr(k, i, 3) as gram from x")
+@query(
+    """
+    with t as (select distinct p_name term, replace(trim(lower(p_name)), ' ', '_') k from part), x as (select term, k,
+    unnest(generate_series(1, greatest(length(k) - 2, 1))) i from t) select distinct term, substr(k, i, 3) as gram from x
+    """
+)
 def char_trigrams(spark, sf_dir):
     """[FN-06, CJ-05]"""
     t = V.table(spark, sf_dir, "part").select(F.col("p_name").alias("term")).distinct()
     return t.select("term", F.explode(T.char_ngrams(T.normalize(F.col("term")))).alias("gram"))
 
 
-@query(f"with {ODD}, x as (select p_partkey, unnest(regexp_split_to_array(replace(replace({NORM.format('name')}, '(', ' '), ')', ' '), '[/,+&]|\\band\\b')) as part from odd) select distinct p_partkey, {NORM.format('part')} as token from x where {NORM.format('part')} <> ''")
+@query(
+    f"""
+    with {ODD}, x as (select p_partkey, unnest(regexp_split_to_array(replace(replace({NORM.format('name')}, '(', ' '), ')', ' '),
+    '[/,+&]|\\band\\b')) as part from odd) select distinct p_partkey, {NORM.format('part')} as token from x where
+    {NORM.format('part')} <> ''
+    """
+)
 def explicit_tokens(spark, sf_dir):
     """[FN-08, FN-09]"""
     return V.odd_names(spark, sf_dir).select("p_partkey", F.explode(T.explicit_tokens(F.col("name"))).alias("token"))
 
 
-@query(f"with {ODD} select p_partkey, trim(regexp_replace(name, '\\([^)]+\\)', '', 'g')) as base, trim(regexp_extract(name, '\\(([^)]+)\\)', 1)) as alias from odd where contains(name, '(')")
+@query(
+    f"""
+    with {ODD} select p_partkey, trim(regexp_replace(name, '\\([^)]+\\)', '', 'g')) as base, trim(regexp_extract(name,
+    '\\(([^)]+)\\)', 1)) as alias from odd where contains(name, '(')
+    """
+)
 def paren_rewrite(spark, sf_dir):
     """[FN-07, GV-04]"""
     p = T.parenthetical_split(F.col("name"))
     return V.odd_names(spark, sf_dir).filter(p.isNotNull()).select("p_partkey", p["base"].alias("base"), p["alias"].alias("alias"))
 
 
-@query(f"with {ODD} select p_partkey, case p_partkey % 7 when 0 then 'split_on_slash' when 1 then 'remove_parentheses' when 2 then 'split_on_and' when 3 then 'needs_exception' when 4 then 'split_on_comma' when 5 then 'needs_exception' else 'keep' end as action, case p_partkey % 7 when 0 then 2 when 1 then 1 when 2 then 2 when 3 then 0 when 4 then 2 when 5 then 0 else 1 end as parts from odd")
+@query(
+    f"""
+    with {ODD} select p_partkey, case p_partkey % 7 when 0 then 'split_on_slash' when 1 then 'remove_parentheses' when 2 then
+    'split_on_and' when 3 then 'needs_exception' when 4 then 'split_on_comma' when 5 then 'needs_exception' else 'keep' end as action,
+    case p_partkey % 7 when 0 then 2 when 1 then 1 when 2 then 2 when 3 then 0 when 4 then 2 when 5 then 0 else 1 end as parts from
+    odd
+    """
+)
 def rewrite_actions(spark, sf_dir):
     """[GV-04, PD-04]"""
     d = T.rewrite_decision(F.col("name"))
     return V.odd_names(spark, sf_dir).select("p_partkey", d["action"].alias("action"), F.size(d["parts"]).alias("parts"))
 
 
-@query("select p_partkey, lower(array_to_string(list_transform(regexp_extract_all(p_name, '[a-zA-Z0-9]+'), lambda x: substr(x, 1, 1)), '')) as acronym, regexp_matches(upper(p_brand), '^[A-Z0-9]{2,12}$') as acronym_like from part")
+@query(
+    """
+    select p_partkey, lower(array_to_string(list_transform(regexp_extract_all(p_name, '[a-zA-Z0-9]+'), lambda x: substr(x, 1, 1)),
+    '')) as acronym, regexp_matches(upper(p_brand), '^[A-Z0-9]{2,12}$') as acronym_like from part
+    """
+)
 def acronyms(spark, sf_dir):
     """[FN-10, FN-11]"""
     return V.table(spark, sf_dir, "part").select("p_partkey", T.acronym(F.col("p_name")).alias("acronym"), T.is_acronym_like(F.upper("p_brand")).alias("acronym_like"))
 
 
-@query("select event_id, case when event_id % 2 = 0 then event_type else event_type || ' x' end as name, case when event_id % 2 = 0 then 'Group ' || user_id end as tag, strftime(ts, '%Y-%m-%d') as day, case when event_id % 3 = 0 then 'a_b' else 'unknown' end as slug from events")
+@query(
+    """
+    select event_id, case when event_id % 2 = 0 then event_type else event_type || ' x' end as name, case when event_id % 2 = 0 then
+    'Group ' || user_id end as tag, strftime(ts, '%Y-%m-%d') as day, case when event_id % 3 = 0 then 'a_b' else 'unknown' end as slug
+    from events
+    """
+)
 def tagged_mentions(spark, sf_dir):
     """[FN-14, FN-16, FN-18]"""
     even = F.col("event_id") % 2 == 0
@@ -97,7 +172,13 @@ def tagged_mentions(spark, sf_dir):
     return V.table(spark, sf_dir, "events").select("event_id", s["name"].alias("name"), s["tag"].alias("tag"), T.date_prefix(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("day"), slug.alias("slug"))
 
 
-@query("select o_orderkey, case when o_totalprice > 300000 then 'HIGH' when o_totalprice > 150000 then 'MEDIUM' else 'LOW' end as confidence, case when o_totalprice > 150000 then 'active' else 'under_review' end as status, o_orderstatus = 'F' as flag, coalesce(try_cast(substr(o_orderpriority, 1, 1) as bigint), 0) as number from orders")
+@query(
+    """
+    select o_orderkey, case when o_totalprice > 300000 then 'HIGH' when o_totalprice > 150000 then 'MEDIUM' else 'LOW' end as
+    confidence, case when o_totalprice > 150000 then 'active' else 'under_review' end as status, o_orderstatus = 'F' as flag,
+    coalesce(try_cast(substr(o_orderpriority, 1, 1) as bigint), 0) as number from orders
+    """
+)
 def enumerations(spark, sf_dir):
     """[FN-27..29, FN-41]"""
     given = F.when(F.col("o_totalprice") > 300000, "very high").when(F.col("o_totalprice") > 150000, "0.61").otherwise(" Low ")
@@ -155,13 +236,25 @@ def hard_block_pairs(spark, sf_dir):
     return rules.aliases(t).join(keyed, (T.normalize(F.col("canonical")) == F.col("c")) & (T.normalize(F.col("alias")) == F.col("a")), "left_semi").select("grp", "canonical", "alias")
 
 
-@query(f"with {ODD}, t as (select 'g' || (p_partkey % 5) grp, name, {NORM.format('name')} norm from odd) select 'group:' || grp || '.canonical:' || name as location, norm as normalized_value from (select distinct grp, name, norm from t) where contains(name, '/') or contains(name, ',') or contains(name, '(') or regexp_matches(norm, '\\band\\b') or regexp_matches(norm, '^(core|advanced|basic|modern|enterprise|backend|frontend) ') or {VERSION.format('norm')}")
+@query(
+    f"""
+    with {ODD}, t as (select 'g' || (p_partkey % 5) grp, name, {NORM.format('name')} norm from odd) select 'group:' || grp ||
+    '.canonical:' || name as location, norm as normalized_value from (select distinct grp, name, norm from t) where contains(name,
+    '/') or contains(name, ',') or contains(name, '(') or regexp_matches(norm, '\\band\\b') or regexp_matches(norm,
+    '^(core|advanced|basic|modern|enterprise|backend|frontend) ') or {VERSION.format('norm')}
+    """
+)
 def l1_006_non_atomic(spark, sf_dir):
     """[L1-006, L1-010, PD-06]"""
     return rules.non_atomic(_odd_terms(spark, sf_dir)).select("location", "normalized_value")
 
 
-@query(f"with {ODD}, t as (select distinct 'g' || (p_partkey % 5) grp, name, {NORM.format('name')} norm from odd) select 'group:' || grp || '.canonical:x' as location, name as observed_value from t where {VERSION.format('norm')}")
+@query(
+    f"""
+    with {ODD}, t as (select distinct 'g' || (p_partkey % 5) grp, name, {NORM.format('name')} norm from odd) select 'group:' || grp ||
+    '.canonical:x' as location, name as observed_value from t where {VERSION.format('norm')}
+    """
+)
 def l1_007_versions(spark, sf_dir):
     """[L1-007, PD-02]"""
     t = _odd_terms(spark, sf_dir).select("grp", F.lit("x").alias("canonical"), F.col("canonical").alias("alias")).distinct()
@@ -173,7 +266,14 @@ def _odd_terms(spark, sf_dir) -> DataFrame:
     return o.select(F.concat(F.lit("g"), (F.col("p_partkey") % 5).cast("string")).alias("grp"), F.lit(0).alias("grp_pos"), F.col("name").alias("canonical"), F.lit(0).alias("canonical_pos"), F.lit(None).cast("string").alias("alias"), F.lit(0).alias("alias_pos"))
 
 
-@query(f"with {CANON}, f as (select 'L1-002' as rule_id, true as blocking from canon group by cn having count(*) > 1 union all select 'L1-004', true from ali group by an having count(distinct cn) > 1 union all select 'L1-009', false from (select row_number() over (partition by grp, canonical, an order by pos) nth from ali) where nth > 1) select rule_id, count(*)::bigint as n, count(*) filter (blocking)::bigint as errors, count(*) filter (not blocking)::bigint as warnings from f group by rollup (rule_id)")
+@query(
+    f"""
+    with {CANON}, f as (select 'L1-002' as rule_id, true as blocking from canon group by cn having count(*) > 1 union all select
+    'L1-004', true from ali group by an having count(distinct cn) > 1 union all select 'L1-009', false from (select row_number() over
+    (partition by grp, canonical, an order by pos) nth from ali) where nth > 1) select rule_id, count(*)::bigint as n, count(*) filter
+    (blocking)::bigint as errors, count(*) filter (not blocking)::bigint as warnings from f group by rollup (rule_id)
+    """
+)
 def findings_summary(spark, sf_dir):
     """[AG-01, AG-02, SO-02, FN-40]"""
     t = V.tax(spark, sf_dir)
@@ -181,7 +281,13 @@ def findings_summary(spark, sf_dir):
     return rules.findings_summary(f)
 
 
-@query(f"with {CANON}, k as (select canonical w from canon union all select alias from ali), c as (select trim(lower(w)) k, count(*) n from k group by 1) select sum(n)::bigint as total, count(*)::bigint as unique_terms, sum(n - 1)::bigint as surplus, count(*) filter (n > 1)::bigint as duplicated from c")
+@query(
+    f"""
+    with {CANON}, k as (select canonical w from canon union all select alias from ali), c as (select trim(lower(w)) k, count(*) n from
+    k group by 1) select sum(n)::bigint as total, count(*)::bigint as unique_terms, sum(n - 1)::bigint as surplus, count(*) filter (n
+    > 1)::bigint as duplicated from c
+    """
+)
 def duplicate_keywords(spark, sf_dir):
     """[AG-06]"""
     t = V.tax(spark, sf_dir)
@@ -189,13 +295,28 @@ def duplicate_keywords(spark, sf_dir):
     return rules.duplicate_report(k, normal=True)
 
 
-@query(f"with {CANON}, s as (select grp, canonical, cn, count(alias) n from tax group by all), r as (select grp, canonical, row_number() over (partition by cn order by n desc, lower(grp), lower(canonical)) nth from s), ag as (select an from ali group by 1 having count(*) > 1) select r.grp, r.canonical, a.alias from r left join (select grp, canonical, alias from ali where an not in (select an from ag)) a using (grp, canonical) where nth = 1")
+@query(
+    f"""
+    with {CANON}, s as (select grp, canonical, cn, count(alias) n from tax group by all), r as (select grp, canonical, row_number()
+    over (partition by cn order by n desc, lower(grp), lower(canonical)) nth from s), ag as (select an from ali group by 1 having
+    count(*) > 1) select r.grp, r.canonical, a.alias from r left join (select grp, canonical, alias from ali where an not in (select
+    an from ag)) a using (grp, canonical) where nth = 1
+    """
+)
 def resolve_duplicates(spark, sf_dir):
     """[SO-07, WN-03]"""
     return rules.resolved_duplicates(V.tax(spark, sf_dir))
 
 
-@query("with t as (select distinct p_type grp, p_name canonical, p_name || ' of ' || p_brand as alias from part), h as (select t.grp, t.canonical, t.alias, o.canonical matched, row_number() over (partition by t.grp, t.canonical, t.alias order by length(o.canonical) desc, o.canonical) nth from t join (select distinct p_type grp, p_brand canonical from part) o on o.grp = t.grp and (trim(lower(t.alias)) = lower(o.canonical) or ends_with(trim(lower(t.alias)), ' ' || lower(o.canonical)))) select grp, canonical, alias, matched from h where nth = 1")
+@query(
+    """
+    with t as (select distinct p_type grp, p_name canonical, p_name || ' of ' || p_brand as alias from part), h as (select t.grp,
+    t.canonical, t.alias, o.canonical matched, row_number() over (partition by t.grp, t.canonical, t.alias order by
+    length(o.canonical) desc, o.canonical) nth from t join (select distinct p_type grp, p_brand canonical from part) o on o.grp =
+    t.grp and (trim(lower(t.alias)) = lower(o.canonical) or ends_with(trim(lower(t.alias)), ' ' || lower(o.canonical)))) select grp,
+    canonical, alias, matched from h where nth = 1
+    """
+)
 def suffix_overlap(spark, sf_dir):
     """[JN-07, WN-05]"""
     p = V.table(spark, sf_dir, "part")
@@ -204,7 +325,13 @@ def suffix_overlap(spark, sf_dir):
     return rules.suffix_overlaps(named.unionByName(brands).distinct())
 
 
-@query("with n as (select distinct p_type grp, w from (select p_type, p_name w from part union all select p_type, p_name || ' of ' || p_brand from part union all select p_type, p_brand from part)), k as (select grp, w, trim(lower(w)) norm from n) select x.grp, x.w as canonical, y.w as ends_in from k x join k y on x.grp = y.grp and x.norm <> y.norm and ends_with(x.norm, ' ' || y.norm)")
+@query(
+    """
+    with n as (select distinct p_type grp, w from (select p_type, p_name w from part union all select p_type, p_name || ' of ' ||
+    p_brand from part union all select p_type, p_brand from part)), k as (select grp, w, trim(lower(w)) norm from n) select x.grp, x.w
+    as canonical, y.w as ends_in from k x join k y on x.grp = y.grp and x.norm <> y.norm and ends_with(x.norm, ' ' || y.norm)
+    """
+)
 def redundant_tokens(spark, sf_dir):
     """[JN-22, SM-07]"""
     p = V.table(spark, sf_dir, "part")
@@ -213,34 +340,67 @@ def redundant_tokens(spark, sf_dir):
     return rules.redundant_tokens(a.unionByName(b).distinct())
 
 
-@query(f"with {CANON}, r as (select cn term, grp, canonical, 'canonical' kind from canon union select an, grp, canonical, 'alias' from ali) select term, count(*)::bigint as places, min(grp || '|' || canonical || '|' || kind) as first_place from r group by 1")
+@query(
+    f"""
+    with {CANON}, r as (select cn term, grp, canonical, 'canonical' kind from canon union select an, grp, canonical, 'alias' from ali)
+    select term, count(*)::bigint as places, min(grp || '|' || canonical || '|' || kind) as first_place from r group by 1
+    """
+)
 def reverse_index(spark, sf_dir):
     """[CJ-04]"""
     r = rules.reverse_index(V.tax(spark, sf_dir))
     return r.select("term", F.size("places").cast("bigint").alias("places"), F.array_min(F.transform("places", lambda x: F.concat_ws("|", x["grp"], x["canonical"], x["kind"]))).alias("first_place"))
 
 
-@query("with k as (select lower(p_brand) as key, lower(p_name) canonical, p_partkey pos from part union all select lower(p_name), lower(p_name), -1 from part) select key, max_by(canonical, pos) as canonical from k group by 1")
+@query(
+    """
+    with k as (select lower(p_brand) as key, lower(p_name) canonical, p_partkey pos from part union all select lower(p_name),
+    lower(p_name), -1 from part) select key, max_by(canonical, pos) as canonical from k group by 1
+    """
+)
 def alias_map(spark, sf_dir):
     """[CJ-03, CJ-01]"""
     return rules.alias_map(V.tax(spark, sf_dir)).select("key", "canonical")
 
 
 # --- similarity ------------------------------------------------------------------------------------------------------
-@query(f"with {GRAMS} select a as \"left\", b as \"right\", round(score, 6) as score, case when score > 0.93 then 'high_collision' else 'possible_conflict' end as band from sim where score >= 0.5")
+@query(
+    f"""
+    with {GRAMS} select a as \"left\", b as \"right\", round(score, 6) as score, case when score > 0.93 then 'high_collision' else
+    'possible_conflict' end as band from sim where score >= 0.5
+    """
+)
 def sim_join_part_names(spark, sf_dir):
     """[SM-01, SM-04, JN-08, FN-26, PD-12] the flagship: trigram similarity self-join of term names."""
     return similarity.trigram_edges(V.table(spark, sf_dir, "part").select(F.col("p_name").alias("term")), threshold=0.5)
 
 
-@query("with al as (select distinct p_type grp, p_name source_canonical, p_name || 's' as alias from part), names as (select distinct p_name term from part), x as (select distinct alias term from al union select term from names), g as (select distinct term, substr(k, i, 3) gram from (select term, replace(lower(term), ' ', '_') k, unnest(generate_series(1, length(term) - 2)) i from x)), sz as (select term, count(*) n from g group by 1), sim as (select p.term a, q.term b, count(*) / (sqrt(max(sp.n)) * sqrt(max(sq.n))) score from g p join g q using (gram) join sz sp on sp.term = p.term join sz sq on sq.term = q.term where p.term in (select alias from al) and q.term in (select term from names) group by 1, 2) select grp, source_canonical, alias, b as target_canonical, round(score, 6) as score, case when score > 0.93 then 'high_collision' else 'possible_conflict' end as band from al join sim on a = alias where b <> source_canonical and score >= 0.6")
+@query(
+    """
+    with al as (select distinct p_type grp, p_name source_canonical, p_name || 's' as alias from part), names as (select distinct
+    p_name term from part), x as (select distinct alias term from al union select term from names), g as (select distinct term,
+    substr(k, i, 3) gram from (select term, replace(lower(term), ' ', '_') k, unnest(generate_series(1, length(term) - 2)) i from x)),
+    sz as (select term, count(*) n from g group by 1), sim as (select p.term a, q.term b, count(*) / (sqrt(max(sp.n)) *
+    sqrt(max(sq.n))) score from g p join g q using (gram) join sz sp on sp.term = p.term join sz sq on sq.term = q.term where p.term
+    in (select alias from al) and q.term in (select term from names) group by 1, 2) select grp, source_canonical, alias, b as
+    target_canonical, round(score, 6) as score, case when score > 0.93 then 'high_collision' else 'possible_conflict' end as band from
+    al join sim on a = alias where b <> source_canonical and score >= 0.6
+    """
+)
 def alias_advisories(spark, sf_dir):
     """[JN-09, SM-05]"""
     p = V.table(spark, sf_dir, "part").select(F.col("p_type").alias("grp"), F.col("p_name").alias("canonical"), F.concat("p_name", F.lit("s")).alias("alias"))
     return similarity.alias_advisories(p, threshold=0.6)
 
 
-@query("with v as (select vec_id id, label grp, embedding::double[] vec from embeddings), p as (select x.id, x.grp, y.id t, y.grp tg, list_dot_product(x.vec, y.vec) / (sqrt(list_dot_product(x.vec, x.vec)) * sqrt(list_dot_product(y.vec, y.vec))) s from v x join v y on x.id <> y.id) select id, grp, arg_max(t, s) as best_id, round(max(s), 6) as best_score, arg_max(t, s) filter (grp = tg) as best_in_group, round(max(s) filter (grp = tg), 6) as in_group_score from p group by 1, 2")
+@query(
+    """
+    with v as (select vec_id id, label grp, embedding::double[] vec from embeddings), p as (select x.id, x.grp, y.id t, y.grp tg,
+    list_dot_product(x.vec, y.vec) / (sqrt(list_dot_product(x.vec, x.vec)) * sqrt(list_dot_product(y.vec, y.vec))) s from v x join v y
+    on x.id <> y.id) select id, grp, arg_max(t, s) as best_id, round(max(s), 6) as best_score, arg_max(t, s) filter (grp = tg) as
+    best_in_group, round(max(s) filter (grp = tg), 6) as in_group_score from p group by 1, 2
+    """
+)
 def dense_nearest(spark, sf_dir):
     """[JN-11, SM-02, SM-09]"""
     v = V.vectors(spark, sf_dir)
@@ -248,7 +408,15 @@ def dense_nearest(spark, sf_dir):
     return out.select("id", "grp", "best_id", F.round("best_score", 6).alias("best_score"), "best_in_group", F.round("in_group_score", 6).alias("in_group_score"))
 
 
-@query("with n as (select distinct p_name as name from part), b as (select distinct p_brand || ' ' || p_name as name from part), t as (select distinct upper(p_type) as name from part), k as (select distinct p_name || '!' as name from part), brands as (select lower(p_brand) as key, arg_max(lower(p_name), p_partkey) canonical from part group by 1) select name, name as canonical, 'exact' as match_type, 1.0::double as confidence from (select lower(name) as name from n) union all select name, lower(name), 'group_exact', 1.0 from t union all select name, lower(rtrim(name, '!')), 'normalized', 0.95 from k")
+@query(
+    """
+    with n as (select distinct p_name as name from part), b as (select distinct p_brand || ' ' || p_name as name from part), t as
+    (select distinct upper(p_type) as name from part), k as (select distinct p_name || '!' as name from part), brands as (select
+    lower(p_brand) as key, arg_max(lower(p_name), p_partkey) canonical from part group by 1) select name, name as canonical, 'exact'
+    as match_type, 1.0::double as confidence from (select lower(name) as name from n) union all select name, lower(name),
+    'group_exact', 1.0 from t union all select name, lower(rtrim(name, '!')), 'normalized', 0.95 from k
+    """
+)
 def match_exact_stripped(spark, sf_dir):
     """[JN-10 tiers 0 to 2, CJ-03]"""
     p = V.table(spark, sf_dir, "part")
@@ -271,7 +439,13 @@ def match_fuzzy(spark, sf_dir):
 
 
 # --- anomaly ---------------------------------------------------------------------------------------------------------
-@query(f"with {NODES}, l as (select skill, total_count, ln(total_count) x from nodes where total_count > 0), f as (select avg(x) m, stddev_samp(x) s from l) select skill, total_count, round(x, 4) as log_count, round((x - m) / s, 4) as z, abs((x - m) / s) >= 2 as flagged from l, f")
+@query(
+    f"""
+    with {NODES}, l as (select skill, total_count, ln(total_count) x from nodes where total_count > 0), f as (select avg(x) m,
+    stddev_samp(x) s from l) select skill, total_count, round(x, 4) as log_count, round((x - m) / s, 4) as z, abs((x - m) / s) >= 2 as
+    flagged from l, f
+    """
+)
 def log_outliers(spark, sf_dir):
     """[AN-01, AG-07, FN-20, FN-22, PD-07, PD-08]"""
     return anomaly.log_outliers(V.skill_nodes(spark, sf_dir))
@@ -293,31 +467,60 @@ def group_outliers_std(spark, sf_dir):
     return anomaly.group_outliers(V.skill_nodes(spark, sf_dir), robust=False)
 
 
-@query(f"with {NODES}, l as (select *, ln(total_count + 1) x from nodes), f as (select avg(x) m, stddev_samp(x) s from l), g as (select grp, avg(x) gm, case when count(*) = 1 then 0.1 else stddev_samp(x) end gs from l group by 1) select skill, grp, total_count, round(x, 4) as log_count, round((x - m) / nullif(s, 0), 4) as global_z, round((x - gm) / nullif(gs, 0), 4) as group_z from l join g using (grp), f")
+@query(
+    f"""
+    with {NODES}, l as (select *, ln(total_count + 1) x from nodes), f as (select avg(x) m, stddev_samp(x) s from l), g as (select
+    grp, avg(x) gm, case when count(*) = 1 then 0.1 else stddev_samp(x) end gs from l group by 1) select skill, grp, total_count,
+    round(x, 4) as log_count, round((x - m) / nullif(s, 0), 4) as global_z, round((x - gm) / nullif(gs, 0), 4) as group_z from l join
+    g using (grp), f
+    """
+)
 def anomaly_ln1p(spark, sf_dir):
     """[AN-03, AG-10, FN-21]"""
     return anomaly.anomaly_ln1p(V.skill_nodes(spark, sf_dir))
 
 
-@query(f"with {NODES}, l as (select skill, total_count, ln(total_count) x from nodes where total_count >= 3), f as (select avg(x) m, stddev_samp(x) s from l), z as (select skill, total_count, (x - m) / nullif(s, 0) z from l, f) select skill, total_count, round(z, 4) as z, case when round(z, 4) >= 3 then 'false_positive' when round(z, 4) >= 2 then 'investigate' else 'legitimate' end as class from z")
+@query(
+    f"""
+    with {NODES}, l as (select skill, total_count, ln(total_count) x from nodes where total_count >= 3), f as (select avg(x) m,
+    stddev_samp(x) s from l), z as (select skill, total_count, (x - m) / nullif(s, 0) z from l, f) select skill, total_count, round(z,
+    4) as z, case when round(z, 4) >= 3 then 'false_positive' when round(z, 4) >= 2 then 'investigate' else 'legitimate' end as class
+    from z
+    """
+)
 def refit_at_least(spark, sf_dir):
     """[AN-04, WN-07, PD-10, PD-15]"""
     return anomaly.refit(V.skill_nodes(spark, sf_dir), 3).select("skill", "total_count", "z", "class")
 
 
-@query(f"with {NODES} select floor(ln(total_count) / 0.2)::bigint as bin, count(*)::bigint as n from nodes where total_count > 0 and ln(total_count) <= 9 group by 1")
+@query(
+    f"""
+    with {NODES} select floor(ln(total_count) / 0.2)::bigint as bin, count(*)::bigint as n from nodes where total_count > 0 and
+    ln(total_count) <= 9 group by 1
+    """
+)
 def log_histogram(spark, sf_dir):
     """[AG-22, AN-06]"""
     return anomaly.log_histogram(V.skill_nodes(spark, sf_dir))
 
 
-@query(f"with {NODES}, f as (select avg(ln(total_count)) m, stddev_samp(ln(total_count)) s from nodes where total_count > 0) select i::int as i, round(exp(-0.5 * pow((i * 0.05 - m) / s, 2)) / (s * sqrt(2 * pi())), 6) as density from f, generate_series(0, 180) t(i)")
+@query(
+    f"""
+    with {NODES}, f as (select avg(ln(total_count)) m, stddev_samp(ln(total_count)) s from nodes where total_count > 0) select i::int
+    as i, round(exp(-0.5 * pow((i * 0.05 - m) / s, 2)) / (s * sqrt(2 * pi())), 6) as density from f, generate_series(0, 180) t(i)
+    """
+)
 def fitted_curve(spark, sf_dir):
     """[AN-06, FN-25]"""
     return anomaly.fitted_curve(V.skill_nodes(spark, sf_dir))
 
 
-@query(f"with {NODES} select skill, total_count, grp, super_grp from nodes where total_count > 0 and ln(total_count) >= 0.6 and ln(total_count) < 1.2")
+@query(
+    f"""
+    with {NODES} select skill, total_count, grp, super_grp from nodes where total_count > 0 and ln(total_count) >= 0.6 and
+    ln(total_count) < 1.2
+    """
+)
 def histogram_bin_members(spark, sf_dir):
     """[AN-07]"""
     return anomaly.bin_members(V.skill_nodes(spark, sf_dir), 0.6, 1.2)
@@ -329,7 +532,14 @@ def subgroups(spark, sf_dir):
     return anomaly.subgroups(V.skill_nodes(spark, sf_dir))
 
 
-@query(f"with {NODES}, {JD}, c as (select avg(case when total_count > 0 then 1.0 else 0.0 end)::double coverage from nodes), n as (select 100 * avg(case when weight <= 1 then 1.0 else 0.0 end)::double noise from edges) select round(coverage, 4) as coverage, round(noise, 4) as noise, case when coverage >= 0.7 then 'good' when coverage >= 0.5 then 'warning' else 'critical' end as coverage_health, case when noise <= 30 then 'good' when noise <= 40 then 'warning' else 'critical' end as noise_health from c, n")
+@query(
+    f"""
+    with {NODES}, {JD}, c as (select avg(case when total_count > 0 then 1.0 else 0.0 end)::double coverage from nodes), n as (select
+    100 * avg(case when weight <= 1 then 1.0 else 0.0 end)::double noise from edges) select round(coverage, 4) as coverage,
+    round(noise, 4) as noise, case when coverage >= 0.7 then 'good' when coverage >= 0.5 then 'warning' else 'critical' end as
+    coverage_health, case when noise <= 30 then 'good' when noise <= 40 then 'warning' else 'critical' end as noise_health from c, n
+    """
+)
 def health_summary(spark, sf_dir):
     """[AN-08, FN-42, AG-20]"""
     return anomaly.health_summary(V.skill_nodes(spark, sf_dir), graph.cooccurrence(V.jd_skill(spark, sf_dir)))
@@ -349,25 +559,51 @@ def cooccurrence_edges(spark, sf_dir):
     return graph.cooccurrence(V.jd_skill(spark, sf_dir))
 
 
-@query(f"with {JD}, d as (select node, count(*) degree, sum(weight) weight_sum, max(weight) weight_max from (select a node, weight from edges union all select b, weight from edges) group by 1) select node, degree::bigint as degree, weight_sum::bigint as weight_sum, weight_max::bigint as weight_max from d")
+@query(
+    f"""
+    with {JD}, d as (select node, count(*) degree, sum(weight) weight_sum, max(weight) weight_max from (select a node, weight from
+    edges union all select b, weight from edges) group by 1) select node, degree::bigint as degree, weight_sum::bigint as weight_sum,
+    weight_max::bigint as weight_max from d
+    """
+)
 def node_degree(spark, sf_dir):
     """[AG-13, GR-01]"""
     return graph.degrees(graph.cooccurrence(V.jd_skill(spark, sf_dir)))
 
 
-@query(f"with {JD}, d as (select node, count(*)::bigint as degree, sum(weight)::bigint as weight_sum, max(weight)::bigint as weight_max from (select a node, weight from edges union all select b, weight from edges) group by 1) select * from d order by degree desc, weight_sum desc, node limit 20")
+@query(
+    f"""
+    with {JD}, d as (select node, count(*)::bigint as degree, sum(weight)::bigint as weight_sum, max(weight)::bigint as weight_max
+    from (select a node, weight from edges union all select b, weight from edges) group by 1) select * from d order by degree desc,
+    weight_sum desc, node limit 20
+    """
+)
 def top_hubs(spark, sf_dir):
     """[ST-08]"""
     return graph.top_hubs(graph.cooccurrence(V.jd_skill(spark, sf_dir)))
 
 
-@query(f"with {JD} select case when weight = 1 then '1' when weight <= 4 then '2-4' when weight <= 9 then '5-9' when weight <= 19 then '10-19' when weight <= 49 then '20-49' when weight <= 99 then '50-99' else '100+' end as bucket, count(*)::bigint as n, round(100.0::double * count(*) / (select count(*) from edges), 4) as pct from edges group by 1")
+@query(
+    f"""
+    with {JD} select case when weight = 1 then '1' when weight <= 4 then '2-4' when weight <= 9 then '5-9' when weight <= 19 then
+    '10-19' when weight <= 49 then '20-49' when weight <= 99 then '50-99' else '100+' end as bucket, count(*)::bigint as n,
+    round(100.0::double * count(*) / (select count(*) from edges), 4) as pct from edges group by 1
+    """
+)
 def edge_weight_distribution(spark, sf_dir):
     """[AG-19]"""
     return graph.weight_distribution(graph.cooccurrence(V.jd_skill(spark, sf_dir)))
 
 
-@query(f"with {JD}, t as (select unnest([1, 2, 5, 10, 20, 50, 100])::int as min_weight), e as (select min_weight, count(*) n from t, edges where weight >= min_weight group by 1), top as (select node, max(weight) w from (select a node, weight from edges union all select b, weight from edges) group by 1), v as (select min_weight, count(*) n from t, top where w >= min_weight group by 1) select e.min_weight, e.n::bigint as edges, round(100.0::double * e.n / (select count(*) from edges), 4) as edges_pct, v.n::bigint as nodes, round(100.0::double * v.n / (select count(*) from top), 4) as nodes_pct from e join v using (min_weight)")
+@query(
+    f"""
+    with {JD}, t as (select unnest([1, 2, 5, 10, 20, 50, 100])::int as min_weight), e as (select min_weight, count(*) n from t, edges
+    where weight >= min_weight group by 1), top as (select node, max(weight) w from (select a node, weight from edges union all select
+    b, weight from edges) group by 1), v as (select min_weight, count(*) n from t, top where w >= min_weight group by 1) select
+    e.min_weight, e.n::bigint as edges, round(100.0::double * e.n / (select count(*) from edges), 4) as edges_pct, v.n::bigint as
+    nodes, round(100.0::double * v.n / (select count(*) from top), 4) as nodes_pct from e join v using (min_weight)
+    """
+)
 def edge_thresholds(spark, sf_dir):
     """[AG-19, AG-20]"""
     return graph.threshold_breakdown(graph.cooccurrence(V.jd_skill(spark, sf_dir)))
@@ -378,7 +614,14 @@ def _sim_edges(spark, sf_dir) -> DataFrame:
     return e.select(F.col("left").alias("a"), F.col("right").alias("b"), F.col("score").alias("weight"))
 
 
-@query(f"with recursive {GRAMS}, e as (select a, b from sim where score >= 0.5 union select b, a from sim where score >= 0.5), reach as (select a, a as r from e union select reach.a, e.b from reach join e on e.a = reach.r), c as (select a node, min(r) component from reach group by 1), ids as (select component, 'cluster-' || lpad(cast(row_number() over (order by component) as varchar), 4, '0') id from (select distinct component from c)) select node, id from c join ids using (component)")
+@query(
+    f"""
+    with recursive {GRAMS}, e as (select a, b from sim where score >= 0.5 union select b, a from sim where score >= 0.5), reach as
+    (select a, a as r from e union select reach.a, e.b from reach join e on e.a = reach.r), c as (select a node, min(r) component from
+    reach group by 1), ids as (select component, 'cluster-' || lpad(cast(row_number() over (order by component) as varchar), 4, '0')
+    id from (select distinct component from c)) select node, id from c join ids using (component)
+    """
+)
 def components(spark, sf_dir):
     """[GR-02, WN-04, GR-06]"""
     return graph.numbered(connected_components(_sim_edges(spark, sf_dir)), "cluster")
@@ -405,34 +648,66 @@ def cluster_stars(spark, sf_dir):
     return graph.clusters(edges, most=10)
 
 
-@query(f"with {GRAMS}, e as (select a, b from sim where score >= 0.5), d as (select node, count(*)::bigint as degree from (select a node, b o from e union select b, a from e) group by 1), n as (select count(*) n from d) select node, degree, degree / (n - 1) as ratio from d, n where degree / (n - 1) > 0.05")
+@query(
+    f"""
+    with {GRAMS}, e as (select a, b from sim where score >= 0.5), d as (select node, count(*)::bigint as degree from (select a node, b
+    o from e union select b, a from e) group by 1), n as (select count(*) n from d) select node, degree, degree / (n - 1) as ratio
+    from d, n where degree / (n - 1) > 0.05
+    """
+)
 def over_generic(spark, sf_dir):
     """[L5-001, PD-13, GR-07]"""
     return graph.over_generic(_sim_edges(spark, sf_dir), 0.05)
 
 
-@query(f"with {GRAMS}, e as (select a, b, round(score, 6) w from sim where score >= 0.5), d as (select node, count(*) degree, sum(w) weight_sum, max(w) m from (select a node, b o, w from e union select b, a, w from e) group by 1) select node, weight_sum, m / weight_sum as ratio from d where degree = 1 and m / weight_sum >= 0.9")
+@query(
+    f"""
+    with {GRAMS}, e as (select a, b, round(score, 6) w from sim where score >= 0.5), d as (select node, count(*) degree, sum(w)
+    weight_sum, max(w) m from (select a node, b o, w from e union select b, a, w from e) group by 1) select node, weight_sum, m /
+    weight_sum as ratio from d where degree = 1 and m / weight_sum >= 0.9
+    """
+)
 def phantom_nodes(spark, sf_dir):
     """[L5-002, PD-14]"""
     return graph.phantoms(_sim_edges(spark, sf_dir))
 
 
-@query("with r as (select p_brand as cluster, p_name || '#' || p_partkey as term, p_type as level from part), c as (select cluster, level, count(*) n, min(term) f from r group by 1, 2), m as (select cluster, level as majority from (select *, row_number() over (partition by cluster order by n desc, f, level) nth from c) where nth = 1) select cluster, term, level, majority from r join m using (cluster) where level <> majority")
+@query(
+    """
+    with r as (select p_brand as cluster, p_name || '#' || p_partkey as term, p_type as level from part), c as (select cluster, level,
+    count(*) n, min(term) f from r group by 1, 2), m as (select cluster, level as majority from (select *, row_number() over
+    (partition by cluster order by n desc, f, level) nth from c) where nth = 1) select cluster, term, level, majority from r join m
+    using (cluster) where level <> majority
+    """
+)
 def cluster_disagreement(spark, sf_dir):
     """[L5-003, JN-19, AG-12]"""
     p = V.table(spark, sf_dir, "part").select("p_brand", F.concat("p_name", F.lit("#"), F.col("p_partkey").cast("string")).alias("term"), "p_type")
     return graph.disagreements(p.select(F.col("p_brand").alias("cluster"), "term"), p.select("term", F.col("p_type").alias("level")))
 
 
-@query("with c as (select user_id, event_type, count(*)::bigint as n, min(event_id) f from events group by 1, 2) select user_id, event_type as majority, n from (select *, row_number() over (partition by user_id order by n desc, f, event_type) nth from c) where nth = 1")
+@query(
+    """
+    with c as (select user_id, event_type, count(*)::bigint as n, min(event_id) f from events group by 1, 2) select user_id,
+    event_type as majority, n from (select *, row_number() over (partition by user_id order by n desc, f, event_type) nth from c)
+    where nth = 1
+    """
+)
 def majority_value(spark, sf_dir):
     """[AG-12]"""
     return graph.majority(V.table(spark, sf_dir, "events"), "user_id", "event_type", "event_id")
 
 
 # --- discovery -------------------------------------------------------------------------------------------------------
-_QUEUE = "select key, arg_min(name, ord) as display_name, count(*)::bigint as seen_count, min(day) as first_seen, max(day) as last_seen, case when count(*) >= 100 then 'ready_for_promotion' else 'pending' end as status from m group by 1"
-_TAGS = "t as (select key, array_to_string(list_sort(list(tag || ':' || n)), ',') as tags from (select key, tag, count(*) n from m group by 1, 2) group by 1), s as (select key, array_to_string(list(source order by o), ',') as sources from (select *, row_number() over (partition by key order by o) nth from (select key, source, min(ord) o from m group by 1, 2)) where nth <= 10 group by 1)"
+_QUEUE = """
+    select key, arg_min(name, ord) as display_name, count(*)::bigint as seen_count, min(day) as first_seen, max(day) as last_seen,
+    case when count(*) >= 100 then 'ready_for_promotion' else 'pending' end as status from m group by 1
+"""
+_TAGS = """
+    t as (select key, array_to_string(list_sort(list(tag || ':' || n)), ',') as tags from (select key, tag, count(*) n from m group by
+    1, 2) group by 1), s as (select key, array_to_string(list(source order by o), ',') as sources from (select *, row_number() over
+    (partition by key order by o) nth from (select key, source, min(ord) o from m group by 1, 2)) where nth <= 10 group by 1)
+"""
 
 
 def _flat(q: DataFrame) -> DataFrame:
@@ -440,13 +715,23 @@ def _flat(q: DataFrame) -> DataFrame:
     return q.select("key", "display_name", "seen_count", "first_seen", "last_seen", tags.alias("tags"), F.array_join("sources", ",").alias("sources"), "status")
 
 
-@query(f"with {MENTION}, q as ({_QUEUE}), {_TAGS} select key, display_name, seen_count, first_seen, last_seen, tags, sources, status from q join t using (key) join s using (key)")
+@query(
+    f"""
+    with {MENTION}, q as ({_QUEUE}), {_TAGS} select key, display_name, seen_count, first_seen, last_seen, tags, sources, status from q
+    join t using (key) join s using (key)
+    """
+)
 def discovery_queue(spark, sf_dir):
     """[AG-03, SS-02, FN-15]"""
     return _flat(discovery.new_queue(discovery.queue_delta(V.mentions(spark, sf_dir)), threshold=100))
 
 
-@query(f"with {MENTION}, q as ({_QUEUE}), {_TAGS} select key, display_name, seen_count, first_seen, last_seen, tags, sources, status from q join t using (key) join s using (key)")
+@query(
+    f"""
+    with {MENTION}, q as ({_QUEUE}), {_TAGS} select key, display_name, seen_count, first_seen, last_seen, tags, sources, status from q
+    join t using (key) join s using (key)
+    """
+)
 def queue_incremental(spark, sf_dir):
     """[SS-01] two batches, the first half of the events and the rest, merged into the queue."""
     m = V.mentions(spark, sf_dir)
@@ -482,13 +767,25 @@ def _occurrences(spark, sf_dir) -> DataFrame:
     return V.mentions(spark, sf_dir).select("name", F.col("source").alias("file"), F.col("ord").alias("line_number"), F.lit(0).alias("pos"), F.col("tag").alias("title"))
 
 
-@query(f"with {MENTION} select lower(name) as skill, row_number() over (partition by lower(name) order by source, ord)::int as nth, name, source as file, ord as line_number, 0 as pos, tag as title from m")
+@query(
+    f"""
+    with {MENTION} select lower(name) as skill, row_number() over (partition by lower(name) order by source, ord)::int as nth, name,
+    source as file, ord as line_number, 0 as pos, tag as title from m
+    """
+)
 def audit_rows(spark, sf_dir):
     """[AG-05]"""
     return discovery.occurrence_rows(_occurrences(spark, sf_dir))
 
 
-@query(f"with {MENTION}, q as ({_QUEUE}), tg as (select key, tag, count(*) n from m group by 1, 2), b as (select key, tag from (select *, row_number() over (partition by key order by n desc, tag) nth from tg) where nth = 1) select key, display_name, seen_count, b.tag as suggested_group, case when key in (select 'skill_' || p_size from part) then 'alias_of:SKILL ' || substr(key, 7) else 'approve' end as action from q join b using (key) where status = 'ready_for_promotion'")
+@query(
+    f"""
+    with {MENTION}, q as ({_QUEUE}), tg as (select key, tag, count(*) n from m group by 1, 2), b as (select key, tag from (select *,
+    row_number() over (partition by key order by n desc, tag) nth from tg) where nth = 1) select key, display_name, seen_count, b.tag
+    as suggested_group, case when key in (select 'skill_' || p_size from part) then 'alias_of:SKILL ' || substr(key, 7) else 'approve'
+    end as action from q join b using (key) where status = 'ready_for_promotion'
+    """
+)
 def review_actions(spark, sf_dir):
     """[GV-10, JN-14, AG-15]"""
     m = V.mentions(spark, sf_dir)
@@ -499,7 +796,13 @@ def review_actions(spark, sf_dir):
     return discovery.review(q, known, groups).select("key", "display_name", "seen_count", "suggested_group", "action")
 
 
-@query(f"with {MENTION}, q as ({_QUEUE}), r as (select case when key in (select 'skill_' || p_size from part) then 'aliased' else 'approved' end as a from q where status = 'ready_for_promotion') select count(*) filter (a = 'approved')::bigint as approved, count(*) filter (a = 'aliased')::bigint as aliased, 0::bigint as rejected, 0::bigint as skipped from r")
+@query(
+    f"""
+    with {MENTION}, q as ({_QUEUE}), r as (select case when key in (select 'skill_' || p_size from part) then 'aliased' else
+    'approved' end as a from q where status = 'ready_for_promotion') select count(*) filter (a = 'approved')::bigint as approved,
+    count(*) filter (a = 'aliased')::bigint as aliased, 0::bigint as rejected, 0::bigint as skipped from r
+    """
+)
 def apply_review_counts(spark, sf_dir):
     """[GV-11, AG-17]"""
     return discovery.applied(review_actions(spark, sf_dir).withColumn("sources", F.array()))[2]
@@ -510,7 +813,15 @@ _HAS = lambda words: "(" + " or ".join(f"contains(n, '{w}')" for w in words) + "
 _CLASS = lambda k: " ".join(f"when {_HAS(c[0])} then '{c[k]}'" for c in governance.HEURISTIC_CLASSES)
 
 
-@query(f"with t as (select distinct p_name || case p_partkey % 4 when 0 then ' network' when 1 then ' http' when 2 then ' design' else '' end as term from part), x as (select term, trim(lower(term)) n from t) select term, case {_CLASS(1)} else 'Software Artifact' end as ontological_nature, case {_CLASS(3)} end as primary_type, case {_CLASS(2)} else 'Concrete' end as abstraction_level, false as is_contextual, {VERSION.format('n')} as is_versioned, false as is_marketing_language, 'HIGH' as confidence, 'active' as status from x")
+@query(
+    f"""
+    with t as (select distinct p_name || case p_partkey % 4 when 0 then ' network' when 1 then ' http' when 2 then ' design' else ''
+    end as term from part), x as (select term, trim(lower(term)) n from t) select term, case {_CLASS(1)} else 'Software Artifact' end
+    as ontological_nature, case {_CLASS(3)} end as primary_type, case {_CLASS(2)} else 'Concrete' end as abstraction_level, false as
+    is_contextual, {VERSION.format('n')} as is_versioned, false as is_marketing_language, 'HIGH' as confidence, 'active' as status
+    from x
+    """
+)
 def heuristic_classify(spark, sf_dir):
     """[UD-04, IO-13]"""
     k = F.col("p_partkey") % 4
@@ -519,7 +830,14 @@ def heuristic_classify(spark, sf_dir):
     return governance.heuristic_classes(t)
 
 
-@query(f"with {ODD} select cast(p_partkey % 9 as varchar) as cluster_id, name as term, case p_partkey % 7 when 0 then 'SPLIT_INTO_MULTIPLE_CANONICALS' when 3 then 'MARK_AS_CONTEXTUAL' else 'KEEP_DISTINCT' end as action, case when p_partkey % 7 = 3 then ' ' || substr(name, 11) end as target_canonical, case when p_partkey % 7 = 3 then 'MEDIUM' else 'HIGH' end as confidence from odd")
+@query(
+    f"""
+    with {ODD} select cast(p_partkey % 9 as varchar) as cluster_id, name as term, case p_partkey % 7 when 0 then
+    'SPLIT_INTO_MULTIPLE_CANONICALS' when 3 then 'MARK_AS_CONTEXTUAL' else 'KEEP_DISTINCT' end as action, case when p_partkey % 7 = 3
+    then ' ' || substr(name, 11) end as target_canonical, case when p_partkey % 7 = 3 then 'MEDIUM' else 'HIGH' end as confidence from
+    odd
+    """
+)
 def heuristic_arbitrate(spark, sf_dir):
     """[UD-03, FN-08]"""
     return governance.heuristic_arbitration(_members(spark, sf_dir)).select("cluster_id", "term", "action", "target_canonical", "confidence")
@@ -529,7 +847,13 @@ def _members(spark, sf_dir) -> DataFrame:
     return V.odd_names(spark, sf_dir).select((F.col("p_partkey") % 9).cast("string").alias("cluster_id"), F.col("name").alias("term"))
 
 
-@query(f"with {ODD} select cast(p_partkey % 9 as varchar) as cluster_id, name as term, 'KEEP_DISTINCT' as effective_action, case when p_partkey % 7 = 0 then 'split_target_already_exists_requires_explicit_mapping' else '' end as violations from odd where p_partkey % 7 <> 3 union all select cast(p_partkey % 9 as varchar), name, 'MARK_AS_CONTEXTUAL', '' from odd where p_partkey % 7 = 3")
+@query(
+    f"""
+    with {ODD} select cast(p_partkey % 9 as varchar) as cluster_id, name as term, 'KEEP_DISTINCT' as effective_action, case when
+    p_partkey % 7 = 0 then 'split_target_already_exists_requires_explicit_mapping' else '' end as violations from odd where p_partkey
+    % 7 <> 3 union all select cast(p_partkey % 9 as varchar), name, 'MARK_AS_CONTEXTUAL', '' from odd where p_partkey % 7 = 3
+    """
+)
 def governed_decisions(spark, sf_dir):
     """[GV-01, GV-02, GV-03, L3-002]"""
     m = _members(spark, sf_dir).distinct()

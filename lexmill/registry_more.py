@@ -74,7 +74,12 @@ def record_counts(spark, sf_dir):
     return stores.record_counts(_records(spark, sf_dir))
 
 
-@query(f"with {MENTION}, q as ({_QUEUE}) select case status when 'pending' then 'pending' else 'ready_for_promotion' end as slug, key, display_name, seen_count from q")
+@query(
+    f"""
+    with {MENTION}, q as ({_QUEUE}) select case status when 'pending' then 'pending' else 'ready_for_promotion' end as slug, key,
+    display_name, seen_count from q
+    """
+)
 def queue_by_status(spark, sf_dir):
     """[IO-08, CJ-06, FN-18] written as one folder for each status and read back."""
     path = _file(spark, "queue")
@@ -149,7 +154,12 @@ def store_breaches(spark, sf_dir):
     return stores.schema_breaches(n.unionByName(r))
 
 
-@query("select n_name as grp, 'some' as canonical, 'ok' as alias from nation union all select n_name, 'none', null from nation union all select n_name, 'text', null from nation")
+@query(
+    """
+    select n_name as grp, 'some' as canonical, 'ok' as alias from nation union all select n_name, 'none', null from nation union all
+    select n_name, 'text', null from nation
+    """
+)
 def permissive_store(spark, sf_dir):
     """[IO-02, CJ-01] groups and alias lists that are malformed are left out."""
     n = V.table(spark, sf_dir, "nation").select(F.concat(F.lit('{"bad": 5, "'), "n_name", F.lit('": {"some": ["ok"], "text": "x", "none": []}}')).alias("value"))
@@ -158,14 +168,25 @@ def permissive_store(spark, sf_dir):
     return stores.flatten_store(spark.read.text(path)).select("grp", "canonical", "alias")
 
 
-@query(f"with {CANON}, s as (select grp, canonical, list(alias) al from tax group by 1, 2) select lower(grp) as grp, lower(canonical) as canonical, array_to_string(list_sort(list_transform(al, lambda x: lower(x))), '|') as aliases from s")
+@query(
+    f"""
+    with {CANON}, s as (select grp, canonical, list(alias) al from tax group by 1, 2) select lower(grp) as grp, lower(canonical) as
+    canonical, array_to_string(list_sort(list_transform(al, lambda x: lower(x))), '|') as aliases from s
+    """
+)
 def store_sort(spark, sf_dir):
     """[ST-01]"""
     s = stores.sorted_store(V.tax(spark, sf_dir))
     return s.select(F.lower("grp").alias("grp"), F.lower("canonical").alias("canonical"), F.lower(F.array_join("aliases", "|")).alias("aliases"))
 
 
-@query(f"with {CANON}, o as (select canonical, min(alias) alias from tax group by 1), w as (select canonical, max(alias) || '!' alias from tax where grp <> 'ECONOMY' group by 1) select coalesce(w.canonical, o.canonical) as canonical, coalesce(w.alias, o.alias) as alias from o full join w using (canonical)")
+@query(
+    f"""
+    with {CANON}, o as (select canonical, min(alias) alias from tax group by 1), w as (select canonical, max(alias) || '!' alias from
+    tax where grp <> 'ECONOMY' group by 1) select coalesce(w.canonical, o.canonical) as canonical, coalesce(w.alias, o.alias) as alias
+    from o full join w using (canonical)
+    """
+)
 def merged_pairs(spark, sf_dir):
     """[SO-08, IO-15]"""
     t = V.tax(spark, sf_dir)
@@ -174,7 +195,12 @@ def merged_pairs(spark, sf_dir):
 
 
 # --- rules and the rewritten store -----------------------------------------------------------------------------------
-@query("with n as (select distinct p_type as grp, lower(p_type) as canonical from part) select 'L1-012' as rule_id, 'group:' || grp || '.canonical:' || canonical as location, canonical as observed_value from n")
+@query(
+    """
+    with n as (select distinct p_type as grp, lower(p_type) as canonical from part) select 'L1-012' as rule_id, 'group:' || grp ||
+    '.canonical:' || canonical as location, canonical as observed_value from n
+    """
+)
 def l1_012_self_group(spark, sf_dir):
     """[L1-012]"""
     t = V.tax(spark, sf_dir)
@@ -182,7 +208,12 @@ def l1_012_self_group(spark, sf_dir):
     return rules.self_groups(t.unionByName(own)).select("rule_id", "location", "observed_value")
 
 
-@query(f"with {ODD} select distinct 'L1-010' as rule_id, 'group:g' || (p_partkey % 5) || '.canonical:' || name as location, name as observed_value from odd where p_partkey % 7 in (3, 5)")
+@query(
+    f"""
+    with {ODD} select distinct 'L1-010' as rule_id, 'group:g' || (p_partkey % 5) || '.canonical:' || name as location, name as
+    observed_value from odd where p_partkey % 7 in (3, 5)
+    """
+)
 def l1_010_no_rewrite(spark, sf_dir):
     """[L1-010]"""
     return rules.without_rewrite(_odd_terms(spark, sf_dir)).select("rule_id", "location", "observed_value").distinct()
@@ -267,13 +298,24 @@ def top_locations(spark, sf_dir):
 
 
 # --- graph and anomaly -----------------------------------------------------------------------------------------------
-@query(f"with {JD}, b as (select a node, b other, weight from edges union all select b, a, weight from edges), r as (select *, row_number() over (partition by node order by weight desc, other)::int as rank from b) select node, rank, other, weight from r where rank <= 10")
+@query(
+    f"""
+    with {JD}, b as (select a node, b other, weight from edges union all select b, a, weight from edges), r as (select *, row_number()
+    over (partition by node order by weight desc, other)::int as rank from b) select node, rank, other, weight from r where rank <= 10
+    """
+)
 def ranked_neighbours(spark, sf_dir):
     """[ST-09]"""
     return graph.neighbours(graph.cooccurrence(V.jd_skill(spark, sf_dir)))
 
 
-@query(f"with {JD}, s as (select node from (select node, count(*) n from (select a node from edges union all select b from edges) group by 1) order by n desc, node limit 5) select a, b, weight, a in (select node from s) or b in (select node from s) as suspect from edges")
+@query(
+    f"""
+    with {JD}, s as (select node from (select node, count(*) n from (select a node from edges union all select b from edges) group by
+    1) order by n desc, node limit 5) select a, b, weight, a in (select node from s) or b in (select node from s) as suspect from
+    edges
+    """
+)
 def hub_flags(spark, sf_dir):
     """[JN-21]"""
     e = graph.cooccurrence(V.jd_skill(spark, sf_dir))
@@ -319,14 +361,24 @@ def labelled_nodes(spark, sf_dir):
 
 
 # --- discovery -------------------------------------------------------------------------------------------------------
-@query(f"with {MENTION}, t as (select key, tag, count(*) n from m group by 1, 2), r as (select *, row_number() over (partition by key order by n desc, tag) nth from t) select key, array_to_string(list(tag order by nth), ',') as tags from r where nth <= 3 group by 1")
+@query(
+    f"""
+    with {MENTION}, t as (select key, tag, count(*) n from m group by 1, 2), r as (select *, row_number() over (partition by key order
+    by n desc, tag) nth from t) select key, array_to_string(list(tag order by nth), ',') as tags from r where nth <= 3 group by 1
+    """
+)
 def top_tags(spark, sf_dir):
     """[AG-16]"""
     q = discovery.queue_delta(V.mentions(spark, sf_dir))
     return q.select("key", F.array_join(discovery.top_tags(F.col("tags")), ",").alias("tags"))
 
 
-@query("select c_nationkey as nation, array_to_string(list(c_name order by c_custkey)[1:6], ', ') || case when count(*) > 6 then ', ...' else '' end || ' (' || count(*) || ' total)' as context from customer group by 1")
+@query(
+    """
+    select c_nationkey as nation, array_to_string(list(c_name order by c_custkey)[1:6], ', ') || case when count(*) > 6 then ', ...'
+    else '' end || ' (' || count(*) || ' total)' as context from customer group by 1
+    """
+)
 def group_context(spark, sf_dir):
     """[CJ-07]"""
     c = V.table(spark, sf_dir, "customer")
@@ -334,7 +386,12 @@ def group_context(spark, sf_dir):
     return discovery.group_context(t).select(F.col("grp").cast(c.schema["c_nationkey"].dataType).alias("nation"), "context")
 
 
-@query("with r as (select upper(p_name) k, arg_min(p_type, p_partkey) grp from part group by 1) select p_name as skill, grp from (select distinct p_name from part) join r on upper(p_name) = k union all select r_name, null from region")
+@query(
+    """
+    with r as (select upper(p_name) k, arg_min(p_type, p_partkey) grp from part group by 1) select p_name as skill, grp from (select
+    distinct p_name from part) join r on upper(p_name) = k union all select r_name, null from region
+    """
+)
 def matched_replies(spark, sf_dir):
     """[JN-18, UD-06] a batch with names that no reply has."""
     p = V.table(spark, sf_dir, "part")
@@ -352,7 +409,13 @@ def still_to_do(spark, sf_dir):
     return discovery.remaining(p, discovery.live_state(state.unionByName(stale), "now"), "p_brand").select("p_partkey")
 
 
-@query("with a as (select p_partkey pos, p_name || p_partkey skill, case p_partkey % 3 when 0 then 'NEW: ' || lower(p_type) when 1 then 'new:' || p_type end assigned from part) select arg_min(trim(substr(assigned, 5)), pos) as suggested_group, count(*)::bigint as n from a where assigned is not null group by lower(trim(substr(assigned, 5)))")
+@query(
+    """
+    with a as (select p_partkey pos, p_name || p_partkey skill, case p_partkey % 3 when 0 then 'NEW: ' || lower(p_type) when 1 then
+    'new:' || p_type end assigned from part) select arg_min(trim(substr(assigned, 5)), pos) as suggested_group, count(*)::bigint as n
+    from a where assigned is not null group by lower(trim(substr(assigned, 5)))
+    """
+)
 def new_groups(spark, sf_dir):
     """[AG-24]"""
     p, k = V.table(spark, sf_dir, "part"), F.col("p_partkey") % 3
@@ -361,7 +424,12 @@ def new_groups(spark, sf_dir):
     return discovery.consolidated_groups(rows).select("suggested_group", F.size(F.split("skills", ", ")).cast("bigint").alias("n"))
 
 
-@query("select case p_partkey % 5 when 0 then 'failed' when 1 then 'rejected' when 2 then 'new' when 3 then 'existing' else 'new' end as section, count(*)::bigint as n from part group by 1")
+@query(
+    """
+    select case p_partkey % 5 when 0 then 'failed' when 1 then 'rejected' when 2 then 'new' when 3 then 'existing' else 'new' end as
+    section, count(*)::bigint as n from part group by 1
+    """
+)
 def assignment_sections(spark, sf_dir):
     """[GV-12]"""
     k = F.col("p_partkey") % 5
@@ -485,7 +553,12 @@ def model_rows(spark, sf_dir):
     return n.select("term", F.array_join(udfs.functional_roles_udf(F.col("roles")), ", ").alias("roles"), udfs.alias_answer_udf(F.col("text")).alias("alias_of"), F.size(udfs.lenient_rows_udf(F.col("text"))).alias("rows"))
 
 
-@query("select p_partkey, 'group:' || p_type || '.canonical:' || p_name as location, case when p_size > 25 then 'error' else 'warning' end as severity from part")
+@query(
+    """
+    select p_partkey, 'group:' || p_type || '.canonical:' || p_name as location, case when p_size > 25 then 'error' else 'warning' end
+    as severity from part
+    """
+)
 def locations(spark, sf_dir):
     """[FN-43, FN-40]"""
     p = V.table(spark, sf_dir, "part")
@@ -511,7 +584,12 @@ def _replies(spark, sf_dir) -> DataFrame:
     return V.table(spark, sf_dir, "nation").select(F.concat(F.lit("c"), F.col("n_nationkey").cast("string")).alias("cluster_id"), text.alias("reply"))
 
 
-@query("select 'c' || n_nationkey as cluster_id, 't' as term, 'KEEP_DISTINCT' as action, 'HIGH' as confidence, 'a' as candidates, 'Same' as ecosystem from nation where n_nationkey % 4 > 1")
+@query(
+    """
+    select 'c' || n_nationkey as cluster_id, 't' as term, 'KEEP_DISTINCT' as action, 'HIGH' as confidence, 'a' as candidates, 'Same'
+    as ecosystem from nation where n_nationkey % 4 > 1
+    """
+)
 def reply_decisions(spark, sf_dir):
     """[IO-12, IO-13, L3-001]"""
     d = replies.decisions(_replies(spark, sf_dir))[0]
@@ -528,7 +606,12 @@ _KINDS = (
 )
 
 
-@query("select case s_suppkey % 6 when 0 then 'L4-001' when 1 then 'L4-002' when 2 then 'L4-003' when 3 then 'L4-004' else 'L4-005' end as rule_id, 'term:' || s_name as location, s_suppkey % 6 < 2 as blocking from supplier where s_suppkey % 6 < 5")
+@query(
+    """
+    select case s_suppkey % 6 when 0 then 'L4-001' when 1 then 'L4-002' when 2 then 'L4-003' when 3 then 'L4-004' else 'L4-005' end as
+    rule_id, 'term:' || s_name as location, s_suppkey % 6 < 2 as blocking from supplier where s_suppkey % 6 < 5
+    """
+)
 def class_findings(spark, sf_dir):
     """[L4-001..L4-005]"""
     return replies.classes(_class_replies(spark, sf_dir))[1].select("rule_id", "location", "blocking")
@@ -539,7 +622,12 @@ def _class_replies(spark, sf_dir) -> DataFrame:
     return V.table(spark, sf_dir, "supplier").select(F.col("s_name").alias("term"), text.alias("reply"))
 
 
-@query("select s_name as term, 'Concept' as ontological_nature, case s_suppkey % 6 when 2 then 'low' else 'HIGH' end as confidence from supplier where s_suppkey % 6 in (2, 5)")
+@query(
+    """
+    select s_name as term, 'Concept' as ontological_nature, case s_suppkey % 6 when 2 then 'low' else 'HIGH' end as confidence from
+    supplier where s_suppkey % 6 in (2, 5)
+    """
+)
 def class_replies(spark, sf_dir):
     """[IO-13, UD-05]"""
     return replies.classes(_class_replies(spark, sf_dir))[0].select("term", "ontological_nature", "confidence")
@@ -590,7 +678,13 @@ def embedded_terms(spark, sf_dir):
     return rows.select("term", F.col("vec")[0].alias("a"), F.col("vec")[1].alias("b"))
 
 
-@query("select p_partkey, md5('Name: ' || p_name) as prompt_md5, case when p_type = 'ECONOMY' then 'known' else upper('Name: ' || p_name) end as answer from part where p_name not in (select p_name from part where p_type = 'ECONOMY') union all select p_partkey, md5('Name: ' || p_name), 'known' from part where p_name in (select p_name from part where p_type = 'ECONOMY')")
+@query(
+    """
+    select p_partkey, md5('Name: ' || p_name) as prompt_md5, case when p_type = 'ECONOMY' then 'known' else upper('Name: ' || p_name)
+    end as answer from part where p_name not in (select p_name from part where p_type = 'ECONOMY') union all select p_partkey,
+    md5('Name: ' || p_name), 'known' from part where p_name in (select p_name from part where p_type = 'ECONOMY')
+    """
+)
 def answered_prompts(spark, sf_dir):
     """[UD-05..UD-08, SS-09] prompts answered once each, those in the cache not asked."""
     p = V.table(spark, sf_dir, "part").withColumn("prompt", F.concat(F.lit("Name: "), "p_name"))
