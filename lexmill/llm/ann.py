@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexmill.llm.scratch import materialise
+from lexmill.llm.scratch import discard, materialise
 
 BLOCK = 16
 ROWS = 512
@@ -203,6 +203,7 @@ def search(
     block_of = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
     row_part = F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), part_of).cast("int")
     rows = materialise(dealt.select("list", row_part.alias("part"), F.lit(False).alias("asks"), F.col("vec_id").alias("id"), "v", F.lit(None).cast("double").alias("floor")), "parts")
+    discard(dealt)
     rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexmill.llm.scratch import materialise
+from lexmill.llm.scratch import discard, materialise
 
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')?|["'])*+)>""",
@@ -339,11 +339,13 @@ def main_text(pages: DataFrame, least_pages: int = 5, least_share: float = 0.2,
     if keys is None:
         table = _marked(table, templates)
     else:
+        discard(templates)
         table = table.withColumn("template", F.lit(None).cast("array<long>"))
     if sites is None:
         known = listed.select(F.col("site").alias("big"))
         table = table.join(known, F.col("site") == F.col("big"), "left").withColumn("counted", F.col("big").isNotNull()).drop("big")
     else:
+        discard(listed)
         table = table.withColumn("counted", F.lit(None).cast("boolean"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

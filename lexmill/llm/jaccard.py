@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from lexmill.llm import text as tx
 from lexmill.llm.counting import split_rows
-from lexmill.llm.scratch import discard, materialise, release
+from lexmill.llm.scratch import discard, materialise, release, scope
 from lexmill.operators.components import connected_components
 
 _U = np.uint64
@@ -280,6 +280,13 @@ def _verified(pairs: DataFrame, documents: DataFrame, heads: DataFrame, size: in
     return links
 
 
+def _components(links: DataFrame) -> DataFrame:
+    found = connected_components(links)
+    out = materialise(found, "components")
+    discard(found)
+    return out
+
+
 def near_duplicate_components(documents: DataFrame, size: int = 5, threshold: Fraction | str = "4/5", rare_max: int = RARE_MAX, cell_bits: int = CELL_BITS) -> DataFrame:
     """doc_id, n_shingles, node, component_id of every row of ``documents`` (columns doc_id and text; others play no part).
 
@@ -291,51 +298,50 @@ def near_duplicate_components(documents: DataFrame, size: int = 5, threshold: Fr
     """
     threshold = Fraction(threshold)
     documents = documents.select("doc_id", "text")
-    rows = materialise(document_nodes(documents, size), "nodes")
-    heads = rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("copies"))
-    heads = materialise(heads, "heads")  # written: a semi-join would be pushed below the aggregate, and deal all copies by node
-    frequent = frequent_cells(documents, size, rare_max, cell_bits)
-    release(documents.sparkSession)
-    entries = materialise(index_entries(documents, size, threshold, frequent), "entries")
-    shared = entries.groupBy("entry").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("entry")
-    index = materialise(entries.join(shared, "entry").distinct(), "index")
-    discard(entries)
-    release(documents.sparkSession)
-    lead = index.groupBy("entry").agg(F.max(F.struct("g", "node", "n", "place")).alias("s")).select("entry", F.col("s.node").alias("a"), F.col("s.n").alias("na"), F.col("s.place").alias("pa"))
-    star = _candidates(index.join(lead, "entry").filter("node <> a").select("a", "na", "pa", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb")), threshold)
-    links = _verified(star, documents, heads, size, threshold)
-    release(documents.sparkSession)
-    comp = materialise(connected_components(links), "components")
-    placed = index.join(comp, "node", "left").select("entry", "node", "n", "place", "g", F.coalesce("component", "node").alias("comp"))
-    level = F.col("entry").bitwiseAND(F.lit(63))
-    cells = F.pow(F.lit(2.0), level)
-    # Members that reach no partner of the entry at its level go before any are paired.  At level 0 none stay: there all
-    # frequent tokens are equal, so a pair links if and only if gx + gy >= 0, and then both link with the entry's lead.
-    split = placed.groupBy("entry").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("g").alias("most")).filter("lo < hi").select("entry", "most")
-    reach = F.col("g").cast("double") + F.col("most").cast("double") > cells / 2 - F.lit(1e-3) - (F.abs("g") + F.abs("most")) * 1e-6
-    placed = materialise(placed.join(split, "entry").filter((level == 63) | ((level > 0) & reach)).drop("most"), "placed")
-    size_of = placed.groupBy("entry", "comp").count()
-    main = size_of.groupBy("entry").agg(F.max(F.struct("count", "comp")).alias("s")).select("entry", F.col("s.comp").alias("main"))
-    marked = placed.join(main, "entry")
-    left = marked.filter("comp <> main").select("entry", F.col("node").alias("x"), F.col("comp").alias("cx"), F.col("g").alias("gx"), F.col("n").alias("nx"), F.col("place").alias("px"), "main")
-    right = placed.select("entry", F.col("node").alias("y"), F.col("comp").alias("cy"), F.col("g").alias("gy"), F.col("n").alias("ny"), F.col("place").alias("py"))
-    room = F.col("gx").cast("double") + F.col("gy").cast("double")
-    # Level j serves pairs with 2**(j-1) <= room < 2**j (level 0: 0 <= room < 1); the margin covers float rounding.
-    slack = F.lit(1e-3) + (F.abs("gx") + F.abs("gy")) * 1e-6
-    fits = (level == 63) | ((room > -slack) & (room < cells + slack) & ((level == 0) | (room > cells / 2 - slack)))
-    cross = left.join(right, "entry").filter((F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("main")) | (F.col("x") < F.col("y"))) & fits)
-    turn = F.col("x") < F.col("y")
-    side = lambda first, second: F.when(turn, F.col(first)).otherwise(F.col(second))
-    cross = _candidates(cross.select(side("x", "y").alias("a"), side("nx", "ny").alias("na"), side("px", "py").alias("pa"), side("y", "x").alias("b"), side("ny", "nx").alias("nb"), side("py", "px").alias("pb")), threshold)
-    more = _verified(cross, documents, heads, size, threshold)
-    discard(index)
-    discard(placed)
-    final = comp if more.isEmpty() else materialise(connected_components(links.unionByName(more)), "components")
-    named = heads.join(final, "node", "left").select("node", "head", "copies", F.coalesce("component", "node").alias("component"))
-    low = named.groupBy("component").agg(F.min("head").alias("component_id"))
-    ids = materialise(named.join(low, "component").select("node", "copies", "component_id"), "ids")
-    for table in (heads, comp, links, more, final):
-        discard(table)
+    with scope(documents.sparkSession):
+        rows = materialise(document_nodes(documents, size), "nodes", up=1)
+        heads = rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("copies"))
+        heads = materialise(heads, "heads")  # written: a semi-join would be pushed below the aggregate, and deal all copies by node
+        frequent = frequent_cells(documents, size, rare_max, cell_bits)
+        release(documents.sparkSession)
+        entries = materialise(index_entries(documents, size, threshold, frequent), "entries")
+        shared = entries.groupBy("entry").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("entry")
+        index = materialise(entries.join(shared, "entry").distinct(), "index")
+        discard(entries)
+        release(documents.sparkSession)
+        lead = index.groupBy("entry").agg(F.max(F.struct("g", "node", "n", "place")).alias("s")).select("entry", F.col("s.node").alias("a"), F.col("s.n").alias("na"), F.col("s.place").alias("pa"))
+        star = _candidates(index.join(lead, "entry").filter("node <> a").select("a", "na", "pa", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb")), threshold)
+        links = _verified(star, documents, heads, size, threshold)
+        release(documents.sparkSession)
+        comp = _components(links)
+        placed = index.join(comp, "node", "left").select("entry", "node", "n", "place", "g", F.coalesce("component", "node").alias("comp"))
+        level = F.col("entry").bitwiseAND(F.lit(63))
+        cells = F.pow(F.lit(2.0), level)
+        # Members that reach no partner of the entry at its level go before any are paired.  At level 0 none stay: there all
+        # frequent tokens are equal, so a pair links if and only if gx + gy >= 0, and then both link with the entry's lead.
+        split = placed.groupBy("entry").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("g").alias("most")).filter("lo < hi").select("entry", "most")
+        reach = F.col("g").cast("double") + F.col("most").cast("double") > cells / 2 - F.lit(1e-3) - (F.abs("g") + F.abs("most")) * 1e-6
+        placed = materialise(placed.join(split, "entry").filter((level == 63) | ((level > 0) & reach)).drop("most"), "placed")
+        size_of = placed.groupBy("entry", "comp").count()
+        main = size_of.groupBy("entry").agg(F.max(F.struct("count", "comp")).alias("s")).select("entry", F.col("s.comp").alias("main"))
+        marked = placed.join(main, "entry")
+        left = marked.filter("comp <> main").select("entry", F.col("node").alias("x"), F.col("comp").alias("cx"), F.col("g").alias("gx"), F.col("n").alias("nx"), F.col("place").alias("px"), "main")
+        right = placed.select("entry", F.col("node").alias("y"), F.col("comp").alias("cy"), F.col("g").alias("gy"), F.col("n").alias("ny"), F.col("place").alias("py"))
+        room = F.col("gx").cast("double") + F.col("gy").cast("double")
+        # Level j serves pairs with 2**(j-1) <= room < 2**j (level 0: 0 <= room < 1); the margin covers float rounding.
+        slack = F.lit(1e-3) + (F.abs("gx") + F.abs("gy")) * 1e-6
+        fits = (level == 63) | ((room > -slack) & (room < cells + slack) & ((level == 0) | (room > cells / 2 - slack)))
+        cross = left.join(right, "entry").filter((F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("main")) | (F.col("x") < F.col("y"))) & fits)
+        turn = F.col("x") < F.col("y")
+        side = lambda first, second: F.when(turn, F.col(first)).otherwise(F.col(second))
+        cross = _candidates(cross.select(side("x", "y").alias("a"), side("nx", "ny").alias("na"), side("px", "py").alias("pa"), side("y", "x").alias("b"), side("ny", "nx").alias("nb"), side("py", "px").alias("pb")), threshold)
+        more = _verified(cross, documents, heads, size, threshold)
+        discard(index)
+        discard(placed)
+        final = comp if more.isEmpty() else _components(links.unionByName(more))
+        named = heads.join(final, "node", "left").select("node", "head", "copies", F.coalesce("component", "node").alias("component"))
+        low = named.groupBy("component").agg(F.min("head").alias("component_id"))
+        ids = materialise(named.join(low, "component").select("node", "copies", "component_id"), "ids", up=1)
     return _with_ids(rows, ids).select("doc_id", "n_shingles", "node", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 

@@ -33,12 +33,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialise(df: DataFrame, name: str, codec: str = "zstd", scoped: bool = True) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back: a cut that survives lost executors."""
+def materialise(df: DataFrame, name: str, codec: str = "zstd", up: int = 0) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it back: a cut that survives lost executors.
+
+    The table belongs to the innermost ``scope``, or to the one ``up`` levels further out.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    if _scopes and scoped:
-        _scopes[-1].append(path)
+    if len(_scopes) > up:
+        _scopes[-1 - up].append(path)
     df.write.option("compression", codec).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._lexmill_path = path  # for discard()

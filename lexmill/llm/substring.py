@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm import text as tx
-from lexmill.llm.scratch import discard, materialise, release, shielded
+from lexmill.llm.scratch import discard, materialise, release, scope, shielded
 
 _U = np.uint64
 
@@ -140,34 +140,35 @@ def repeated_windows(documents: DataFrame, window: int = 50) -> tuple[DataFrame,
     """(scan of all rows, rows with candidates, intervals of window starts to remove by doc_id and tk)."""
     first, second = math.ceil(window / 4), math.ceil(window / 2)
     spark = documents.sparkSession
-    scan = materialise(_scan(documents, window, first), "scan")
-    entry = scan.filter("doc_id is not null").select("doc_id", "tk", F.explode("reps").alias("rep"))
-    hits = _in_several(entry, "rep").groupBy("doc_id", "tk").agg(F.collect_set("rep").alias("hits"))  # of one text
-    hits = materialise(hits, "hits")
-    release(spark)
-    rows = materialise(documents.join(hits.hint("shuffle_hash"), ["doc_id", "tk"]), "candidates")
-    discard(hits)
-    release(spark)
-    runs = materialise(_runs(rows, window, first, second), "runs")
-    kept = materialise(_in_several(runs, "rep"), "runs")
-    discard(runs)
-    release(spark)
-    earliest = materialise(kept.groupBy("whole").agg(F.min("doc_id").alias("first_doc")), "earliest")
-    judged = materialise(kept.join(earliest, "whole"), "judged")
-    discard(earliest)
-    discard(kept)
-    # Equal windows have equal representatives: only where unsettled runs of several documents share one is there more to compare.
-    unsettled = _in_several(judged.filter("first_doc = doc_id").select("doc_id", "tk", "rep", "lo", "hi"), "rep")
-    release(spark)
-    single = materialise(_windows(rows.join(_spans(unsettled, "open").hint("shuffle_hash"), ["doc_id", "tk"]), window), "windows")
-    release(spark)
-    owner = materialise(single.groupBy("w").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("w", "a"), "owners")
-    ones = single.join(owner, "w").filter("a < doc_id").select("doc_id", "tk", F.col("p").alias("lo"), (F.col("p") + 1).alias("hi"))
-    settled = judged.filter("first_doc < doc_id").select("doc_id", "tk", "lo", "hi")
-    gone = materialise(_spans(settled.unionByName(ones), "gone"), "intervals")
-    for table in (judged, single, owner):
-        discard(table)
-    release(spark)
+    with scope(spark):
+        scan = materialise(_scan(documents, window, first), "scan", up=1)
+        entry = scan.filter("doc_id is not null").select("doc_id", "tk", F.explode("reps").alias("rep"))
+        hits = _in_several(entry, "rep").groupBy("doc_id", "tk").agg(F.collect_set("rep").alias("hits"))  # of one text
+        hits = materialise(hits, "hits")
+        release(spark)
+        rows = materialise(documents.join(hits.hint("shuffle_hash"), ["doc_id", "tk"]), "candidates", up=1)
+        discard(hits)
+        release(spark)
+        runs = materialise(_runs(rows, window, first, second), "runs")
+        kept = materialise(_in_several(runs, "rep"), "runs")
+        discard(runs)
+        release(spark)
+        earliest = materialise(kept.groupBy("whole").agg(F.min("doc_id").alias("first_doc")), "earliest")
+        judged = materialise(kept.join(earliest, "whole"), "judged")
+        discard(earliest)
+        discard(kept)
+        # Equal windows have equal representatives: only where unsettled runs of several documents share one is there more to compare.
+        unsettled = _in_several(judged.filter("first_doc = doc_id").select("doc_id", "tk", "rep", "lo", "hi"), "rep")
+        release(spark)
+        single = materialise(_windows(rows.join(_spans(unsettled, "open").hint("shuffle_hash"), ["doc_id", "tk"]), window), "windows")
+        release(spark)
+        owner = materialise(single.groupBy("w").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("w", "a"), "owners")
+        ones = single.join(owner, "w").filter("a < doc_id").select("doc_id", "tk", F.col("p").alias("lo"), (F.col("p") + 1).alias("hi"))
+        settled = judged.filter("first_doc < doc_id").select("doc_id", "tk", "lo", "hi")
+        gone = materialise(_spans(settled.unionByName(ones), "gone"), "intervals", up=1)
+        for table in (judged, single, owner):
+            discard(table)
+        release(spark)
     return scan, rows, gone
 
 
