@@ -88,4 +88,6 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         mark = tuple(row)
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    out = now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    out._lexmill_path = path  # the table that it reads, for callers that write it elsewhere
+    return out
