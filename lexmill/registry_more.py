@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from lexmill.functions import scores as S
 from lexmill.functions import text as T
 from lexmill.functions import udfs
-from lexmill.operators import anomaly, discovery, governance, graph, replies, rules
+from lexmill.operators import anomaly, discovery, governance, graph, replies, rules, similarity
 from lexmill.operators.components import shared_folder
 from lexmill.plans import views as V
-from lexmill.registry import _QUEUE, CANON, GRAMS, JD, MENTION, NODES, NORM, ODD, TAX, VERSION, _group_sql, _members, _mirrored, _odd_terms, _sim_edges, query
+from lexmill.registry import _QUEUE, CANON, GRAMS, JD, MENTION, NODES, NORM, ODD, ORACLE, TAX, VERSION, _group_sql, _members, _mirrored, _odd_terms, _sim_edges, query
 from lexmill.sources import providers, pycode, stores
 
 
@@ -360,6 +360,49 @@ def labelled_nodes(spark, sf_dir):
     return anomaly.with_labels(V.skill_nodes(spark, sf_dir), labels)
 
 
+@query(
+    f"""
+    with {GRAMS}, v as (select term, [length(term), length(term) - length(replace(term, 'a', '')), length(term) - length(replace(term, 'e', ''))]::double[] vec from terms),
+    near as (select distinct x.term a, y.term b from g x join g y on x.gram = y.gram and x.term < y.term),
+    s as (select a, b, list_dot_product(x.vec, y.vec) / (sqrt(list_dot_product(x.vec, x.vec)) * sqrt(list_dot_product(y.vec, y.vec))) score from near join v x on x.term = a join v y on y.term = b)
+    select a as "left", b as "right", round(score, 6) as score, case when score > 0.99 then 'high_collision' else 'possible_conflict' end as band from s where score >= 0.97
+    """
+)
+def dense_edges(spark, sf_dir):
+    """[SM-04, SM-03, JN-08] edges by dense cosine between names that share a trigram, with a stand-in for the model."""
+    t = V.table(spark, sf_dir, "part").select(F.col("p_name").alias("term")).distinct()
+    return similarity.dense_edges(t, providers.embedded(t, "term", lambda: _letters), 0.97, 0.99)
+
+
+def _letters(texts: list[str]) -> list[list[float]]:
+    return [[float(len(t)), float(t.count("a")), float(t.count("e"))] for t in texts]
+
+
+@query("with d as (" + ORACLE["dense_nearest"] + ") select id, best_score >= 0.45 as is_alias, case when best_score >= 0.45 then best_id end as alias_of from d")
+def alias_verdicts(spark, sf_dir):
+    """[SM-10]"""
+    v = V.vectors(spark, sf_dir)
+    return similarity.alias_verdicts(similarity.dense_nearest(v, v), 0.45)
+
+
+@query(
+    f"""
+    with {ODD}, d as (select distinct cast(p_partkey % 9 as varchar) as cluster_id, name as term, p_partkey % 7 as k from odd),
+    c as (select distinct p_name || ' ' || p_brand as term from part where p_size % 2 = 1 and p_size % 5 in (1, 4))
+    select 'arbitration' as section, count(*)::bigint as n from d where k = 0 union all select 'classification', count(*)::bigint from c
+    """
+)
+def changed_sections(spark, sf_dir):
+    """[PD-11, AG-25, GV-14] decisions that were blocked or changed, and classes under review."""
+    canon = V.table(spark, sf_dir, "part").select(F.col("p_name").alias("canonical")).distinct()
+    m = _members(spark, sf_dir).distinct()
+    made = governance.governed(governance.heuristic_arbitration(m), m, canon)
+    changed = made.filter(F.col("blocked") | ~F.col("requested_action").eqNullSafe(F.col("effective_action")))
+    low = governance.normalised_classes(_raw_classes(spark, sf_dir)).filter("status = 'under_review'").select("term").distinct()
+    n = F.count(F.lit(1)).alias("n")
+    return changed.agg(n).withColumn("section", F.lit("arbitration")).unionByName(low.agg(n).withColumn("section", F.lit("classification")))
+
+
 # --- discovery -------------------------------------------------------------------------------------------------------
 @query(
     f"""
