@@ -17,9 +17,12 @@ _U = np.uint64
 PACKED = "bucket long, keys binary, counts binary"
 
 
-def bucket_bits(documents: DataFrame, bytes_per_key: float = 6, keys: int = 1 << 20, least: int = 6) -> int:
-    """Leading bits that give buckets of about ``keys`` keys."""
-    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+def text_bytes(documents: DataFrame) -> int:
+    return documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+
+
+def bucket_bits(size: int, bytes_per_key: float = 6, keys: int = 1 << 20, least: int = 6) -> int:
+    """Leading bits that give buckets of about ``keys`` keys for ``size`` bytes of text."""
     return max(least, math.ceil(math.log2(size / bytes_per_key / keys + 1)))
 
 

@@ -35,8 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm import text as tx
-from lexmill.llm.counting import split_rows
-from lexmill.llm.scratch import discard, materialise, release, scope
+from lexmill.llm.counting import bucket_bits, split_rows, text_bytes
+from lexmill.llm.scratch import discard, materialise, release, scope, sized
 from lexmill.operators.components import connected_components
 
 _U = np.uint64
@@ -89,18 +89,13 @@ def document_nodes(documents: DataFrame, size: int) -> DataFrame:
     return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {key}, n_shingles long, node long")
 
 
-def _bucket_bits(documents: DataFrame) -> int:
-    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return max(8, math.ceil(math.log2(size / 6 / TOKENS_PER_BUCKET + 1)))
-
-
-def frequent_cells(documents: DataFrame, size: int, rare_max: int = RARE_MAX, cell_bits: int = CELL_BITS) -> np.ndarray:
+def frequent_cells(documents: DataFrame, size: int, rare_max: int = RARE_MAX, cell_bits: int = CELL_BITS, text_size: int | None = None) -> np.ndarray:
     """Bitmap of the cells (leading bits of the hash) that hold a token of more than ``rare_max`` documents.
 
     Frequencies are over all documents.  Each batch sends its tokens as packed arrays, one for each bucket of leading
     bits, and every bucket is counted with one sort.  The bitmap has 2**cell_bits bits, whatever the corpus.
     """
-    bits = _bucket_bits(documents)
+    bits = bucket_bits(text_bytes(documents) if text_size is None else text_size, keys=TOKENS_PER_BUCKET, least=8)
     shift, low = _U(64 - bits), _U(32 - min(bits, 32))
     slot_bits = min(SLOT_BITS, cell_bits - 3)
 
@@ -298,11 +293,12 @@ def near_duplicate_components(documents: DataFrame, size: int = 5, threshold: Fr
     """
     threshold = Fraction(threshold)
     documents = documents.select("doc_id", "text")
-    with scope(documents.sparkSession):
+    text_size = text_bytes(documents)
+    with scope(documents.sparkSession), sized(documents.sparkSession, 2 * text_size):
         rows = materialise(document_nodes(documents, size), "nodes", up=1)
         heads = rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("copies"))
         heads = materialise(heads, "heads")  # written: a semi-join would be pushed below the aggregate, and deal all copies by node
-        frequent = frequent_cells(documents, size, rare_max, cell_bits)
+        frequent = frequent_cells(documents, size, rare_max, cell_bits, text_size)
         release(documents.sparkSession)
         entries = materialise(index_entries(documents, size, threshold, frequent), "entries")
         shared = entries.groupBy("entry").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("entry")

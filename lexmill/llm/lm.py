@@ -33,8 +33,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm import text as tx
-from lexmill.llm.counting import PACKED, bucket_bits, packed, split_rows, summed
-from lexmill.llm.scratch import discard, materialise, release
+from lexmill.llm.counting import PACKED, bucket_bits, packed, split_rows, summed, text_bytes
+from lexmill.llm.scratch import discard, materialise, release, sized
 
 _U = np.uint64
 END = _U(0x0123456789ABCDEF)
@@ -287,8 +287,10 @@ def bigram_blocks(training: DataFrame, shared, bits: int, bits_per_entry: int) -
 def fit(training: DataFrame, hot: int = 1 << 18, filter_bits: int = 1 << 26, bits_per_entry: int = 12, spread: int = 1 << 12) -> tuple[Model, DataFrame]:
     """(model, store).  What is broadcast is bounded by ``hot`` and ``filter_bits``; the store holds everything by bucket."""
     spark = training.sparkSession
-    bits = bucket_bits(training)
-    unigrams = materialise(unigram_counts(training, bits), "unigrams")
+    size = text_bytes(training)
+    bits = bucket_bits(size)
+    with sized(spark, size):
+        unigrams = materialise(unigram_counts(training, bits), "unigrams")
     sums = unigrams.agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
 
     def graded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,15 +315,16 @@ def fit(training: DataFrame, hot: int = 1 << 18, filter_bits: int = 1 << 26, bit
     model = Model(rows["token"].to_numpy(dtype=np.int64).astype(_U), rows["c"].to_numpy(dtype=np.int64), int(sums["n"] or 0), int(sums["v"] or 0), spread, bits)
     release(spark)
     shared = spark.sparkContext.broadcast(model)  # at most `hot` tokens
-    blocks = materialise(bigram_blocks(training, shared, bits, bits_per_entry), "bigrams")
+    with sized(spark, 2 * size):
+        blocks = materialise(bigram_blocks(training, shared, bits, bits_per_entry), "bigrams")
     release(spark)
     model.followers, model.stored = np.zeros(len(rows)), np.zeros(len(rows))
     sums = blocks.select(F.explode("hot").alias("h")).groupBy("h.place").agg(F.sum("h.t").alias("t"), F.sum("h.s").alias("s")).toPandas()  # at most `hot` rows
     model.followers[sums["place"]], model.stored[sums["place"]] = sums["t"], sums["s"]
-    size = blocks.agg(F.sum((F.col("size") + 7).bitwiseAND(F.lit(~7)))).first()[0] or 0
-    if size <= filter_bits:
+    whole = blocks.agg(F.sum((F.col("size") + 7).bitwiseAND(F.lit(~7)))).first()[0] or 0
+    if whole <= filter_bits:
         model.sizes, model.bases = np.full(1 << bits, 64, dtype=_U), np.zeros(1 << bits, dtype=_U)
-        model.data, at = np.zeros(size // 8 + 8, dtype=np.uint8), 8  # the first eight bytes serve empty buckets
+        model.data, at = np.zeros(whole // 8 + 8, dtype=np.uint8), 8  # the first eight bytes serve empty buckets
         for r in blocks.select("bucket", "block", "size").toLocalIterator():  # filter_bits in all
             model.sizes[r["bucket"]], model.bases[r["bucket"]] = r["size"], at * 8
             model.data[at : at + len(r["block"])] = np.frombuffer(r["block"], dtype=np.uint8)
@@ -447,7 +450,7 @@ def _asked(documents: DataFrame, shared, store: DataFrame, key: str, out: str) -
     asks = blocks.select("sizes", "raw", "texts", "at").mapInArrow(ask, "bucket long, keys binary, kind tinyint, at long")
     held = store.select("bucket", "tokens", "counts", "v", "t", "s", "block", "size", F.lit(False).alias("asks"))
     both = held.unionByName(asks.withColumn("asks", F.lit(True)), allowMissingColumns=True)
-    both = both.repartition("bucket").sortWithinPartitions("bucket", "asks", "kind")
+    both = both.repartition(max(64, 1 << shared.value.bits), "bucket").sortWithinPartitions("bucket", "asks", "kind")
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, bucket = _Bucket(), None
@@ -473,7 +476,7 @@ def _asked(documents: DataFrame, shared, store: DataFrame, key: str, out: str) -
     answers = materialise(both.mapInArrow(answer, "at long, kind tinyint, bucket long, values binary"), "answers")
     release(documents.sparkSession)
     whole = blocks.withColumn("kind", F.lit(-1).cast("tinyint")).unionByName(answers, allowMissingColumns=True)
-    whole = whole.repartition("at").sortWithinPartitions("at", "kind", "bucket")  # values in the order of the keys
+    whole = whole.repartition(max(64, -(-blocks.count() // 16)), "at").sortWithinPartitions("at", "kind", "bucket")  # values in the order of the keys
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = texts = None

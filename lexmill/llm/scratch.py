@@ -77,6 +77,27 @@ def sweep(spark: SparkSession) -> int:
     return len(found)
 
 
+SHUFFLED_BYTES = 32 << 20  # of a partition
+
+
+@contextmanager
+def sized(spark: SparkSession, size: int) -> Iterator[None]:
+    """Shuffles within have partitions for ``size`` bytes, where the session's number gives larger ones.
+
+    Adaptive execution joins small partitions but doesn't make more of them, so the number has to follow the input.
+    """
+    key = "spark.sql.shuffle.partitions"
+    now, want = int(spark.conf.get(key)), -(-size // SHUFFLED_BYTES)
+    if want <= now:
+        yield
+        return
+    spark.conf.set(key, str(want))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, str(now))
+
+
 def discard(df: DataFrame) -> None:
     """Delete a materialised table that no later step reads."""
     path = getattr(df, "_lexmill_path", None)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm import text as tx
-from lexmill.llm.scratch import discard, materialise, release, scope, shielded
+from lexmill.llm.scratch import discard, materialise, release, scope, shielded, sized
 
 _U = np.uint64
 
@@ -140,8 +140,9 @@ def repeated_windows(documents: DataFrame, window: int = 50) -> tuple[DataFrame,
     """(scan of all rows, rows with candidates, intervals of window starts to remove by doc_id and tk)."""
     first, second = math.ceil(window / 4), math.ceil(window / 2)
     spark = documents.sparkSession
-    with scope(spark):
-        scan = materialise(_scan(documents, window, first), "scan", up=1)
+    scan = materialise(_scan(documents, window, first), "scan")
+    words = scan.agg(F.sum("n_words")).first()[0] or 0
+    with scope(spark), sized(spark, 8 * words):
         entry = scan.filter("doc_id is not null").select("doc_id", "tk", F.explode("reps").alias("rep"))
         hits = _in_several(entry, "rep").groupBy("doc_id", "tk").agg(F.collect_set("rep").alias("hits"))  # of one text
         hits = materialise(hits, "hits")

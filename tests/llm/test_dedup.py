@@ -175,3 +175,16 @@ def test_unlike_members_of_one_combination(spark):
     rows += [(1000 + i, f"{shared} " + " ".join(f"own{i}y{k}" for k in range(rng.choice([1, 4, 5])))) for i in range(40)]
     got = jaccard.near_duplicate_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, "9/10", rare_max=2).collect()
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute_components(rows, 3, Fraction(9, 10))
+
+
+def test_shuffles_are_sized_from_the_input(spark):
+    from lexmill.llm.scratch import SHUFFLED_BYTES, sized
+
+    key = "spark.sql.shuffle.partitions"
+    now = int(spark.conf.get(key))
+    with sized(spark, SHUFFLED_BYTES):
+        assert int(spark.conf.get(key)) == now
+    with pytest.raises(ValueError), sized(spark, 1000 * SHUFFLED_BYTES + 1):
+        assert int(spark.conf.get(key)) == 1001
+        raise ValueError
+    assert int(spark.conf.get(key)) == now
