@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -108,9 +109,14 @@ def discard(df: DataFrame) -> None:
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of finished steps now, not when the driver next collects its garbage.
 
-    Events that end a query hold its plan, so those still on their way are waited for.
+    Events that end a query hold its plan, so those still on their way are waited for, some seconds at most: a busy
+    cluster may have ever more of them, and then the files go with a later call.
     """
     gc.collect()
     context = spark.sparkContext
-    context._jsc.sc().listenerBus().waitUntilEmpty()
+    try:
+        context._jsc.sc().listenerBus().waitUntilEmpty(5000)
+    except Py4JJavaError as e:
+        if "TimeoutException" not in str(e.java_exception):
+            raise
     context._jvm.System.gc()
