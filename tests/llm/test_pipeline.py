@@ -58,6 +58,8 @@ def test_language_stage_rejects(spark):
     kept = [r["doc_id"] for r in corpus_pipeline.language_id(spark, docs, "").select("doc_id").collect()]
     assert sum(d < 5000 for d in kept) >= 580
     assert sum(5000 <= d < 6000 for d in kept) <= 2 and sum(d >= 6000 for d in kept) <= 2
+    without = docs.selectExpr("doc_id", "text", "cast(null as string) as lang", "source", "n_chars")
+    assert corpus_pipeline.language_id(spark, without, "").count() == len(rows)
 
 
 def test_odd_tables(spark, tmp_path, nothing):
