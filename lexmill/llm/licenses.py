@@ -159,7 +159,8 @@ class Index:
     def matches(self, codes: np.ndarray) -> list[tuple[int, int, int]]:
         """(template, first word of the block, common tokens) of all blocks of one text that meet a template."""
         out, seen = [], set()
-        begun = codes[(codes >= 0) & self.starting[codes]]
+        known = codes[codes >= 0]
+        begun = known[self.starting[known]]
         for token in np.unique(begun):
             at = np.flatnonzero(codes == token)
             for t, place in self.prefix[int(token)]:

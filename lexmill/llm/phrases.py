@@ -1,7 +1,8 @@
 """Phrase collocations: counts of all frequent phrases by sorted suffixes, scored by their weakest cut.
 
-Suffix-sigma.  Every word starts a suffix of at most ``most`` words; a word that is too rare for any candidate ends the
-suffixes before it, since no candidate holds it.  Suffixes are dealt by language and first word, in ranges of the sorted
+Suffix-sigma.  Every word starts a suffix of at most ``most`` words; a pair of words that is too rare for any candidate ends
+the suffixes that reach it, since no candidate holds it.  Which pairs those are is counted before, by their hashes: a
+bitmap marks the cells of frequent ones, so that chance hits lengthen a suffix but nothing is lost.  Suffixes are dealt by language and first word, in ranges of the sorted
 suffixes, so that the suffixes of a frequent first word (or of a frequent beginning of several words) take several tasks.
 Each task reads its suffixes in reverse order and counts all their prefixes with one stack: a prefix that the next suffix
 doesn't share is complete and leaves the stack.  Only prefixes on the stack at the two ends of a range may go on in
@@ -21,11 +22,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexmill.llm import text as tx
+from lexmill.llm.counting import bucket_bits, split_rows
 from lexmill.llm.scratch import discard, materialise, release, scope, sized
 
 _U = np.uint64
 BLOCK = 1 << 20  # bytes of text whose suffixes are made at once
-CELL_BITS = (16, 28)  # least and most bits of the bitmap of frequent words
+CELL_BITS = (16, 28)  # least and most bits of the number of cells of frequent pairs
+HELD = 2 << 20  # pairs counted in a task before they are sent
 SALTS = 256
 
 CUT = np.zeros(256, dtype=bool)
@@ -73,14 +76,15 @@ def stretches(column: pa.Array, most: int, block: int = BLOCK) -> Iterator[Stret
         while at < end:
             stop = min(end, at + size)
             while stop < end and PLAIN[raw[stop]] != 0x20:
-                gap = np.flatnonzero(PLAIN[raw[stop : stop + block]] == 0x20)
-                stop = stop + int(gap[0]) if len(gap) else min(end, stop + block)
+                ahead = raw[stop : min(end, stop + block)]
+                gap = np.flatnonzero(PLAIN[ahead] == 0x20)
+                stop += int(gap[0]) if len(gap) else len(ahead)
             part = Stretch(raw[at:stop], np.array([0, stop - at]), np.arange(lo, hi))
             if stop < end and 0 < part.own < 2 * most:  # words as long as a stretch
                 size *= 2
                 continue
             size = block
-            if stop == end or not part.own:
+            if stop == end or most == 1 or not part.own:
                 at = stop
             else:
                 part.own -= most - 1
@@ -110,14 +114,14 @@ def _coded(batch: pa.RecordBatch) -> tuple[np.ndarray, pa.Array]:
 COUNTED = "lang string, phrase string, n long"
 
 
-def word_counts(rows: DataFrame) -> DataFrame:
+def word_counts(rows: DataFrame, block: int = BLOCK) -> DataFrame:
     """(lang, phrase, n) of all words; the row with a null phrase has the number of all occurrences of a language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             code, names = _coded(batch)
             total = np.zeros(len(names), dtype=np.int64)
-            for s in stretches(batch.column("text"), 1):
+            for s in stretches(batch.column("text"), 1, 4 * block):
                 own = code[s.row[: s.own]]
                 total += np.bincount(own, minlength=len(names))
                 words = pa.Array.from_buffers(pa.large_string(), s.own, [None, pa.py_buffer(s.at[: s.own + 1].astype(np.int64)), pa.py_buffer(s.bytes)])
@@ -130,63 +134,87 @@ def word_counts(rows: DataFrame) -> DataFrame:
 
 def _lang_hashes(names: pa.Array) -> np.ndarray:
     raw, offsets = tx.string_buffer(names)
-    return tx.run_hashes(tx.BYTE[raw], offsets[:-1], offsets[1:])
+    return tx.mix(tx.run_hashes(tx.BYTE[raw], offsets[:-1], offsets[1:]))
 
 
-def _cells(hashes: np.ndarray, langs: np.ndarray, bits: int) -> np.ndarray:
+def _pairs(s: Stretch, lang: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each word but the last the hash of its language, itself and the next word, and whether both are of one piece."""
     with np.errstate(over="ignore"):
-        return (tx.mix(hashes + tx.mix(langs)) >> _U(64 - bits)).astype(np.int64)
+        return tx.mix(s.hashes[:-1] * _U(3) + s.hashes[1:] + lang[s.row[:-1]]), ~s.breaks[1:]
 
 
-def frequent_words(words: DataFrame, bits: int) -> np.ndarray:
-    """Bitmap of 2**bits cells, at most 32 MB, with those of the words (lang, phrase) marked.
+def frequent_pairs(rows: DataFrame, size: int, least: int, block: int = BLOCK) -> np.ndarray:
+    """Bitmap of the cells (leading bits of the hash) that hold a pair of words with a count of at least ``least``.
 
-    Each task sends the cells that it marks by 4 KB of bitmap, one task joins the marks of a slot, and the driver gets each
-    slot once.
+    Tasks send pairs by buckets of leading bits, those of a task counted; each bucket is summed with one sort, and one task
+    joins the marks of 4 KB of the bitmap.  The driver gets the bitmap: four cells for each pair that can be frequent, 32 MB at most.
     """
-    slot = max(0, bits - 15)
+    bits = bucket_bits(size, keys=1 << 19, least=8)
+    cell_bits = min(max((4 * size // (6 * least)).bit_length(), CELL_BITS[0]), CELL_BITS[1])
+    slot_bits = max(0, cell_bits - 15)
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def packed(held: list[np.ndarray]) -> pa.RecordBatch:
+        found = np.sort(np.concatenate(held))
+        first = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
+        return split_rows(found[first], bits, keys=((found[first] << _U(bits)) >> _U(32)).astype("<u4"), counts=np.diff(np.append(first, len(found))).astype("<u4"))
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
         for batch in batches:
             code, names = _coded(batch)
             lang = _lang_hashes(names)[code] if len(names) else np.zeros(0, dtype=_U)
-            raw, offsets = tx.string_buffer(batch.column("phrase"))
-            cells = tx.distinct(_cells(tx.run_hashes(tx.BYTE[raw], offsets[:-1], offsets[1:] - 1), lang, bits))
-            yield pa.RecordBatch.from_arrays([pa.array(cells >> (bits - slot)), pa.array(cells)], names=["slot", "cell"])
+            for s in stretches(batch.column("text"), 2, block):
+                pair, inside = _pairs(s, lang)
+                held.append(pair[: s.own][inside[: s.own]])
+                n += len(held[-1])
+                if n >= HELD:
+                    yield packed(held)
+                    held, n = [], 0
+        if n:
+            yield packed(held)
+
+    def count(key: tuple, table: pa.Table) -> pa.Table:
+        pair, n = (np.concatenate([np.frombuffer(b.as_buffer(), dtype="<u4") for b in table.column(c).combine_chunks()]) for c in ("keys", "counts"))
+        order = np.argsort(pair)
+        pair, n = pair[order], n[order].astype(np.int64)
+        first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+        often = pair[first[np.add.reduceat(n, first) >= least]].astype(_U)
+        cells = tx.distinct(((_U(key[0].as_py()) << _U(64 - bits)) | (often << _U(32 - bits))) >> _U(64 - cell_bits)).astype(np.int64)
+        return pa.table({"slot": cells >> (cell_bits - slot_bits), "cell": cells})
 
     def join(key: tuple, table: pa.Table) -> pa.Table:
-        marks = np.zeros(1 << (bits - slot), dtype=bool)
+        marks = np.zeros(1 << (cell_bits - slot_bits), dtype=bool)
         marks[table.column("cell").to_numpy() & (len(marks) - 1)] = True
         return pa.table({"slot": [key[0].as_py()], "bits": [np.packbits(marks, bitorder="little").tobytes()]})
 
-    out = np.zeros(max(1, 1 << (bits - 3)), dtype=np.uint8)
-    each = len(out) >> slot
-    marked = words.select("lang", "phrase").mapInArrow(mark, "slot long, cell long").distinct()
-    for r in marked.groupBy("slot").applyInArrow(join, "slot long, bits binary").toLocalIterator():  # 2**bits bits in all
+    counted = rows.mapInArrow(emit, "bucket long, keys binary, counts binary").groupBy("bucket").applyInArrow(count, "slot long, cell long")
+    out = np.zeros(1 << (cell_bits - 3), dtype=np.uint8)
+    each = len(out) >> slot_bits
+    for r in counted.groupBy("slot").applyInArrow(join, "slot long, bits binary").toLocalIterator():  # 2**cell_bits bits in all
         out[r["slot"] * each : (r["slot"] + 1) * each] = np.frombuffer(r["bits"], dtype=np.uint8)
     return out
 
 
-def suffixes(rows: DataFrame, bitmap: np.ndarray, most: int) -> DataFrame:
-    """(lang, phrase, n): suffixes of 2 to ``most`` frequent words within their piece, counted within a stretch."""
-    bits = int(len(bitmap) * 8).bit_length() - 1
-    shared = rows.sparkSession.sparkContext.broadcast(bitmap)  # 2**bits bits, at most 32 MB
+def suffixes(rows: DataFrame, bitmap: np.ndarray, most: int, block: int = BLOCK) -> DataFrame:
+    """(lang, phrase, n): suffixes of 2 to ``most`` words whose pairs are all marked in ``bitmap``, counted within a stretch."""
+    shift = _U(64 - (int(len(bitmap) * 8).bit_length() - 1))
+    shared = rows.sparkSession.sparkContext.broadcast(bitmap)  # 32 MB at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = shared.value
         for batch in batches:
             code, names = _coded(batch)
-            lang = _lang_hashes(names)
-            for s in stretches(batch.column("text"), most):
-                if not s.own:
+            lang = _lang_hashes(names)[code] if len(names) else np.zeros(0, dtype=_U)
+            for s in stretches(batch.column("text"), most, block):
+                if len(s.starts) < 2:
                     continue
-                cells = _cells(s.hashes, lang[code[s.row]], bits)
-                often = (marks[cells >> 3] >> (cells & 7).astype(np.uint8)) & 1 == 1
-                stops = np.append(np.flatnonzero(s.breaks | ~often), len(often))
-                place = np.arange(s.own)
-                end = np.minimum(stops[np.searchsorted(stops, place, side="right")], place + most)
-                kept = np.flatnonzero(often[: s.own] & (end - place >= 2))
-                phrases = _strings(s.bytes, s.at[kept], s.at[end[kept]])
+                pair, goes_on = _pairs(s, lang)
+                cells = (pair >> shift).astype(np.int64)
+                goes_on &= (marks[cells >> 3] >> (cells & 7).astype(np.uint8)) & 1 == 1
+                kept = np.flatnonzero(goes_on[: s.own])
+                stops = np.append(np.flatnonzero(~goes_on), len(goes_on))  # words that no next one follows
+                end = np.minimum(stops[np.searchsorted(stops, kept)] + 1, kept + most)
+                phrases = _strings(s.bytes, s.at[kept], s.at[end])
                 if (made := _tallied(pa.array(code[s.row[kept]]), phrases, names)) is not None:
                     yield made
 
@@ -270,7 +298,7 @@ def prefix_counts(ordered: DataFrame, most: int, least: int) -> DataFrame:
     return ordered.mapInArrow(run, COUNTED)
 
 
-def frequent_phrases(documents: DataFrame, most: int = 5, least: int = 100) -> tuple[DataFrame, DataFrame]:
+def frequent_phrases(documents: DataFrame, most: int = 5, least: int = 100, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """All phrases of 1 to ``most`` words with a count of at least ``least`` as (lang, phrase, n), and (lang, total) of all words.
 
     A null language is "und", a null text empty.  Both results are written tables.
@@ -279,10 +307,10 @@ def frequent_phrases(documents: DataFrame, most: int = 5, least: int = 100) -> t
     rows = documents.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     with sized(spark, 4 * size):
-        words = materialise(word_counts(rows).filter(F.col("phrase").isNull() | (F.col("n") >= least)), "words")
+        words = materialise(word_counts(rows, block).filter(F.col("phrase").isNull() | (F.col("n") >= least)), "words")
         often = words.filter("phrase is not null")
-        bits = min(max((16 * often.count()).bit_length(), CELL_BITS[0]), CELL_BITS[1])
-        dealt = suffixes(rows, frequent_words(often, bits), most)
+        dealt = suffixes(rows, frequent_pairs(rows, size, least, block), most, block)
+        release(spark)
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         order = [F.desc("lang"), F.desc("phrase")]
         counted = prefix_counts(dealt.repartitionByRange(parts, *order).sortWithinPartitions(*order), most, least)
@@ -331,7 +359,7 @@ def first_of_each(rows: DataFrame, top: int) -> DataFrame:
     return few.withColumn("rank", rank.cast("long")).filter(F.col("rank") <= top)
 
 
-def collocations(documents: DataFrame, most: int = 5, least: int = 100, share: int = 100, top: int = 2000) -> DataFrame:
+def collocations(documents: DataFrame, most: int = 5, least: int = 100, share: int = 100, top: int = 2000, block: int = BLOCK) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's ``top`` phrases of 2 to ``most`` words by their weakest cut.
 
     Null texts are empty, a null language is "und", repeated rows count each, other columns aren't read, ties go by count
@@ -339,7 +367,7 @@ def collocations(documents: DataFrame, most: int = 5, least: int = 100, share: i
     """
     spark: SparkSession = documents.sparkSession
     with scope(spark):
-        phrases, totals = frequent_phrases(documents, most, least)
+        phrases, totals = frequent_phrases(documents, most, least, block)
         ranked = materialise(first_of_each(scored(phrases, totals, share), top), "ranked", up=1)
     discard(phrases)
     return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
