@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions import scores as S
+from lexmill.operators.ranges import weighted_medians
 
 MAD_SCALE = 1.4826
 
@@ -21,21 +22,25 @@ def log_outliers(nodes: DataFrame, sigma: float = 2.0) -> DataFrame:
 def _fit(rows: DataFrame, keys: list[str], robust: bool) -> DataFrame:
     if not robust:
         return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("size"), F.avg("x").alias("center"), F.stddev_samp("x").alias("spread"))
-    center = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("size"), F.median("x").alias("center"))
-    off = rows.join(center, keys) if keys else rows.crossJoin(F.broadcast(center))
-    spread = off.groupBy(*keys).agg((F.median(F.abs(F.col("x") - F.col("center"))) * MAD_SCALE).alias("spread"))
-    return center.join(spread, keys) if keys else center.crossJoin(spread)
+    hist = rows.groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("n"))
+    center = weighted_medians(hist, keys).withColumnRenamed("median", "center")
+    off = hist.join(center, keys).groupBy(*keys, F.abs(F.col("x") - F.col("center")).alias("off")).agg(F.sum("n").alias("n"))
+    spread = weighted_medians(off, keys, "off").select(*keys, (F.col("median") * MAD_SCALE).alias("spread"))
+    return center.join(spread, keys)
 
 
 def group_outliers(nodes: DataFrame, sigma: float = 2.0, alpha: float = 0.4, beta: float = 0.6, least: int = 5, robust: bool = True) -> DataFrame:
     """[AN-02, AG-08, AG-09, FN-22..24, WN-06] Global and group z-scores of nodes (skill, total_count, grp, super_grp).
 
     Center and spread of a group are rounded to 4 before use, those of all nodes aren't; without a global spread there
-    are no rows.  Exact medians keep the counts of a group together, which is right for counts of taxonomy nodes.
+    are no rows.  Medians come from histograms in ranges, so that no task holds the values of a group.
     """
     live = nodes.filter("total_count > 0").withColumn("x", F.ln("total_count"))
-    whole = _fit(live, [], robust).select(F.col("center").alias("gc"), F.col("spread").alias("gs"))
-    group = _fit(live, ["grp"], robust).select("grp", "size", F.when(F.col("size") >= least, F.round("center", 4)).alias("c"), F.when(F.col("size") >= least, F.round("spread", 4)).alias("s"))
+    both = live.select(F.explode(F.array(F.lit(True), F.lit(False))).alias("all"), "grp", "x").withColumn("grp", F.when(F.col("all"), "").otherwise(F.col("grp")))
+    fits = _fit(both, ["all", "grp"], robust)  # of all nodes and of each group in one go
+    whole = fits.filter("all").select(F.col("center").alias("gc"), F.col("spread").alias("gs"))
+    kept = F.col("size") >= least
+    group = fits.filter(~F.col("all")).select("grp", "size", F.when(kept, F.round("center", 4)).alias("c"), F.when(kept, F.round("spread", 4)).alias("s"))
     rows = live.join(group, "grp").crossJoin(F.broadcast(whole))  # one row
     rows = rows.withColumn("g", S.z_score(F.col("x"), F.col("gc"), F.col("gs"))).withColumn("l", S.z_score(F.col("x"), F.col("c"), F.when(F.col("s") > 0, F.col("s")))).filter("g is not null")
     sus = S.suspicion(F.col("g"), F.col("l"), alpha, beta)

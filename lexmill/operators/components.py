@@ -46,6 +46,26 @@ def _drop(spark: SparkSession, path: str) -> None:
     hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
+class Written:
+    """Named tables of an algorithm in rounds, each written; a table that takes another's name replaces it on disk."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[str, str] = {}
+
+    def put(self, name: str, df: DataFrame) -> DataFrame:
+        out, path = cut(df, name)
+        old, self.paths[name] = self.paths.get(name), path
+        if old:
+            _drop(self.spark, old)
+        return out
+
+    def close(self, *kept: str) -> None:
+        """Drop all tables but those that a result still reads."""
+        for name in set(self.paths) - set(kept):
+            _drop(self.spark, self.paths.pop(name))
+
+
 def _large_star(edges: DataFrame) -> tuple[DataFrame, str]:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low, path = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "low")

@@ -6,17 +6,30 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexmill.operators.components import connected_components
+from lexmill.operators import splits
+from lexmill.operators.components import connected_components, cut
+from lexmill.operators.ranges import numbered_in_order
 
 
-def cooccurrence(mentions: DataFrame, least_weight: int = 1) -> DataFrame:
+def cooccurrence(mentions: DataFrame, least_weight: int = 1, block: int = 1000) -> DataFrame:
     """[GR-10] (a, b, weight) with a < b: documents that hold both items of (doc, item).
 
-    Items of one document meet in one array, so a document of k items gives its k (k - 1) / 2 edges and nothing else.
+    The items of a document meet in one array.  Those of a document of more than ``block`` different items are dealt into
+    blocks of about that size, and each pair of blocks is a row of its own, so that its pairs are made by many tasks.
     """
-    sets = mentions.filter("item is not null").groupBy("doc").agg(F.array_sort(F.collect_set("item")).alias("s"))
-    firsts = sets.select("s", F.posexplode("s").alias("i", "a"))
-    pairs = firsts.select("a", F.explode(F.slice("s", F.col("i") + 2, F.size("s"))).alias("b"))
+    rows = mentions.select("doc", "item").filter("doc is not null and item is not null").distinct()
+    sizes = rows.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)  # one in ``block`` rows at most
+    rows = rows.join(sizes, "doc", "left").withColumn("blocks", F.ceil(F.coalesce("n", F.lit(1)) / block).cast("int"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("item"), F.col("blocks")).cast("int"))
+    sets = rows.groupBy("doc", "blocks", "block").agg(F.collect_list("item").alias("s"))
+    firsts = sets.select(F.array_sort("s").alias("s")).select("s", F.posexplode("s").alias("i", "a"))
+    inside = firsts.select("a", F.explode(F.slice("s", F.col("i") + 2, F.size("s"))).alias("b"))
+    large = sets.filter("blocks > 1")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    left = large.select("doc", F.col("block").alias("lo"), F.col("s").alias("x"), other).withColumnRenamed("other", "hi").filter("lo < hi")
+    right = large.select("doc", F.col("block").alias("hi"), F.col("s").alias("y"), other).withColumnRenamed("other", "lo").filter("lo < hi")
+    across = left.join(right, ["doc", "lo", "hi"]).select(F.explode("x").alias("x"), "y").select("x", F.explode("y").alias("y"))
+    pairs = inside.unionByName(across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
     return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("weight")).filter(F.col("weight") >= least_weight)
 
 
@@ -60,16 +73,10 @@ def disagreements(members: DataFrame, levels: DataFrame) -> DataFrame:
 def numbered(components: DataFrame, prefix: str) -> DataFrame:
     """[WN-04, GR-02] Nodes with a component id numbered in order of the smallest node.
 
-    Components are ranked within the first letters of their smallest node, and the counts of those are added up, so no
-    task ranks all of them.
+    The ids are ranks over ranges of the smallest nodes, so that names with one common beginning are ranked by many tasks.
     """
-    names = components.select("component").distinct().withColumn("head", F.substring(F.col("component").cast("string"), 1, 3))
-    if components.schema["component"].dataType.simpleString() != "string":
-        names = names.withColumn("head", F.lit(""))
-    heads = names.groupBy("head").agg(F.count(F.lit(1)).alias("n"))
-    before = heads.select("head", (F.sum("n").over(Window.orderBy("head")) - F.col("n")).alias("before"))  # one row for each head
-    ranked = names.withColumn("k", F.row_number().over(Window.partitionBy("head").orderBy("component"))).join(before, "head")
-    ids = ranked.select("component", F.format_string(f"{prefix}-%04d", (F.col("k") + F.col("before")).cast("long")).alias("id"))
+    names = numbered_in_order(components.select("component").distinct(), ["component"])
+    ids = names.select("component", F.format_string(f"{prefix}-%04d", F.col("number").cast("long")).alias("id"))
     return components.join(ids, "component").select("node", "id")
 
 
@@ -95,41 +102,61 @@ def hub_flags(edges: DataFrame, suspects: DataFrame) -> DataFrame:
     return rows.select("a", "b", "weight", (F.coalesce("hub_a", F.lit(False)) | F.coalesce("hub_b", F.lit(False))).alias("suspect"))
 
 
-def clusters(edges: DataFrame, most: int = 10) -> DataFrame:
+FOLD_LINKS = 50_000
+
+
+def clusters(edges: DataFrame, most: int = 10, fold: int = FOLD_LINKS) -> DataFrame:
     """[GR-03..GR-05, AG-14] (component, split, term): components of 2 to ``most`` nodes whole, larger ones split greedily.
 
     A split starts at the node of most remaining links (ties: larger name), takes its neighbours by falling score, then
-    linked nodes in order of name; what is left alone goes.
+    linked nodes in order of name; what is left alone goes.  Splits are numbered in the order of their seeds.  Components
+    of up to ``fold`` links are split in a task each, larger ones in rounds of joins over all of them (``splits``), with
+    the same result.
     """
     comp = connected_components(edges)
     sizes = comp.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     sized = comp.join(sizes, "component")
     small = sized.filter(F.col("size").between(2, most)).select("component", F.lit(0).alias("split"), F.col("node").alias("term"))
     big = sized.filter(F.col("size") > most).select("node", "component")
-    links = both_ways(edges).join(big, "node").select("component", "node", "other", "weight")
-
-    def split(pdf: pd.DataFrame) -> pd.DataFrame:
-        near: dict = {}
-        for node, other, weight in sorted(zip(pdf["node"], pdf["other"], pdf["weight"]), key=lambda x: (x[0], -x[2], x[1])):
-            near.setdefault(node, []).append(other)
-        linked = {k: set(v) for k, v in near.items()}
-        left, out, number = set(near), [], 0
-        while left:
-            seed = max(left, key=lambda t: (len(linked[t] & left), t))
-            own = [seed, *[o for o in near[seed] if o in left and o != seed][: most - 1]]
-            for t in sorted(left.difference(own)):
-                if len(own) >= most:
-                    break
-                if any(t in linked[o] for o in own):
-                    own.append(t)
-            left.difference_update(own)
-            if len(own) > 1:
-                out += [(pdf["component"].iloc[0], number, t) for t in own]
-                number += 1
-        return pd.DataFrame(out, columns=["component", "split", "term"])
-
+    links, _ = cut(both_ways(edges).filter("node <> other").join(big, "node").select("component", "node", "other", "weight"), "links")
+    heavy = links.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > fold).select("component")
     kind = comp.schema["node"].dataType.simpleString()
-    return small.unionByName(links.groupBy("component").applyInPandas(split, f"component {kind}, split int, term {kind}"))
+    light = links.join(heavy, "component", "left_anti")
+
+    def numbered_splits(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = [(c, n, t) for n, (c, _, _, own) in enumerate(_fold(pdf, most)) for t in own]
+        return pd.DataFrame(rows, columns=["component", "split", "term"])
+
+    def seeded(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = [(c, degree, seed, t) for c, degree, seed, own in _fold(pdf, most) for t in own]
+        return pd.DataFrame(rows, columns=["component", "degree", "seed", "term"])
+
+    out = small.unionByName(light.groupBy("component").applyInPandas(numbered_splits, f"component {kind}, split int, term {kind}"))
+    if heavy.isEmpty():
+        return out
+    return out.unionByName(splits.split_in_rounds(links.join(heavy, "component").select("component", "node", "other", "weight"), most, fold, seeded))
+
+
+def _fold(pdf: pd.DataFrame, most: int) -> list[tuple]:
+    """(component, degree of the seed, seed, terms) of the splits of one piece of bounded size, in order; none of one term."""
+    near: dict = {}
+    for node, other, weight in sorted(zip(pdf["node"], pdf["other"], pdf["weight"]), key=lambda x: (x[0], -x[2], x[1])):
+        near.setdefault(node, []).append(other)
+    linked = {k: set(v) for k, v in near.items()}
+    left, out = set(near), []
+    while left:
+        seed = max(left, key=lambda t: (len(linked[t] & left), t))
+        degree = len(linked[seed] & left)
+        own = [seed, *[o for o in near[seed] if o in left and o != seed][: most - 1]]
+        for t in sorted(left.difference(own)):
+            if len(own) >= most:
+                break
+            if any(t in linked[o] for o in own):
+                own.append(t)
+        left.difference_update(own)
+        if len(own) > 1:
+            out.append((pdf["component"].iloc[0], degree, seed, own))
+    return out
 
 
 BUCKETS = ((1, 1), (2, 4), (5, 9), (10, 19), (20, 49), (50, 99), (100, None))

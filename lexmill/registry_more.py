@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions import scores as S
@@ -768,6 +768,50 @@ def import_edges(spark, sf_dir):
     return pycode.import_edges(pycode.facts(_sources(spark, sf_dir)))
 
 
+FILES = """
+    f as (select 'pkg/m' || s_suppkey || '.py' as file, s_nationkey nat, s_suppkey k,
+        lead(s_suppkey) over w as after, first_value(s_suppkey) over w as first, max(s_suppkey) over (partition by s_nationkey) as last
+        from supplier window w as (partition by s_nationkey order by s_suppkey)),
+    e as (select file as a, 'pkg/m' || after || '.py' as b from f where after is not null
+        union select file, 'pkg/m' || first || '.py' from f where k = last and nat % 2 = 0
+        union select 'pkg/hub.py', file from f where k = last union select file, 'pkg/hub.py' from f where k = last and nat = 1)
+"""
+
+
+def _modules(spark, sf_dir) -> DataFrame:
+    """A file for each supplier that imports the next of its nation; in even nations the last imports the first."""
+    s = V.table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    near = s.groupBy("s_nationkey").agg(F.min("s_suppkey").alias("first"), F.max("s_suppkey").alias("last"))
+    after = F.lead("s_suppkey").over(Window.partitionBy("s_nationkey").orderBy("s_suppkey"))
+    rows = s.withColumn("after", after).join(near, "s_nationkey")
+    line = lambda c: F.concat(F.lit("from pkg.m"), c.cast("string"), F.lit(" import name\n"))
+    body = F.when(F.col("after").isNotNull(), line(F.col("after"))).when(F.col("s_nationkey") % 2 == 0, line(F.col("first")))
+    body = F.concat(F.lit("import os\n"), F.coalesce(body, F.lit("")), F.when((F.col("s_suppkey") == F.col("last")) & (F.col("s_nationkey") == 1), "import pkg.hub\n").otherwise(""))
+    hub = near.agg(F.array_join(F.sort_array(F.collect_list(F.concat(F.lit("import pkg.m"), F.col("last").cast("string")))), "\n").alias("source"))  # one line a nation
+    files = rows.select(F.concat(F.lit("pkg/m"), F.col("s_suppkey").cast("string"), F.lit(".py")).alias("file"), body.alias("source"))
+    return files.unionByName(hub.select(F.lit("pkg/hub.py").alias("file"), "source"))
+
+
+@query(
+    f"""
+    with recursive {FILES}, r as (select a, b from e union select r.a, e.b from r join e on r.b = e.a),
+    c as (select x.a as node, least(x.a, min(x.b)) as component from r x join r y on x.a = y.b and x.b = y.a group by 1)
+    select e.a, e.b, p.component from e join c p on p.node = e.a join c q on q.node = e.b and q.component = p.component
+    """
+)
+def import_cycles(spark, sf_dir):
+    """[GR-08] imports between files that lie on a cycle: rings of suppliers, and chains that a hub closes."""
+    files = _modules(spark, sf_dir)
+    return pycode.import_cycles(pycode.facts(files), files)
+
+
+@query(f"""with {FILES} select value from (select 'graph TD' as value union all select '    "' || a || '" --> "' || b || '"' from e)""")
+def import_diagram(spark, sf_dir):
+    """[GR-09]"""
+    files = _modules(spark, sf_dir)
+    return pycode.diagram_lines(pycode.file_imports(pycode.facts(files), files))
+
+
 @query("select p_partkey, p_brand || '-x' as term, case when p_size > 25 then 'ready' else 'unknown' end as slug from part")
 def slugs(spark, sf_dir):
     """[FN-18, FN-13]"""

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.operators.components import connected_components
+from lexmill.operators.cycles import cycle_edges
 
 SKIPPED = r"/(\.git|\.venv|venv|node_modules|__pycache__|build|dist)/"
 
@@ -64,12 +65,36 @@ def import_edges(rows: DataFrame) -> DataFrame:
     return rows.filter("kind = 'import'").select(F.col("file").alias("a"), F.col("name").alias("b")).distinct()
 
 
+def module_names(files: DataFrame, root: str = "") -> DataFrame:
+    """(file, module): the dotted names by which the files below ``root`` are imported; a package goes by its folder."""
+    path = F.regexp_replace(F.substring("file", len(root) + 1, 1 << 20), "^/+", "") if root else F.col("file")
+    name = F.regexp_replace(F.regexp_replace(F.regexp_replace(path, r"\.py$", ""), "/", "."), r"(^|\.)__init__$", "")
+    return files.select("file", name.alias("module")).filter("module <> ''").distinct()
+
+
+def file_imports(rows: DataFrame, files: DataFrame, root: str = "") -> DataFrame:
+    """[GR-08] (a, b): files that import a module which is one of ``files`` (file), and that file."""
+    targets = module_names(files, root).select(F.col("file").alias("to"), F.col("module").alias("b"))
+    return import_edges(rows).join(targets, "b").select("a", F.col("to").alias("b")).distinct()
+
+
+def import_cycles(rows: DataFrame, files: DataFrame, root: str = "") -> DataFrame:
+    """[GR-08] (a, b, component): imports between files that lie on a cycle, named by the smallest file of the knot."""
+    return cycle_edges(file_imports(rows, files, root))
+
+
 def import_groups(rows: DataFrame) -> DataFrame:
     """Files and modules connected by imports."""
     return connected_components(import_edges(rows))
 
 
-def diagram(rows: DataFrame) -> str:
-    """[GR-09] The import graph as diagram text."""
-    lines = [f'    "{r["a"]}" --> "{r["b"]}"' for r in import_edges(rows).orderBy("a", "b").collect()]
-    return "\n".join(["graph TD", *lines])
+def diagram_lines(edges: DataFrame) -> DataFrame:
+    """[GR-09] (value): the lines of a diagram of edges (a, b), the head in front of the edges in order."""
+    lines = edges.select("a", "b").distinct().select(F.lit(1).alias("k"), "a", "b", F.format_string('    "%s" --> "%s"', "a", "b").alias("value"))
+    head = edges.sparkSession.createDataFrame([(0, "", "", "graph TD")], "k int, a string, b string, value string")
+    return head.unionByName(lines).orderBy("k", "a", "b").select("value")
+
+
+def write_diagram(edges: DataFrame, path: str) -> None:
+    """[GR-09] The diagram as text files below ``path``, sorted by ranges; read in order of their names they are one text."""
+    diagram_lines(edges).write.mode("overwrite").text(path)
