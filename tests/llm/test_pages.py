@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lexmill.llm import ann, html, warc
 
@@ -39,8 +40,8 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>v
 <!-- ad --><div class="ad">buy</div><article><h1>Head &amp; line</h1><p><b>One  <i>two</i><br>three.<br><p>Four&nbsp;five</p><div class="share-box">share</div></article><footer>&copy; foot</footer>"""
 
 
-def text(page, small_host=True):
-    return html.Page(page).text(frozenset([html.LISTED]) if small_host else frozenset())
+def text(page):
+    return html.Page(page).text()
 
 
 def test_main_text_of_a_page():
@@ -48,7 +49,7 @@ def test_main_text_of_a_page():
     assert text("") == "" and text("<script>only") == "" and text("<p>a<!-- open") == "a"
     assert text("plain <b>bold</b> text & 1 < 2") == "plain bold text & 1 < 2"
     assert text("<main><header><h1>T</h1></header><ul><li>a<li>b</ul><table><tr><td>1<td>2</table></main><p>out") == "T\na\nb\n1\n2"
-    assert text('<div id="cookie-notice">c</div><p hidden>h</p><p>t</p><section class="comments"><p>c</p></section><form><p>f</p></form>') == "t"
+    assert text('<div role="dialog">c</div><p hidden>h</p><p>t</p><section class="comments"><p>c</p></section><form><p>f</p></form>') == "t"
     assert text("<div>" * 5000 + "deep" + "</div>" * 5000) == "deep"
     assert text('<p title=it\'s>a</p><p title="x > y">b</p>') == "a\nb"
 
@@ -98,6 +99,65 @@ def test_counts_equal_brute_force(sites, spark):
     assert {r["key"] for r in html.site_templates(table).collect()} == want and len(want) >= 12
 
 
+def varying(host, n, rng):
+    """Pages without article or lists whose menu, advert, notice and footer differ in all their words, and what is right."""
+    word = lambda: rng.choice(["ka", "lo", "mi", "ter", "un", "vo"]) + str(rng.randint(0, 9999))
+    for i in range(n):
+        own = [" ".join(word() for _ in range(rng.randint(20, 60))) for _ in range(rng.randint(1, 5))]
+        menu = "".join(f"<li><a href='/{k}'>{word()}</a></li>" for k in range(rng.randint(3, 8)))
+        body = f"<div id='post-{i}'><h1>Title {i}</h1>{''.join(f'<p>{x}</p>' for x in own)}</div>"
+        yield f"https://{host}/{i}", f"<html><body><div class='top'><ul>{menu}</ul></div><div class='promo'>{word()} {word()}</div>{body}<div class='low'><p>{word()}</p><p>{word()}</p></div></body></html>", "\n".join([f"Title {i}", *own])
+
+
+@pytest.fixture(scope="module")
+def structured(spark):
+    rng = random.Random(21)
+    rows = [x for h, n in (("one.org", 30), ("two.org", 8), *((f"h{k}.org", 1) for k in range(6))) for x in varying(h, n, rng)]
+    rows = [(i, *r) for i, r in enumerate(rows)]
+    return rows, spark.createDataFrame([(i, u, h) for i, u, h, _ in rows], "page_id long, url string, html string").repartition(4)
+
+
+def test_shapes_carry_the_result_where_words_differ(structured):
+    rows, df = structured
+    got = {r["page_id"]: r["text"] for r in html.main_text(df, lists=False).collect()}
+    assert got == {i: want for i, _, _, want in rows}  # also on hosts of one page, by the count over hosts
+    off = {r["page_id"]: r["text"] for r in html.main_text(df, least_pages=10**9, lists=False).collect()}
+    assert all(off[i] != got[i] for i in got)
+
+
+def test_shape_counts_equal_brute_force(structured):
+    rows, df = structured
+    own, hosts, sizes = {}, {}, {}
+    for _, url, page, _ in rows:
+        host = url[8:].split("/")[0]
+        p = html.Page(page, host, False)
+        sizes.setdefault(host, set()).add(p.context)
+        for key, (shape, held) in p.shapes.items():
+            own.setdefault((host, shape, key), {})[p.context] = (held, p.letters)
+    for (host, shape, _), pages in own.items():
+        hosts.setdefault(shape, []).extend([(host, *x) for x in pages.values()])
+    want = set()
+    for (host, shape, key), pages in own.items():
+        if sum(h for h, _ in pages.values()) > 0.2 * sum(n for _, n in pages.values()):
+            continue
+        everywhere = hosts[shape]
+        common = len({h for h, _, _ in everywhere}) >= 5 and sum(h for _, h, _ in everywhere) <= 0.2 * sum(n for _, _, n in everywhere)
+        if common or (len(pages) >= 5 and len(pages) >= 0.2 * len(sizes[host])):
+            want.add(key)
+    table = html.parsed(df.union(df), False)
+    assert {r["key"] for r in html.shape_templates(table).collect()} == want and len(want) >= 20
+
+
+def test_counts_alone_give_the_text_of_the_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    plain = pages.withColumn("html", F.regexp_replace("html", r"<(/?)(article|main)\b", "<$1div"))
+    texts = lambda df: {r["page_id"]: r["text"] for r in df.collect()}
+    want, got = texts(html.main_text(pages)), texts(html.main_text(plain, lists=False))
+    assert sum(got[i] == want[i] for i in want) >= 0.9 * len(want)
+    off = texts(html.main_text(plain, least_pages=10**9, lists=False))
+    assert sum(off[i] != got[i] for i in want) >= 0.9 * len(want)
+
+
 def test_copies_of_a_page_count_once(spark):
     article = "<article><h1>One</h1><p>Own words here</p><div>An aside of it</div></article>"
     rows = [(i, f"http://h/{i}", f"<div>menu {i}</div>{article}") for i in range(50)] + [(90 + i, f"http://h/x{i}", f"<article><p>Other words {i}</p></article>") for i in range(6)]
