@@ -16,11 +16,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm import text as tx
-from lexmill.llm.scratch import widened
+from lexmill.llm.scratch import discard, materialise, widened
 
 _U = np.uint64
 BITS = 16
-TRAIN_BYTES = 1 << 16
+TRAIN_FEATURES = 1 << 25  # of all training texts, 8 bytes each on the driver
 FAMILIES = 4  # words, word pairs, byte 3-grams, byte 4-grams
 SYMBOL = np.zeros(256, dtype=bool)
 SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -203,18 +203,13 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, penalty:
     return QualityModel(weights.reshape(FAMILIES, -1).astype(np.float32), float(x[-1]), float(slope), float(shift))
 
 
-def _stretches(column: pa.Array) -> pa.Array:
-    """Texts as bytes, cut to ``TRAIN_BYTES`` around the middle."""
-    raw = [t.as_py().encode() if t.is_valid else b"" for t in column]
-    return pa.array([t[(len(t) - TRAIN_BYTES) // 2 :][:TRAIN_BYTES] if len(t) > TRAIN_BYTES else t for t in raw], pa.binary())
-
-
-def train(documents: DataFrame, labels: DataFrame, sample_rows: int = 1000) -> QualityModel | None:
+def train(documents: DataFrame, labels: DataFrame, sample_rows: int = 1000, most_features: int = TRAIN_FEATURES) -> QualityModel | None:
     """Fit on labelled documents, those of the ``sample_rows`` least hashed doc_ids; of more than twice as many rows,
     those of least hash.
 
-    A doc_id with several labels takes the least.  Of a text of more than ``TRAIN_BYTES`` a stretch of that size from its
-    middle trains, which bounds what the driver holds.  None where the labels of documents at hand are all equal or absent.
+    A doc_id with several labels takes the least.  Whole texts train; a text has at most 2**BITS features of each family,
+    however long it is, and rows of least hash are taken while they have at most ``most_features`` in all, which bounds what
+    the driver holds.  None where the labels of documents at hand are all equal or absent.
     """
     rated = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     rated = rated.join(documents.select("doc_id").distinct(), "doc_id", "left_semi")
@@ -222,18 +217,25 @@ def train(documents: DataFrame, labels: DataFrame, sample_rows: int = 1000) -> Q
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, raw, offsets, words in tx.word_blocks(_stretches(batch.column(0))):
+            for lo, hi, raw, offsets, words in tx.word_blocks(batch.column(0)):
                 parts: list[list] = [[] for _ in range(hi - lo)]
                 for f, (index, a, b) in enumerate(grams(raw, offsets, words)):
                     for i in range(hi - lo):
-                        own, n = np.unique(index[a[i] : b[i]], return_counts=True)
-                        parts[i].append((own + (f << BITS), n / max(n.sum(), 1)))
+                        n = np.bincount(index[a[i] : b[i]], minlength=1 << BITS)
+                        own = np.flatnonzero(n)
+                        parts[i].append((own + (f << BITS), n[own] / max(n.sum(), 1)))
                 index = [np.concatenate([p[0] for p in x]).astype("<i4").tobytes() for x in parts]
                 value = [np.concatenate([p[1] for p in x]).astype("<f4").tobytes() for x in parts]
                 yield pa.RecordBatch.from_arrays([batch.column(1).slice(lo, hi - lo), pa.array(index, pa.binary()), pa.array(value, pa.binary())], names=["quality", "index", "value"])
 
     sample = documents.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", F.col("quality").cast("int").alias("quality"))  # at most sample_rows ids
-    got = sample.mapInArrow(run, "quality int, index binary, value binary").orderBy(F.xxhash64("index", "value", "quality"), "index", "value", "quality").limit(2 * sample_rows).toPandas()
+    made = materialise(sample.mapInArrow(run, "quality int, index binary, value binary").withColumn("h", F.xxhash64("index", "value", "quality")), "features")
+    sizes = made.select("h", (F.octet_length("index") / 4).alias("n")).orderBy("h").limit(2 * sample_rows).toPandas()
+    upto = sizes["n"].cumsum() <= most_features
+    last = sizes["h"][upto].max() if upto.any() else None
+    # Rows of equal hash are equal rows: as many of them as fit are taken with the limit.
+    got = made.filter(F.col("h") <= F.lit(int(last))).orderBy("h").limit(int(upto.sum())).drop("h").toPandas() if last is not None else made.limit(0).drop("h").toPandas()
+    discard(made)
     if got["quality"].nunique() < 2:
         return None
     rows = [(np.frombuffer(a, "<i4"), np.frombuffer(b, "<f4")) for a, b in zip(got["index"], got["value"])]

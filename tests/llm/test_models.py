@@ -52,6 +52,38 @@ def test_quality_model(spark, make):
 TONGUES = {"aa": ["the", "thing", "whine", "and", "of", "wher"], "bb": ["der", "schü", "ung", "keit", "öst", "pf"], "cc": ["que", "ción", "los", "ñar", "ado", "ezo"]}
 
 
+def test_quality_trains_on_whole_texts(spark):
+    """Texts of 1 MB whose last words alone show their class, and a bound of features that takes some rows only."""
+    rng = random.Random(2)
+    common = " ".join(f"w{rng.randrange(300)}" for _ in range(200_000))
+    rows = [(i, common[: 1_000_000 - rng.randrange(1000)] + " " + " ".join([("fine" if i % 2 else "junk") + str(rng.randrange(5)) for _ in range(3000)]), i % 2) for i in range(24)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(6)
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, quality int")
+    model = quality.train(docs, labels)
+    assert {r["doc_id"]: r["kept"] for r in quality.judge(docs, model).collect()} == {i: bool(y) for i, _, y in rows}
+    assert quality.train(docs, labels, most_features=1) is None
+
+
+def test_fit_equals_plain_gradient_descent():
+    rng = np.random.default_rng(4)
+    n, width = 80, 12
+    x = rng.random((n, width)) * (rng.random((n, width)) < 0.5)
+    y = (x[:, 0] + 0.3 * rng.random(n) > x[:, 1] + 0.1).astype(np.int64)
+    rows = [(np.flatnonzero(r).astype("<i4"), r[r > 0].astype("<f4")) for r in x]
+    penalty = 0.05
+    model = quality.fit(rows, y, penalty=penalty, rounds=300)
+    order = np.random.default_rng(11).permutation(n)
+    used = order[max(1, n // 4) :]
+    scale = 1 / np.sqrt((x[used] ** 2).sum(axis=0) / len(used) + 1e-8)
+    z, t = x[used] * scale, y[used]
+    weight = np.where(t == 1, 0.5 / t.mean(), 0.5 / (1 - t.mean()))
+    w, b = np.zeros(width), 0.0
+    for _ in range(20_000):
+        pull = weight * (1 / (1 + np.exp(-(z @ w + b))) - t) / len(t)
+        w, b = w - 0.5 * (z.T @ pull + penalty * w), b - 0.5 * pull.sum()
+    assert np.allclose(model.weights.reshape(-1)[:width], w * scale, atol=2e-3) and abs(model.bias - b) < 2e-3
+
+
 def test_language_id(spark):
     rng = random.Random(6)
     rows = [(i, " ".join(rng.choice(TONGUES[t]) + rng.choice(TONGUES[t]) for _ in range(rng.randint(4, 60))), t, "s") for i in range(400) for t in [rng.choice("abc") * 2]]
