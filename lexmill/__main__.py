@@ -3,7 +3,7 @@
 python -m lexmill QUERY SF_DIR [--out PATH]             run a registered query
 python -m lexmill clean STORE FOLDER                    the governed stages over a store
 python -m lexmill discover RECORDS FOLDER --store STORE new names of records into the folder's queue
-python -m lexmill audit RECORDS FOLDER                  every occurrence of every name
+python -m lexmill audit RECORDS FOLDER [--store STORE]  every occurrence of every name
 python -m lexmill review STORE FOLDER                   ready entries with their default action
 python -m lexmill apply STORE FOLDER                    the decisions of the folder's review
 """
@@ -18,7 +18,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("what", help="a query name, or clean, discover, audit, review, apply")
     parser.add_argument("source", help="folder of tables, store file, or record lines")
     parser.add_argument("folder", nargs="?", help="folder that is worked in")
-    parser.add_argument("--store", help="store file of discover")
+    parser.add_argument("--store", help="store file of discover and audit")
     parser.add_argument("--pairs", help="block list of clean, a JSON object")
     parser.add_argument("--exceptions", help="exceptions file of clean")
     parser.add_argument("--threshold", type=int, default=5, help="sightings that make a queue entry ready")
@@ -42,7 +42,7 @@ def main(argv: list[str] | None = None) -> int:
                 parser.error("discover needs --store")
             print(steps.discover(args.source, read_store(spark, args.store)))
         elif args.what == "audit":
-            steps.audit(args.source)
+            print(steps.audit(args.source, read_store(spark, args.store) if args.store else None))
         elif args.what == "review":
             steps.review(read_store(spark, args.source)).show(50, truncate=80)
         else:

@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions import text as T
+from lexmill.operators import matching
+from lexmill.operators.components import cut
+from lexmill.operators.ranges import numbered_in_order
 
 
 def candidates(records: DataFrame) -> DataFrame:
@@ -97,29 +100,50 @@ def top_tags(tags: Column, k: int = 3) -> Column:
     return F.transform(F.slice(ranked, 1, k), lambda x: x["tag"])
 
 
-def audit(occurrences: DataFrame, k: int = 20) -> DataFrame:
-    """[AG-05, ST-07, IO-05] (skill, occurrence_count, display_name, n_files, files, titles) of (name, file, line_number, pos, title).
+def audit(occurrences: DataFrame, terms: DataFrame | None = None, fuzzy_threshold: float = 0.85, titles: int = 3) -> DataFrame:
+    """[AG-05, ST-07, IO-05] One row for each name of (name, file, line_number, pos, title), most occurrences first.
 
-    The first ``k`` files and titles in order; ``occurrence_rows`` has all of them.
+    skill, occurrence_count, display_name (the first spelling), canonical, match_type and confidence of its match in
+    ``terms`` (null without one), the first ``titles`` different titles in order of occurrence, and all files in order of
+    name.  ``occurrence_rows`` has every occurrence.
     """
     at = F.struct("file", "line_number", "pos")
     keyed = occurrences.withColumn("skill", F.lower("name"))
-    rows = keyed.groupBy("skill").agg(F.count(F.lit(1)).alias("occurrence_count"), F.min_by("name", at).alias("display_name"), F.count_distinct("file").alias("n_files"))
+    rows = keyed.groupBy("skill").agg(F.count(F.lit(1)).alias("occurrence_count"), F.min_by("name", at).alias("display_name"))
+    files = keyed.filter("file is not null").select("skill", "file").distinct().groupBy("skill").agg(F.array_sort(F.collect_list("file")).alias("files"))  # names of files, each once
+    first = keyed.filter("title is not null and title <> ''").groupBy("skill", "title").agg(F.min(at).alias("at"))
+    nth = F.row_number().over(Window.partitionBy("skill").orderBy("at", "title"))  # Spark takes the first ones before it shuffles
+    first = first.withColumn("nth", nth).filter(F.col("nth") <= titles).groupBy("skill").agg(F.array_sort(F.collect_list(F.struct("nth", "title"))).alias("t"))
+    out = rows.join(files, "skill", "left").join(first, "skill", "left")
+    if terms is None:
+        out = out.withColumns({"canonical": F.lit(None).cast("string"), "match_type": F.lit(None).cast("string"), "confidence": F.lit(None).cast("double")})
+    else:
+        out, _ = cut(out, "audited")
+        found = matching.match(out.select(F.col("display_name").alias("name")), terms, fuzzy_threshold)
+        out = out.join(found.withColumnRenamed("name", "display_name"), "display_name", "left")
+    none = F.array().cast("array<string>")
+    out = out.withColumns({"files": F.coalesce("files", none), "titles": F.coalesce(F.transform("t", lambda x: x["title"]), none)}).withColumn("n_files", F.size("files"))
+    return out.select("skill", "occurrence_count", "display_name", "canonical", "match_type", "confidence", "titles", "n_files", "files").orderBy(F.desc("occurrence_count"), "skill")
 
-    def first(column: str, name: str) -> DataFrame:
-        nth = F.row_number().over(Window.partitionBy("skill").orderBy(column))
-        seen = keyed.filter(F.col(column).isNotNull()).select("skill", column).distinct().withColumn("nth", nth).filter(F.col("nth") <= k)
-        return seen.groupBy("skill").agg(F.array_sort(F.collect_list(column)).alias(name))
 
-    none = F.array().cast("array<string>")
-    out = rows.join(first("file", "files"), "skill", "left").join(first("title", "titles"), "skill", "left")
-    return out.withColumn("files", F.coalesce("files", none)).withColumn("titles", F.coalesce("titles", none)).orderBy(F.desc("occurrence_count"), "skill")
+def audit_totals(audited: DataFrame, records: DataFrame) -> DataFrame:
+    """[AG-05] One row: records read and skipped, different names, and how many of them match a term."""
+    read = records.agg(F.count_if(~F.col("parse_error") & ~F.col("is_error")).alias("total_records_scanned"), F.count_if(~F.col("parse_error") & F.col("is_error")).alias("skipped_error_records"))
+    names = audited.agg(F.count(F.lit(1)).alias("total_unique_skills"), F.count("canonical").alias("taxonomy_matched"), F.count_if(F.col("canonical").isNull()).alias("novel"))
+    return read.crossJoin(names)  # one row each
 
 
 def occurrence_rows(occurrences: DataFrame) -> DataFrame:
-    """[AG-05] Every occurrence with its skill and its number within it, in order of file, line and place."""
-    at = Window.partitionBy(F.lower("name")).orderBy("file", "line_number", "pos")
-    return occurrences.select(F.lower("name").alias("skill"), F.row_number().over(at).alias("nth"), *[c for c in occurrences.columns if c not in ("skill", "nth")])
+    """[AG-05] Every occurrence with its skill and its number within it, in order of file, line and place.
+
+    Ranks are over ranges of that order, so that the occurrences of a frequent name take many tasks.
+    """
+    kept = [c for c in occurrences.columns if c not in ("skill", "nth")]
+    rows = numbered_in_order(occurrences.select(F.lower("name").alias("skill"), *kept), ["skill", "file", "line_number", "pos"], "number")
+    rows, _ = cut(rows, "numbered")
+    first = rows.groupBy(F.col("skill").alias("__of")).agg(F.min("number").alias("__first"))
+    joined = rows.join(first, F.col("skill").eqNullSafe(F.col("__of")))
+    return joined.select("skill", (F.col("number") - F.col("__first") + 1).cast("int").alias("nth"), *kept)
 
 
 def review(queue: DataFrame, aliases: DataFrame, groups: DataFrame, assignments: DataFrame | None = None, semantic: DataFrame | None = None) -> DataFrame:
@@ -177,11 +201,9 @@ def group_context(terms: DataFrame, shown: int = 6) -> DataFrame:
 
 def batches(skills: DataFrame, size: int = 20) -> DataFrame:
     """[UD-06] (batch, place, skill): distinct skills dealt in order into batches of ``size`` for one prompt each."""
-    names = skills.select("skill").filter("skill is not null").distinct()
-    parts = names.withColumn("bucket", F.substring(F.lower("skill"), 1, 1))
-    nth = F.row_number().over(Window.partitionBy("bucket").orderBy(F.lower("skill"), "skill")) - 1
-    place = parts.withColumn("k", nth)
-    return place.select(F.concat("bucket", F.lit("-"), F.floor(F.col("k") / size).cast("string")).alias("batch"), (F.col("k") % size).alias("place"), "skill")
+    names = skills.select("skill").filter("skill is not null").distinct().withColumn("low", F.lower("skill"))
+    k = numbered_in_order(names, ["low", "skill"]).withColumn("k", F.col("number") - 1)
+    return k.select(F.floor(F.col("k") / size).cast("string").alias("batch"), (F.col("k") % size).alias("place"), "skill")
 
 
 def matched_replies(batch: DataFrame, replies: DataFrame) -> DataFrame:

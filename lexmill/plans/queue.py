@@ -22,20 +22,39 @@ class Discovery:
     def _path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
+    def _system(self, path):
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _places(self, name: str):
+        """Where a table, the one that will replace it, and the one that it replaced are."""
+        jvm = self.spark._jvm.org.apache.hadoop.fs.Path
+        return jvm(self._path(name)), jvm(self._path(f"_{name}_new")), jvm(self._path(f"_{name}_old"))
+
     def _has(self, name: str) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._path(name))
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+        """Whether there is a table; one that an interrupted replacement has put aside is put back."""
+        now, _, old = self._places(name)
+        system = self._system(now)
+        if not system.exists(now) and system.exists(old):
+            system.rename(old, now)
+        return system.exists(now)
 
     def _replace(self, name: str, rows: DataFrame) -> None:
-        """Write, then rename: ``rows`` may be made from the table that they replace."""
-        jvm = self.spark._jvm.org.apache.hadoop.fs.Path
-        new, old = jvm(self._path(f"_{name}_new")), jvm(self._path(name))
-        system = old.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        """Write, put the old table aside, rename, delete: at each step the old table or the new one is whole.
+
+        ``rows`` may be made from the table that they replace.
+        """
+        self._has(name)
+        now, new, old = self._places(name)
+        system = self._system(now)
         rows.write.mode("overwrite").parquet(new.toString())
         system.delete(old, True)
-        system.rename(new, old)
+        if system.exists(now):
+            system.rename(now, old)
+        system.rename(new, now)
+        system.delete(old, True)
 
     def table(self, name: str) -> DataFrame:
+        self._has(name)
         return self.spark.read.parquet(self._path(name))
 
     def discover(self, records_path: str, terms: DataFrame) -> dict[str, int]:
@@ -52,13 +71,14 @@ class Discovery:
         counts = stores.record_counts(records).first().asDict()
         return counts | {"matched": matched.count(), "novel": fresh.select(F.lower("name")).distinct().count()}
 
-    def audit(self, records_path: str) -> None:
-        """[AG-05, IO-09] Every occurrence of every name, its summary, and the summary as CSV."""
+    def audit(self, records_path: str, terms: DataFrame | None = None) -> dict[str, int]:
+        """[AG-05, IO-09] Every occurrence of every name, its summary with the match in ``terms``, that as CSV, and the totals."""
         records = stores.read_records(self.spark, records_path)
         rows = discovery.candidates(records).join(records.select("file", "line_number", "title"), ["file", "line_number"])
         self._replace("occurrences", discovery.occurrence_rows(rows))
-        self._replace("audit", discovery.audit(rows))
+        self._replace("audit", discovery.audit(rows, terms, self.fuzzy))
         stores.write_csv_summary(self.table("audit"), self._path("audit_csv"))
+        return discovery.audit_totals(self.table("audit"), records).first().asDict()
 
     def review(self, terms: DataFrame, assignments: DataFrame | None = None, semantic: DataFrame | None = None) -> DataFrame:
         """[GV-10] Ready entries with their default action, for people to change."""

@@ -749,18 +749,19 @@ def queue_status_counts(spark, sf_dir):
 @query(
     f"""
     with {MENTION},
-    f as (select skill, list_sort(list(file)) files from (select lower(name) skill, source file, row_number() over (partition by lower(name) order by source) nth
-          from (select distinct name, source from m)) where nth <= 20 group by 1),
-    g as (select lower(name) skill, list_sort(list(distinct tag)) titles from m group by 1)
+    f as (select skill, list(file order by file) files from (select distinct lower(name) skill, source file from m) group by 1),
+    g as (select skill, list(tag order by nth) titles from (select skill, tag, row_number() over (partition by skill order by k, tag) nth
+          from (select lower(name) skill, tag, min((source, ord)) k from m group by 1, 2)) where nth <= 3 group by 1)
     select lower(name) as skill, count(*)::bigint as occurrence_count, arg_min(name, (source, ord)) as display_name,
-           count(distinct source)::bigint as n_files, array_to_string(any_value(files), ',') as files, array_to_string(any_value(titles), ',') as titles
+           count(distinct source)::int as n_files, array_to_string(any_value(files), ',') as files, array_to_string(any_value(titles), ',') as titles
     from m join f on f.skill = lower(name) join g on g.skill = lower(name) group by 1
     """
 )
 def audit_occurrences(spark, sf_dir):
     """[AG-05, ST-07]"""
     out = discovery.audit(_occurrences(spark, sf_dir))
-    return out.withColumn("files", F.array_join("files", ",")).withColumn("titles", F.array_join("titles", ","))
+    out = out.withColumn("files", F.array_join("files", ",")).withColumn("titles", F.array_join("titles", ","))
+    return out.drop("canonical", "match_type", "confidence")  # none without terms
 
 
 def _occurrences(spark, sf_dir) -> DataFrame:

@@ -89,20 +89,67 @@ def queue_by_status(spark, sf_dir):
     return spark.read.schema(kind).json(path).select("slug", "key", "display_name", "seen_count")
 
 
+AUDITED = """
+    o as (select case l_linenumber % 3 when 0 then p_name when 1 then p_name || '!' else 'qqqqqqqqqq ' || l_suppkey end as name,
+        'f' || (l_orderkey % 97) || '.jsonl' as file, l_orderkey as line, l_linenumber as pos, p_brand as title
+        from lineitem join part on l_partkey = p_partkey),
+    c as (select lower(name) as skill, count(*)::bigint as n, arg_min(name, (file, line, pos)) as display_name from o group by 1),
+    f as (select skill, list(file order by file) as files from (select distinct lower(name) as skill, file from o) group by 1),
+    t as (select skill, list(title order by nth) as titles from (select skill, title, row_number() over (partition by skill order by k, title) as nth
+        from (select lower(name) as skill, title, min((file, line, pos)) as k from o group by 1, 2)) where nth <= 3 group by 1),
+    m as (select skill, case when right(skill, 1) = '!' then 'normalized' when skill not like 'qqq%' then 'exact' end as match_type from c)
+"""
+
+
+def _audited(spark, sf_dir) -> DataFrame:
+    """Names as the store has them, with a mark behind, and of no term, by order line."""
+    li = V.table(spark, sf_dir, "lineitem").join(V.table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    kind = F.col("l_linenumber") % 3
+    name = F.when(kind == 0, F.col("p_name")).when(kind == 1, F.concat("p_name", F.lit("!"))).otherwise(F.concat(F.lit("qqqqqqqqqq "), F.col("l_suppkey").cast("string")))
+    file = F.concat(F.lit("f"), (F.col("l_orderkey") % 97).cast("string"), F.lit(".jsonl"))
+    rows = li.select(name.alias("name"), file.alias("file"), F.col("l_orderkey").alias("line_number"), F.col("l_linenumber").alias("pos"), F.col("p_brand").alias("title"))
+    return discovery.audit(rows, V.tax(spark, sf_dir))
+
+
 @query(
     f"""
-    with {MENTION}, t as (select skill, array_to_string(list(tag order by tag), '; ') titles from (select *, row_number() over (partition by skill order by tag) nth from (select distinct lower(name) skill, tag from m)) where nth <= 3 group by 1),
-    f as (select skill, array_to_string(list(source order by source), '; ') files from (select *, row_number() over (partition by skill order by source) nth from (select distinct lower(name) skill, source from m)) where nth <= 20 group by 1),
-    c as (select lower(name) skill, count(*)::bigint as occurrence_count from m group by 1)
-    select skill, occurrence_count, titles, files from c join t using (skill) join f using (skill)
+    with {AUDITED} select skill, n as occurrence_count, display_name, case when match_type is not null then rtrim(skill, '!') end as canonical, match_type,
+    case match_type when 'exact' then 1.0 when 'normalized' then 0.95 end::double as confidence, len(files)::int as n_files,
+    array_to_string(titles, ',') as titles, array_to_string(files, ',') as files
+    from c join f using (skill) join t using (skill) join m using (skill)
+    """
+)
+def audit_report(spark, sf_dir):
+    """[AG-05, ST-07] the matched audit: all files, the first titles, and the match of each name."""
+    return _audited(spark, sf_dir).withColumn("files", F.array_join("files", ",")).withColumn("titles", F.array_join("titles", ","))
+
+
+@query(
+    f"""
+    with {AUDITED} select display_name as skill_name, n as total_count, case when match_type is not null then rtrim(skill, '!') end as taxonomy_match,
+    match_type, case match_type when 'exact' then '1.0' when 'normalized' then '0.95' end as confidence, array_to_string(titles, ' | ') as top_job_titles,
+    array_to_string(files, ' | ') as jsonl_files from c join f using (skill) join t using (skill) join m using (skill)
     """
 )
 def csv_summary(spark, sf_dir):
-    """[IO-09] written as CSV and read back."""
+    """[IO-09] written as CSV and read back; an empty field is null."""
     path = _file(spark, "summary")
-    m = V.mentions(spark, sf_dir).select("name", F.col("source").alias("file"), F.col("ord").alias("line_number"), F.lit(0).alias("pos"), F.col("tag").alias("title"))
-    stores.write_csv_summary(discovery.audit(m), path)
-    return spark.read.schema("skill string, occurrence_count bigint, titles string, files string").option("header", True).csv(path)
+    stores.write_csv_summary(_audited(spark, sf_dir), path)
+    kind = "skill_name string, total_count bigint, taxonomy_match string, match_type string, confidence string, top_job_titles string, jsonl_files string"
+    return spark.read.schema(kind).option("header", True).csv(path)
+
+
+@query(
+    f"""
+    with {AUDITED}, {_ITEMS.strip()}, r as (select distinct o, st from items)
+    select count(*) filter (where st <> 'P')::bigint as total_records_scanned, count(*) filter (where st = 'P')::bigint as skipped_error_records,
+    (select count(*) from c)::bigint as total_unique_skills, (select count(match_type) from m)::bigint as taxonomy_matched,
+    (select count(*) from m where match_type is null)::bigint as novel from r
+    """
+)
+def audit_totals(spark, sf_dir):
+    """[AG-05] the totals of an audit over the records file."""
+    return discovery.audit_totals(_audited(spark, sf_dir), _records(spark, sf_dir))
 
 
 @query("select sha256(string_agg(r_name || chr(10), '' order by r_name)) as sha256 from region")

@@ -12,10 +12,12 @@ from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions import scores as S
+from lexmill.operators.components import cut
+from lexmill.operators.ranges import numbered_in_order
 
 
 class Embedder(Protocol):
@@ -164,24 +166,44 @@ def group_prompt(skills: list[str], contexts: list[str]) -> str:
     return f"Groups:\n{groups}\n\nGive each skill its group, NEW: and a name, or REJECT: and a reason. Answer with a JSON array of objects with skill, assigned_group, reasoning.\n{json.dumps(skills)}"
 
 
-def assigned_groups(skills: DataFrame, contexts: DataFrame, make: Callable[[], Chat], size: int = 20, done: DataFrame | None = None, most_groups: int = 2000) -> DataFrame:
+def _pages(rows: DataFrame, order: list[str], per_page: int, line: str, keys: list[str]) -> DataFrame:
+    """(keys, page, lines): the column ``line`` in order, ``per_page`` to a page; pages are counted within each of ``keys``."""
+    numbered, _ = cut(numbered_in_order(rows, [*keys, *order]), "pages")
+    if keys:
+        numbered = numbered.join(numbered.groupBy(*keys).agg(F.min("number").alias("first")), keys)
+    else:
+        numbered = numbered.withColumn("first", F.lit(1))
+    page = F.floor((F.col("number") - F.col("first")) / per_page).alias("page")
+    made = numbered.select(*keys, page, F.struct("number", F.col(line).alias("line")).alias("l"))
+    lines = made.groupBy(*keys, "page").agg(F.array_sort(F.collect_list("l")).alias("ls"))  # of one page
+    return lines.select(*keys, "page", F.transform("ls", lambda x: x["line"]).alias("lines"))
+
+
+def assigned_groups(skills: DataFrame, contexts: DataFrame, make: Callable[[], Chat], size: int = 20, done: DataFrame | None = None, per_prompt: int = 500) -> DataFrame:
     """[UD-06, JN-18, JN-17, FN-38] (skill, assigned_group, reasoning) of skills without a row in ``done``, asked in batches.
 
-    ``contexts`` (grp, context) are the groups, at most ``most_groups`` of them in the prompt.  Replies join back by the
-    skill's name without regard to case; a skill that no reply names has a null group.
+    ``contexts`` (grp, context) are the groups.  A prompt shows ``per_prompt`` of them, so each batch is asked once for each
+    page of groups, and of the answers for a skill the first that names a group there is counts, else the first.  Replies
+    join back by the skill's name without regard to case; a skill that no reply names has a null group.
     """
     from lexmill.functions import udfs
     from lexmill.operators import discovery
 
     todo = discovery.remaining(skills.select("skill"), done, "skill") if done is not None else skills.select("skill")
     batch = discovery.batches(todo, size)
-    listed = [f"{r['grp']}: {r['context']}" for r in contexts.orderBy("grp").limit(most_groups).collect()]  # at most most_groups rows
+    pages = _pages(contexts.select("grp", F.concat_ws(": ", "grp", "context").alias("line")), ["grp", "line"], per_prompt, "line", [])
+    pages = pages.unionByName(pages.sparkSession.createDataFrame([(0, [])], "page long, lines array<string>")).groupBy("page").agg(F.max("lines").alias("lines"))
     asked = batch.groupBy("batch").agg(F.array_sort(F.collect_list("skill")).alias("skills"))  # of one batch
-    prompts = F.pandas_udf(lambda s: pd.Series([group_prompt(list(x), listed) for x in s]), "string")
-    answers = answered(asked.withColumn("prompt", prompts("skills")), "batch", "prompt", make)
-    rows = answers.select(F.posexplode(udfs.lenient_rows_udf(F.col("answer"))).alias("pos", "row"))
+    prompts = F.pandas_udf(lambda s, g: pd.Series([group_prompt(list(x), list(y)) for x, y in zip(s, g)]), "string")
+    asked = asked.crossJoin(pages).select(F.struct("batch", "page").alias("k"), prompts("skills", "lines").alias("prompt"))  # every batch for every page of groups
+    answers = answered(asked, "k", "prompt", make)
+    rows = answers.select("k.page", F.posexplode(udfs.lenient_rows_udf(F.col("answer"))).alias("place", "row"))
     value = lambda name: F.get_json_object("row", f"$.{name}").alias(name)
-    return discovery.matched_replies(todo.distinct(), rows.select("pos", value("skill"), value("assigned_group"), value("reasoning")))
+    rows = rows.select("page", "place", value("skill"), value("assigned_group"), value("reasoning"))
+    known = contexts.select(F.lower(F.trim("grp")).alias("low")).distinct().withColumn("known", F.lit(0))
+    rows = rows.withColumn("low", F.lower(F.trim("assigned_group"))).join(known, "low", "left")
+    pos = F.struct(F.coalesce("known", F.lit(1)).alias("new"), "page", "place").alias("pos")
+    return discovery.matched_replies(todo.distinct(), rows.select(pos, "skill", "assigned_group", "reasoning"))
 
 
 def dedup_prompt(skill: str, group: str, canonicals: list[str]) -> str:
@@ -192,21 +214,23 @@ def dedup_prompt(skill: str, group: str, canonicals: list[str]) -> str:
 def semantic_aliases(assigned: DataFrame, terms: DataFrame, make: Callable[[], Chat], known: DataFrame | None = None, shown: int = 200, cache: DataFrame | None = None) -> DataFrame:
     """[UD-07, JN-16, FN-39] (skill, grp, alias_of) of skills (skill, grp) that a model takes for another name of a canonical.
 
-    Skills that ``known`` (skill) already has as aliases aren't asked.  A prompt shows the first ``shown`` canonicals of
-    the group; an answer that names none of the group's canonicals counts for nothing.
+    Skills that ``known`` (skill) already has as aliases aren't asked.  All canonicals of the group are shown with their
+    aliases, ``shown`` to a prompt; of several prompts' answers the first in order of the canonicals counts, and one that
+    names none of the group's canonicals counts for nothing.
     """
     from lexmill.functions import udfs
     from lexmill.operators import discovery
 
     todo = discovery.remaining(assigned.select("skill", "grp"), known, "skill") if known is not None else assigned.select("skill", "grp")
-    names = terms.select("grp", "canonical").distinct()
-    nth = F.row_number().over(Window.partitionBy("grp").orderBy("canonical"))
-    first = names.withColumn("nth", nth).filter(F.col("nth") <= shown).groupBy("grp").agg(F.array_sort(F.collect_list("canonical")).alias("names"))
+    names = terms.filter("canonical is not null").groupBy("grp", "canonical").agg(F.array_sort(F.collect_set("alias")).alias("aliases"))  # of one canonical
+    line = F.when(F.size("aliases") > 0, F.concat("canonical", F.lit(" (aliases: "), F.array_join("aliases", ", "), F.lit(")"))).otherwise(F.col("canonical"))
+    pages = _pages(names.select("grp", "canonical", line.alias("line")), ["canonical"], shown, "line", ["grp"])
     prompts = F.pandas_udf(lambda s, g, n: pd.Series([dedup_prompt(a, b, list(c)) for a, b, c in zip(s, g, n)]), "string")
-    asked = todo.distinct().join(first, "grp").withColumn("prompt", prompts("skill", "grp", "names")).withColumn("k", F.struct("skill", "grp"))
-    got = answered(asked, "k", "prompt", make, cache).select("k.skill", "k.grp", udfs.alias_answer_udf(F.col("answer")).alias("alias_of"))
+    asked = todo.distinct().join(pages, "grp").withColumn("prompt", prompts("skill", "grp", "lines")).withColumn("k", F.struct("skill", "grp", "page"))
+    got = answered(asked, "k", "prompt", make, cache).select("k.skill", "k.grp", "k.page", udfs.alias_answer_udf(F.col("answer")).alias("alias_of"))
     own = names.select("grp", F.lower("canonical").alias("low"), F.col("canonical").alias("alias_of")).distinct()
-    return got.withColumn("low", F.lower("alias_of")).drop("alias_of").join(own, ["grp", "low"]).select("skill", "grp", "alias_of")
+    found = got.withColumn("low", F.lower("alias_of")).drop("alias_of").join(own, ["grp", "low"])
+    return found.groupBy("skill", "grp").agg(F.min_by("alias_of", F.struct("page", "alias_of")).alias("alias_of"))
 
 
 def audited_pairs(terms: DataFrame, make: Callable[[], Chat], state: DataFrame | None = None, input_hash: str = "") -> DataFrame:

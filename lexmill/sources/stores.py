@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions import text as T
+from lexmill.operators.components import cut
 
 STORE = "map<string,map<string,array<string>>>"
 
@@ -88,16 +92,31 @@ def latest_report(rows: DataFrame) -> DataFrame:
 RECORD = "title string, source_url string, scraped_at string, is_error boolean, technical_skills array<string>, extraction_quality struct<unmapped_skills: array<string>>, _corrupt string"
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """[IO-03, IO-05] (file, line_number, line) of all lines of one file or of a folder's *.jsonl; files are split, lines aren't.
+
+    A split of a file is read by one task in order, so a line's place in its split is known there; the lines of the splits
+    before it, counted for each split, give its number in the file.  The lines are written once and read from there.
+    """
+    reader = spark.read if path.endswith(".jsonl") else spark.read.option("pathGlobFilter", "*.jsonl")
+    meta = F.col("_metadata")
+    lines = reader.text(path).select(meta["file_name"].alias("file"), meta["file_path"].alias("path"), meta["file_block_start"].alias("start"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
+    lines, _ = cut(lines, "lines")
+    splits = lines.groupBy("path", "start").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("path").orderBy("start")) - F.col("n")  # a row for each split
+    splits = splits.select("path", "start", "first", before.alias("before"))
+    number = (F.col("before") + F.col("at") - F.col("first") + 1).cast("int")
+    return lines.join(splits, ["path", "start"]).select("file", number.alias("line_number"), "line")
+
+
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """[IO-03, IO-04, IO-05] Lines of one file or of a folder's *.jsonl with file name and line number, parsed; blank lines are left out.
 
-    ``parse_error`` marks lines that are no object.  Files stay whole, so that line numbers are stable.
+    ``parse_error`` marks lines that are no object.
     """
-    reader = spark.read if path.endswith(".jsonl") else spark.read.option("pathGlobFilter", "*.jsonl")
-    files = reader.text(path, wholetext=True)  # as an option it is overridden by the argument's default
-    lines = files.select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split("value", r"\r?\n")).alias("at", "line")).filter(F.trim("line") != "")
+    lines = numbered_lines(spark, path).filter(F.trim("line") != "")
     record = F.from_json("line", F.lit(RECORD), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    return lines.select("file", (F.col("at") + 1).alias("line_number"), record.alias("r")).select("file", "line_number", F.col("r._corrupt").isNotNull().alias("parse_error"), "r.title", "r.source_url", "r.scraped_at", F.coalesce("r.is_error", F.lit(False)).alias("is_error"), "r.technical_skills", F.col("r.extraction_quality.unmapped_skills").alias("unmapped_skills"))
+    return lines.select("file", "line_number", record.alias("r")).select("file", "line_number", F.col("r._corrupt").isNotNull().alias("parse_error"), "r.title", "r.source_url", "r.scraped_at", F.coalesce("r.is_error", F.lit(False)).alias("is_error"), "r.technical_skills", F.col("r.extraction_quality.unmapped_skills").alias("unmapped_skills"))
 
 
 def record_counts(records: DataFrame) -> DataFrame:
@@ -115,15 +134,53 @@ def write_json_lines(rows: DataFrame, path: str, append: bool = False) -> None:
     rows.write.mode("append" if append else "overwrite").json(path)
 
 
-def write_csv_summary(skills: DataFrame, path: str) -> None:
-    """[IO-09] Skill, count, first three titles and files."""
-    out = skills.select("skill", "occurrence_count", F.array_join(F.slice(F.array_distinct("titles"), 1, 3), "; ").alias("titles"), F.array_join(F.array_sort(F.array_distinct("files")), "; ").alias("files"))
-    out.orderBy(F.desc("occurrence_count"), "skill").write.mode("overwrite").option("header", True).csv(path)
+def csv_summary(audited: DataFrame) -> DataFrame:
+    """[IO-09] The columns of the summary of an audit: name, count, match, first titles and all files."""
+    return audited.select(
+        F.col("display_name").alias("skill_name"),
+        F.col("occurrence_count").alias("total_count"),
+        F.coalesce("canonical", F.lit("")).alias("taxonomy_match"),
+        F.coalesce("match_type", F.lit("")).alias("match_type"),
+        F.coalesce(F.col("confidence").cast("string"), F.lit("")).alias("confidence"),
+        F.array_join("titles", " | ").alias("top_job_titles"),
+        F.array_join("files", " | ").alias("jsonl_files"),
+    )
+
+
+def write_csv_summary(audited: DataFrame, path: str) -> None:
+    """[IO-09] The summary as CSV, most occurrences first."""
+    csv_summary(audited.orderBy(F.desc("occurrence_count"), "skill")).write.mode("overwrite").option("header", True).csv(path)
+
+
+HASH_STEP = 8192
+STREAMED = ("file:", "hdfs:", "s3:", "gs:")  # what pyarrow opens as a stream
 
 
 def content_hash(spark: SparkSession, path: str) -> DataFrame:
-    """[IO-10] file and its SHA-256."""
-    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), F.sha2("content", 256).alias("sha256"))
+    """[IO-10] file and its SHA-256.  Files are listed by Spark and hashed as streams, ``HASH_STEP`` bytes at a time.
+
+    Where a file's store is one that only Spark opens, its content is read as one value, which a file of 2 GB is too large for.
+    """
+    from pyarrow import fs
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            out = []
+            for file in pdf["file"]:
+                system, name = fs.FileSystem.from_uri(file)
+                digest = hashlib.sha256()
+                with system.open_input_stream(name) as stream:
+                    while part := stream.read(HASH_STEP):
+                        digest.update(part)
+                out.append(digest.hexdigest())
+            yield pdf.assign(sha256=out)
+
+    files = spark.read.format("binaryFile").load(path)
+    streamed = F.lit(False)
+    for scheme in STREAMED:
+        streamed |= F.col("path").startswith(scheme)
+    hashed = files.filter(streamed).select(F.col("path").alias("file")).mapInPandas(run, "file string, sha256 string")
+    return hashed.unionByName(files.filter(~streamed).select(F.col("path").alias("file"), F.sha2("content", 256).alias("sha256")))
 
 
 def report_json(payload: dict) -> str:

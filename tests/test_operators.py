@@ -181,6 +181,32 @@ def test_queue_stream_equals_batches(spark, tmp_path):
         assert json.loads(s["tags"]) == {t["tag"]: t["n"] for t in r["tags"]} and len(json.loads(s["sources"])) == len(r["sources"])
 
 
+def test_queue_stream_goes_on_from_a_batch_queue_and_its_checkpoint(spark, tmp_path):
+    """Batch 0 as a batch queue, batch 1 streamed, a restart, batch 2 streamed: the queue of all three."""
+    import json
+
+    from lexmill.streaming.discovery_queue import queue_stream
+
+    rng = random.Random(5)
+    batches = [[(f"Skill {rng.randint(0, 5)}", rng.choice(["A", "B", "C", None]), f"u{rng.randint(0, 30)}", f"2024-02-{rng.randint(1, 28):02d}", b * 100 + i) for i in range(50)] for b in range(3)]
+    start = discovery.new_queue(discovery.queue_delta(spark.createDataFrame(batches[0], MENTION)), 20, 5)
+    want = start
+    for b in (1, 2):
+        df = spark.createDataFrame(batches[b], MENTION)
+        want = discovery.merge_queue(want, discovery.queue_delta(df), 20, 5)
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(MENTION).parquet(str(tmp_path / "in"))
+        out = queue_stream(stream, 20, 5, queue=start).writeStream.foreachBatch(lambda d, i: d.write.mode("append").parquet(str(tmp_path / "out")))
+        q = out.outputMode("update").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+        q.awaitTermination(120)
+    rows = spark.read.parquet(str(tmp_path / "out")).groupBy("key").agg(F.max_by(F.struct("*"), "seen_count").alias("s")).select("s.*").collect()
+    got = {r["key"]: r for r in rows}
+    for r in want.collect():
+        s = got[r["key"]]
+        assert (s["seen_count"], s["display_name"], s["first_seen"], s["last_seen"], s["status"]) == (r["seen_count"], r["display_name"], r["first_seen"], r["last_seen"], r["status"])
+        assert json.loads(s["tags"]) == {t["tag"]: t["n"] for t in r["tags"]} and json.loads(s["sources"]) == list(r["sources"])
+
+
 def test_review(spark, terms):
     delta = "key string, display_name string, seen_count bigint, first_seen string, last_seen string, tags array<struct<tag:string,n:bigint>>, sources array<string>, status string"
     ready = "ready_for_promotion"

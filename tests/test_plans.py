@@ -212,3 +212,65 @@ def test_model_agents(spark):
     again = providers.audited_pairs(t, lambda: lambda p: "yes", first, "h1")
     assert [r["answer"] for r in again.collect()] == ["no"]
     assert [r["answer"] for r in providers.audited_pairs(t, lambda: lambda p: "yes", first, "h2").collect()] == ["yes"]
+
+
+def test_prompts_show_every_canonical_and_group(spark):
+    t = terms(spark, *(("Tools", f"Canon {k:03d}", [f"also {k}"]) for k in range(500)))
+    asked = spark.createDataFrame([("x1", "Tools"), ("x2", "Tools"), ("x3", "Tools")], "skill string, grp string")
+
+    def chat(p):
+        for skill, name in (("x1", "Canon 499"), ("x2", "Canon 250"), ("x2", "Canon 007")):
+            if f'"{skill}"' in p and f'"{name} (aliases: also {int(name[-3:])})"' in p:
+                return json.dumps({"is_alias": True, "alias_of": name})
+        return '{"is_alias": false}'
+
+    got = providers.semantic_aliases(asked, t, lambda: chat, shown=60).collect()
+    assert {(r["skill"], r["alias_of"]) for r in got} == {("x1", "Canon 499"), ("x2", "Canon 007")}
+    groups = spark.createDataFrame([(f"Group {k:04d}", "c") for k in range(2100)], "grp string, context string")
+    want = {"a": "Group 2050", "b": "NEW: Other", "c": "Group 0003"}
+
+    def give(p):
+        shown = [g for g in want.values() if f"- {g}:" in p]
+        skills = json.loads(p.splitlines()[-1])
+        return json.dumps([{"skill": s, "assigned_group": want[s] if want[s] in shown else "NEW: Other", "reasoning": ""} for s in skills])
+
+    got = providers.assigned_groups(spark.createDataFrame([("a",), ("b",), ("c",)], "skill string"), groups, lambda: give, 2, per_prompt=300)
+    assert {r["skill"]: r["assigned_group"] for r in got.collect()} == want
+
+
+def test_audit_names_all_files_and_matches(spark, tmp_path):
+    t = terms(spark, ("Web", "React", ["reactjs"]))
+    rows = [("React", f"f{k:02d}.jsonl", 1, 0, f"Job {k % 4}") for k in range(50)] + [("novel thing", "g.jsonl", 2, 0, None), ("REACTJS", "f00.jsonl", 9, 1, "Job 9")]
+    got = {r["skill"]: r for r in discovery.audit(spark.createDataFrame(rows, "name string, file string, line_number int, pos int, title string"), t).collect()}
+    r = got["react"]
+    assert (r["occurrence_count"], r["n_files"], list(r["titles"]), r["canonical"], r["match_type"]) == (50, 50, ["Job 0", "Job 1", "Job 2"], "react", "exact")
+    assert list(r["files"]) == [f"f{k:02d}.jsonl" for k in range(50)] and got["novel thing"]["canonical"] is None and got["reactjs"]["canonical"] == "react"
+
+
+def test_record_lines_over_splits_of_a_file(spark, tmp_path):
+    rng = __import__("random").Random(7)
+    lines = {}
+    for f in ("a.jsonl", "b.jsonl"):
+        lines[f] = [rng.choice(["", "x" * rng.randint(1, 300), '{"title": "t%d"}' % k, "  "]) for k in range(400)]
+        (tmp_path / f).write_bytes("".join(x + rng.choice(["\n", "\r\n"]) for x in lines[f]).encode())
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1500")
+    try:
+        rows = stores.numbered_lines(spark, str(tmp_path))
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 20
+        assert sorted(map(tuple, rows.collect())) == sorted((f, k + 1, x) for f, xs in lines.items() for k, x in enumerate(xs))
+        assert {(r["file"], r["line_number"]) for r in stores.read_records(spark, str(tmp_path)).filter("not parse_error").collect()} == {(f, k + 1) for f, xs in lines.items() for k, x in enumerate(xs) if x.startswith("{")}
+    finally:
+        spark.conf.set(key, before)
+    hashes = {r["file"].split("/")[-1]: r["sha256"] for r in stores.content_hash(spark, str(tmp_path)).collect()}
+    assert hashes == {f: __import__("hashlib").sha256((tmp_path / f).read_bytes()).hexdigest() for f in lines}
+
+
+def test_an_interrupted_replacement_keeps_the_queue(spark, tmp_path):
+    steps = Discovery(spark, str(tmp_path / "q"))
+    steps._replace("queue", spark.range(3))
+    (tmp_path / "q" / "queue").rename(tmp_path / "q" / "_queue_old")  # as a crash between the renames leaves it
+    assert steps.table("queue").count() == 3
+    steps._replace("queue", steps.table("queue").filter("id > 0"))
+    assert steps.table("queue").count() == 2 and {p.name for p in (tmp_path / "q").iterdir()} == {"queue"}
