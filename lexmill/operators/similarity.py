@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from lexmill.functions import scores as S
 from lexmill.functions import text as T
+from lexmill.operators import vectors
+from lexmill.operators.components import cut
 
 
 def gram_rows(terms: DataFrame, n: int = 3) -> DataFrame:
@@ -91,99 +93,75 @@ def _columns(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray,
     return ids, vec, np.array(table.column("grp").to_pylist(), dtype=object)
 
 
-def dense_nearest(queries: DataFrame, targets: DataFrame, most_targets: int = 100_000) -> DataFrame:
+BROADCAST_BYTES = 64 << 20  # of vectors that every task gets
+
+
+def dense_nearest(queries: DataFrame, targets: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, part_rows: int = vectors.PART_ROWS) -> DataFrame:
     """[JN-11, SM-09, SM-10] Best target of each query, in all and within its group (ties: smaller id).
 
     Tables (id, vec, grp) with vectors of one length.  Similarities are matrix products: the taxonomy side is broadcast
-    after a check of its size; a larger one is dealt out in blocks, the queries too, and each pair of blocks is one task
-    whose winners merge.
+    up to ``broadcast_bytes``; a larger one is searched in partitions around pivots (``vectors.nearest``), once over all
+    and once over the groups.
     """
     kind = queries.schema["grp"].dataType.simpleString()
     out = f"id long, grp {kind}, best_id long, best_score double, best_in_group long, in_group_score double"
     names = [c.split()[0] for c in out.split(", ")]
-    n = targets.limit(most_targets + 1).count()
     q, t = (d.select(F.col("id").cast("long").alias("id"), F.col("vec").cast("array<double>").alias("vec"), "grp") for d in (queries, targets))
     types = [pa.int64(), None, pa.int64(), pa.float64(), pa.int64(), pa.float64()]
+    if vectors.vector_bytes(t)[1] > broadcast_bytes:
+        top = vectors.nearest(*(d.select("id", F.lit(0).alias("scope"), "vec") for d in (q, t)), part_rows).drop("scope")
+        own = vectors.nearest(*(d.filter("grp is not null").select("id", F.col("grp").alias("scope"), "vec") for d in (q, t)), part_rows)
+        own = own.select("id", F.col("scope").alias("grp"), F.col("best_id").alias("best_in_group"), F.col("best_score").alias("in_group_score"))
+        return q.select("id", "grp").distinct().join(top, "id", "left").join(own, ["id", "grp"], "left").select(*names)
 
     def table(rows: list[tuple], grp: pa.DataType) -> list[pa.Array]:
         cols = list(zip(*rows)) if rows else [()] * 6
         return [pa.array(c, k or grp) for c, k in zip(cols, types)]
 
-    if n <= most_targets:
-        known = queries.sparkSession.sparkContext.broadcast(_columns(t.orderBy("id").toArrow()))  # at most most_targets rows
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield pa.RecordBatch.from_arrays(table(_nearest_rows(*_columns(batch), *known.value) if len(known.value[0]) else [], batch.schema.field("grp").type), names=names)
-
-        return q.mapInArrow(run, out)
-    blocks = -(-targets.count() // most_targets)
-    several = -(-queries.count() // most_targets)
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(n, 1) - 1).cast("long")))
-    dealt = t.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks))).withColumn("part", every(several))
-    asked = q.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(max(several, 1)))).withColumn("block", every(blocks))
+    known = queries.sparkSession.sparkContext.broadcast(_columns(t.orderBy("id").toArrow()))  # at most broadcast_bytes
 
-    def meet(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        right = right.sort_by("id")
-        rows = _nearest_rows(*_columns(left), *_columns(right)) if len(left) and len(right) else []
-        return pa.Table.from_arrays(table(rows, left.schema.field("grp").type), names=names)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(table(_nearest_rows(*_columns(batch), *known.value) if len(known.value[0]) else [], batch.schema.field("grp").type), names=names)
 
-    found = asked.groupBy("block", "part").cogroup(dealt.groupBy("block", "part")).applyInArrow(meet, out)
-    best = lambda score, i: F.struct(F.col(score), (-F.col(i)).alias("neg"))
-    top = found.groupBy("id", "grp").agg(F.max(F.when(F.col("best_id").isNotNull(), best("best_score", "best_id"))).alias("k"), F.max(F.when(F.col("best_in_group").isNotNull(), best("in_group_score", "best_in_group"))).alias("o"))
-    return top.select("id", "grp", (-F.col("k.neg")).alias("best_id"), F.col("k.best_score").alias("best_score"), (-F.col("o.neg")).alias("best_in_group"), F.col("o.in_group_score").alias("in_group_score"))
+    return q.mapInArrow(run, out)
 
 
-def dense_edges(terms: DataFrame, vectors: DataFrame, threshold: float = 0.85, high: float = 0.93, most_terms: int = 100_000) -> DataFrame:
+def dense_edges(terms: DataFrame, embedded: DataFrame, threshold: float = 0.85, high: float = 0.93, broadcast_bytes: int = BROADCAST_BYTES, part_rows: int = vectors.PART_ROWS) -> DataFrame:
     """[SM-04, JN-08] (left, right, score, band): pairs of terms that share a trigram, by the cosine of their vectors (term, vec).
 
     Pairs over the threshold come from matrix products, and only those are looked at for a common trigram, so that no
-    frequent trigram pairs its terms.  Up to ``most_terms`` vectors are broadcast; beyond that both sides are dealt into
-    blocks, and each pair of blocks is one task.
+    frequent trigram pairs its terms.  Up to ``broadcast_bytes`` of vectors are broadcast; beyond that terms meet in
+    partitions around pivots (``vectors.similar``).
     """
-    names = terms.select("term").filter("term is not null").distinct().join(vectors.select("term", F.col("vec").cast("array<double>").alias("vec")), "term").dropDuplicates(["term"])
-    n = names.count()
-    blocks = max(1, -(-n // most_terms))
-    block = F.pmod(F.xxhash64("term"), F.lit(blocks)).cast("int")
-    out = "left string, right string, score double"
-
-    def pairs(left: pa.Table | pa.RecordBatch, right: tuple[np.ndarray, np.ndarray]) -> pa.Table:
-        a, x = _named(left)
-        b, y = right
-        got: list[tuple] = []
-        for lo in range(0, len(a), 256):
-            score = _unit(x[lo : lo + 256]) @ _unit(y).T if len(b) else np.zeros((len(a[lo : lo + 256]), 0))
-            i, j = np.nonzero(score >= threshold - 1e-9)
-            keep = a[lo + i] < b[j]
-            got += zip(a[lo + i][keep], b[j][keep], score[i, j][keep].tolist())
-        cols = list(zip(*got)) if got else [(), (), ()]
-        return pa.table({"left": pa.array(cols[0], pa.string()), "right": pa.array(cols[1], pa.string()), "score": pa.array(cols[2], pa.float64())})
-
-    if blocks == 1:
-        known = terms.sparkSession.sparkContext.broadcast(_named(names.orderBy("term").toArrow()))  # at most most_terms rows
+    names = terms.select("term").filter("term is not null").distinct().join(embedded.select("term", F.col("vec").cast("array<double>").alias("vec")), "term").dropDuplicates(["term"])
+    names, _ = cut(names.select("term", "vec"), "embedded")
+    if vectors.vector_bytes(names)[1] > broadcast_bytes:
+        found = vectors.similar(names, threshold, part_rows)
+    else:
+        known = terms.sparkSession.sparkContext.broadcast(_named(names.orderBy("term").toArrow()))  # at most broadcast_bytes
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            b, y = known.value
             for batch in batches:
-                yield from pairs(batch, known.value).to_batches()
-
-        found = names.select("term", "vec").mapInArrow(run, out)
-    else:
-        every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-        rows = names.select("term", "vec", block.alias("p")).withColumn("q", every)
-        other = names.select(F.col("term").alias("name"), F.col("vec").alias("v"), block.alias("q")).withColumn("p", every).toDF("term", "vec", "q", "p")
-        found = rows.groupBy("p", "q").cogroup(other.groupBy("p", "q")).applyInArrow(lambda key, a, b: pairs(a, _named(b)), out)
+                a, x = _named(batch)
+                got: list[tuple] = []
+                for lo in range(0, len(a), 256):
+                    score = x[lo : lo + 256] @ y.T if len(b) else np.zeros((len(a[lo : lo + 256]), 0))
+                    i, j = np.nonzero(score >= threshold - 1e-9)
+                    keep = a[lo + i] < b[j]
+                    got += zip(a[lo + i][keep], b[j][keep], score[i, j][keep].tolist())
+                cols = list(zip(*got)) if got else [(), (), ()]
+                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.float64())], names=["left", "right", "score"])
+
+        found = names.mapInArrow(run, "left string, right string, score double")
     grams = lambda c: T.char_ngrams(T.normalize(F.col(c)))
     found = found.filter(F.arrays_overlap(grams("left"), grams("right")))
     return found.select("left", "right", F.round("score", 6).alias("score"), S.band(F.col("score"), high).alias("band"))
 
 
-def _unit(m: np.ndarray) -> np.ndarray:
-    return m / np.where((n := np.linalg.norm(m, axis=1, keepdims=True)) > 0, n, np.inf)
-
-
 def _named(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    names = np.array(table.column("term").to_pylist(), dtype=object)
-    return names, np.array(table.column("vec").to_pylist(), dtype=np.float64).reshape(len(names), -1)
+    return np.array(table.column("term").to_pylist(), dtype=object), vectors.unit(vectors.matrix(table.column("vec")))
 
 
 def alias_verdicts(nearest: DataFrame, threshold: float = 0.85) -> DataFrame:

@@ -252,7 +252,7 @@ def test_dense_nearest_blocks(spark):
     rows = [(i, [rng.gauss(0, 1) for _ in range(5)], i % 3) for i in range(60)]
     v = spark.createDataFrame(rows, "id long, vec array<double>, grp int")
     small = {r["id"]: tuple(r) for r in similarity.dense_nearest(v, v).collect()}
-    dealt = {r["id"]: tuple(r) for r in similarity.dense_nearest(v, v, most_targets=17).collect()}
+    dealt = {r["id"]: tuple(r) for r in similarity.dense_nearest(v, v, broadcast_bytes=0, part_rows=17).collect()}
     assert {k: (x[2], x[4]) for k, x in small.items()} == {k: (x[2], x[4]) for k, x in dealt.items()}
 
 

@@ -179,8 +179,8 @@ def test_dense_edges(spark):
     v = spark.createDataFrame([r for r in rows if r[1]], "term string, vec array<double>")
     t = spark.createDataFrame([(r[0],) for r in rows], "term string")
     want = [("alpha one", "alpha two", round(1 / 1.01**0.5, 6), "high_collision")]
-    for most in (100, 2):
-        assert [tuple(r) for r in similarity.dense_edges(t, v, most_terms=most).collect()] == want
+    for size in (1 << 20, 0):
+        assert [tuple(r) for r in similarity.dense_edges(t, v, broadcast_bytes=size, part_rows=2).collect()] == want
     near = spark.createDataFrame([(1, 5, 0.9, 6, 0.95), (2, 5, 0.5, 6, 0.9), (3, 5, 0.5, 6, 0.5)], "id int, best_id int, best_score double, best_in_group int, in_group_score double")
     assert [tuple(r) for r in similarity.alias_verdicts(near).orderBy("id").collect()] == [(1, True, 5), (2, True, 6), (3, False, None)]
 

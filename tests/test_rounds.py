@@ -5,11 +5,12 @@ import random
 import statistics
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from lexmill.functions.plain import best_ratio
-from lexmill.operators import cycles, graph, matching, ranges
+from lexmill.operators import cycles, graph, matching, ranges, similarity, vectors
 from lexmill.sources import pycode
 
 
@@ -241,3 +242,54 @@ def test_pairs_of_large_documents_by_blocks(spark):
 def test_one_large_document_takes_many_tasks(spark):
     df = spark.range(3000).select(F.lit(1).alias("doc"), F.col("id").alias("item"))
     assert graph.cooccurrence(df, block=200).count() == 3000 * 2999 // 2
+
+
+# --- vectors ---------------------------------------------------------------------------------------------------------
+
+
+def clustered(rng, n, dims=8):
+    """Vectors around a few centers, with copies, opposite ones and zeros."""
+    centers = rng.normal(size=(6, dims)) * 5
+    rows = centers[rng.integers(6, size=n)] + 0.2 * rng.normal(size=(n, dims))
+    rows[:40] = rows[0]
+    rows[40:44] = -rows[0]
+    rows[44] = 0
+    return rows
+
+
+def test_vectors_around_pivots_equal_brute_force(spark):
+    rng = np.random.default_rng(9)
+    vec = clustered(rng, 400)
+    grp = rng.integers(5, size=400)
+    grp[7] = 99  # alone in its group
+    v = spark.createDataFrame([(i, vec[i].tolist(), int(grp[i])) for i in range(400)], "id long, vec array<double>, grp int").repartition(4)
+    got = {r["id"]: r for r in similarity.dense_nearest(v, v, broadcast_bytes=0, part_rows=25).collect()}
+    u = vectors.unit(vec)
+    score = u @ u.T
+    np.fill_diagonal(score, -np.inf)
+    own = np.where(grp[:, None] == grp[None, :], score, -np.inf)
+    assert sorted(got) == list(range(400))
+    for i in range(400):
+        r = got[i]
+        assert abs(r["best_score"] - score[i].max()) < 1e-9 and abs(score[i, r["best_id"]] - score[i].max()) < 1e-9
+        if i == 7:
+            assert r["best_in_group"] is None and r["in_group_score"] is None
+        else:
+            assert abs(r["in_group_score"] - own[i].max()) < 1e-9 and grp[r["best_in_group"]] == grp[i]
+
+
+def test_vector_join_skips_partitions(spark):
+    rng = np.random.default_rng(10)
+    vec = clustered(rng, 500)
+    rows = spark.createDataFrame([(f"t{i:03d}", vec[i].tolist()) for i in range(500)], "term string, vec array<double>").repartition(4)
+    got = {(r["left"], r["right"]): r["score"] for r in vectors.similar(rows, 0.97, part_rows=20).collect()}
+    u = vectors.unit(vec)
+    score = u @ u.T
+    want = {(f"t{i:03d}", f"t{j:03d}") for i in range(500) for j in range(i + 1, 500) if score[i, j] >= 0.97 - 1e-9}
+    assert set(got) == want and len(want) > 5000
+    pivots = vectors.choose_pivots(rows, "term", 20)
+    home = vectors.placed(rows.withColumn("scope", F.lit(0)), pivots)
+    parts = vectors.partitions_of(home, 20)
+    asked = vectors.visits(home.select("term", "scope", "vec", F.lit(float(np.arccos(0.97))).alias("reach")), parts, pivots)
+    assert asked.count() < 0.5 * 500 * parts.agg(F.sum("chunks")).first()[0]
+    assert parts.agg(F.max("chunks")).first()[0] >= 2  # the copies fill several chunks
