@@ -92,11 +92,28 @@ def heuristic_classes(terms: DataFrame) -> DataFrame:
     )
 
 
+FLAGS = ("is_contextual", "is_versioned", "is_marketing_language")
+MOST_ROLES = 8
+
+
+def distinct_roles(roles: Column, most: int = MOST_ROLES) -> Column:
+    """[FN-36] The first spelling of each text of a list, without empty ones, at most ``most``; an empty list for null."""
+    texts = F.filter(F.transform(F.coalesce(roles, F.array().cast("array<string>")), lambda r: F.trim(r)), lambda r: r.isNotNull() & (r != ""))
+    low = F.transform(texts, lambda r: F.lower(r))
+    return F.slice(F.filter(texts, lambda r, i: F.array_position(low, F.lower(r)) == i + 1), 1, most)
+
+
 def normalised_classes(rows: DataFrame) -> DataFrame:
-    """[GV-08, GV-09, FN-27..FN-29] Valid enumerations from (term, ontological_nature, primary_type, abstraction_level, confidence, status) as given."""
+    """[GV-08, GV-09, FN-27..FN-29, FN-36] Valid enumerations from (term, ontological_nature, primary_type, abstraction_level, confidence, status) as given.
+
+    Functional roles (a list) and the flags is_contextual, is_versioned and is_marketing_language are carried where ``rows``
+    has them: roles once each, flags as booleans, false where nothing sensible is given.
+    """
+    more = {f: S.boolean(F.col(f).cast("string")).alias(f) for f in FLAGS} | {"functional_roles": distinct_roles(F.col("functional_roles")).alias("functional_roles")}
+    more = {name: made for name, made in more.items() if name in rows.columns}
     kind = F.coalesce(F.nullif(T.trimmed(F.col("primary_type")), F.lit("")), F.col("term"))
     level = F.initcap(T.trimmed(F.col("abstraction_level")))
-    given = rows.select("term", kind.alias("kind"), named_nature(F.col("ontological_nature")).alias("named"), F.when(level.isin(*S.LEVELS), level).alias("level"), S.confidence(F.col("confidence")).alias("confidence"), F.col("status").alias("said"))
+    given = rows.select("term", kind.alias("kind"), named_nature(F.col("ontological_nature")).alias("named"), F.when(level.isin(*S.LEVELS), level).alias("level"), S.confidence(F.col("confidence")).alias("confidence"), F.col("status").alias("said"), *more.values())
     # One step after the other: as one expression the generated code outgrows what the JVM compiles.
     told = given.withColumn("nature", F.coalesce("named", inferred_nature(F.col("kind"), F.col("term")))).withColumn("domain", is_domain(F.col("term"), F.col("kind")))
     told = told.withColumn("level", F.coalesce("level", inferred_level(F.col("nature"), F.col("kind"), F.col("term"))))
@@ -108,9 +125,25 @@ def normalised_classes(rows: DataFrame) -> DataFrame:
         F.when(domain, "Domain").otherwise(F.col("level")).alias("abstraction_level"),
         "confidence",
         S.status(F.col("said"), F.col("confidence")).alias("status"),
+        *more,
     )
 
 
+def class_records(classes: DataFrame, terms: DataFrame) -> DataFrame:
+    """[GV-09] The second version's records of classified canonicals: aliases, the group as tag, classification, status, confidence.
+
+    A canonical of several groups has a record in each; one without a class has none.  Roles and flags that ``classes``
+    doesn't have are empty and false.
+    """
+    for name, default in (*((f, F.lit(False)) for f in FLAGS), ("functional_roles", F.array().cast("array<string>"))):
+        if name not in classes.columns:
+            classes = classes.withColumn(name, default)
+    names = terms.filter("canonical is not null").groupBy("grp", "canonical").agg(F.array_sort(F.collect_set("alias")).alias("aliases"))  # of one canonical
+    what = F.struct("ontological_nature", "primary_type", "functional_roles", "abstraction_level").alias("classification")
+    rows = names.join(classes.withColumnRenamed("term", "canonical"), "canonical")
+    return rows.select("canonical", "aliases", F.array("grp").alias("tags"), what, "status", "confidence", *FLAGS)
+
+
 def heuristic_arbitration(members: DataFrame) -> DataFrame:
     """[UD-03] Decisions for (cluster_id, term): split at a slash, mark a contextual prefix anywhere, else keep."""
     term, n = F.col("term"), T.normalize(F.col("term"))

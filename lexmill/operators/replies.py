@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions import scores as S
 from lexmill.functions import text as T
+from lexmill.operators import governance
 from lexmill.operators.rules import finding
 
 DECISION = ("term", "action", "target_canonical", "confidence")
@@ -51,7 +52,10 @@ def classes(replies: DataFrame) -> tuple[DataFrame, DataFrame]:
     at, norm = F.concat(F.lit("term:"), "term"), T.normalize(F.col("term"))
     broken = finding(rows.filter(~good), "L4-001", True, at, F.substring(F.coalesce("reply", F.lit("")), 1, 240), norm, "manual_review", "reply isn't an object")
     pick = lambda name: F.coalesce(_text("v", f"$.classification.{name}"), _text("v", f"$.{name}")).alias(name)
-    raw = rows.filter(good).select("term", _text("v", "$.type").alias("type"), pick("ontological_nature"), pick("primary_type"), pick("abstraction_level"), pick("confidence"), pick("status"))
+    texts = lambda path: F.transform(F.filter(F.try_variant_get("v", path, "array<variant>"), lambda r: _kind(r) == "STRING"), lambda r: F.try_variant_get(r, "$", "string"))
+    one = lambda path: F.when(_kind(F.try_variant_get("v", path, "variant")) == "STRING", F.array(_text("v", path)))
+    roles = F.coalesce(*[x for path in ("$.classification.functional_roles", "$.functional_roles") for x in (texts(path), one(path))]).alias("functional_roles")
+    raw = rows.filter(good).select("term", _text("v", "$.type").alias("type"), pick("ontological_nature"), pick("primary_type"), pick("abstraction_level"), pick("confidence"), pick("status"), roles, *map(pick, governance.FLAGS))
     kind = F.upper(F.replace(F.trim(F.coalesce("type", "ontological_nature", "primary_type", F.lit(""))), F.lit(" "), F.lit("_")))
     special = kind.isin("COMPOSITE_STACK", "CATEGORY")
     composite = finding(raw.filter(kind == "COMPOSITE_STACK"), "L4-004", False, at, F.col("term"), norm, "split", "term names several technologies")

@@ -192,7 +192,9 @@ class Run:
         names = self.table("terms").select(F.col("canonical").alias("term")).distinct()
         given, broken = _parted(self.settings.classifier(names))
         none = self.table("findings").limit(0)
-        self._keep(4, classes=governance.normalised_classes(given), class_findings=none if broken is None else broken)
+        classes = governance.normalised_classes(given)
+        records = governance.class_records(classes, self.table("terms"))
+        self._keep(4, classes=classes, class_records=records, class_findings=none if broken is None else broken)
 
     def stage5(self) -> None:
         levels = self.table("classes").select("term", F.col("abstraction_level").alias("level"))

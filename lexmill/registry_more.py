@@ -577,6 +577,38 @@ def normalised_classes(spark, sf_dir):
     return governance.normalised_classes(_raw_classes(spark, sf_dir)).distinct()
 
 
+@query(
+    """
+    with p as (select p_name || ' ' || p_partkey as canonical, p_type as grp, p_brand, p_size, p_partkey from part)
+    select canonical, p_brand as aliases, grp as tag, 'Back end|' || p_brand || case when p_size % 2 = 0 then '|api' else '' end as roles,
+           p_size % 4 in (0, 2) as is_contextual, p_partkey % 2 = 1 as is_versioned, false as is_marketing_language,
+           case p_size % 5 when 0 then 'HIGH' when 1 then 'LOW' when 2 then 'MEDIUM' when 3 then 'HIGH' else 'LOW' end as confidence,
+           case when p_size % 2 = 0 then 'active' when p_size % 5 in (1, 4) then 'under_review' else 'active' end as status
+    from p
+    """
+)
+def class_records(spark, sf_dir):
+    """[GV-08, GV-09, FN-29, FN-36] roles and flags of classifications, and the records that carry them."""
+    z = lambda n, *v: F.element_at(F.array(*map(F.lit, v)), (F.col("p_size") % n + 1).cast("int"))
+    p = V.table(spark, sf_dir, "part").withColumn("term", F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string")))
+    roles = F.array(F.lit("Back end "), F.col("p_brand"), F.lit("BACK END"), F.lit(" "), F.lit(None), F.when(F.col("p_size") % 2 == 0, "api"), F.lower("p_brand"))
+    given = p.select(
+        "term",
+        z(6, "standards paper", "PROTOCOL", "concepts", "soft skills", "Algorithm", "what").alias("ontological_nature"),
+        z(4, "web framework", " ", "rfc text", "Technology").alias("primary_type"),
+        z(3, " domain", "Method", "thing").alias("abstraction_level"),
+        z(5, "very high", "0.3", "x", "0.85", "low").alias("confidence"),
+        z(2, "ACTIVE", "?").alias("status"),
+        roles.alias("functional_roles"),
+        z(4, "Yes", "0", "TRUE", "maybe").alias("is_contextual"),
+        (F.col("p_partkey") % 2 == 1).alias("is_versioned"),
+        F.lit(None).cast("string").alias("is_marketing_language"),
+    )
+    terms = p.select(F.col("p_type").alias("grp"), F.col("term").alias("canonical"), F.col("p_brand").alias("alias"))
+    out = governance.class_records(governance.normalised_classes(given), terms)
+    return out.select("canonical", F.array_join("aliases", "|").alias("aliases"), F.col("tags")[0].alias("tag"), F.array_join("classification.functional_roles", "|").alias("roles"), *governance.FLAGS, "confidence", "status")
+
+
 def _raw_classes(spark, sf_dir) -> DataFrame:
     z = lambda n, *v: F.element_at(F.array(*map(F.lit, v)), (F.col("p_size") % n + 1).cast("int"))
     return V.table(spark, sf_dir, "part").select(

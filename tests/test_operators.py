@@ -266,6 +266,10 @@ def test_replies(spark):
     rows = [("Kafka", '{"classification": {"ontological_nature": "Concept"}, "confidence": "low"}'), ("LAMP", '{"primary_type": "composite stack"}'), ("Tools", '{"ontological_nature": "CATEGORY"}'), ("x", "[1]")]
     kept, found = replies.classes(spark.createDataFrame(rows, "term string, reply string"))
     assert [r["ontological_nature"] for r in governance.normalised_classes(kept).collect()] == ["Concept"]
+    told = [("a", '{"classification": {"functional_roles": ["X", " x", 3, "y"]}, "is_versioned": "yes", "is_contextual": true}'), ("b", '{"functional_roles": "one"}'), ("c", "{}")]
+    rows = {r["term"]: r for r in governance.normalised_classes(replies.classes(spark.createDataFrame(told, "term string, reply string"))[0]).collect()}
+    assert list(rows["a"]["functional_roles"]) == ["X", "y"] and rows["a"]["is_versioned"] and rows["a"]["is_contextual"] and not rows["a"]["is_marketing_language"]
+    assert list(rows["b"]["functional_roles"]) == ["one"] and list(rows["c"]["functional_roles"]) == []
     assert sorted((r["rule_id"], r["location"]) for r in found.collect()) == [("L4-001", "term:x"), ("L4-003", "term:Kafka"), ("L4-004", "term:LAMP"), ("L4-005", "term:Tools")]
 
 
