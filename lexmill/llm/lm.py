@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from lexmill.llm import text as tx
 from lexmill.llm.counting import PACKED, bucket_bits, packed, split_rows, summed, text_bytes
-from lexmill.llm.scratch import discard, materialise, release, sized
+from lexmill.llm.scratch import discard, materialise, partitions, release, sized
 
 _U = np.uint64
 END = _U(0x0123456789ABCDEF)
@@ -450,7 +450,8 @@ def _asked(documents: DataFrame, shared, store: DataFrame, key: str, out: str) -
     asks = blocks.select("sizes", "raw", "texts", "at").mapInArrow(ask, "bucket long, keys binary, kind tinyint, at long")
     held = store.select("bucket", "tokens", "counts", "v", "t", "s", "block", "size", F.lit(False).alias("asks"))
     both = held.unionByName(asks.withColumn("asks", F.lit(True)), allowMissingColumns=True)
-    both = both.repartition(max(64, 1 << shared.value.bits), "bucket").sortWithinPartitions("bucket", "asks", "kind")
+    # A task answers for one bucket after the other, however many it gets.
+    both = both.repartition(partitions(max(64, 1 << shared.value.bits)), "bucket").sortWithinPartitions("bucket", "asks", "kind")
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, bucket = _Bucket(), None
@@ -476,7 +477,7 @@ def _asked(documents: DataFrame, shared, store: DataFrame, key: str, out: str) -
     answers = materialise(both.mapInArrow(answer, "at long, kind tinyint, bucket long, values binary"), "answers")
     release(documents.sparkSession)
     whole = blocks.withColumn("kind", F.lit(-1).cast("tinyint")).unionByName(answers, allowMissingColumns=True)
-    whole = whole.repartition(max(64, -(-blocks.count() // 16)), "at").sortWithinPartitions("at", "kind", "bucket")  # values in the order of the keys
+    whole = whole.repartition(partitions(max(64, -(-blocks.count() // 16))), "at").sortWithinPartitions("at", "kind", "bucket")  # values in the order of the keys
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = texts = None

@@ -78,17 +78,24 @@ def sweep(spark: SparkSession) -> int:
     return len(found)
 
 
-SHUFFLED_BYTES = 32 << 20  # of a partition
+SHUFFLED_BYTES = 32 << 20  # of a partition, while there are fewer than MOST_PARTITIONS
+MOST_PARTITIONS = 8192
+
+
+def partitions(want: int) -> int:
+    """So many partitions, at most ``MOST_PARTITIONS``: with more, map tasks write ever more and smaller pieces."""
+    return max(1, min(want, MOST_PARTITIONS))
 
 
 @contextmanager
 def sized(spark: SparkSession, size: int) -> Iterator[None]:
     """Shuffles within have partitions for ``size`` bytes, where the session's number gives larger ones.
 
-    Adaptive execution joins small partitions but doesn't make more of them, so the number has to follow the input.
+    Adaptive execution joins small partitions but doesn't make more of them, so the number has to follow the input, up to
+    ``MOST_PARTITIONS``; beyond that partitions grow, and sorts spill.
     """
     key = "spark.sql.shuffle.partitions"
-    now, want = int(spark.conf.get(key)), -(-size // SHUFFLED_BYTES)
+    now, want = int(spark.conf.get(key)), partitions(-(-size // SHUFFLED_BYTES))
     if want <= now:
         yield
         return

@@ -173,3 +173,31 @@ def test_scores_of_nothing(nothing, spark):
     assert lm.score_documents(nothing).count() == 0
     only_held = spark.createDataFrame([(d, "a b") for d in range(40) if zlib.crc32(str(d).encode()) % 5 == 1], "doc_id long, text string")
     assert all(r["n_known"] == 0 and r["train_tokens"] == 0 and r["score"] == 0.0 for r in lm.score_documents(only_held).collect())
+
+
+def test_partitions_are_bounded_at_any_size(spark):
+    from lexmill.llm import scratch
+
+    assert scratch.partitions(7) == 7 and scratch.partitions(1 << 24) == scratch.MOST_PARTITIONS == 8192
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with scratch.sized(spark, 100 << 40):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "8192"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_kernel_ridge_equals_the_explicit_one():
+    """With all texts as landmarks the Nystrom model is kernel ridge regression on the centred features, solved by its own kernel matrix."""
+    rng = np.random.default_rng(6)
+    texts = [" ".join(rng.choice(words, 12)) for words in (["der", "und", "ich", "nicht"], ["the", "and", "not", "is"], ["le", "et", "pas", "je"]) for _ in range(12)]
+    labels = [k for k in ("de", "en", "fr") for _ in range(12)]
+    bits = np.concatenate([b.copy() for _, b in langid.presence(__import__("pyarrow").array(texts))])
+    model = langid.fit(np.packbits(bits.astype(bool), axis=1), labels, landmarks=len(texts), ridge=1e-2)
+    unit = bits / np.sqrt(bits.sum(axis=1, keepdims=True))
+    kernel = (unit @ unit.T).astype(np.float64)
+    n = len(texts)
+    centre = np.eye(n) - 1 / n
+    target = np.where(np.array(labels)[:, None] == np.array(model.languages)[None, :], 1.0, -1.0)
+    dual = np.linalg.solve(centre @ kernel @ centre + 1e-2 * n * np.eye(n), centre @ target)
+    want = centre @ kernel @ centre @ dual + target.mean(axis=0)
+    got = model.scores(bits)
+    assert np.allclose(got, want, atol=5e-3) and (got.argmax(axis=1) == want.argmax(axis=1)).all()
