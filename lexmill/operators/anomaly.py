@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions import scores as S
@@ -29,6 +29,11 @@ def _fit(rows: DataFrame, keys: list[str], robust: bool) -> DataFrame:
     return center.join(spread, keys)
 
 
+def _plain(name: str) -> Column:
+    """Rounded to 4, without a negative zero."""
+    return F.when(F.round(name, 4) == 0, 0.0).otherwise(F.round(name, 4))
+
+
 def group_outliers(nodes: DataFrame, sigma: float = 2.0, alpha: float = 0.4, beta: float = 0.6, least: int = 5, robust: bool = True) -> DataFrame:
     """[AN-02, AG-08, AG-09, FN-22..24, WN-06] Global and group z-scores of nodes (skill, total_count, grp, super_grp).
 
@@ -44,7 +49,7 @@ def group_outliers(nodes: DataFrame, sigma: float = 2.0, alpha: float = 0.4, bet
     rows = live.join(group, "grp").crossJoin(F.broadcast(whole))  # one row
     rows = rows.withColumn("g", S.z_score(F.col("x"), F.col("gc"), F.col("gs"))).withColumn("l", S.z_score(F.col("x"), F.col("c"), F.when(F.col("s") > 0, F.col("s")))).filter("g is not null")
     sus = S.suspicion(F.col("g"), F.col("l"), alpha, beta)
-    return rows.select("skill", "total_count", F.round("x", 4).alias("log_count"), "grp", "super_grp", "size", F.round("g", 4).alias("global_z"), F.round("l", 4).alias("group_z"), F.round(sus, 4).alias("suspicion_score"), S.verdict(F.col("g"), F.col("l"), sigma).alias("verdict"))
+    return rows.select("skill", "total_count", F.round("x", 4).alias("log_count"), "grp", "super_grp", "size", _plain("g").alias("global_z"), _plain("l").alias("group_z"), F.round(sus, 4).alias("suspicion_score"), S.verdict(F.col("g"), F.col("l"), sigma).alias("verdict"))
 
 
 def anomaly_ln1p(nodes: DataFrame) -> DataFrame:

@@ -18,7 +18,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexmill.functions import text as T
 from lexmill.operators import governance, graph, replies, rules, similarity
+from lexmill.operators.components import Written
 
 #: [OR-01] stage -> (tables it makes, stages it needs)
 STAGES: dict[int, tuple[tuple[str, ...], tuple[int, ...]]] = {
@@ -248,3 +250,43 @@ def settled(step: Callable[[DataFrame], DataFrame], rows: DataFrame, most: int =
             return new, n
         rows = new
     return rows, most
+
+
+def settled_terms(step: Callable[[DataFrame], DataFrame], terms: DataFrame, most: int = 5) -> tuple[DataFrame, list[int]]:
+    """[SS-08] What ``step`` makes of (grp, canonical, alias, alias_pos) applied up to ``most`` times, and the rows it read each time.
+
+    ``step`` takes entries apart and merges those of a group that come out alike, and says of each row its
+    ``source_canonical``; an entry's result depends on it and on those that it is merged with alone.  So an entry that
+    came out as it went in, fed by nothing but itself, is left alone until another one comes out under its name.  Each
+    round takes the entries that changed, gave something away or got something, and those whose names they came out
+    under; the state is written after each.
+    """
+    tables = Written(terms.sparkSession)
+    columns = ["grp", "canonical", "alias", "alias_pos"]
+    named = lambda df: df.withColumn("key", T.normalize(F.col("canonical")))
+    at = ["grp", "key"]
+    active = tables.put("active", named(terms.select(*columns)).distinct())
+    rest = tables.put("rest", active.limit(0))
+    read: list[int] = []
+    for _ in range(most):
+        out = tables.put("out", named(step(active.select(*columns)).select(*columns, "source_canonical")))
+        hit = tables.put("hit", rest.join(out.select(*at).distinct(), at, "left_semi"))
+        if not hit.isEmpty():
+            active = tables.put("active", active.unionByName(hit))
+            out = tables.put("out", named(step(active.select(*columns)).select(*columns, "source_canonical")))
+        read.append(active.count())
+        digest_of = (F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("canonical", "alias").cast("decimal(38,0)")).alias("h"))
+        source = T.normalize(F.col("source_canonical"))
+        before = active.select(*at, "canonical", "alias").distinct().groupBy(*at).agg(*digest_of)
+        after = out.select(*at, "canonical", "alias").distinct().groupBy(*at).agg(F.count(F.lit(1)).alias("n2"), F.sum(F.xxhash64("canonical", "alias").cast("decimal(38,0)")).alias("h2"))
+        unlike = before.join(after, at, "full_outer").filter(~(F.col("n").eqNullSafe(F.col("n2")) & F.col("h").eqNullSafe(F.col("h2")))).select(*at)
+        moved = out.filter(source != F.col("key"))
+        changed = unlike.unionByName(moved.select(*at)).unionByName(moved.select("grp", source.alias("key"))).distinct()
+        changed = tables.put("changed", changed)
+        kept = out.select(*columns, "key").distinct()
+        rest = tables.put("rest", rest.join(hit.select(*at).distinct(), at, "left_anti").unionByName(kept.join(changed, at, "left_anti")))
+        active = tables.put("active", kept.join(changed, at, "left_semi"))
+        if active.isEmpty():
+            break
+    tables.close("rest", "active")
+    return rest.unionByName(active).select(*columns), read

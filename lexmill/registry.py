@@ -35,7 +35,7 @@ ODD = """
 """
 NODES = """
     nodes as (select c_name skill, coalesce(n, 0)::bigint total_count, n_name grp, r_name super_grp from customer left join (select
-    o_custkey, count(*) filter (o_orderpriority = '1-URGENT') n from orders group by 1) on o_custkey = c_custkey join nation on
+    o_custkey, count(*) n from orders group by 1) on o_custkey = c_custkey join nation on
     c_nationkey = n_nationkey join region on n_regionkey = r_regionkey)
 """
 JD = """
@@ -452,7 +452,7 @@ def log_outliers(spark, sf_dir):
 
 
 def _group_sql(center: str, spread: str) -> str:
-    return f"with {NODES}, l as (select *, ln(total_count) x from nodes where total_count > 0), g as (select {center} gc, {spread} gs from l), k as (select grp, count(*)::bigint as size, {center} c, {spread} s from l group by 1), r as (select l.*, size, (x - gc) / nullif(gs, 0) g, case when size >= 5 and round(s, 4) > 0 then (x - round(c, 4)) / round(s, 4) end as z from l join k using (grp), g) select skill, total_count, round(x, 4) as log_count, grp, super_grp, size, round(g, 4) as global_z, round(z, 4) as group_z, round(coalesce(0.4 * abs(g) + 0.6 * abs(z), abs(g)), 4) as suspicion_score, case when z is null then case when abs(g) >= 2 then 'suspect_global_only' else 'normal' end when abs(g) >= 2 and abs(z) >= 2 then 'likely_false_positive' when abs(g) >= 2 then 'legitimate_hub' when abs(z) >= 2 then 'group_anomaly' else 'normal' end as verdict from r where g is not null"
+    return f"with {NODES}, l as (select *, ln(total_count) x from nodes where total_count > 0), g as (select {center} gc, {spread} gs from l), k as (select grp, count(*)::bigint as size, {center} c, {spread} s from l group by 1), r as (select l.*, size, (x - gc) / nullif(gs, 0) g, case when size >= 5 and round(s, 4) > 0 then (x - round(c, 4)) / round(s, 4) end as z from l join k using (grp), g) select skill, total_count, round(x, 4) as log_count, grp, super_grp, size, case when round(g, 4) = 0 then 0.0 else round(g, 4) end as global_z, case when round(z, 4) = 0 then 0.0 else round(z, 4) end as group_z, round(coalesce(0.4 * abs(g) + 0.6 * abs(z), abs(g)), 4) as suspicion_score, case when z is null then case when abs(g) >= 2 then 'suspect_global_only' else 'normal' end when abs(g) >= 2 and abs(z) >= 2 then 'likely_false_positive' when abs(g) >= 2 then 'legitimate_hub' when abs(z) >= 2 then 'group_anomaly' else 'normal' end as verdict from r where g is not null"
 
 
 @query(_group_sql("median(x)", "mad(x) * 1.4826"))

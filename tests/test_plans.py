@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lexmill.__main__ import main
 
 from lexmill.config import Config
-from lexmill.plans.pipeline import STAGES, Run, Settings, digest, file_backed, needed, reply_arbiter, reply_classifier, settled
+from lexmill.plans.pipeline import STAGES, Run, Settings, digest, file_backed, needed, reply_arbiter, reply_classifier, settled, settled_terms
 from lexmill.operators import anomaly, discovery, governance, graph, rules, similarity
 from lexmill.plans.queue import Discovery
 from lexmill.sources import providers, pycode, stores
@@ -274,3 +274,20 @@ def test_an_interrupted_replacement_keeps_the_queue(spark, tmp_path):
     assert steps.table("queue").count() == 3
     steps._replace("queue", steps.table("queue").filter("id > 0"))
     assert steps.table("queue").count() == 2 and {p.name for p in (tmp_path / "q").iterdir()} == {"queue"}
+
+
+def test_settled_terms_equal_the_full_loop(spark):
+    """Entries that take several rounds, two that come out alike in the second, and many that stay as they are."""
+    t = terms(spark, ("Web", "React/Angular and Vue", ["ui, lib", "x"]), ("Web", "Vue", ["vue.js"]), ("Web", "Angular, Ember", None), ("Web", "Ember (EM)", ["e"]), ("Data", "Vue", ["other"]), *(("Data", f"Plain {chr(97 + k)}", [f"alias {chr(97 + k)}"]) for k in range(20)))
+    rows = lambda d: {(r["grp"], r["canonical"], r["alias"]) for r in d.collect()}
+    now, want = t, None
+    for n in range(5):
+        new = rules.rewritten_terms(now).select("grp", "canonical", "alias", "alias_pos").distinct()
+        new = spark.createDataFrame(new.collect(), new.schema)
+        if rows(new) == want:
+            break
+        now, want = new.withColumns({"grp_pos": F.lit(0), "canonical_pos": F.lit(0)}), rows(new)
+    whole = lambda d: rules.rewritten_terms(d.withColumns({"grp_pos": F.lit(0), "canonical_pos": F.lit(0)}))
+    got, read = settled_terms(whole, t)
+    assert rows(got) == want
+    assert len(read) > 1 and read[0] == t.count() and all(n < read[0] / 2 for n in read[1:])
