@@ -171,11 +171,23 @@ def all_findings(terms: DataFrame, pairs: DataFrame | None = None, exceptions: D
     return reduce(DataFrame.unionByName, made)
 
 
+def blank_names(terms: DataFrame) -> DataFrame:
+    """[L1-001] Groups, canonicals and aliases of a term table that are no text or blank; an absent alias is none."""
+    blank = lambda c: F.coalesce(F.trim(c) == "", F.lit(True))
+    known = lambda c: F.coalesce(c, F.lit(""))
+    at = S.location(known("grp"), known("canonical"))
+    row = lambda rows, where, reason: finding(rows, "L1-001", True, where, F.lit(""), F.lit(""), "fix_source", reason)
+    names = terms.select("grp", "canonical").distinct()
+    out = row(names.filter(blank("grp")), at, "group must not be blank").unionByName(row(names.filter(blank("canonical")), at, "canonical must not be blank"))
+    listed = terms.filter("alias is not null").select("grp", "canonical", "alias").distinct().filter(blank("alias"))
+    return out.unionByName(row(listed, F.concat(at, F.lit(".alias:"), F.col("alias")), "alias must be non-blank text"))
+
+
 def rewritten_findings(terms: DataFrame) -> DataFrame:
     """[JN-05, T41] The checks on a rewritten store, as L1R-00x; the list of exceptions isn't applied."""
     none = canonicals(terms).filter(F.size(T.atomicity_reasons(F.col("canonical"))) > 0)
     atomic = finding(none, "L1-006", False, S.location(F.col("grp"), F.col("canonical")), F.col("canonical"), T.normalize(F.col("canonical")), "rewrite", "canonical isn't atomic")
-    made = [duplicate_canonicals(terms), alias_collisions(terms), alias_multiplicity(terms), group_collisions(terms), atomic, repeated_aliases(terms)]
+    made = [blank_names(terms), duplicate_canonicals(terms), alias_collisions(terms), alias_multiplicity(terms), group_collisions(terms), atomic, repeated_aliases(terms)]
     return reduce(DataFrame.unionByName, made).withColumn("rule_id", F.regexp_replace("rule_id", "^L1-", "L1R-"))
 
 

@@ -302,6 +302,29 @@ def rewritten_findings(spark, sf_dir):
     return found.filter("rule_id in ('L1R-002', 'L1R-006')").select("rule_id", "normalized_value")
 
 
+@query(
+    """
+    with t as (select a.n_name as grp, case s_suppkey % 4 when 0 then b.n_name when 1 then ' ' else s_name end as canonical,
+        case s_suppkey % 3 when 0 then '  ' when 1 then 'also ' || s_suppkey end as alias
+        from supplier join nation a on s_nationkey = a.n_nationkey join nation b on b.n_nationkey = (s_nationkey + 1) % 25)
+    select distinct 'L1R-001' as rule_id, 'group:' || grp || '.canonical:' || canonical as location from t where trim(canonical) = ''
+    union all select distinct 'L1R-001', 'group:' || grp || '.canonical:' || canonical || '.alias:' || alias from t where trim(alias) = ''
+    union all select distinct 'L1R-005', lower(grp) from t where lower(grp) in (select lower(canonical) from t where lower(canonical) <> lower(grp))
+    """
+)
+def rewritten_breaches(spark, sf_dir):
+    """[L1R-001, L1R-005, JN-05] a store with blank names, and with suppliers named after the next nation."""
+    n = V.table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    after = n.select(F.pmod(F.col("n_nationkey") - 1, F.lit(25)).alias("n_nationkey"), F.col("n_name").alias("after"))
+    s = V.table(spark, sf_dir, "supplier").join(n.join(after, "n_nationkey"), F.col("s_nationkey") == F.col("n_nationkey"))
+    k = F.col("s_suppkey")
+    name = F.when(k % 4 == 0, F.col("after")).when(k % 4 == 1, " ").otherwise(F.col("s_name"))
+    alias = F.when(k % 3 == 0, "  ").when(k % 3 == 1, F.concat(F.lit("also "), k.cast("string")))
+    terms = s.select(F.col("n_name").alias("grp"), F.lit(0).alias("grp_pos"), name.alias("canonical"), F.lit(0).alias("canonical_pos"), alias.alias("alias"), k.cast("int").alias("alias_pos"))
+    found = rules.rewritten_findings(terms).filter("rule_id in ('L1R-001', 'L1R-005')")
+    return found.select("rule_id", F.when(F.col("rule_id") == "L1R-005", F.col("normalized_value")).otherwise(F.col("location")).alias("location"))
+
+
 @query(
     f"""
     with tax0 as ({TAX}), tax as (select grp, canonical, alias, pos, gn, cn, an from tax0 union all select grp, alias, canonical, pos, gn, an, cn from tax0),
