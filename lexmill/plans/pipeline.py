@@ -15,12 +15,14 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.functions import text as T
 from lexmill.operators import governance, graph, replies, rules, similarity
-from lexmill.operators.components import Written
+from lexmill.operators.components import Written, cut
+from lexmill.sources import providers
 
 #: [OR-01] stage -> (tables it makes, stages it needs)
 STAGES: dict[int, tuple[tuple[str, ...], tuple[int, ...]]] = {
@@ -28,7 +30,7 @@ STAGES: dict[int, tuple[tuple[str, ...], tuple[int, ...]]] = {
     1: (("edges", "advisories"), (0,)),
     2: (("clusters",), (1,)),
     3: (("decisions", "decision_findings"), (0, 2)),
-    4: (("classes", "class_findings"), (0,)),
+    4: (("classes", "class_records", "class_findings"), (0,)),
     5: (("graph_findings",), (1, 2, 4)),
     6: (("review", "summary", "report"), (0, 1, 3, 4, 5)),
 }
@@ -98,6 +100,32 @@ def reply_classifier(given: DataFrame) -> Classifier:
     return give
 
 
+def model_arbiter(make: Callable[[], providers.Chat], mark: str) -> Arbiter:
+    """[UD-01, UD-05] Decisions of a model that is asked for each cluster; ``mark`` names it in the manifest."""
+
+    def give(members: DataFrame) -> Given:
+        asked = members.groupBy("cluster_id").agg(F.array_sort(F.collect_set("term")).alias("terms"))  # of one cluster
+        prompt = F.pandas_udf(lambda terms: pd.Series([providers.cluster_prompt(list(t)) for t in terms]), "string")
+        got, _ = cut(providers.answered(asked.withColumn("prompt", prompt("terms")), "cluster_id", "prompt", make), "replies")
+        return replies.decisions(got.select("cluster_id", F.col("answer").alias("reply")))
+
+    give.mark = f"model|{mark}"
+    return give
+
+
+def model_classifier(make: Callable[[], providers.Chat], mark: str) -> Classifier:
+    """[UD-05] Classes of a model that is asked for each term, and once more where its answer has no sound shape."""
+
+    def give(terms: DataFrame) -> Given:
+        prompt = F.pandas_udf(lambda t: pd.Series([providers.class_prompt(x) for x in t]), "string")
+        asked = terms.select("term").distinct().withColumn("prompt", prompt("term"))
+        got, _ = cut(providers.answered(asked, "term", "prompt", make, sound=providers.is_class_reply, repair=lambda p, a: f"{p}\nYour last answer didn't have this shape; correct it:\n{a}"), "replies")
+        return replies.classes(got.select("term", F.col("answer").alias("reply")))
+
+    give.mark = f"model|{mark}"
+    return give
+
+
 def needed(last: int, done: set[int]) -> list[int]:
     """[OR-03] Stages to run for ``last``, those done left out, in order."""
     todo: set[int] = set()
@@ -144,6 +172,14 @@ class Run:
             df.write.mode("overwrite").parquet(self._path(name))
         self.spark.createDataFrame([(self.mark,)], "value string").coalesce(1).write.mode("overwrite").text(self._path(f"_manifest_{stage}"))
 
+    def only(self, stage: int) -> dict[str, DataFrame]:
+        """[OR-03] Run one stage again on the tables of the folder; those that it needs must be there."""
+        missing = set(STAGES[stage][1]) - self.done()
+        if missing:
+            raise RuntimeError(f"stage {stage} needs stages {sorted(missing)} first")
+        getattr(self, f"stage{stage}")()
+        return {name: self.table(name) for name in STAGES[stage][0]}
+
     def run(self, last: int = 6, workers: int = 2) -> dict[str, DataFrame]:
         """Run what is needed up to ``last``; stage 4 runs beside stages 1 to 3."""
         todo = needed(last, self.done())

@@ -95,11 +95,41 @@ def http_chat(base_url: str, model: str | None = None, paths: tuple[str, ...] =
     return call
 
 
+def get_json(url: str, timeout: float = 120.0) -> dict:
+    with urllib.request.urlopen(url, timeout=timeout) as answer:
+        return json.loads(answer.read())
+
+
 def available(models: list[str], wanted: str) -> bool:
     """[UD-09]"""
     return any(m == wanted or m.split("/")[-1] == wanted for m in models)
 
 
+def model_names(base_url: str, get: Callable[..., dict] = get_json, timeout: float = 120.0, paths: tuple[str, ...] = ("/v1/models", "/models")) -> list[str] | None:
+    """[UD-09] Names of the models that a server lists, from all of ``paths`` that answer; None if none does."""
+    names: set[str] = set()
+    heard = False
+    for path in paths:
+        try:
+            got = get(f"{base_url.rstrip('/')}{path}", timeout=timeout)
+        except (OSError, ValueError):
+            continue
+        heard = True
+        rows = (got.get("data") or got.get("models") or []) if isinstance(got, dict) else got if isinstance(got, list) else []
+        names |= {n for r in rows if isinstance(n := (r.get("id") or r.get("name")) if isinstance(r, dict) else r, str)}
+    return sorted(names) if heard else None
+
+
+def verify(base_url: str, model: str | None, probe: Callable[[], object], get: Callable[..., dict] = get_json, timeout: float = 120.0) -> None:
+    """[UD-09] Before a run: the model must be listed; where the server lists none, or no model is named, ``probe`` must get an answer."""
+    names = model_names(base_url, get, timeout) if model else None
+    if names is not None:
+        if not available(names, model):
+            raise RuntimeError(f"no model {model!r} at {base_url}; there are {names}")
+        return
+    probe()
+
+
 def embedded(rows: DataFrame, column: str, make: Callable[[], Embedder], batch: int = 64) -> DataFrame:
     """[UD-02, SM-09] (column, vec) of the distinct texts of ``column``; one client a partition, asked in batches."""
 
@@ -153,6 +183,12 @@ def is_class_reply(text: str) -> bool:
     return isinstance(inner, dict) and all(k in inner for k in ("ontological_nature", "primary_type", "functional_roles", "abstraction_level"))
 
 
+def cluster_prompt(terms: list[str]) -> str:
+    """[UD-01] What a model is asked for the terms of a cluster."""
+    shape = {"decisions": [{"term": "text", "action": "|".join(S.ACTIONS), "target_canonical": "text or null", "split_candidates": ["text"], "confidence": "|".join(S.CONFIDENCES), "reasoning": {"ecosystem": "text", "abstraction_level": "text", "graph_safety": "text"}}]}
+    return f"Say for each of these similar terms what should become of it: {json.dumps(terms)}\nAnswer with one JSON object of this shape and nothing else:\n{json.dumps(shape)}"
+
+
 def class_prompt(term: str, previous: str | None = None) -> str:
     """[UD-05] What a model is asked for the classification of a term, and for the repair of an answer."""
     shape = {"term": term, "classification": {"ontological_nature": "|".join(S.NATURES), "primary_type": "text or null", "functional_roles": ["text"], "abstraction_level": "|".join(S.LEVELS)}, "status": "active|under_review", "confidence": "|".join(S.CONFIDENCES), "is_contextual": False, "is_versioned": False, "is_marketing_language": False}

@@ -2,12 +2,13 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from lexmill.__main__ import main
 
 from lexmill.config import Config
-from lexmill.plans.pipeline import STAGES, Run, Settings, digest, file_backed, needed, reply_arbiter, reply_classifier, settled, settled_terms
+from lexmill.plans.pipeline import STAGES, Run, Settings, digest, file_backed, model_arbiter, model_classifier, needed, reply_arbiter, reply_classifier, settled, settled_terms
 from lexmill.operators import anomaly, discovery, governance, graph, rules, similarity
 from lexmill.plans.queue import Discovery
 from lexmill.sources import providers, pycode, stores
@@ -291,3 +292,43 @@ def test_settled_terms_equal_the_full_loop(spark):
     got, read = settled_terms(whole, t)
     assert rows(got) == want
     assert len(read) > 1 and read[0] == t.count() and all(n < read[0] / 2 for n in read[1:])
+
+
+def test_models_are_looked_up_before_a_run():
+    def get(url, timeout):
+        if url.endswith("/v1/models"):
+            return {"data": [{"id": "org/embed-a"}, {"id": "b"}]}
+        raise OSError("none")
+
+    assert providers.model_names("http://h/", get) == ["b", "org/embed-a"]
+    providers.verify("http://h", "embed-a", lambda: 1 / 0, get)
+    with pytest.raises(RuntimeError, match="no model"):
+        providers.verify("http://h", "c", lambda: None, get)
+
+    def silent(url, timeout):
+        raise OSError("down")
+
+    asked = []
+    providers.verify("http://h", "c", lambda: asked.append(1), silent)
+    providers.verify("http://h", None, lambda: asked.append(2), get)
+    assert asked == [1, 2] and providers.model_names("http://h", silent) is None
+
+
+def test_clean_with_a_model_and_one_stage_again(spark, tmp_path):
+    def chat(p):
+        if "similar terms" in p:
+            terms_asked = json.loads(p.splitlines()[0].split(": ", 1)[1])
+            return json.dumps({"decisions": [{"term": t, "action": "KEEP_DISTINCT", "confidence": "HIGH", "reasoning": {}} for t in terms_asked]})
+        return json.dumps({"classification": {"ontological_nature": "Concept", "primary_type": "x", "functional_roles": ["r"], "abstraction_level": "Method"}, "confidence": "HIGH", "is_contextual": True})
+
+    t = terms(spark, ("Web", "Vector Index", ["vi"]), ("Web", "Vector Indexing", None), ("Web", "Vector Indexes", None))
+    settings = Settings(threshold=0.6, arbiter=model_arbiter(lambda: chat, "m"), classifier=model_classifier(lambda: chat, "m"))
+    run = Run(spark, t, str(tmp_path / "run"), settings)
+    with pytest.raises(RuntimeError, match="needs stages"):
+        run.only(3)
+    out = run.run()
+    assert {r["effective_action"] for r in out["decisions"].collect()} == {"KEEP_DISTINCT"} and out["decisions"].count() == 3
+    records = {r["canonical"]: r for r in out["class_records"].collect()}
+    assert records["Vector Index"]["aliases"] == ["vi"] and records["Vector Index"]["tags"] == ["Web"] and records["Vector Index"]["is_contextual"]
+    assert list(records["Vector Index"]["classification"]["functional_roles"]) == ["r"]
+    assert set(run.only(3)) == {"decisions", "decision_findings"}
