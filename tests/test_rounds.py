@@ -67,6 +67,18 @@ def test_strong_components_of_random_graphs(spark):
     assert got == tarjan(edges)
 
 
+def test_long_rings_and_chains_take_few_rounds(spark, monkeypatch):
+    """A ring, a chain into a hub that leads back to its last part, and a chain to nowhere; 300 links each."""
+    written, put = [], cycles.Written.put
+    monkeypatch.setattr(cycles.Written, "put", lambda self, name, df: written.append(name) or put(self, name, df))
+    ring = [(k, (k + 1) % 300) for k in range(300)]
+    back = [(k, k + 1) for k in range(1000, 1300)] + [(1300, 9000), (9000, 1150), (9000, 150), (9000, 9001), (9000, 9000)]
+    edges = ring + back + [(k, k + 1) for k in range(5000, 5300)]
+    got = {r["node"]: r["component"] for r in cycles.strong_components(spark.createDataFrame(edges, "a int, b int")).collect()}
+    assert got == {**{k: 0 for k in range(300)}, **{k: 1150 for k in range(1150, 1301)}, 9000: 1150}
+    assert len(written) < 60  # three times the length of the ring before
+
+
 def test_import_cycles_of_files(spark):
     sources = {"r/a.py": "import p.b\nimport os", "r/p/b.py": "from p.c import x", "r/p/c.py": "import a", "r/p/__init__.py": "import q", "r/q.py": "import p", "r/d.py": "import a"}
     df = spark.createDataFrame(list(sources.items()), "file string, source string")
