@@ -24,7 +24,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents whose text is in one of the learned languages, by a limit fixed on held-out labelled rows.
+    """Keeps documents whose text is in one of the learned languages, by a limit fixed on all held-out labelled rows.
 
     Where no document has a label there is nothing to judge by, and all stay.
     """
@@ -57,7 +57,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return packing.pack_documents(spark, docs, lambda: bpe.encoder(path), capacity=2048)
+    return packing.pack_documents(spark, docs, lambda: bpe.encoder(path), capacity=2048, forget=True)
 
 
 STAGES = [

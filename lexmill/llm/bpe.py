@@ -267,6 +267,11 @@ class Encoder:
         self._flat, self._n_flat = np.zeros(1 << 16, dtype=np.uint32), 0
         self._off = np.zeros(1 << 14, dtype=np.int64)
 
+    def forget(self) -> None:
+        """Drop what was remembered of texts; the vocabulary stays."""
+        self._clear()
+        self.vocabulary._known, self.vocabulary._known_ok = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=bool)
+
     def _full(self) -> bool:
         return len(self._slot) > self.cache_pieces or self._held > self.cache_bytes
 

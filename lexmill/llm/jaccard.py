@@ -86,7 +86,7 @@ def document_nodes(documents: DataFrame, size: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([n for n, _ in sets], pa.int64()), pa.array([k for _, k in sets], pa.int64())], names=["doc_id", "n_shingles", "node"])
 
     key = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {key}, n_shingles long, node long")
+    return documents.select("doc_id", "text").mapInArrow(tx.returning(run), f"doc_id {key}, n_shingles long, node long")
 
 
 def frequent_cells(documents: DataFrame, size: int, rare_max: int = RARE_MAX, cell_bits: int = CELL_BITS, text_size: int | None = None) -> np.ndarray:
@@ -130,7 +130,7 @@ def frequent_cells(documents: DataFrame, size: int, rare_max: int = RARE_MAX, ce
         marks[cells & np.uint32(len(marks) - 1)] = True
         return pa.table({"slot": pa.array([key[0].as_py()], pa.int64()), "bits": [np.packbits(marks, bitorder="little").tobytes()]})
 
-    blobs = documents.select("text").mapInArrow(emit, "bucket long, blob binary")
+    blobs = documents.select("text").mapInArrow(tx.returning(emit), "bucket long, blob binary")
     counted = blobs.groupBy("bucket").applyInArrow(count, "slot long, cells binary")
     out = np.zeros(1 << (cell_bits - 3), dtype=np.uint8)
     each = len(out) >> slot_bits
@@ -213,7 +213,7 @@ def index_entries(documents: DataFrame, size: int, threshold: Fraction, frequent
     def _batch(held: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names=["entry", "node", "n", "place", "g"])
 
-    return documents.select("text").mapInArrow(run, "entry long, node long, n int, place int, g float")
+    return documents.select("text").mapInArrow(tx.returning(run), "entry long, node long, n int, place int, g float")
 
 
 def _texts_of(documents: DataFrame, heads: DataFrame, size: int) -> DataFrame:
@@ -226,7 +226,7 @@ def _texts_of(documents: DataFrame, heads: DataFrame, size: int) -> DataFrame:
 
     wanted = heads.select(F.col("head"), F.col("node")).hint("shuffle_hash")
     joined = documents.join(wanted, F.col("doc_id").eqNullSafe(F.col("head"))).select("node", "text")
-    return joined.mapInArrow(run, "node long, text string").dropDuplicates(["node"])
+    return joined.mapInArrow(tx.returning(run), "node long, text string").dropDuplicates(["node"])
 
 
 def _candidates(shared: DataFrame, threshold: Fraction) -> DataFrame:
@@ -268,7 +268,7 @@ def _verified(pairs: DataFrame, documents: DataFrame, heads: DataFrame, size: in
 
     right = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     left = right.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    links = materialise(left.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long"), "links")
+    links = materialise(left.select("a", "b", "text_a", "text_b").mapInArrow(tx.returning(run), "a long, b long"), "links")
     discard(texts)
     discard(pairs)
     release(documents.sparkSession)

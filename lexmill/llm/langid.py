@@ -2,8 +2,8 @@
 
 A text is the set of byte n-grams (n = 2, 3, 4, A-Z lower-cased) that occur in it, each hashed to one of ``DIMS`` bits.
 The kernel of two texts is the number of shared bits over the root of the product of their bit counts.  Nystrom features
-come from ``landmarks`` texts of a bounded labelled sample, and one-versus-rest kernel ridge regression is fitted on
-them.  The kernel is linear in the bits, so landmarks, whitening and ridge weights collapse into one DIMS x languages
+come from ``landmarks`` texts, and one-versus-rest kernel ridge regression is fitted on those of all labelled texts: its
+normal equations are sums over texts, which tasks add up, so that no text is left out and none is collected.  The kernel is linear in the bits, so landmarks, whitening and ridge weights collapse into one DIMS x languages
 matrix, and a batch is scored with one matrix product.  Longer texts fill the bits and sink under the root of their count,
 so a text is cut into even segments of at most ``SEGMENT`` bytes, and its scores are the means over all of them.
 """
@@ -75,55 +75,128 @@ class LanguageModel:
         return (bits @ self.weights) / root + self.bias
 
 
-def fit(packed: np.ndarray, labels: list[str], landmarks: int = 256, ridge: float = 1e-3) -> LanguageModel:
-    """One-versus-rest kernel ridge regression on Nystrom features.  ``packed``: the bits of each text, eight a byte."""
-    languages = sorted(set(labels))
+def unit(bits: np.ndarray) -> np.ndarray:
+    return bits / np.sqrt(np.maximum(bits.sum(axis=1, keepdims=True), 1), dtype=np.float32)
+
+
+@dataclass
+class Basis:
+    """Nystrom features: kernels with the landmarks, whitened."""
+
+    near: np.ndarray  # landmarks x DIMS
+    white: np.ndarray  # landmarks x features
 
-    def unit(lo: int, hi: int) -> np.ndarray:
-        bits = np.unpackbits(packed[lo:hi], axis=1).astype(np.float32)
-        return bits / np.sqrt(np.maximum(bits.sum(axis=1, keepdims=True), 1), dtype=np.float32)
+    def features(self, bits: np.ndarray) -> np.ndarray:
+        return (unit(bits) @ self.near.T).astype(np.float64) @ self.white
 
-    near = unit(0, min(landmarks, len(packed)))
+
+def basis(packed: np.ndarray) -> Basis:
+    """``packed``: the bits of the landmarks, eight a byte."""
+    near = unit(np.unpackbits(packed, axis=1).astype(np.float32))
     value, vector = np.linalg.eigh((near @ near.T).astype(np.float64))
     keep = value > 1e-6 * max(value.max(), 1e-12)
-    white = vector[:, keep] / np.sqrt(value[keep])
-    features = np.concatenate([(unit(lo, lo + ROWS) @ near.T).astype(np.float64) @ white for lo in range(0, len(packed), ROWS)])
-    target = np.where(np.array(labels)[:, None] == np.array(languages)[None, :], 1.0, -1.0)
-    mean_x, mean_y = features.mean(axis=0), target.mean(axis=0)
-    centred = features - mean_x
-    beta = np.linalg.solve(centred.T @ centred + ridge * len(features) * np.eye(features.shape[1]), centred.T @ (target - mean_y))
-    return LanguageModel(languages, (near.T @ (white @ beta).astype(np.float32)), (mean_y - mean_x @ beta).astype(np.float32))
+    return Basis(near, vector[:, keep] / np.sqrt(value[keep]))
+
+
+class Sums:
+    """Sums over texts of their features' products (gram), and of their number and features by language."""
+
+    def __init__(self, width: int):
+        self.gram = np.zeros((width, width))
+        self.of: dict[str, tuple[int, np.ndarray]] = {}
+
+    def add(self, features: np.ndarray, labels: list[str]) -> None:
+        self.gram += features.T @ features
+        names, place = np.unique(np.array(labels, dtype=object), return_inverse=True)
+        for k, name in enumerate(names):
+            own = features[place == k]
+            n, total = self.of.get(name, (0, 0.0))
+            self.of[name] = (n + len(own), total + own.sum(axis=0))
+
+
+def solved(base: Basis, sums: Sums, ridge: float) -> LanguageModel:
+    """One-versus-rest ridge regression of +1 and -1 on the centred features."""
+    languages = sorted(sums.of)
+    count = np.array([sums.of[k][0] for k in languages], dtype=np.float64)
+    by_language = np.array([sums.of[k][1] for k in languages])
+    n = count.sum()
+    mean_x, mean_y = by_language.sum(axis=0) / n, 2 * count / n - 1
+    left = sums.gram - n * np.outer(mean_x, mean_x) + ridge * n * np.eye(len(mean_x))
+    beta = np.linalg.solve(left, 2 * (by_language - count[:, None] * mean_x).T)
+    return LanguageModel(languages, (base.near.T @ (base.white @ beta).astype(np.float32)), (mean_y - mean_x @ beta).astype(np.float32))
+
+
+def fit(packed: np.ndarray, labels: list[str], landmarks: int = 256, ridge: float = 1e-3) -> LanguageModel:
+    """One-versus-rest kernel ridge regression on Nystrom features.  ``packed``: the bits of each text, eight a byte."""
+    base = basis(packed[:landmarks])
+    sums = Sums(base.white.shape[1])
+    for lo in range(0, len(packed), ROWS):
+        sums.add(base.features(np.unpackbits(packed[lo : lo + ROWS], axis=1).astype(np.float32)), labels[lo : lo + ROWS])
+    return solved(base, sums, ridge)
 
 
 def _fold(key: Column, folds: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit(""))), F.lit(folds))
 
 
-def _sample(documents: DataFrame, part: Column, sample_rows: int) -> DataFrame:
-    """text and lang of the labelled rows of ``part`` with the ``sample_rows`` doc_ids of least hash."""
-    usable = documents.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & part)
+def _labelled(documents: DataFrame, part: Column) -> DataFrame:
+    """The labelled rows of ``part`` that have a text."""
+    return documents.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & part)
+
+
+def _sample(usable: DataFrame, sample_rows: int) -> DataFrame:
+    """text and lang of the rows with the ``sample_rows`` doc_ids of least hash."""
     picked = usable.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     return usable.join(F.broadcast(picked), usable["doc_id"].eqNullSafe(picked["doc_id"]), "left_semi").select("text", "lang")  # at most sample_rows ids
 
 
 def train(documents: DataFrame, folds: int = 4, held: int = 2, sample_rows: int = 2500, landmarks: int = 256) -> LanguageModel | None:
-    """Fit on labelled documents outside the held-out fold, those of the ``sample_rows`` least hashed doc_ids.
+    """Fit on all labelled documents outside the held-out fold, by their segments.
 
-    Their segments train; of more than twice ``sample_rows`` segments, those of least hash.  Only text and lang are used;
-    doc_id picks the sample alone.  None if no document has a label and text.
+    Landmarks alone come from few rows: the segments of least hash among the ``sample_rows`` least hashed doc_ids.  Only
+    text and lang are used; doc_id picks landmarks alone.  None if no document has a label and text.
     """
-    sample = _sample(documents, _fold(F.col("doc_id"), folds) != held, sample_rows)
+    usable = _labelled(documents, _fold(F.col("doc_id"), folds) != held)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def bits_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, bits in presence(batch.column(0)):
                 packed = [p.tobytes() for p in np.packbits(bits.astype(bool), axis=1)]
                 yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(row)), pa.array(packed, pa.binary())], names=["lang", "bits"])
 
-    got = sample.mapInArrow(run, "lang string, bits binary").orderBy(F.xxhash64("bits", "lang"), "bits", "lang").limit(2 * sample_rows).toPandas()
+    got = _sample(usable, sample_rows).mapInArrow(bits_of, "lang string, bits binary").orderBy(F.xxhash64("bits", "lang"), "bits", "lang").limit(landmarks).toPandas()
     if not len(got):
         return None
-    return fit(np.frombuffer(b"".join(got["bits"]), dtype=np.uint8).reshape(len(got), -1), list(got["lang"]), landmarks)
+    base = basis(np.frombuffer(b"".join(got["bits"]), dtype=np.uint8).reshape(len(got), -1))
+    width = base.white.shape[1]
+    shared = documents.sparkSession.sparkContext.broadcast(base)  # landmarks x DIMS
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = Sums(width)
+        for batch in batches:
+            if len(batch):
+                names = batch.column(1).to_pylist()
+                for row, bits in presence(batch.column(0)):
+                    sums.add(shared.value.features(bits), [names[i] for i in row])
+        rows = [(None, i, 0, x.tobytes()) for i, x in enumerate(sums.gram)] if sums.of else []
+        rows += [(name, -1, n, x.tobytes()) for name, (n, x) in sums.of.items()]
+        cols = zip(*rows) if rows else [()] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), pa.int64(), pa.binary()))], names=["lang", "i", "n", "sums"])
+
+    def total(table: pa.Table) -> pa.Table:
+        both = np.zeros(width)
+        for x in table.column("sums"):
+            both += np.frombuffer(x.as_buffer())
+        return pa.table({"lang": table.column("lang")[:1], "i": table.column("i")[:1], "n": pa.array([sum(table.column("n").to_pylist())], pa.int64()), "sums": pa.array([both.tobytes()], pa.binary())})
+
+    kind = "lang string, i int, n long, sums binary"
+    sums = Sums(width)
+    for r in usable.select("text", "lang").mapInArrow(tx.returning(add), kind).groupBy("lang", "i").applyInArrow(total, kind).toLocalIterator():  # a row a feature and language
+        if r["lang"] is None:
+            sums.gram[r["i"]] = np.frombuffer(r["sums"])
+        else:
+            sums.of[r["lang"]] = (r["n"], np.frombuffer(r["sums"]))
+    return solved(base, sums, 1e-3)
 
 
 def predict(documents: DataFrame, model: LanguageModel | None, carry: bool = False) -> DataFrame:
@@ -154,17 +227,19 @@ def predict(documents: DataFrame, model: LanguageModel | None, carry: bool = Fal
                 names, score = ["und"] * len(batch), np.zeros(len(batch))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(score.astype(np.float64))], names=[*batch.schema.names, "lang_pred", "score"])
 
-    out = base.mapInArrow(run, widened(base.schema, ("lang_pred", "string"), ("score", "double")))
+    out = base.mapInArrow(tx.returning(run), widened(base.schema, ("lang_pred", "string"), ("score", "double")))
     return out if carry else out.select("doc_id", "lang_pred", "score")
 
 
-def least_score(documents: DataFrame, model: LanguageModel | None, folds: int = 4, held: int = 2, sample_rows: int = 2500, share: float = 0.005) -> float:
+def least_score(documents: DataFrame, model: LanguageModel | None, folds: int = 4, held: int = 2, share: float = 0.005) -> float:
     """The score that all but ``share`` of the labelled rows of the held-out fold reach, of those whose language is found.
 
+    All such rows count; the quantile is right to 1 in 100,000 of their ranks.
+
     The one-versus-rest scores of a text sum to 2 - L over L languages, so its ``score`` is 1/L at least and a fixed
     limit may reject nothing.  Texts in no learned language stay near 1/L.  0 where no labelled row is held out.
     """
-    judged = predict(_sample(documents, _fold(F.col("doc_id"), folds) == held, sample_rows), model, carry=True).filter("lang_pred = lang")
+    judged = predict(_labelled(documents, _fold(F.col("doc_id"), folds) == held).select("text", "lang"), model, carry=True).filter("lang_pred = lang")
     found = judged.agg(F.percentile_approx("score", share, 100_000).alias("least")).first()["least"]
     return 0.0 if found is None else float(found)
 

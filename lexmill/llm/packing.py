@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lexmill.llm import text as tx
 from lexmill.llm.scratch import materialise, widened
 
 PLAN_COLUMNS = ("length", "lo", "hi", "base", "offset")
@@ -194,11 +195,12 @@ def pack(pieces: DataFrame, length_col: str = "length", capacity: int = 2048, ro
     return ranked.mapInArrow(_placer(plan, capacity), schema).select("kept.*", "sequence_id", "offset")
 
 
-def token_pieces(documents: DataFrame, encoder, capacity: int = 2048, end_id: int = 0) -> DataFrame:
+def token_pieces(documents: DataFrame, encoder, capacity: int = 2048, end_id: int = 0, forget: bool = False) -> DataFrame:
     """Token pieces of every document: doc_id, piece, start, length, ids_crc32.
 
     A document is its ids followed by ``end_id``; only those longer than ``capacity`` are cut, and then all pieces but
-    the first are full.  Null and empty texts are the single ``end_id``.
+    the first are full.  Null and empty texts are the single ``end_id``.  With ``forget`` a task leaves no pieces in the
+    encoder of its worker.
     """
     import zlib
 
@@ -223,11 +225,13 @@ def token_pieces(documents: DataFrame, encoder, capacity: int = 2048, end_id: in
                 data = memoryview(whole.view(np.uint8))
                 crc = [zlib.crc32(data[a:b]) for a, b in zip(((at + start) * 4).tolist(), ((at + stop) * 4).tolist())]
                 yield pa.RecordBatch.from_arrays([keys.take(pa.array(lo + row)), pa.array(k, pa.int32()), pa.array(start, pa.int64()), pa.array(stop - start, pa.int64()), pa.array(crc, pa.int64())], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        if forget:
+            encode.forget()
 
     schema = f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long"
-    return documents.select("doc_id", "text").mapInArrow(run, schema)
+    return documents.select("doc_id", "text").mapInArrow(tx.returning(run), schema)
 
 
-def pack_documents(spark: SparkSession, documents: DataFrame, encoder, capacity: int = 2048) -> DataFrame:
+def pack_documents(spark: SparkSession, documents: DataFrame, encoder, capacity: int = 2048, forget: bool = False) -> DataFrame:
     """Tokenise, cut and pack all documents."""
-    return pack(materialise(token_pieces(documents, encoder, capacity), "pieces"), "length", capacity)
+    return pack(materialise(token_pieces(documents, encoder, capacity, forget=forget), "pieces"), "length", capacity)

@@ -229,7 +229,7 @@ def train(documents: DataFrame, labels: DataFrame, sample_rows: int = 1000, most
                 yield pa.RecordBatch.from_arrays([batch.column(1).slice(lo, hi - lo), pa.array(index, pa.binary()), pa.array(value, pa.binary())], names=["quality", "index", "value"])
 
     sample = documents.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", F.col("quality").cast("int").alias("quality"))  # at most sample_rows ids
-    made = materialise(sample.mapInArrow(run, "quality int, index binary, value binary").withColumn("h", F.xxhash64("index", "value", "quality")), "features")
+    made = materialise(sample.mapInArrow(tx.returning(run), "quality int, index binary, value binary").withColumn("h", F.xxhash64("index", "value", "quality")), "features")
     sizes = made.select("h", (F.octet_length("index") / 4).alias("n")).orderBy("h").limit(2 * sample_rows).toPandas()
     upto = sizes["n"].cumsum() <= most_features
     last = sizes["h"][upto].max() if upto.any() else None
@@ -266,5 +266,5 @@ def judge(documents: DataFrame, model: QualityModel | None, threshold: float = 0
                 yield pa.RecordBatch.from_arrays(cols, names=[*part.schema.names, *names])
 
     schema = widened(base.schema, *((c, "long") for c in COUNTS), ("base_failed", "boolean"), ("probability", "double"), ("kept", "boolean"))
-    out = base.mapInArrow(run, schema)
+    out = base.mapInArrow(tx.returning(run), schema)
     return out if carry else out.drop("text")

@@ -70,7 +70,7 @@ def _scan(documents: DataFrame, window: int, length: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n_words, pa.int64()), pa.array(digests, pa.string()), pa.ListArray.from_arrays(pa.array(ptr), pa.array(flat))], names=["doc_id", "tk", "n_words", "digest", "reps"])
 
     key = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text", "tk").mapInArrow(run, f"doc_id {key}, tk long, n_words long, digest string, reps array<long>")
+    return documents.select("doc_id", "text", "tk").mapInArrow(tx.returning(run), f"doc_id {key}, tk long, n_words long, digest string, reps array<long>")
 
 
 def _runs(rows: DataFrame, window: int, first: int, second: int) -> DataFrame:
@@ -101,7 +101,7 @@ def _runs(rows: DataFrame, window: int, first: int, second: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(index), batch.column(2).take(index), *(pa.array(np.concatenate(v)) for v in out.values())], names=["doc_id", "tk", *out])
 
     key = rows.schema["doc_id"].dataType.simpleString()
-    return rows.select("doc_id", "text", "tk", "hits").mapInArrow(run, f"doc_id {key}, tk long, rep long, lo long, hi long, whole long")
+    return rows.select("doc_id", "text", "tk", "hits").mapInArrow(tx.returning(run), f"doc_id {key}, tk long, rep long, lo long, hi long, whole long")
 
 
 def _windows(rows: DataFrame, window: int) -> DataFrame:
@@ -123,7 +123,7 @@ def _windows(rows: DataFrame, window: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(index), batch.column(2).take(index), pa.array(np.concatenate(start)), pa.array(np.concatenate(hashes))], names=["doc_id", "tk", "p", "w"])
 
     key = rows.schema["doc_id"].dataType.simpleString()
-    return rows.select("doc_id", "text", "tk", "open").mapInArrow(run, f"doc_id {key}, tk long, p long, w long")
+    return rows.select("doc_id", "text", "tk", "open").mapInArrow(tx.returning(run), f"doc_id {key}, tk long, p long, w long")
 
 
 def _in_several(rows: DataFrame, key: str) -> DataFrame:
@@ -211,7 +211,7 @@ def repeated_passages(documents: DataFrame, window: int = 50) -> DataFrame:
     documents = documents.select("doc_id", "text").withColumn("tk", F.xxhash64("text"))
     scan, rows, gone = repeated_windows(documents, window)
     key = documents.schema["doc_id"].dataType.simpleString()
-    cut = rows.select("doc_id", "text", "tk").join(gone, ["doc_id", "tk"]).select("doc_id", "text", "gone").mapInArrow(_cut_batches(window, False), f"doc_id {key}, n_words long, n_removed long, kept_sha256 string")
+    cut = rows.select("doc_id", "text", "tk").join(gone, ["doc_id", "tk"]).select("doc_id", "text", "gone").mapInArrow(tx.returning(_cut_batches(window, False)), f"doc_id {key}, n_words long, n_removed long, kept_sha256 string")
     rest = scan.join(gone.select("doc_id", "tk"), ["doc_id", "tk"], "left_anti").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("digest").alias("kept_sha256"))
     return rest.unionByName(cut)
 
@@ -226,6 +226,6 @@ def without_repeated_passages(documents: DataFrame, window: int = 50) -> DataFra
     keyed = documents.withColumn("tk", F.xxhash64("text"))
     _, rows, gone = repeated_windows(keyed, window)
     schema = documents.schema
-    cut = rows.select(*names, "tk").join(gone, ["doc_id", "tk"]).select(*names, "gone").mapInArrow(_cut_batches(window, True), schema)
+    cut = rows.select(*names, "tk").join(gone, ["doc_id", "tk"]).select(*names, "gone").mapInArrow(tx.returning(_cut_batches(window, True)), schema)
     rest = keyed.join(gone.select("doc_id", "tk").hint("shuffle_hash"), ["doc_id", "tk"], "left_anti").select(*names)
     return restore(rest.unionByName(cut))

@@ -6,7 +6,8 @@ taken in slices that end between words, so the arrays built are a small multiple
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -148,6 +149,26 @@ def words_of(raw: np.ndarray, offsets: np.ndarray, lower: bool = False, want_has
     return Words(starts, ends, hashes, np.searchsorted(starts, offsets))
 
 
+def give_back() -> None:
+    """Return the memory that was freed to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def returning(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, and what it freed goes back to the system at its end: Spark keeps the worker, and it shall wait small."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return go
+
+
 def word_blocks(column: pa.Array, lower: bool = False, limit: int = SLICE, want_hash: bool = True) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, Words]]:
     """(first row, last row, bytes, offsets, words) for blocks of rows."""
     raw, offsets = string_buffer(column)

@@ -201,3 +201,22 @@ def test_kernel_ridge_equals_the_explicit_one():
     want = centre @ kernel @ centre @ dual + target.mean(axis=0)
     got = model.scores(bits)
     assert np.allclose(got, want, atol=5e-3) and (got.argmax(axis=1) == want.argmax(axis=1)).all()
+
+
+def test_language_model_and_limit_come_from_all_labelled_rows(spark):
+    """Rows beyond ``sample_rows`` teach a language and lower the limit; the sums of tasks give the fit on all rows at once."""
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choice(TONGUES[t]) + rng.choice(TONGUES[t]) for _ in range(30)), t) for i in range(300) for t in [rng.choice("abc") * 2]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    model = langid.train(df, sample_rows=5)
+    assert model.languages == ["aa", "bb", "cc"]
+    own = [(t, k) for d, t, k in rows if zlib.crc32(str(d).encode()) % 4 != 2]
+    bits = np.concatenate([b.copy() for _, b in langid.presence(__import__("pyarrow").array([t for t, _ in own]))])
+    first = langid.basis(np.packbits(bits[:9].astype(bool), axis=1))
+    sums = langid.Sums(first.white.shape[1])
+    sums.add(first.features(bits), [k for _, k in own])
+    x, target = first.features(bits), np.where(np.array([k for _, k in own])[:, None] == np.array(["aa", "bb", "cc"])[None, :], 1.0, -1.0)
+    beta = np.linalg.solve((x - x.mean(0)).T @ (x - x.mean(0)) + 1e-3 * len(x) * np.eye(x.shape[1]), (x - x.mean(0)).T @ (target - target.mean(0)))
+    assert np.allclose(langid.solved(first, sums, 1e-3).scores(bits), (x - x.mean(0)) @ beta + target.mean(0), atol=1e-3)
+    held = [(d, s) for d, s in langid.predict(df, langid.train(df), carry=True).filter("lang_pred = lang").select("doc_id", "score").collect() if zlib.crc32(str(d).encode()) % 4 == 2]
+    assert len(held) > 50 and langid.least_score(df, langid.train(df), share=0.0) == pytest.approx(min(s for _, s in held), abs=1e-6)
