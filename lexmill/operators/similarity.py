@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,25 +73,26 @@ def cosine(a: Column, b: Column) -> Column:
     return F.when((F.size(a) != F.size(b)) | (F.size(a) == 0) | (norms == 0), 0.0).otherwise(dot(a, b) / norms)
 
 
-def _nearest_rows(q_id, q, q_grp, t_id, t, t_grp) -> list[tuple]:
-    """(id, grp, best_id, best_score, best_in_group, in_group_score) of each query against targets sorted by id."""
-    unit = lambda m: m / np.where((n := np.linalg.norm(m, axis=1, keepdims=True)) > 0, n, np.inf)
-    out = []
-    for lo in range(0, len(q), 512):
-        score = unit(q[lo : lo + 512]) @ unit(t).T
-        score[q_id[lo : lo + 512, None] == t_id[None, :]] = -np.inf
-        own = np.where(q_grp[lo : lo + 512, None] == t_grp[None, :], score, -np.inf)
-        best, near = score.argmax(axis=1), own.argmax(axis=1)
-        for i, (b, o) in enumerate(zip(best, near)):
-            has, in_group = np.isfinite(score[i, b]), np.isfinite(own[i, o])
-            out.append((q_id[lo + i], q_grp[lo + i], int(t_id[b]) if has else None, float(score[i, b]) if has else None, int(t_id[o]) if in_group else None, float(own[i, o]) if in_group else None))
-    return out
+def _nearest_rows(q_id, q, q_grp, t_id, t, t_grp) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(best place, best score, best place in the group, score in the group) of unit queries against unit targets sorted by id.
 
+    Groups are numbers; a query whose group is negative has none.  Scores without a target are -inf.  Targets come in
+    blocks, so what is held is bounded whatever their number.
+    """
+
+    best, score = vectors.best_places(q_id, q, t_id, t)
+    own, own_score = np.zeros(len(q_id), dtype=np.int64), np.full(len(q_id), -np.inf)
+    for g in np.unique(q_grp[q_grp >= 0]):
+        rows = np.flatnonzero(q_grp == g)
+        at = np.flatnonzero(t_grp == g)
+        if len(at):
+            own[rows], own_score[rows] = vectors.best_places(q_id[rows], q[rows], t_id, t, at)
+    return best, score, own, own_score
 
-def _columns(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    ids = table.column("id").to_numpy()
-    vec = np.array(table.column("vec").to_pylist(), dtype=np.float64).reshape(len(ids), -1)
-    return ids, vec, np.array(table.column("grp").to_pylist(), dtype=object)
+
+def _columns(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    grp = table.column("grp")
+    return table.column("id").to_numpy(), vectors.unit(vectors.matrix(table.column("vec"))), grp.combine_chunks() if isinstance(grp, pa.ChunkedArray) else grp
 
 
 BROADCAST_BYTES = 64 << 20  # of vectors that every task gets
@@ -107,22 +109,25 @@ def dense_nearest(queries: DataFrame, targets: DataFrame, broadcast_bytes: int =
     out = f"id long, grp {kind}, best_id long, best_score double, best_in_group long, in_group_score double"
     names = [c.split()[0] for c in out.split(", ")]
     q, t = (d.select(F.col("id").cast("long").alias("id"), F.col("vec").cast("array<double>").alias("vec"), "grp") for d in (queries, targets))
-    types = [pa.int64(), None, pa.int64(), pa.float64(), pa.int64(), pa.float64()]
     if vectors.vector_bytes(t)[1] > broadcast_bytes:
         top = vectors.nearest(*(d.select("id", F.lit(0).alias("scope"), "vec") for d in (q, t)), part_rows).drop("scope")
         own = vectors.nearest(*(d.filter("grp is not null").select("id", F.col("grp").alias("scope"), "vec") for d in (q, t)), part_rows)
         own = own.select("id", F.col("scope").alias("grp"), F.col("best_id").alias("best_in_group"), F.col("best_score").alias("in_group_score"))
         return q.select("id", "grp").distinct().join(top, "id", "left").join(own, ["id", "grp"], "left").select(*names)
 
-    def table(rows: list[tuple], grp: pa.DataType) -> list[pa.Array]:
-        cols = list(zip(*rows)) if rows else [()] * 6
-        return [pa.array(c, k or grp) for c, k in zip(cols, types)]
-
-    known = queries.sparkSession.sparkContext.broadcast(_columns(t.orderBy("id").toArrow()))  # at most broadcast_bytes
+    t_id, t_vec, t_grp = _columns(t.orderBy("id").toArrow())
+    groups = pc.unique(t_grp.drop_null())
+    known = queries.sparkSession.sparkContext.broadcast((t_id, t_vec, pc.index_in(t_grp, groups).fill_null(-1).to_numpy(), groups))  # at most broadcast_bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t_id, t_vec, t_grp, groups = known.value
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(table(_nearest_rows(*_columns(batch), *known.value) if len(known.value[0]) else [], batch.schema.field("grp").type), names=names)
+            if not len(batch) or not len(t_id):
+                continue
+            q_id, q_vec, q_grp = _columns(batch)
+            best, score, own, own_score = _nearest_rows(q_id, q_vec, pc.index_in(q_grp, groups).fill_null(-1).to_numpy(), t_id, t_vec, t_grp)
+            none, alone = score == -np.inf, own_score == -np.inf
+            yield pa.RecordBatch.from_arrays([batch.column(0), q_grp, pa.array(t_id[best], mask=none), pa.array(score, mask=none), pa.array(t_id[own], mask=alone), pa.array(own_score, mask=alone)], names=names)
 
     return q.mapInArrow(run, out)
 

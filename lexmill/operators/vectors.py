@@ -39,6 +39,30 @@ def angles(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(rows @ pivots.T, -1.0, 1.0))
 
 
+def best_places(q_id: np.ndarray, q: np.ndarray, t_id: np.ndarray, t: np.ndarray, at: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(place, score) of the best other target of each unit query; targets (those at the places ``at``) are sorted by id.
+
+    Ties go to the smaller id; the score is -inf without a target.  Blocks of both sides meet, so memory is bounded.
+    """
+    place, score = np.zeros(len(q), dtype=np.int64), np.full(len(q), -np.inf)
+    n = len(t) if at is None else len(at)
+    for b in range(0, n, 4096):
+        here = np.arange(b, min(b + 4096, n)) if at is None else at[b : b + 4096]
+        ids, block = t_id[here], t[here].T
+        for a in range(0, len(q), 512):
+            s = q[a : a + 512] @ block
+            own = q_id[a : a + 512]
+            lo = np.searchsorted(ids, own, side="left")
+            hi = np.searchsorted(ids, own, side="right")
+            for i in np.flatnonzero(hi > lo):
+                s[i, lo[i] : hi[i]] = -np.inf
+            top = np.nan_to_num(s, copy=False, nan=-np.inf, posinf=np.inf, neginf=-np.inf).argmax(axis=1)
+            best = s[np.arange(len(s)), top]
+            better = np.flatnonzero(best > score[a : a + 512])
+            place[a + better], score[a + better] = here[top[better]], best[better]
+    return place, score
+
+
 def vector_bytes(rows: DataFrame) -> tuple[int, int]:
     """(rows, bytes) of the vectors of a table."""
     got = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("vec")).alias("s")).first()
@@ -140,16 +164,10 @@ def nearest(queries: DataFrame, targets: DataFrame, part_rows: int = PART_ROWS)
             right = right.sort_by("id")
             own, t_id, t = left.column("id").to_numpy(), right.column("id").to_numpy(), unit(matrix(right.column("vec")))
             q = unit(matrix(left.column("vec")))
-            for lo in range(0, len(q), 512):
-                s = q[lo : lo + 512] @ t.T
-                s[own[lo : lo + 512, None] == t_id[None, :]] = -np.inf
-                at = s.argmax(axis=1)
-                top = s[np.arange(len(s)), at]
-                ok = np.flatnonzero(np.isfinite(top))
-                ids += own[lo + ok].tolist()
-                scopes += left.column("scope").take(pa.array(lo + ok)).to_pylist()
-                best += t_id[at[ok]].tolist()
-                scores += top[ok].tolist()
+            at, top = best_places(own, q, t_id, t)
+            ok = np.flatnonzero(np.isfinite(top))
+            ids, best, scores = own[ok], t_id[at[ok]], top[ok]
+            scopes = left.column("scope").take(pa.array(ok)).to_pylist()
         scope = left.schema.field("scope").type if len(left) else right.schema.field("scope").type
         return pa.table({"id": pa.array(ids, pa.int64()), "scope": pa.array(scopes, scope), "best_id": pa.array(best, pa.int64()), "best_score": pa.array(scores, pa.float64())})
 

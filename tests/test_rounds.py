@@ -305,3 +305,23 @@ def test_vector_join_skips_partitions(spark):
     asked = vectors.visits(home.select("term", "scope", "vec", F.lit(float(np.arccos(0.97))).alias("reach")), parts, pivots)
     assert asked.count() < 0.5 * 500 * parts.agg(F.sum("chunks")).first()[0]
     assert parts.agg(F.max("chunks")).first()[0] >= 2  # the copies fill several chunks
+
+
+def test_best_places_hold_blocks_alone():
+    """Nearest targets over many blocks equal one product, in a bounded part of its memory; ties go to the smaller id."""
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    t = vectors.unit(rng.integers(-3, 4, (30_000, 6)).astype(float))
+    q_id = np.arange(0, 30_000, 15)
+    tracemalloc.start()
+    groups = rng.integers(0, 3, 30_000)
+    got = similarity._nearest_rows(q_id, t[q_id], groups[q_id], np.arange(30_000), t, groups)
+    assert tracemalloc.get_traced_memory()[1] < 80 << 20  # before: 512 x 30,000 scores, twice, and copies of all targets
+    tracemalloc.stop()
+    for k in range(0, len(q_id), 97):
+        s = np.einsum("ij,j->i", t, t[q_id[k]])
+        s[q_id[k]] = -np.inf
+        own = np.where(groups == groups[q_id[k]], s, -np.inf)
+        assert abs(got[1][k] - s.max()) < 1e-12 and abs(s[got[0][k]] - s.max()) < 1e-12
+        assert abs(got[3][k] - own.max()) < 1e-12 and abs(own[got[2][k]] - own.max()) < 1e-12
