@@ -23,12 +23,11 @@ def candidates(records: DataFrame) -> DataFrame:
     raw = F.concat(F.coalesce("unmapped_skills", empty), F.coalesce("technical_skills", empty))
     rows = live.select("file", "line_number", "source_url", "scraped_at", n.alias("n"), F.posexplode(raw).alias("pos", "raw"))
     rows = rows.withColumn("s", T.skill_and_tag(F.col("raw"))).select("file", "line_number", "pos", (F.col("pos") >= F.col("n")).alias("technical"), F.col("s.name").alias("name"), F.col("s.tag").alias("tag"), F.col("source_url").alias("source"), T.date_prefix(F.col("scraped_at")).alias("day")).filter("name <> ''")
-    every = Window.partitionBy("file", "line_number", F.lower("name")).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    hint = F.first(F.when(F.col("technical"), F.col("tag")), ignorenulls=True).over(every)
-    any_tag = F.first("tag", ignorenulls=True).over(every)
-    nth = F.row_number().over(Window.partitionBy("file", "line_number", F.lower("name")).orderBy("pos"))
-    out = rows.withColumn("tag_of", F.coalesce(hint, any_tag)).withColumn("nth", nth).filter("nth = 1")
-    return out.select("file", "line_number", "pos", "name", F.col("tag_of").alias("tag"), "source", "day")
+    hint = F.min_by("tag", F.when(F.col("technical") & F.col("tag").isNotNull(), F.col("pos")))
+    any_tag = F.min_by("tag", F.when(F.col("tag").isNotNull(), F.col("pos")))
+    first = F.min(F.struct("pos", "name", "source", "day")).alias("first")
+    out = rows.groupBy("file", "line_number", F.lower("name").alias("low")).agg(first, F.coalesce(hint, any_tag).alias("tag"))
+    return out.select("file", "line_number", "first.pos", "first.name", "tag", "first.source", "first.day")
 
 
 def queue_delta(mentions: DataFrame, fallback_day: str = "1970-01-01", most_sources: int = 10) -> DataFrame:

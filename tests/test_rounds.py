@@ -325,3 +325,14 @@ def test_best_places_hold_blocks_alone():
         own = np.where(groups == groups[q_id[k]], s, -np.inf)
         assert abs(got[1][k] - s.max()) < 1e-12 and abs(s[got[0][k]] - s.max()) < 1e-12
         assert abs(got[3][k] - own.max()) < 1e-12 and abs(own[got[2][k]] - own.max()) < 1e-12
+
+
+def test_candidates_need_no_window(spark):
+    """Names of a record are grouped once; the first spelling counts, and its tag is the first technical one, else the first met."""
+    from lexmill.operators import discovery
+
+    kind = "file string, line_number int, parse_error boolean, is_error boolean, source_url string, scraped_at string, unmapped_skills array<string>, technical_skills array<string>"
+    rows = [("f", 1, False, False, "u", "2024-01-02T00", ["Go [x]", "sql", " ", "Rust"], ["GO [y_z]", "go [w]", "Sql"]), ("f", 2, False, True, "u", None, ["c"], None), ("f", 3, False, False, None, None, None, ["go"])]
+    got = discovery.candidates(spark.createDataFrame(rows, kind))
+    assert {(r["line_number"], r["pos"], r["name"], r["tag"]) for r in got.collect()} == {(1, 0, "Go", "y z"), (1, 1, "sql", None), (1, 3, "Rust", None), (3, 0, "go", None)}
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
